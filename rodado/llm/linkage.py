@@ -2,10 +2,12 @@
 
 1. Blocking in two passes: cells of the ground that both geometries touch, and equal name keys in neighbouring larger
    cells. A pair found by both counts once.
-2. Agreement levels of each pair: name, town, distance between the lines, share of the shorter line run along.
+2. Agreement levels of each pair: name, town, distance between the lines, share of the shorter line run along, and
+   whether the feature runs along another way much nearer.
 3. Expectation-maximisation over the counts of level patterns gives, for each level, its probability among matches
    and among the others. The patterns are at most the product of the levels, so their counts may go to the driver.
-4. The posterior of a pair's pattern is its confidence.
+4. The posterior of a pair's pattern is its confidence. Lines that don't run along each other for a tenth of the
+   shorter can't be the same stretch: their confidence is 0, and they don't bear on the estimates.
 
 What is defined here: repeated deliveries count once. A record without a usable line (two different points on earth)
 has no pair. Of coordinates with more than two numbers the first two count; other malformed points are left out. A
@@ -17,7 +19,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geo import DEGREE_M, on_earth
@@ -30,6 +32,8 @@ CELL_DEG = 0.001
 STEP_M = 10.0
 #: Upper bounds in metres of the levels of distance.
 OFFSET_LEVELS = (4.0, 8.0, 12.0, 16.0, 20.0, 24.0, 32.0, REACH_M)
+#: Metres by which another way must be nearer to be a rival.
+RIVAL_M = 8.0
 #: Lower bounds of the levels of the share run along.
 SHARE_LEVELS = (0.9, 0.7, 0.5, 0.1)
 NAME_LEVELS = (0.999, 0.8, 0.6)
@@ -217,13 +221,19 @@ def _level_up(c: Column, bounds: tuple[float, ...]) -> Column:
 
 
 def with_levels(compared: DataFrame) -> DataFrame:
+    """Adds the levels. A pair has a rival if the feature runs along half of another way and much nearer."""
+    own = Window.partitionBy("feature_id")
+    nearest = F.min(F.when(F.col("share") >= 0.5, F.col("offset_m"))).over(own)
+    compared = compared.withColumn("_nearest", nearest)
+    rival = F.coalesce(F.col("_nearest") + RIVAL_M < F.col("offset_m"), F.lit(False))
     return compared.withColumns({
+        "l_rival": F.when(rival, 2).otherwise(1),
         "l_name": _level_down(F.col("name_sim"), NAME_LEVELS), "l_town": _level_down(F.col("town_sim"), TOWN_LEVELS),
         "l_share": _level_down(F.coalesce("share", F.lit(0.0)), SHARE_LEVELS), "l_offset": _level_up(F.col("offset_m"), OFFSET_LEVELS),
-    })
+    }).drop("_nearest")
 
 
-LEVELS = ("l_name", "l_town", "l_share", "l_offset")
+LEVELS = ("l_name", "l_town", "l_share", "l_offset", "l_rival")
 
 
 def expectation_maximisation(patterns: list[tuple[tuple[int, ...], int]], start, rounds: int = 200, eps: float = 1e-7):
@@ -262,7 +272,7 @@ def expectation_maximisation(patterns: list[tuple[tuple[int, ...], int]], start,
 
 
 def _first_guess(p: tuple[int, ...]) -> float:
-    name, _, share, offset = p
+    name, _, share, offset, _ = p
     same = share in (1, 2, 3) and 0 < offset <= 4 and name in (0, 1, 2)
     return 0.95 if same else 0.05
 
@@ -271,12 +281,14 @@ def link(catastro: DataFrame, ways: DataFrame) -> DataFrame:
     """(feature_id, way_id, confidence, share, offset_m, name_sim, town_sim) of all candidate pairs."""
     f, w = survey_lines(catastro), way_lines(ways)
     pairs = stage(with_levels(compare(candidate_pairs(f, w), f, w)), "pairs")
-    rows = pairs.groupBy(*LEVELS).count().orderBy(*LEVELS).collect()
+    along = F.col("l_share") <= len(SHARE_LEVELS)
+    rows = pairs.where(along).groupBy(*LEVELS).count().orderBy(*LEVELS).collect()
     patterns = [(tuple(r[k] for k in LEVELS), r["count"]) for r in rows]
     post, *_ = expectation_maximisation(patterns, [_first_guess(p) for p, _ in patterns])
     known = [(*p, g) for (p, _), g in zip(patterns, post)]
     table = catastro.sparkSession.createDataFrame(known, ", ".join(f"{k} int" for k in LEVELS) + ", confidence double")
-    return pairs.join(F.broadcast(table), list(LEVELS)).drop(*LEVELS)
+    out = pairs.join(F.broadcast(table), list(LEVELS), "left").drop(*LEVELS)
+    return out.withColumn("confidence", F.coalesce("confidence", F.lit(0.0)))
 
 
 def same_facilities(catastro: DataFrame, ways: DataFrame, least: float = 0.5) -> DataFrame:
