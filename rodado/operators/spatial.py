@@ -9,8 +9,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geo
+from ..session import stage
 from .nearby import within
 
+#: Factor by which the radius of a nearest-neighbour search grows from ring to ring.
+GROWTH = 8.0
+
 
 def semi(points: DataFrame, targets: DataFrame, radius_m: float, key: list[str], target_xy) -> DataFrame:
     """Points with a target within the radius."""
@@ -34,8 +38,9 @@ def pairs_within(points: DataFrame, key: str, radius_m: float) -> DataFrame:
 def nearest(points: DataFrame, targets: DataFrame, key: str, target: str, k: int = 1, start_m: float = 250.0, most_m: float = 21_000_000.0, target_xy=("_x", "_y")) -> DataFrame:
     """(key, target, metres, place) of the k nearest targets of each point, ties by the smaller target.
 
-    Rings: the radius starts at ``start_m`` and grows fourfold for the points that still lack k targets; found
-    distances within the radius are final, so every ring is exact. Points that find fewer within ``most_m`` get those.
+    Rings: the radius starts at ``start_m`` and grows for the points that still lack k targets; found distances within
+    the radius are final, so every ring is exact. Points that find fewer within ``most_m`` get those. What a ring found
+    and left over is written to the shared folder, so that no ring repeats the ones before.
     """
     left, r, out = points.select(key, "lng", "lat").where(geo.on_earth("lng", "lat")).distinct(), start_m, None
     order = Window.partitionBy(key).orderBy("metres", target)
@@ -43,14 +48,14 @@ def nearest(points: DataFrame, targets: DataFrame, key: str, target: str, k: int
         j = within(left, targets, r, [key], centre_xy=target_xy, distance="metres").select(key, target, "metres").distinct()
         j = j.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k).withColumn("_n", F.count("*").over(Window.partitionBy(key)))
         last = r >= most_m
-        found = (j if last else j.where(F.col("_n") >= k)).drop("_n")
+        found = stage((j if last else j.where(F.col("_n") >= k)).drop("_n"), "ring")
         out = found if out is None else out.unionAll(found)
         if last:
             return out
-        left = left.join(found.select(key).distinct(), key, "left_anti")
-        r = min(r * 4, most_m)
+        left = stage(left.join(found.select(key).distinct(), key, "left_anti"), "ring")
         if left.isEmpty():
             return out
+        r = min(r * GROWTH, most_m)
 
 
 def best_within(points: DataFrame, targets: DataFrame, radius_m: float, key: str, target: str, score: str, target_xy=("_x", "_y")) -> DataFrame:

@@ -80,7 +80,7 @@ _add("q_floodfill", lambda s, d: G.flood_fill(P.dense_cells(_places(s, d), 0.005
 
 
 def _edges(s, d):
-    e = P.line_links(_lines(s, d), "way_id", 200.0).select("a", "b", (F.round("gap_m", 1) + 1).alias("cost"), "gap_m")
+    e = P.line_links(_lines(s, d), "way_id", 200.0).select("a", "b", (F.round("gap_m", 1) + 40).alias("cost"), "gap_m")
     return e.select("a", "b", "cost", F.col("gap_m").alias("length")).unionAll(e.select(F.col("b").alias("a"), F.col("a").alias("b"), "cost", F.col("gap_m").alias("length")))
 
 
@@ -89,9 +89,9 @@ def _requests(s, d):
     return e.join(e.select(F.col("a").alias("b"), F.col("b").alias("c")), "b").where("a <> c").select(F.col("a").alias("src"), F.col("c").alias("dst")).distinct()
 
 
-_add("q_shortest", lambda s, d: G.paths(_requests(s, d), _edges(s, d), most=600.0).select("src", "dst", F.round("cost", 1).alias("cost")),
-     f"WITH RECURSIVE {_LN}, {_LK}, k AS (SELECT a, b, round(gap_m,1)+1 AS cost FROM lk), e AS (SELECT a, b, cost FROM k UNION ALL SELECT b, a, cost FROM k), q AS (SELECT DISTINCT x.a AS src, y.b AS dst FROM lk x JOIN lk y ON y.a=x.b WHERE x.a<>y.b), "
-     "r(src, n, cost, hops) AS (SELECT DISTINCT src, src, 0.0::DOUBLE, 0 FROM q UNION SELECT r.src, e.b, r.cost+e.cost, hops+1 FROM r JOIN e ON e.a=r.n WHERE hops<3 AND r.cost+e.cost<=600) SELECT src, dst, round(min(cost),1) AS cost FROM q JOIN r USING (src) WHERE n=dst GROUP BY 1,2")
+_add("q_shortest", lambda s, d: G.paths(_requests(s, d), _edges(s, d), most=200.0).select("src", "dst", F.round("cost", 1).alias("cost")),
+     f"WITH RECURSIVE {_LN}, {_LK}, k AS (SELECT a, b, round(gap_m,1)+40 AS cost FROM lk), e AS (SELECT a, b, cost FROM k UNION ALL SELECT b, a, cost FROM k), q AS (SELECT DISTINCT x.a AS src, y.b AS dst FROM lk x JOIN lk y ON y.a=x.b WHERE x.a<>y.b), "
+     "r(src, n, cost, hops) AS (SELECT DISTINCT src, src, 0.0::DOUBLE, 0 FROM q UNION SELECT r.src, e.b, r.cost+e.cost, hops+1 FROM r JOIN e ON e.a=r.n WHERE hops<5 AND r.cost+e.cost<=200) SELECT src, dst, round(min(cost),1) AS cost FROM q JOIN r USING (src) WHERE n=dst GROUP BY 1,2")
 
 
 def _zones(s, d):
