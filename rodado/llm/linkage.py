@@ -24,11 +24,14 @@ from pyspark.sql import functions as F
 
 from ..functions.geo import DEGREE_M, on_earth
 from ..session import stage
-from .names import likeness, name_key, name_words, town_key
+from .names import likeness, name_key, town_key, with_name_words
 
 #: Metres within which two lines can be the same facility; blocking misses no pair that close.
 REACH_M = 45.0
 CELL_DEG = 0.001
+#: Added to cell indices so that they are positive.
+HALF = 1 << 30
+PIECE_M = 120.0
 STEP_M = 10.0
 #: Upper bounds in metres of the levels of distance.
 OFFSET_LEVELS = (4.0, 8.0, 12.0, 16.0, 20.0, 24.0, 32.0, REACH_M)
@@ -62,7 +65,10 @@ def _parts(line: Column, x: str, y: str) -> Column:
 
 
 def survey_lines(catastro: DataFrame) -> DataFrame:
-    """(feature_id, words, town, parts) of the records with a usable line, once each."""
+    """(feature_id, words, town, parts, cells) of the records with a usable line, once each.
+
+    Records without a usable line come out with empty parts and cells; :func:`link` leaves them out.
+    """
     pair = lambda p: F.struct(F.try_element_at(p, F.lit(1)).alias("x"), F.try_element_at(p, F.lit(2)).alias("y"))
     lines = F.transform(
         F.filter(F.col("geometry.coordinates"), lambda ln: ln.isNotNull()),
@@ -70,49 +76,52 @@ def survey_lines(catastro: DataFrame) -> DataFrame:
     )
     parts = F.flatten(F.transform(lines, lambda ln: _parts(ln, "x", "y")))
     df = catastro.where(F.col("feature_id").isNotNull() & F.col("geometry").isNotNull())
-    df = df.select("feature_id", name_words(F.col("nombre")).alias("words"), town_key(F.col("comuna")).alias("town"), parts.alias("parts"))
-    return df.where(F.size("parts") > 0).dropDuplicates(["feature_id"])
+    df = df.select("feature_id", "nombre", "comuna", "geometry").dropDuplicates(["feature_id"])
+    df = with_name_words(df, "nombre", "words").withColumn("parts", parts)
+    return df.select("feature_id", "words", town_key(F.col("comuna")).alias("town"), "parts", _cells(F.col("parts"), REACH_M).alias("cells"))
 
 
 def way_lines(ways: DataFrame) -> DataFrame:
-    """(way_id, words, town, parts) of the ways with a cycling tag and a usable line, once each."""
+    """(way_id, words, town, parts, cells) of the ways with a cycling tag and any geometry, once each."""
     line = F.filter("geometry", lambda p: on_earth(p["lon"], p["lat"]))
     tag = lambda k: F.try_element_at("tags", F.lit(k))
     df = ways.where(F.col("way_id").isNotNull() & F.col("geometry").isNotNull() & cycling(F.col("tags")))
-    df = df.select(
-        "way_id", name_words(F.coalesce(tag("name"), tag("official_name"))).alias("words"), town_key(F.coalesce(tag("is_in:city"), tag("addr:city"))).alias("town"),
-        _parts(line, "lon", "lat").alias("parts"),
-    )
-    return df.where(F.size("parts") > 0).dropDuplicates(["way_id"])
+    df = df.select("way_id", "tags", "geometry").dropDuplicates(["way_id"])
+    df = with_name_words(df.withColumn("_name", F.coalesce(tag("name"), tag("official_name"))), "_name", "words").withColumn("parts", _parts(line, "lon", "lat"))
+    town = town_key(F.coalesce(tag("is_in:city"), tag("addr:city")))
+    return df.select("way_id", "words", town.alias("town"), "parts", _cells(F.col("parts"), 0.0).alias("cells"))
 
 
 def _cells(parts: Column, reach_m: float) -> Column:
-    """Distinct ground cells within ``reach_m`` (measured along the axes) of points at most 40 m apart on the line."""
-    dy = reach_m / DEGREE_M
-
-    def along(s: Column) -> Column:
-        # steps of at most 40 m on the longer axis
-        steps = F.greatest(F.ceil(F.greatest(F.abs(s[2] - s[0]), F.abs(s[3] - s[1])) * DEGREE_M / 40.0), F.lit(1)).cast("int")
-        return F.transform(F.sequence(F.lit(0), steps), lambda k: F.struct((s[0] + (s[2] - s[0]) * k / steps).alias("x"), (s[1] + (s[3] - s[1]) * k / steps).alias("y")))
+    """Distinct ground cells that the boxes around the line's parts touch, widened by ``reach_m``.
 
+    Parts over PIECE_M are cut first, so that the boxes stay close to the line. Any two lines with points that close
+    have a cell in common, if one of them is widened.
+    """
+    dy = reach_m / DEGREE_M
     at = lambda v: F.floor(v / CELL_DEG).cast("long")
 
-    def around(p: Column) -> Column:
-        if not reach_m:
-            return F.array(F.struct(at(p["x"]).alias("gx"), at(p["y"]).alias("gy")))
-        dx = F.lit(dy) / F.greatest(F.cos(F.radians(p["y"])), F.lit(0.01))
-        xs, ys = F.sequence(at(p["x"] - dx), at(p["x"] + dx)), F.sequence(at(p["y"] - dy), at(p["y"] + dy))
-        return F.flatten(F.transform(xs, lambda x: F.transform(ys, lambda y: F.struct(x.alias("gx"), y.alias("gy")))))
+    def boxes(s: Column) -> Column:
+        n = F.greatest(F.ceil(F.greatest(F.abs(s[2] - s[0]), F.abs(s[3] - s[1])) * (DEGREE_M / PIECE_M)), F.lit(1)).cast("int")
+        cut = lambda i, k: s[i] + (s[i + 2] - s[i]) * k / n
+        piece = lambda k: F.array(cut(0, k), cut(1, k), cut(0, k + 1), cut(1, k + 1))
+        return F.when(n == 1, F.array(s)).otherwise(F.transform(F.sequence(F.lit(0), n - 1), piece))
+
+    def touched(b: Column) -> Column:
+        dx = F.lit(dy) / F.greatest(F.cos(F.radians(b[1])), F.lit(0.01)) if reach_m else F.lit(0.0)
+        xs = F.sequence(at(F.least(b[0], b[2]) - dx), at(F.greatest(b[0], b[2]) + dx))
+        ys = F.sequence(at(F.least(b[1], b[3]) - dy), at(F.greatest(b[1], b[3]) + dy))
+        # one number a cell: both indices of degrees / CELL_DEG fit in 20 bits
+        return F.flatten(F.transform(xs, lambda x: F.transform(ys, lambda y: F.shiftleft(x + HALF, 32) + (y + HALF))))
 
-    return F.array_distinct(F.flatten(F.transform(F.flatten(F.transform(parts, along)), around)))
+    return F.array_distinct(F.flatten(F.transform(F.flatten(F.transform(parts, boxes)), touched)))
 
 
 def candidate_pairs(features: DataFrame, ways: DataFrame) -> DataFrame:
     """Distinct (feature_id, way_id) of both blocking passes."""
-    # half a step of 40 m on either side is added to the reach
-    f = features.select("feature_id", F.explode(_cells(F.col("parts"), REACH_M + 20.0)).alias("_g")).select("feature_id", "_g.*")
-    w = ways.select("way_id", F.explode(_cells(F.col("parts"), 0.0)).alias("_g")).select("way_id", "_g.*")
-    near = f.join(w, ["gx", "gy"]).select("feature_id", "way_id")
+    f = features.select("feature_id", F.explode("cells").alias("_cell"))
+    w = ways.select("way_id", F.explode("cells").alias("_cell"))
+    near = f.join(w, "_cell").select("feature_id", "way_id")
     mid = lambda k: F.floor(F.col("parts")[0][k] / (10 * CELL_DEG)).cast("long")
     fn = features.where("words is not null").select("feature_id", name_key(F.col("words")).alias("_name"), mid(0).alias("gx"), mid(1).alias("gy"))
     wn = ways.where("words is not null").select("way_id", name_key(F.col("words")).alias("_name"), mid(0).alias("_x"), mid(1).alias("_y"))
@@ -279,7 +288,7 @@ def _first_guess(p: tuple[int, ...]) -> float:
 
 def link(catastro: DataFrame, ways: DataFrame) -> DataFrame:
     """(feature_id, way_id, confidence, share, offset_m, name_sim, town_sim) of all candidate pairs."""
-    f, w = survey_lines(catastro), way_lines(ways)
+    f, w = (stage(df, name).where(F.size("parts") > 0) for df, name in ((survey_lines(catastro), "features"), (way_lines(ways), "ways")))
     pairs = stage(with_levels(compare(candidate_pairs(f, w), f, w)), "pairs")
     along = F.col("l_share") <= len(SHARE_LEVELS)
     rows = pairs.where(along).groupBy(*LEVELS).count().orderBy(*LEVELS).collect()

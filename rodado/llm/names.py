@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import squeeze, unaccent
@@ -35,14 +35,18 @@ def folded(c: Column) -> Column:
     return squeeze(F.regexp_replace(F.lower(seen), r"[^a-z0-9]+", " "))
 
 
-def name_words(c: Column) -> Column:
-    """The words that name a street, in order; null where there is no name."""
-    t = F.regexp_replace(folded(c), r"\btramo( n[ro]?)?( \d+)?\b|\bn[ro]? \d+$", " ")
-    for short, long in TITLES.items():
-        t = F.regexp_replace(t, rf"\b{short}\b", long)
-    t = F.regexp_replace(t, rf"\b({'|'.join(KINDS.split())})\b", " ")
-    t = squeeze(t)
-    return F.when(F.nullif(t, F.lit("")).isNotNull() & ~folded(c).rlike(rf"^({NAMELESS})$") & ~t.rlike(rf"^({NAMELESS})$"), F.split(t, " "))
+def with_name_words(df: DataFrame, col: str, out: str) -> DataFrame:
+    """Adds the words that name a street, in order; null where there is no name.
+
+    In steps of one column each, so that no step's result is worked out more than once a row.
+    """
+    df = df.withColumn("_folded", folded(F.col(col)))
+    t = F.regexp_replace("_folded", r"\btramo( n[ro]?)?( \d+)?\b|\bn[ro]? \d+$", " ")
+    words = F.filter(F.split(t, " "), lambda w: (w != "") & ~w.isin(*KINDS.split()))
+    full = F.transform(words, lambda w: F.coalesce(F.try_element_at(F.create_map(*(F.lit(x) for kv in TITLES.items() for x in kv)), w), w))
+    df = df.withColumn(out, full).withColumn("_joined", F.array_join(out, " "))
+    real = (F.col("_joined") != "") & ~F.col("_folded").rlike(rf"^({NAMELESS})$") & ~F.col("_joined").rlike(rf"^({NAMELESS})$")
+    return df.withColumn(out, F.when(real, F.col(out))).drop("_folded", "_joined")
 
 
 def name_key(words: Column) -> Column:
