@@ -328,6 +328,8 @@ def match_values(
     exact = terms.select(F.col("field").alias(field), F.col("term").alias(value)).distinct()
     todo = values.select(field, value).where(F.col(field).isNotNull() & F.col(value).isNotNull() & ~is_blank(F.col(value))).distinct()
     todo = todo.join(exact, [field, value], "left_anti")
+    # lookups cost far more than their bytes tell, so the number of parts is set, not left to sizes
+    todo = todo.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
     shards = [entries[i : i + shard_entries] for i in range(0, len(entries), shard_entries)] or [[]]
     sent = [spark.sparkContext.broadcast(s) for s in shards]
 
