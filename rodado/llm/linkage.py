@@ -1,7 +1,6 @@
 """Probabilistic record linkage of surveyed stretches and OSM ways, which share no key.
 
-1. Blocking in two passes: cells of the ground that both geometries touch, and equal name keys in neighbouring larger
-   cells. A pair found by both counts once.
+1. Blocking in two passes: cells of the ground that both geometries touch, and equal name keys in larger cells. A pair found by both counts once.
 2. Agreement levels of each pair: name, town, distance between the lines, share of the shorter line run along, and
    whether the feature runs along another way much nearer.
 3. Expectation-maximisation over the counts of level patterns gives, for each level, its probability among matches
@@ -29,6 +28,8 @@ from .names import likeness, name_key, town_key, with_name_words
 #: Metres within which two lines can be the same facility; blocking misses no pair that close.
 REACH_M = 45.0
 CELL_DEG = 0.001
+#: Stored units of one degree.
+UNITS = 1e7
 #: Added to cell indices so that they are positive.
 HALF = 1 << 30
 PIECE_M = 120.0
@@ -57,11 +58,16 @@ def cycling(tags: Column) -> Column:
 
 
 def _parts(line: Column, x: str, y: str) -> Column:
-    """Consecutive points of one line as array<array(x1,y1,x2,y2)>, without parts of no length."""
+    """Consecutive points of one line as array<array(x1,y1,x2,y2)>."""
     n = F.size(line)
     a, b = F.slice(line, 1, F.greatest(n - 1, F.lit(0))), F.slice(line, 2, F.greatest(n - 1, F.lit(0)))
-    parts = F.zip_with(a, b, lambda p, q: F.array(p[x], p[y], q[x], q[y]))
-    return F.filter(parts, lambda s: (s[0] != s[2]) | (s[1] != s[3]))
+    return F.zip_with(a, b, lambda p, q: F.array(p[x], p[y], q[x], q[y]))
+
+
+def _stored(parts: Column) -> Column:
+    """Parts as they are stored and shuffled: (x1,y1,x2,y2) in whole units of 1e-7 degrees (about a centimetre)."""
+    whole = F.transform(parts, lambda s: F.transform(s, lambda v: F.floor(v * UNITS + 0.5).cast("int")))
+    return F.filter(whole, lambda s: (s[0] != s[2]) | (s[1] != s[3]))
 
 
 def survey_lines(catastro: DataFrame) -> DataFrame:
@@ -76,9 +82,10 @@ def survey_lines(catastro: DataFrame) -> DataFrame:
     )
     parts = F.flatten(F.transform(lines, lambda ln: _parts(ln, "x", "y")))
     df = catastro.where(F.col("feature_id").isNotNull() & F.col("geometry").isNotNull())
-    df = df.select("feature_id", "nombre", "comuna", "geometry").dropDuplicates(["feature_id"])
-    df = with_name_words(df, "nombre", "words").withColumn("parts", parts)
-    return df.select("feature_id", "words", town_key(F.col("comuna")).alias("town"), "parts", _cells(F.col("parts"), REACH_M).alias("cells"))
+    df = with_name_words(df, "nombre", "words")
+    # what is compared is far smaller than what is read: so it is worked out before repeats meet in the shuffle
+    df = df.select("feature_id", "words", town_key(F.col("comuna")).alias("town"), _stored(parts).alias("parts")).dropDuplicates(["feature_id"])
+    return df.withColumn("cells", _cells(F.col("parts"), REACH_M))
 
 
 def way_lines(ways: DataFrame) -> DataFrame:
@@ -86,10 +93,10 @@ def way_lines(ways: DataFrame) -> DataFrame:
     line = F.filter("geometry", lambda p: on_earth(p["lon"], p["lat"]))
     tag = lambda k: F.try_element_at("tags", F.lit(k))
     df = ways.where(F.col("way_id").isNotNull() & F.col("geometry").isNotNull() & cycling(F.col("tags")))
-    df = df.select("way_id", "tags", "geometry").dropDuplicates(["way_id"])
-    df = with_name_words(df.withColumn("_name", F.coalesce(tag("name"), tag("official_name"))), "_name", "words").withColumn("parts", _parts(line, "lon", "lat"))
+    df = with_name_words(df.withColumn("_name", F.coalesce(tag("name"), tag("official_name"))), "_name", "words")
     town = town_key(F.coalesce(tag("is_in:city"), tag("addr:city")))
-    return df.select("way_id", "words", town.alias("town"), "parts", _cells(F.col("parts"), 0.0).alias("cells"))
+    df = df.select("way_id", "words", town.alias("town"), _stored(_parts(line, "lon", "lat")).alias("parts")).dropDuplicates(["way_id"])
+    return df.withColumn("cells", _cells(F.col("parts"), 0.0))
 
 
 def _cells(parts: Column, reach_m: float) -> Column:
@@ -98,6 +105,7 @@ def _cells(parts: Column, reach_m: float) -> Column:
     Parts over PIECE_M are cut first, so that the boxes stay close to the line. Any two lines with points that close
     have a cell in common, if one of them is widened.
     """
+    degrees = F.transform(parts, lambda s: F.transform(s, lambda v: v / UNITS))
     dy = reach_m / DEGREE_M
     at = lambda v: F.floor(v / CELL_DEG).cast("long")
 
@@ -114,7 +122,7 @@ def _cells(parts: Column, reach_m: float) -> Column:
         # one number a cell: both indices of degrees / CELL_DEG fit in 20 bits
         return F.flatten(F.transform(xs, lambda x: F.transform(ys, lambda y: F.shiftleft(x + HALF, 32) + (y + HALF))))
 
-    return F.array_distinct(F.flatten(F.transform(F.flatten(F.transform(parts, boxes)), touched)))
+    return F.array_distinct(F.flatten(F.transform(F.flatten(F.transform(degrees, boxes)), touched)))
 
 
 def candidate_pairs(features: DataFrame, ways: DataFrame) -> DataFrame:
@@ -122,28 +130,28 @@ def candidate_pairs(features: DataFrame, ways: DataFrame) -> DataFrame:
     f = features.select("feature_id", F.explode("cells").alias("_cell"))
     w = ways.select("way_id", F.explode("cells").alias("_cell"))
     near = f.join(w, "_cell").select("feature_id", "way_id")
-    mid = lambda k: F.floor(F.col("parts")[0][k] / (10 * CELL_DEG)).cast("long")
-    fn = features.where("words is not null").select("feature_id", name_key(F.col("words")).alias("_name"), mid(0).alias("gx"), mid(1).alias("gy"))
-    wn = ways.where("words is not null").select("way_id", name_key(F.col("words")).alias("_name"), mid(0).alias("_x"), mid(1).alias("_y"))
-    wn = wn.withColumn("gx", F.explode(F.sequence(F.col("_x") - 1, F.col("_x") + 1))).withColumn("gy", F.explode(F.sequence(F.col("_y") - 1, F.col("_y") + 1)))
-    named = fn.join(wn, ["_name", "gx", "gy"]).select("feature_id", "way_id")
+    # blocks of 4 by 4 cells for the second pass
+    blocks = F.array_distinct(F.transform("cells", lambda c: F.shiftleft(F.shiftright(c, 34), 32) + F.shiftright(c.bitwiseAND(F.lit(0xFFFFFFFF)), 2)))
+    fn = features.where("words is not null").select("feature_id", name_key(F.col("words")).alias("_name"), F.explode(blocks).alias("_block"))
+    wn = ways.where("words is not null").select("way_id", name_key(F.col("words")).alias("_name"), F.explode(blocks).alias("_block"))
+    named = fn.join(wn, ["_name", "_block"]).select("feature_id", "way_id").distinct()
     return near.unionAll(named).distinct()
 
 
 def run_along(f_parts, w_parts):
     """For pairs of lines: (share of the shorter that runs along the other within REACH_M, mean distance there or nan).
 
-    f_parts, w_parts: lists of flat arrays x1,y1,x2,y2,... in degrees. Points every STEP_M of the first line are
+    f_parts, w_parts: lists of flat arrays x1,y1,x2,y2,... in stored units. Points every STEP_M of the first line are
     measured against all parts of the second; a point counts if the nearest part that it lies beside goes its way.
     """
     import numpy as np
 
     n = len(f_parts)
     nf, nw = (np.array([len(p) // 4 for p in ps]) for ps in (f_parts, w_parts))
-    fa, wa = (np.concatenate(ps).reshape(-1, 4) if sum(map(len, ps)) else np.zeros((0, 4)) for ps in (f_parts, w_parts))
-    lat = np.array([p[1] for p in f_parts])
+    fa, wa = ((np.concatenate(ps) / UNITS).reshape(-1, 4) if sum(map(len, ps)) else np.zeros((0, 4)) for ps in (f_parts, w_parts))
+    lat = np.array([p[1] for p in f_parts]) / UNITS
     east = DEGREE_M * np.cos(np.radians(lat))
-    lng = np.array([p[0] for p in f_parts])
+    lng = np.array([p[0] for p in f_parts]) / UNITS
 
     def metres(a, count):
         own = np.repeat(np.arange(n), count)
