@@ -147,8 +147,9 @@ def _composite_sql():
 po AS (SELECT en.track, CASE WHEN length_m>0 THEN floor(coalesce(k,0)/(length_m/1000)*100+0.5)/10 ELSE 0 END AS per FROM en LEFT JOIN ph USING (track))"""
     gs = SQL["q_ground_shares"].split(_GR)[1].replace("\nSELECT tr.track", ", gs AS (SELECT tr.track", 1) + ")"
     loop = f", cl AS (SELECT track, floor({hav('lng0','lat0','lng1','lat1')}+0.5)<500 AS closed FROM en WHERE track%2=0)"
-    score = "smoothness*0.25-walkbacks*5+real_pct*0.2+least(per*3,15)-j1*10-(j5-j1)*5+least(ppk/5,10)+(CASE WHEN closed IS NULL THEN 0 WHEN closed THEN 5 ELSE -10 END)+(rideability-50)*0.6+bike_pct*0.15-car_pct*0.1+green_pct*0.1"
-    return f"WITH {TRACKS}{base}{jumps}{dens}{pois}, {_GR}{gs}{loop} SELECT sm.track, smoothness, walkbacks, real_pct, rideability, floor(({score})*10+0.5)/10 AS composite FROM sm JOIN ip USING (track) JOIN ri USING (track) JOIN ju USING (track) JOIN de USING (track) JOIN po USING (track) JOIN gs USING (track) LEFT JOIN cl USING (track)"
+    score = ("smoothness*0.25::DOUBLE-walkbacks*5+real_pct*0.2::DOUBLE+least(per*3,15.0::DOUBLE)-j1*10-(j5-j1)*5+least(ppk/5,10.0::DOUBLE)+(CASE WHEN closed IS NULL THEN 0 WHEN closed THEN 5 ELSE -10 END)"
+             "+(rideability-50)*0.6::DOUBLE+(bike_pct*0.15::DOUBLE-car_pct*0.1::DOUBLE+green_pct*0.1::DOUBLE)")
+    return f"WITH {TRACKS}{base}{jumps}{dens}{pois}, {_GR}{gs}{loop} SELECT sm.track, smoothness, walkbacks, real_pct, rideability, floor(({score})*10.0::DOUBLE+0.5::DOUBLE)/10.0::DOUBLE AS composite FROM sm JOIN ip USING (track) JOIN ri USING (track) JOIN ju USING (track) JOIN de USING (track) JOIN po USING (track) JOIN gs USING (track) LEFT JOIN cl USING (track)"
 
 
 _add("q_score_cards", lambda s, d: cards(s, d).select("track", "smoothness", "walkbacks", "real_pct", "rideability", "composite"), _composite_sql())
