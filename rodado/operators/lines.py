@@ -205,6 +205,20 @@ def junctions(a: list, acum: list, b: list, bcum: list, touch_m: float = 50.0) -
     return sorted(out + gaps, key=lambda c: (kind[c[0]], c[3], c[1], c[2]))
 
 
+def _between(pts: list, cum: list, lo: float, hi: float) -> list:
+    """The part of a measured line from lo to hi, with points made at the cuts."""
+
+    def at(m: float):
+        i = next((i for i in range(1, len(cum)) if cum[i] >= m), len(cum) - 1)
+        t = (m - cum[i - 1]) / (cum[i] - cum[i - 1]) if cum[i] > cum[i - 1] else 0.0
+        return tuple(a + (b - a) * t for a, b in zip(pts[i - 1], pts[i]))
+
+    inner = [p for p, c in zip(pts, cum) if lo <= c <= hi]
+    head = [at(lo)] if 0 < lo < cum[-1] and lo not in cum else []
+    tail = [at(hi)] if 0 < hi < cum[-1] and hi not in cum and hi > lo else []
+    return head + inner + tail
+
+
 def cut(lines: list[Line], begin: float, end: float, least_share: float = 0.2) -> list[Line]:
     """The ordered lines between two measures, in the sense from begin to end, trimmed there.
 
@@ -220,9 +234,9 @@ def cut(lines: list[Line], begin: float, end: float, least_share: float = 0.2) -
         pts, cum, at = x.ridden, [0.0], a
         for p, q in zip(pts, pts[1:]):
             cum.append(cum[-1] + _metres(*p, *q))
-        keep = [p for p, c in zip(pts, cum) if lo - 1 <= at + c <= hi + 1]
+        keep = _between(pts, cum, lo - at, hi - at)
         if len(keep) < 2:
-            keep = pts
+            continue
         out.append(Line(x.id, keep[::-1] if x.turned else keep, x.oneway, x.turned, x.path, x.extra))
     return out if begin <= end else [x.flipped() for x in reversed(out)]
 

@@ -66,11 +66,11 @@ def loops(g: Graph, start, radius_m: float, longest: float = 40_000.0, close_m:
     if start not in g.at:
         return []
     home = g.at[start]
-    states, steps = [(0.0, 0, [start], False)], 0
+    states, steps = [(0.0, 0, [start], False, False)], 0
     found = None
     while states and steps < STEPS:
         grown = []
-        for length, free, path, back in states:
+        for length, free, path, far, back in states:
             steps += 1
             last, seen = path[-1], set(path)
             away = _metres(*g.at[last], *home)
@@ -78,11 +78,10 @@ def loops(g: Graph, start, radius_m: float, longest: float = 40_000.0, close_m:
                 if n in seen or n not in g.at or length + c + ln > longest:
                     continue
                 d = _metres(*g.at[n], *home)
-                turned = back or d >= radius_m
-                if not turned and d < away or back and d > away + 500:
+                if not far and d < away or back and d > away + 500:
                     continue
-                s = (length + c + ln, free + (c == 0), [*path, n], turned)
-                if turned and d <= close_m and len(s[2]) > 3:
+                s = (length + c + ln, free + (c == 0), [*path, n], far or d >= radius_m, back or far and d < away)
+                if s[4] and d <= close_m and len(s[2]) > 3:
                     key = (s[1] / (len(s[2]) - 1), s[0])
                     if found is None or key > found[0]:
                         found = (key, s)

@@ -7,15 +7,25 @@ one sort. Tracks of one point have no steps; points without coordinates must be
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions import geo
 from ..functions.geo import half_up
 
-BY = Window.partitionBy("track")
-ORDER = Window.partitionBy("track").orderBy("ord")
-SO_FAR = ORDER.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+def _by() -> WindowSpec:
+    return Window.partitionBy("track")
+
+
+def _order() -> WindowSpec:
+    return _by().orderBy("ord")
+
+
+def _so_far() -> WindowSpec:
+    return _order().rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+
 #: Metres of one degree in the plane that the projections use.
 PLANE_M = 111_320.0
 
@@ -27,9 +37,9 @@ def clean(points: DataFrame) -> DataFrame:
 
 def steps(points: DataFrame) -> DataFrame:
     """Adds plng, plat, step_m (null at a track's first point) and cum_m (metres from the start)."""
-    p = points.withColumns({"plng": F.lag("lng").over(ORDER), "plat": F.lag("lat").over(ORDER)})
+    p = points.withColumns({"plng": F.lag("lng").over(_order()), "plat": F.lag("lat").over(_order())})
     p = p.withColumn("step_m", geo.haversine("plng", "plat", "lng", "lat"))
-    return p.withColumn("cum_m", F.coalesce(F.sum("step_m").over(SO_FAR), F.lit(0.0)))
+    return p.withColumn("cum_m", F.coalesce(F.sum("step_m").over(_so_far()), F.lit(0.0)))
 
 
 def ends(points: DataFrame) -> DataFrame:
@@ -46,9 +56,9 @@ def ends(points: DataFrame) -> DataFrame:
 
 def with_ends(points: DataFrame) -> DataFrame:
     """Adds n, lng0, lat0, lng1, lat1, crow_m to each point, by windows (no join)."""
-    w = ORDER.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    w = _order().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     p = points.withColumns({
-        "n": F.count("*").over(BY), "lng0": F.first("lng").over(w), "lat0": F.first("lat").over(w),
+        "n": F.count("*").over(_by()), "lng0": F.first("lng").over(w), "lat0": F.first("lat").over(w),
         "lng1": F.last("lng").over(w), "lat1": F.last("lat").over(w),
     })
     return p.withColumn("crow_m", geo.haversine("lng0", "lat0", "lng1", "lat1"))
@@ -76,7 +86,7 @@ def sharp_turns(points: DataFrame, skip_m: float = 30.0, least_m: float = 50.0,
     """Turns of more than ``turn`` degrees into steps over ``least_m``; steps under ``skip_m`` are passed over."""
     s = with_ends(steps(points)).where(F.col("step_m") >= skip_m)
     s = s.withColumn("_b", geo.bearing("plng", "plat", "lng", "lat"))
-    s = s.withColumn("_t", geo.angle_between(F.lag("_b").over(ORDER), F.col("_b")))
+    s = s.withColumn("_t", geo.angle_between(F.lag("_b").over(_order()), F.col("_b")))
     return s.groupBy("track").agg(F.count_if((F.col("_t") > turn) & (F.col("step_m") > least_m)).alias("sharp_turns"))
 
 
@@ -91,16 +101,16 @@ def walkbacks_one_way(points: DataFrame, skip_m: float = 30.0, back_m: float = 2
     """Points that lie more than ``back_m`` behind the farthest point so far, along the line from start to end."""
     s = with_ends(steps(points)).where((F.col("step_m") >= skip_m) & (F.col("crow_m") >= loop_m))
     s = s.withColumn("_p", _projection())
-    s = s.withColumn("_far", F.max("_p").over(SO_FAR))
+    s = s.withColumn("_far", F.max("_p").over(_so_far()))
     return s.groupBy("track").agg(F.count_if(F.col("_far") - F.col("_p") > back_m).alias("walkbacks"))
 
 
 def loop_angles(points: DataFrame) -> DataFrame:
     """Every k-th point (k = n / 100, at least 1) with its change of angle around the centroid, -180 to 180."""
-    p = with_ends(points).withColumns({"_cx": F.avg("lng").over(BY), "_cy": F.avg("lat").over(BY), "_i": F.row_number().over(ORDER) - 1})
+    p = with_ends(points).withColumns({"_cx": F.avg("lng").over(_by()), "_cy": F.avg("lat").over(_by()), "_i": F.row_number().over(_order()) - 1})
     p = p.where(F.col("_i") % F.greatest(F.floor(F.col("n") / 100), F.lit(1)) == 0)
     p = p.withColumn("_a", F.degrees(F.atan2(F.col("lng") - F.col("_cx"), F.col("lat") - F.col("_cy"))))
-    d = F.col("_a") - F.lag("_a").over(ORDER)
+    d = F.col("_a") - F.lag("_a").over(_order())
     return p.withColumn("delta", F.when(d > 180, d - 360).when(d < -180, d + 360).otherwise(d))
 
 
@@ -108,7 +118,7 @@ def walkbacks_loop(points: DataFrame, loop_m: float = 2000.0) -> DataFrame:
     """Changes of sense of more than 15 degrees on loops; changes of up to 5 degrees don't set the sense."""
     p = loop_angles(points).where(F.col("crow_m") < loop_m)
     p = p.withColumn("_dir", F.when(F.abs("delta") > 5, F.signum("delta")))
-    before = F.last("_dir", ignorenulls=True).over(ORDER.rowsBetween(Window.unboundedPreceding, -1))
+    before = F.last("_dir", ignorenulls=True).over(_order().rowsBetween(Window.unboundedPreceding, -1))
     p = p.withColumn("_before", before)
     return p.groupBy("track").agg(F.count_if((F.col("_dir") != F.col("_before")) & (F.abs("delta") > 15)).alias("walkbacks"))
 
@@ -131,11 +141,11 @@ def smoothness(points: DataFrame) -> DataFrame:
 def interpolated(points: DataFrame) -> DataFrame:
     """Runs of evenly spaced collinear points: share of real distance in percent, runs, metres in them."""
     s = steps(points).withColumn("_b", geo.bearing("plng", "plat", "lng", "lat"))
-    s = s.withColumns({"_pm": F.lag("step_m").over(ORDER), "_pb": F.lag("_b").over(ORDER)})
+    s = s.withColumns({"_pm": F.lag("step_m").over(_order()), "_pb": F.lag("_b").over(_order())})
     even = lambda c: (F.col(c) > 40) & (F.col(c) < 60)
     made = F.coalesce(even("step_m") & even("_pm") & (geo.angle_between("_pb", "_b") < 2), F.lit(False))
     s = s.withColumn("_made", made)
-    s = s.withColumn("_starts", F.col("_made") & ~F.coalesce(F.lag("_made").over(ORDER), F.lit(False)))
+    s = s.withColumn("_starts", F.col("_made") & ~F.coalesce(F.lag("_made").over(_order()), F.lit(False)))
     total, inside = F.coalesce(F.sum("step_m"), F.lit(0.0)), F.coalesce(F.sum(F.when(F.col("_made"), F.col("step_m"))), F.lit(0.0))
     return s.groupBy("track").agg(
         F.when(total > 0, half_up((1 - inside / total) * 100)).otherwise(100.0).cast("long").alias("real_pct"),
@@ -145,10 +155,10 @@ def interpolated(points: DataFrame) -> DataFrame:
 
 def rideability(points: DataFrame) -> DataFrame:
     """(track, rideability 0..100, wasted_m): how much of a track makes progress, around or from start to end."""
-    s = with_ends(steps(points)).withColumn("_total", F.sum("step_m").over(BY))
+    s = with_ends(steps(points)).withColumn("_total", F.sum("step_m").over(_by()))
     s = s.withColumn("_loop", F.col("crow_m") < F.greatest(F.lit(2000.0), F.col("_total") * 0.15))
     one = s.where(~F.col("_loop")).withColumn("_p", F.coalesce(_projection(), F.lit(0.0)))
-    one = one.withColumn("_back", F.col("_p") < F.lag("_p").over(ORDER))
+    one = one.withColumn("_back", F.col("_p") < F.lag("_p").over(_order()))
     one = one.groupBy("track").agg(
         F.first("n").alias("n"), F.first("_total").alias("total"), F.coalesce(F.sum(F.when(F.col("_back"), F.col("step_m"))), F.lit(0.0)).alias("wasted")
     )
@@ -156,7 +166,7 @@ def rideability(points: DataFrame) -> DataFrame:
     one = one.select("track", "n", half_up(eff * 100).alias("_r"), half_up(F.col("wasted")).alias("_w"))
     loop = loop_angles(s.where("_loop").select("track", "ord", "lng", "lat", "_total"))
     # rows without a change are each track's first
-    loop = loop.withColumn("_sense", F.when(F.sum(F.when(F.col("delta") > 0, 1).when(F.col("delta").isNotNull(), -1)).over(BY) >= 0, 1.0).otherwise(-1.0))
+    loop = loop.withColumn("_sense", F.when(F.sum(F.when(F.col("delta") > 0, 1).when(F.col("delta").isNotNull(), -1)).over(_by()) >= 0, 1.0).otherwise(-1.0))
     big = F.abs("delta") > 2
     fwd = F.coalesce(F.sum(F.when(big & (F.signum("delta") == F.col("_sense")), F.abs("delta"))), F.lit(0.0))
     back = F.coalesce(F.sum(F.when(big & (F.signum("delta") != F.col("_sense")), F.abs("delta"))), F.lit(0.0))
@@ -177,8 +187,8 @@ STILL = "·"
 def shape(points: DataFrame) -> DataFrame:
     """(track, shape): the main directions of 2 to 12 blocks of about a kilometre."""
     s = with_ends(steps(points)).where(F.col("n") >= 2)
-    blocks = F.greatest(F.least(half_up(F.sum("step_m").over(BY) / 1000), F.lit(12.0)), F.lit(2.0)).cast("int")
-    s = s.withColumns({"_i": F.row_number().over(ORDER) - 1, "_blocks": blocks})
+    blocks = F.greatest(F.least(half_up(F.sum("step_m").over(_by()) / 1000), F.lit(12.0)), F.lit(2.0)).cast("int")
+    s = s.withColumns({"_i": F.row_number().over(_order()) - 1, "_blocks": blocks})
     s = s.withColumn("_size", F.floor(F.col("n") / F.col("_blocks")).cast("int"))
     # a block's last point is the next block's first
     at = F.sequence(F.lit(0), F.col("_blocks") - 1)
@@ -250,7 +260,7 @@ def retracing(points: DataFrame, radius_m: float = 200.0, apart_m: float = 500.0
     Tracks of fewer than five points never retrace. A grid cell as wide as the radius makes the join an equi-join.
     """
     res = radius_m / geo.DEGREE_M
-    s = steps(points).withColumn("_n", F.count("*").over(BY)).where("_n >= 5")
+    s = steps(points).withColumn("_n", F.count("*").over(_by())).where("_n >= 5")
     wide = F.ceil(1.0 / F.cos(F.radians(F.floor("lat") + F.when(F.col("lat") >= 0, 1).otherwise(0)))).cast("long")
     p = s.select("track", "ord", "lng", "lat", "cum_m", geo.cell("lng", res).alias("_x"), geo.cell("lat", res).alias("_y"), wide.alias("_w"))
     q = p.select("track", F.col("ord").alias("ord2"), F.col("lng").alias("lng2"), F.col("lat").alias("lat2"), F.col("cum_m").alias("cum2"), "_x", "_y")
@@ -271,7 +281,7 @@ def islands(rows: DataFrame, by: str, order: str, key: str) -> DataFrame:
 def breaks(points: DataFrame, gap_m: float) -> DataFrame:
     """Adds part: a new part begins after every step over ``gap_m``."""
     s = steps(points).withColumn("_c", F.coalesce(F.col("step_m") > gap_m, F.lit(False)).cast("int"))
-    return s.withColumn("part", F.sum("_c").over(SO_FAR) + 1).drop("_c")
+    return s.withColumn("part", F.sum("_c").over(_so_far()) + 1).drop("_c")
 
 
 def longest_run(rows: DataFrame, by: str, order: str, flag: Column) -> DataFrame:
@@ -284,13 +294,13 @@ def longest_run(rows: DataFrame, by: str, order: str, flag: Column) -> DataFrame
 def reversals(lines: DataFrame, turn: float = 120.0) -> DataFrame:
     """(track, reversals, first): turns of more than ``turn`` degrees between consecutive lines (track, ord, lng0, lat0, lng1, lat1)."""
     b = geo.planar_bearing("lng0", "lat0", "lng1", "lat1")
-    s = lines.withColumn("_b", b).withColumn("_t", geo.angle_between(F.lag("_b").over(ORDER), F.col("_b")) > turn)
+    s = lines.withColumn("_b", b).withColumn("_t", geo.angle_between(F.lag("_b").over(_order()), F.col("_b")) > turn)
     return s.groupBy("track").agg(F.count_if("_t").alias("reversals"), F.min(F.when(F.col("_t"), F.col("ord"))).alias("first"))
 
 
 def teleports(lines: DataFrame, gap_m: float = 3000.0) -> DataFrame:
     """Adds gap_m to the next line (least of the four pairs of ends) and teleports (gap over the limit)."""
-    nxt = {k: F.lead(k).over(ORDER) for k in ("lng0", "lat0", "lng1", "lat1")}
+    nxt = {k: F.lead(k).over(_order()) for k in ("lng0", "lat0", "lng1", "lat1")}
     d = [geo.haversine(f"lng{i}", f"lat{i}", nxt[f"lng{j}"], nxt[f"lat{j}"]) for i in (0, 1) for j in (0, 1)]
     return lines.withColumn("gap_m", F.least(*d)).withColumn("teleports", F.coalesce(F.col("gap_m") > gap_m, F.lit(False)))
 
@@ -330,7 +340,7 @@ def gap_totals(rows: DataFrame, by: str, gap: str, least_m: float = 10.0) -> Dat
 def densify(points: DataFrame, longer_m: float = 80.0, every_m: float = 50.0) -> DataFrame:
     """(track, ord, sub, lng, lat): steps over ``longer_m`` get evenly spaced points about ``every_m`` apart; sub 0 is a vertex."""
     s = steps(points)
-    nxt = {"nlng": F.lead("lng").over(ORDER), "nlat": F.lead("lat").over(ORDER)}
+    nxt = {"nlng": F.lead("lng").over(_order()), "nlat": F.lead("lat").over(_order())}
     s = s.withColumns(nxt).withColumn("_d", geo.haversine("lng", "lat", "nlng", "nlat"))
     parts = F.when(F.col("_d") > longer_m, F.ceil(F.col("_d") / every_m)).otherwise(1).cast("int")
     e = s.withColumn("_parts", parts).withColumn("sub", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
@@ -342,8 +352,8 @@ def densify(points: DataFrame, longer_m: float = 80.0, every_m: float = 50.0) ->
 def fill_elevation(points: DataFrame) -> DataFrame:
     """Fills null ``ele`` by linear interpolation along cum_m between known points; beyond them the nearest known one."""
     s = steps(points)
-    back = ORDER.rowsBetween(Window.unboundedPreceding, 0)
-    fore = ORDER.rowsBetween(0, Window.unboundedFollowing)
+    back = _order().rowsBetween(Window.unboundedPreceding, 0)
+    fore = _order().rowsBetween(0, Window.unboundedFollowing)
     known = F.when(F.col("ele").isNotNull(), F.struct("ele", "cum_m"))
     s = s.withColumns({"_a": F.last(known, ignorenulls=True).over(back), "_b": F.first(known, ignorenulls=True).over(fore)})
     t = (F.col("cum_m") - F.col("_a.cum_m")) / F.nullif(F.col("_b.cum_m") - F.col("_a.cum_m"), F.lit(0.0))
