@@ -37,7 +37,7 @@ def _yaml(text: str):
 
 def text_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     """(path, text) of whole files below a folder."""
-    df = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(path)
+    df = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter=glob)
     return df.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
 
 
@@ -95,7 +95,7 @@ def geojson_features(spark: SparkSession, path: str, properties: str) -> DataFra
 
     properties: DDL of the wanted ones. Other geometry types have null coordinates.
     """
-    raw = spark.read.option("wholetext", True).text(path)
+    raw = spark.read.text(path, wholetext=True)
     f = raw.select(F.explode(F.from_json("value", "features array<string>")["features"]).alias("_f"))
     head = F.from_json("_f", f"properties struct<{properties}>, geometry struct<type:string,coordinates:string>")
     f = f.select(head.alias("_r")).select("_r.properties.*", F.col("_r.geometry.type").alias("_t"), F.col("_r.geometry.coordinates").alias("_c"))
@@ -107,7 +107,7 @@ def geojson_features(spark: SparkSession, path: str, properties: str) -> DataFra
 
 def point_list(spark: SparkSession, path: str) -> DataFrame:
     """(ord, lng, lat) of a JSON array of [lng, lat] pairs."""
-    raw = spark.read.option("wholetext", True).text(path)
+    raw = spark.read.text(path, wholetext=True)
     return raw.select(F.posexplode(F.from_json("value", "array<array<double>>")).alias("ord", "_p")).select("ord", F.col("_p")[0].alias("lng"), F.col("_p")[1].alias("lat"))
 
 

@@ -27,10 +27,11 @@ def once(events: DataFrame, late: str = "10 minutes") -> DataFrame:
     return events.withWatermark("ts", late).dropDuplicatesWithinWatermark(["event_id"])
 
 
-def track_lengths(points: DataFrame, idle_ms: int = 3_600_000) -> DataFrame:
+def track_lengths(points: DataFrame, idle_ms: int | None = 3_600_000) -> DataFrame:
     """(track, points, length_m) so far, for each track with new points (track, ord, lng, lat); points come in order.
 
-    The state of a track is its last point and sums; it is dropped after ``idle_ms`` without points.
+    The state of a track is its last point and sums; it is dropped after ``idle_ms`` without points,
+    or kept for good if that is None.
     """
     from ..operators.graph import _metres
 
@@ -46,10 +47,11 @@ def track_lengths(points: DataFrame, idle_ms: int = 3_600_000) -> DataFrame:
                 length += _metres(x, y, lng, lat) if x is not None else 0.0
                 x, y, n = lng, lat, n + 1
         state.update((n, length, x, y))
-        state.setTimeoutDuration(idle_ms)
+        if idle_ms is not None:
+            state.setTimeoutDuration(idle_ms)
         yield pd.DataFrame({"track": [key[0]], "points": [n], "length_m": [length]})
 
     kind = points.schema["track"].dataType.simpleString()
     return points.groupBy("track").applyInPandasWithState(
-        step, f"track {kind}, points bigint, length_m double", "n bigint, length double, x double, y double", "update", GroupStateTimeout.ProcessingTimeTimeout
+        step, f"track {kind}, points bigint, length_m double", "n bigint, length double, x double, y double", "update", GroupStateTimeout.NoTimeout if idle_ms is None else GroupStateTimeout.ProcessingTimeTimeout
     )
