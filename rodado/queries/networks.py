@@ -8,7 +8,7 @@ from ..functions import geo, rules
 from ..operators import collections as R
 from ..operators import corridors, greedy, lines, search, spatial, zones
 from ..operators import tracks as T
-from ..plans import score_routes, suggest
+from ..plans import generate, score_routes, suggest
 from ..session import stage, table
 from ._sql import TRACKS, hav
 from .spatial import _PL
@@ -111,6 +111,20 @@ _add("q_top80", lambda s, d: greedy.top_groups(_pl(s, d).groupBy(geo.cell("lng",
      f"WITH {_PL} SELECT floor(lng/0.005::DOUBLE)::BIGINT AS gx, floor(lat/0.005::DOUBLE)::BIGINT AS gy, count(*) AS n FROM p GROUP BY 1,2 ORDER BY n DESC, gx, gy LIMIT 80")
 _add("q_suggest", lambda s, d: suggest.suggest(segments(s, d)).select("kind", F.round("length_m", 1).alias("length_m"), F.round("infra_pct", 2).alias("infra_pct"), "segments", "score"))
 
+def _generated(s, d):
+    """Each registered path as a route from its first anchor over its ways to its last anchor."""
+    pieces = stage(_pieces(s, d), "pieces")
+    paths = generate.path_pieces(pieces, lines.ordered_paths(pieces, "path_id"), "path_id").withColumnRenamed("path_id", "path")
+    good = F.filter("anchors", lambda a: (F.size(a) == 2) & geo.on_earth(a[0], a[1]))
+    b = table(s, d, "bikepaths").where("path_id is not null").dropDuplicates(["path_id"]).select("path_id", good.alias("a")).where(F.size("a") > 0)
+    none = F.lit(None).cast("double")
+    place = lambda k, a: F.struct(F.lit(k).alias("ord"), F.lit(None).cast("bigint").alias("path"), a[0].alias("lng"), a[1].alias("lat"))
+    stops = F.array(place(0, F.element_at("a", 1)), F.struct(F.lit(1).alias("ord"), F.col("path_id").alias("path"), none.alias("lng"), none.alias("lat")), place(2, F.element_at("a", -1)))
+    return generate.generated_routes(b.select(F.col("path_id").alias("route"), F.explode(stops).alias("_s")).select("route", "_s.*"), paths)
+
+
+_add("q_generated_routes", lambda s, d: _generated(s, d).groupBy("route").agg(F.count("*").alias("points"), F.max("part").alias("parts")))
+
 # --- the flagship: score cards of tracks -----------------------------------------------------------------------
 
 
