@@ -70,12 +70,11 @@ def set_conflicts(rows: DataFrame, key: str, items: str, more_than: float) -> Da
     return j.where(F.col("_k") > more_than * F.least("_na", "_nb")).select("a", "b")
 
 
-def select_diverse(rows: DataFrame, conflicts: DataFrame, key: str, group: str, score: str, caps: dict[str, int], limit: int, considered: int = 20_000) -> DataFrame:
+def select_diverse(rows: DataFrame, conflicts: DataFrame, key: str, group: str, score: str, caps: dict[str, int], limit: int, considered: int = 1_000_000) -> DataFrame:
     """(key, place): best first within each group, skipping conflicts and rows whose value in a capped column is used up.
 
     caps: column to number of rows a value may have; array columns count each element. The order of choices makes
-    this one task a group. Rows that can't matter are cut before: of each value of the first capped column only so
-    many as the cap and the limit could ever use are needed, or else more than ``considered`` rows raise an error.
+    this one task a group, so a group of more than ``considered`` rows raises an error; nothing is left out silently.
     """
     cols = [key, group, score, *caps]
     n = rows.groupBy(group).count().agg(F.max("count")).first()[0] or 0

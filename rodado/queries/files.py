@@ -53,7 +53,7 @@ def route_pages(s, d):
 
 
 def drawing(s, d):
-    return K.draw(event_tracks(s, d).where("track <= 2"))
+    return K.draw(event_tracks(s, d))
 
 
 def report(s, d):

@@ -88,9 +88,9 @@ _add("q_without_repeats", lambda s, d: greedy.without_repeats(_pl(s, d).where("n
 
 
 def _diverse(s, d):
-    p = _pl(s, d).where("category is not null").withColumn("city", F.lit("one")).withColumn("score", _RANK())
-    top = greedy.top_groups(p, 2000, F.col("score").desc(), F.col("place_id"))
-    return greedy.select_diverse(top, spatial.pairs_within(top, "place_id", 500.0), "place_id", "city", "score", {"category": 5}, 60)
+    area = F.concat_ws(",", geo.cell("lng", 0.05), geo.cell("lat", 0.05))
+    p = _pl(s, d).where("category is not null").withColumn("area", area).withColumn("score", _RANK())
+    return greedy.select_diverse(p, spatial.pairs_within(p, "place_id", 500.0), "place_id", "area", "score", {"category": 5}, 60)
 
 
 _add("q_select_diverse", _diverse)

@@ -134,10 +134,10 @@ _add("q_hierarchy", lambda s, d: R.hierarchy_edges(table(s, d, "bikepaths").wher
      "SELECT DISTINCT parent, child FROM (SELECT path_id AS parent, unnest(osm_way_ids) AS child FROM bikepaths WHERE path_id IS NOT NULL UNION ALL SELECT path_id, x.osm_way FROM (SELECT path_id, unnest(segments) AS x FROM bikepaths WHERE path_id IS NOT NULL)) WHERE child IS NOT NULL AND parent IS NOT NULL")
 _add("q_suffix", lambda s, d: R.numbered_slugs(routes(s, d).where("name is not null").select("route_id", "name"), "name", F.col("route_id")).select("route_id", "slug"),
      f"WITH {_RT}, q AS (SELECT route_id, regexp_replace(regexp_replace(strip_accents(lower(name)),'[^a-z0-9]+','-','g'),'^-|-$','','g') AS g FROM r WHERE name IS NOT NULL), k AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY route_id) AS k FROM q) SELECT route_id, CASE WHEN k=1 THEN g ELSE g || '-' || k END AS slug FROM k")
-_add("q_upsert", lambda s, d: R.upsert(table(s, d, "customer").where("c_custkey % 3 <> 0").select("c_custkey", "c_name", "c_acctbal"), table(s, d, "customer").where("c_custkey % 2 = 0").select("c_custkey", F.lit("new").alias("c_name"), (F.col("c_acctbal") + 1).alias("c_acctbal")), "c_custkey", ["c_acctbal"]),
-     "WITH o AS (SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_custkey%3<>0), n AS (SELECT c_custkey, 'new' AS c_name, c_acctbal+1 AS c_acctbal FROM customer WHERE c_custkey%2=0) SELECT coalesce(o.c_custkey,n.c_custkey) AS c_custkey, coalesce(o.c_name,n.c_name) AS c_name, coalesce(n.c_acctbal,o.c_acctbal) AS c_acctbal FROM o FULL JOIN n ON o.c_custkey=n.c_custkey")
-_add("q_insert_missing", lambda s, d: R.insert_missing(places(s, d).where("place_id % 2 = 0 and name is not null").select("name", "place_id").groupBy("name").agg(F.min("place_id").alias("place_id")), places(s, d).where("name is not null").select("name", "place_id"), "name", F.col("place_id")),
-     f"WITH {_PL}, o AS (SELECT name, min(place_id) AS place_id FROM p WHERE place_id%2=0 AND name IS NOT NULL GROUP BY name), n AS (SELECT name, min(place_id) AS place_id FROM p WHERE name IS NOT NULL AND name NOT IN (SELECT name FROM o) GROUP BY name) SELECT * FROM o UNION ALL SELECT * FROM n")
+_add("q_upsert", lambda s, d: R.upsert(table(s, d, "customer").where("c_acctbal > 0").select("c_custkey", "c_name", "c_acctbal"), table(s, d, "customer").where("c_mktsegment < 'F'").select("c_custkey", F.lit("new").alias("c_name"), (F.col("c_acctbal") + 1).alias("c_acctbal")), "c_custkey", ["c_acctbal"]),
+     "WITH o AS (SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_acctbal>0), n AS (SELECT c_custkey, 'new' AS c_name, c_acctbal+1 AS c_acctbal FROM customer WHERE c_mktsegment<'F') SELECT coalesce(o.c_custkey,n.c_custkey) AS c_custkey, coalesce(o.c_name,n.c_name) AS c_name, coalesce(n.c_acctbal,o.c_acctbal) AS c_acctbal FROM o FULL JOIN n ON o.c_custkey=n.c_custkey")
+_add("q_insert_missing", lambda s, d: R.insert_missing(places(s, d).where("status = 'published' and name is not null").select("name", "place_id").groupBy("name").agg(F.min("place_id").alias("place_id")), places(s, d).where("name is not null").select("name", "place_id"), "name", F.col("place_id")),
+     f"WITH {_PL}, o AS (SELECT name, min(place_id) AS place_id FROM p WHERE status='published' AND name IS NOT NULL GROUP BY name), n AS (SELECT name, min(place_id) AS place_id FROM p WHERE name IS NOT NULL AND name NOT IN (SELECT name FROM o) GROUP BY name) SELECT * FROM o UNION ALL SELECT * FROM n")
 _add("q_tag_labels", lambda s, d: routes(s, d).select("route_id", F.explode(F.array_distinct("tags")).alias("tag")).where("tag is not null").join(F.broadcast(table(s, d, "ref_terms").where("field = 'tags'").select(F.col("term").alias("tag"), "label_fr")), "tag", "left").select("route_id", "tag", F.coalesce("label_fr", "tag").alias("label")),
      f"WITH {_RT} SELECT route_id, tag, coalesce(label_fr, tag) AS label FROM (SELECT DISTINCT route_id, unnest(tags) AS tag FROM r) LEFT JOIN (SELECT * FROM ref_terms WHERE field='tags') ON term=tag WHERE tag IS NOT NULL")
 _add("q_overlap_tags", lambda s, d: routes(s, d).select("route_id", F.size(F.array_intersect("tags", F.array(F.lit("gravel"), F.lit("bike path"), F.lit("commute")))).alias("shared")).where("shared > 0"),

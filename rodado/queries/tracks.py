@@ -90,11 +90,11 @@ _add("q_retrace", lambda s, d: T.retracing(event_tracks(s, d)), _RETR + " SELECT
 
 
 def _lines(s, d):
-    p = T.steps(event_tracks(s, d)).where("step_m is not null and ord % 3 = 0")
+    p = T.steps(event_tracks(s, d)).where("step_m >= 150")
     return p.select("track", "ord", F.col("plng").alias("lng0"), F.col("plat").alias("lat0"), F.col("lng").alias("lng1"), F.col("lat").alias("lat1"))
 
 
-_LINES = ", ln AS (SELECT track, ord, plng AS lng0, plat AS lat0, lng AS lng1, lat AS lat1 FROM st WHERE step_m IS NOT NULL AND ord%3=0)"
+_LINES = ", ln AS (SELECT track, ord, plng AS lng0, plat AS lat0, lng AS lng1, lat AS lat1 FROM st WHERE step_m >= 150)"
 _NEXT = _LINES + f""", lx AS (SELECT *, lead(lng0) OVER w AS a, lead(lat0) OVER w AS b, lead(lng1) OVER w AS c, lead(lat1) OVER w AS e FROM ln {W}),
 tl AS (SELECT *, least({hav('lng0','lat0','a','b')},{hav('lng0','lat0','c','e')},{hav('lng1','lat1','a','b')},{hav('lng1','lat1','c','e')}) AS gap_m FROM lx)"""
 _add("q_teleport", lambda s, d: r3(T.teleports(_lines(s, d), 1500.0), "gap_m").where("gap_m is not null").select("track", "ord", "gap_m", "teleports"),
