@@ -52,3 +52,26 @@ def generated_routes(stops: DataFrame, paths: DataFrame, between: int = 3) -> Da
         return pd.DataFrame(out, columns=["route", "part", "ord", "way_id", "turned", "lng", "lat"])
 
     return src.groupBy("route").applyInPandas(run, f"route {kind}, part int, ord bigint, way_id bigint, turned boolean, lng double, lat double")
+
+
+def connectors(gaps: DataFrame, paths: DataFrame, near_m: float = 500.0, longest_m: float = 1500.0, apart_m: float = 100.0) -> DataFrame:
+    """(gap, path, total_m): for each gap the path that links a place with its two neighbours best.
+
+    gaps: (gap, px, py, ax, ay, bx, by): the place and the nearest points of its neighbours. paths: (path, _x, _y,
+    length_m, mx, my): points, length and middle. A path qualifies if it is short, comes near to all three, and its
+    middle isn't by either neighbour; the least sum of distances wins, then the smaller path.
+    """
+    from ..functions import geo
+    from ..operators.nearby import within
+
+    pts = paths.select("path", "_x", "_y").distinct()
+    out = None
+    for x, y in (("px", "py"), ("ax", "ay"), ("bx", "by")):
+        d = within(gaps.select("gap", F.col(x).alias("lng"), F.col(y).alias("lat")).distinct(), pts, near_m, ["gap"], centre_xy=("_x", "_y"), distance="_d")
+        d = d.groupBy("gap", "path").agg(F.min("_d").alias(f"_{x}"))
+        out = d if out is None else out.join(d, ["gap", "path"])
+    one = paths.groupBy("path").agg(F.max("length_m").alias("_len"), F.min("mx").alias("_mx"), F.min("my").alias("_my")).where(F.col("_len") <= longest_m)
+    j = out.join(one, "path").join(gaps.select("gap", "ax", "ay", "bx", "by"), "gap")
+    j = j.where((geo.haversine("_mx", "_my", "ax", "ay") > apart_m) & (geo.haversine("_mx", "_my", "bx", "by") > apart_m))
+    j = j.withColumn("_sum", F.col("_px") + F.col("_ax") + F.col("_bx"))
+    return j.groupBy("gap").agg(F.min(F.struct("_sum", "path")).alias("_b")).select("gap", F.col("_b.path").alias("path"), F.col("_b._sum").alias("total_m"))
