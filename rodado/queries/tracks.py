@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import geo
 from ..operators import tracks as T
 from ._sql import TRACKS, bear, hav, turn, up
 from .views import event_tracks
