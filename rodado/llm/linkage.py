@@ -274,7 +274,7 @@ def expectation_maximisation(patterns: list[tuple[tuple[int, ...], int]], start,
             for k, size in enumerate(top):
                 c = np.bincount(lv[:, k], weight, size) + 0.5  # half a pair in each level: none is impossible
                 c[0] = 0
-                t.append(c / c.sum())
+                t.append(c / max(c.sum(), 1e-9))
             tables.append(t)
         odds = np.full(len(lv), math.log(max(share, 1e-9) / max(1 - share, 1e-9)))
         for k in range(len(top)):

@@ -11,8 +11,6 @@ null, zero or less takes no space and goes to the first container of its shard.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
