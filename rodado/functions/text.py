@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -27,24 +29,34 @@ def squeeze(c: Column) -> Column:
     return F.trim(F.regexp_replace(c, rf"{SPACE}+", " "))
 
 
+#: Letters of any script with accents, and their base letters, in the same order: canonical decompositions without marks.
+_BASE = {chr(i): "".join(x for x in unicodedata.normalize("NFD", chr(i)) if not "\u0300" <= x <= "\u036f") for i in range(0xC0, 0x20000) if unicodedata.decomposition(chr(i))}
+_BASE = {k: v for k, v in _BASE.items() if len(v) == 1 and v != k}
+
+
+def _bare(c: Column) -> Column:
+    """As :func:`unaccent`, for letters of any script; a byte order mark is white space."""
+    return unaccent(F.translate(c, "".join(_BASE) + "\ufeff", "".join(_BASE.values()) + " "))
+
+
 #: Words for the kind of way that may stand before a street's name; one is taken off.
 KIND_PREFIX = "CICLOBANDA|CICLOVIA|CICLOPISTA|CICLORRUTA|AVENIDA|AV\\.?|CALLE|PASEO|PASAJE|CAMINO"
 
 
 def normal_name(c: Column) -> Column:
     """Upper case, no accents, one kind prefix taken off, single spaces; '' for null."""
-    t = squeeze(unaccent(F.upper(F.coalesce(c, F.lit("")))))
+    t = squeeze(_bare(F.upper(F.coalesce(c, F.lit("")))))
     return squeeze(F.regexp_replace(t, rf"^({KIND_PREFIX}) +", ""))
 
 
 def loose_name(c: Column) -> Column:
     """Lower case, no accents, single spaces."""
-    return squeeze(unaccent(F.lower(c)))
+    return squeeze(_bare(F.lower(c)))
 
 
 def slug(c: Column) -> Column:
     """Lower case words without accents, joined by dashes."""
-    return F.regexp_replace(F.regexp_replace(unaccent(F.lower(c)), "[^a-z0-9]+", "-"), "^-|-$", "")
+    return F.regexp_replace(F.regexp_replace(_bare(F.lower(c)), "[^a-z0-9]+", "-"), "^-|-$", "")
 
 
 def title_of_slug(c: Column) -> Column:

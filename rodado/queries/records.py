@@ -36,6 +36,15 @@ _add("q_normal_name", lambda s, d: _plain_names(s, d).select("nombre", X.normal_
      f"SELECT nombre, {_SP.format('regexp_replace(' + _SP.format('strip_accents(upper(nombre))') + chr(44) + chr(39) + '^(CICLOBANDA|CICLOVIA|CICLOPISTA|CICLORRUTA|AVENIDA|AV[.]?|CALLE|PASEO|PASAJE|CAMINO) +' + chr(39) + ', ' + chr(39) * 2 + ')')} AS normal_name FROM ({_PLAINNAME})")
 _add("q_slug", lambda s, d: _plain_names(s, d).select("nombre", X.slug(F.col("nombre")).alias("slug"), X.loose_name(F.col("nombre")).alias("loose")),
      f"SELECT nombre, regexp_replace(regexp_replace(strip_accents(lower(nombre)), '[^a-z0-9]+', '-', 'g'), '^-|-$', '', 'g') AS slug, {_SP.format('strip_accents(lower(nombre))')} AS loose FROM ({_PLAINNAME})")
+
+
+def _all_names(s, d):
+    return table(s, d, "catastro").select("nombre").where("nombre is not null").distinct()
+
+
+# every name; DuckDB folds some of the letters and spaces otherwise, so these have no twin
+_add("q_normal_name_all", lambda s, d: _all_names(s, d).select("nombre", X.normal_name(F.col("nombre")).alias("normal_name")))
+_add("q_slug_all", lambda s, d: _all_names(s, d).select("nombre", X.slug(F.col("nombre")).alias("slug"), X.loose_name(F.col("nombre")).alias("loose")))
 _add("q_texts", lambda s, d: table(s, d, "customer").select(
         "c_custkey", X.distance_text(F.col("c_acctbal")).alias("dist"), X.decimal_comma(F.round(F.col("c_acctbal"), 1), 1).alias("comma"),
         X.yaml_text(F.col("c_name")).alias("yaml"), X.xml_text(F.concat(F.lit("<a&b>"), "c_mktsegment")).alias("xml"), X.base_name(F.concat("c_mktsegment", F.lit(" 2"))).alias("base"),
