@@ -102,6 +102,28 @@ _add("q_valid_trace", lambda s, d: T.valid_trace(_lines(s, d), event_tracks(s, d
 SELECT track, NOT t AND NOT coalesce(retraced>0.10,false) AS valid, CASE WHEN t THEN 'gap' WHEN retraced>0.10 THEN 'retrace' END AS reason FROM vt LEFT JOIN rx USING (track)""")
 _add("q_reversals", lambda s, d: T.reversals(_lines(s, d)), _LINES + f""", rb AS (SELECT *, degrees(atan2(lng1-lng0, lat1-lat0)) AS b FROM ln), rt AS (SELECT *, {turn('lag(b) OVER w','b')}>120 AS t FROM rb {W})
 SELECT track, count(*) FILTER (t) AS reversals, min(ord) FILTER (t) AS first FROM rt GROUP BY track""")
+
+
+def _steps(s, d):
+    p = T.steps(event_tracks(s, d)).where("step_m is not null")
+    return p.select("track", "ord", F.col("plng").alias("lng0"), F.col("plat").alias("lat0"), F.col("lng").alias("lng1"), F.col("lat").alias("lat1"))
+
+
+def _each_track(s, d, df):
+    return event_tracks(s, d).select("track").distinct().join(df, "track", "left")
+
+
+# the same over every step, so that consecutive lines are neighbours, and with a row for tracks without a line
+_STEPS = _LINES.replace("step_m >= 150", "step_m IS NOT NULL")
+_EACH = "(SELECT DISTINCT track FROM tr) LEFT JOIN"
+_add("q_teleport_all", lambda s, d: r3(T.teleports(_steps(s, d), 1500.0), "gap_m").where("gap_m is not null").select("track", "ord", "gap_m", "teleports"),
+     _NEXT.replace(_LINES, _STEPS) + " SELECT track, ord, round(gap_m,3) AS gap_m, gap_m>1500 AS teleports FROM tl WHERE gap_m IS NOT NULL")
+_add("q_valid_trace_all", lambda s, d: _each_track(s, d, T.valid_trace(_steps(s, d), event_tracks(s, d))).withColumn("valid", F.coalesce("valid", F.lit(True))),
+     _NEXT.replace(_LINES, _STEPS) + _RETR + f""", vt AS (SELECT track, coalesce(bool_or(gap_m>3000),false) AS t FROM {_EACH} tl USING (track) GROUP BY track)
+SELECT track, NOT t AND NOT coalesce(retraced>0.10,false) AS valid, CASE WHEN t THEN 'gap' WHEN retraced>0.10 THEN 'retrace' END AS reason FROM vt LEFT JOIN rx USING (track)""")
+_add("q_reversals_all", lambda s, d: _each_track(s, d, T.reversals(_steps(s, d))).withColumn("reversals", F.coalesce("reversals", F.lit(0))),
+     _STEPS + f""", rb AS (SELECT *, degrees(atan2(lng1-lng0, lat1-lat0)) AS b FROM ln), rt AS (SELECT *, {turn('lag(b) OVER w','b')}>120 AS t FROM rb {W})
+SELECT track, count(*) FILTER (t) AS reversals, min(ord) FILTER (t) AS first FROM {_EACH} rt USING (track) GROUP BY track""")
 _add("q_islands", lambda s, d: T.islands(event_tracks(s, d).withColumn("k", F.floor(F.col("lng") / 0.005).cast("long")), "track", "ord", "k").groupBy("track", "island").agg(F.min("k").alias("k"), F.count("*").alias("n")),
      f""", ik AS (SELECT *, floor(lng/0.005::DOUBLE)::BIGINT AS k FROM tr), ch AS (SELECT *, CASE WHEN k IS DISTINCT FROM lag(k) OVER w OR row_number() OVER w=1 THEN 1 ELSE 0 END AS c FROM ik {W}),
 isl AS (SELECT *, sum(c) OVER (PARTITION BY track ORDER BY ord ROWS UNBOUNDED PRECEDING)::BIGINT AS island FROM ch) SELECT track, island, min(k) AS k, count(*) AS n FROM isl GROUP BY track, island""")

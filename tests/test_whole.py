@@ -1,11 +1,15 @@
 """Queries over the whole of their tables, on small tables and against brute force."""
 
+import datetime as dt
+import math
 import re
 import unicodedata
 
 import pytest
 
 import __spark_entry__ as entry
+from rodado.operators.graph import _metres
+from rodado.operators.lines import turn_between
 
 
 @pytest.fixture
@@ -40,3 +44,21 @@ def test_names_of_any_script(spark, root):
     assert {r["nombre"]: r["normal_name"] for r in run(spark, "q_normal_name_all", d)} == normal
     slug = {n: (re.sub("^-|-$", "", re.sub("[^a-z0-9]+", "-", bare(n.lower()))), tidy(bare(n.lower()))) for n in NAMES}
     assert {r["nombre"]: (r["slug"], r["loose"]) for r in run(spark, "q_slug_all", d)} == slug
+
+
+def test_short_steps_count(spark, root):
+    at = dt.datetime(2026, 1, 1)
+    d = root(("events", [(i, 1 if i < 30 else 2, at + dt.timedelta(minutes=i)) for i in range(31)], "event_id bigint, user_id bigint, ts timestamp"))
+    # the walk of the view
+    p, x, y = [], 0, 0
+    for i in range(30):
+        far = 20 if i % 41 == 0 else 1
+        x, y = x + (i * 7919 % 401 - 200) * far, y + (i * 104729 % 401 - 200) * far
+        p.append((-75.7 + x / 1e5, 45.4 + y / 1e5))
+    assert any(_metres(*a, *b) < 150 for a, b in zip(p, p[1:]))
+    b = [math.degrees(math.atan2(c - a, e - f)) for (a, f), (c, e) in zip(p, p[1:])]
+    turns = [i + 3 for i, (u, v) in enumerate(zip(b, b[1:])) if turn_between(u, v) > 120]
+    got = {r["track"]: (r["reversals"], r["first"]) for r in run(spark, "q_reversals_all", d)}
+    assert got == {1: (len(turns), turns[0]), 2: (0, None)}
+    assert sorted((r["ord"], r["gap_m"]) for r in run(spark, "q_teleport_all", d)) == [(i, 0) for i in range(2, 30)]
+    assert {r["track"]: r["reason"] for r in run(spark, "q_valid_trace_all", d)}.keys() == {1, 2}
