@@ -62,3 +62,22 @@ def test_short_steps_count(spark, root):
     assert got == {1: (len(turns), turns[0]), 2: (0, None)}
     assert sorted((r["ord"], r["gap_m"]) for r in run(spark, "q_teleport_all", d)) == [(i, 0) for i in range(2, 30)]
     assert {r["track"]: r["reason"] for r in run(spark, "q_valid_trace_all", d)}.keys() == {1, 2}
+
+
+W = "way_id bigint, geometry array<struct<lat:double,lon:double>>"
+
+
+def test_paths_of_any_cost(spark, root):
+    # a row of ways with gaps of about 150 m, each link 190, and a way beside that shortens it
+    m = 1 / 111_195
+    ends = [(0, 100), (250, 350), (500, 600), (750, 850), (1000, 1100), (420, 430)]
+    d = root(("ways", [(i + 1, [(0.0, a * m), (0.0, b * m)]) for i, (a, b) in enumerate(ends)], W))
+    gap = lambda p, q: min(abs(x - y) for x in p for y in q)
+    n = range(len(ends))
+    best = {(i, j): 0 if i == j else gap(ends[i], ends[j]) + 40 if gap(ends[i], ends[j]) <= 200 else math.inf for i in n for j in n}
+    for k in n:
+        best |= {(i, j): min(best[i, j], best[i, k] + best[k, j]) for i in n for j in n}
+    want = {(i + 1, j + 1): c for (i, j), c in best.items() if i != j}
+    got = {(r["src"], r["dst"]): r["cost"] for r in run(spark, "q_shortest_all", d)}
+    assert got.keys() == want.keys() and max(want.values()) > 600
+    assert all(abs(got[k] - want[k]) < 1 for k in want)
