@@ -13,6 +13,8 @@ from .lines import turn_between
 STEPS, BEAM, FULL = 1000, 30, 50
 #: Lengths in metres at which a search hands out its best route so far.
 BUCKETS = (5_000.0, 15_000.0, 30_000.0)
+#: Distances in metres that loops reach before they turn home.
+RADII = (2_000.0, 4_000.0, 6_000.0)
 
 
 def _heading(g: Graph, a, b) -> float:
@@ -92,8 +94,12 @@ def loops(g: Graph, start, radius_m: float, longest: float = 40_000.0, close_m:
     return [(found[1][0], found[0][0], found[1][2])] if found else []
 
 
-def search_routes(starts: DataFrame, edges: DataFrame, places: DataFrame, how: str = "one_way", radius_m: float = 2000.0) -> DataFrame:
-    """(start, length_m, free_share, path) from each segment in ``starts`` (start). edges, places: as in graph.paths."""
+def search_routes(starts: DataFrame, edges: DataFrame, places: DataFrame, how: str = "one_way", radius_m: float | tuple[float, ...] = 2000.0) -> DataFrame:
+    """(start, length_m, free_share, path) from each segment in ``starts`` (start). edges, places: as in graph.paths.
+
+    Loops are sought for each of the radii.
+    """
+    radii = radius_m if isinstance(radius_m, tuple) else (radius_m,)
     box = collect_graph(edges, places)
     kind = starts.schema["start"].dataType.simpleString()
 
@@ -102,7 +108,7 @@ def search_routes(starts: DataFrame, edges: DataFrame, places: DataFrame, how: s
 
         g = Graph(*box.value)
         for pdf in batches:
-            out = [(s, ln, sh, p) for s in pdf["start"].tolist() for ln, sh, p in (one_way(g, s) if how == "one_way" else loops(g, s, radius_m))]
+            out = [(s, ln, sh, p) for s in pdf["start"].tolist() for ln, sh, p in (one_way(g, s) if how == "one_way" else [x for m in radii for x in loops(g, s, m)])]
             yield pd.DataFrame(out, columns=["start", "length_m", "free_share", "path"])
 
     return starts.select("start").mapInPandas(run, f"start {kind}, length_m double, free_share double, path array<{kind}>")

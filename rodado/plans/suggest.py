@@ -1,4 +1,4 @@
-"""From segments and places to route candidates: corridors, graph, anchors, zones, searches, scores, selection."""
+"""From segments and places to route candidates: corridors, graph, anchors, searches, scores, selection."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geo, rules
-from ..operators import corridors, greedy, search, spatial, tracks
+from ..operators import corridors, greedy, nearby, search, spatial, tracks
 from ..session import stage
 
 
@@ -48,6 +48,7 @@ def measured_routes(routes: DataFrame, segments: DataFrame) -> DataFrame:
         F.least(F.coalesce(F.sum(tracks.gap_penalty(gap)), F.lit(0.0)), F.lit(8.0)).alias("penalty"), F.max("length_m").alias("longest_m"),
         by("parque").alias("park"), by(*rules.GREEN_PLACEMENT).alias("oasis"), by("calzada").alias("roadway"),
         F.first(geo.haversine("_x0", "_y0", "_x1", "_y1")).alias("crow_m"), F.count("*").alias("segments"),
+        *(F.first(c).alias(c[1:]) for c in ("_x0", "_y0", "_x1", "_y1")),
     )
     total = F.col("on_m") + F.col("gap_m")
     return g.withColumns({"length_m": total, "infra_pct": F.when(total > 0, F.col("on_m") / total * 100).otherwise(0.0)})
@@ -79,22 +80,61 @@ def candidate_score(start: Column, end: Column, condition: Column, pois: Column)
     return geo.half_up(s, 1)
 
 
-def suggest(segments: DataFrame, most_starts: int | None = None, gap_m: float = 500.0) -> DataFrame:
-    """(route, path, kind, ..., score) of candidate routes, similar ones reduced to the best.
-
-    segments: (seg_id, normal_name, length_m, emplazamiento, bike_direction, lng0, lat0, lng1, lat1).
+def with_conditions(segments: DataFrame, samples: DataFrame, surveys: DataFrame) -> DataFrame:
+    """Segments with condition and, where known, placement of the surveyed stretch that more than 40 % of their samples
+    lie within 80 m of. samples: (seg_id, sample, lng, lat); surveys: (feature_id, score, emplazamiento, _x, _y)."""
+    hit = spatial.first_match(samples, surveys.select("feature_id", "_x", "_y"), 80.0, "seg_id", "feature_id")
+    known = surveys.select("feature_id", F.col("score").alias("condition"), F.col("emplazamiento").alias("_e")).distinct()
+    s = segments.join(hit.join(known, "feature_id").drop("feature_id"), "seg_id", "left")
+    return s.withColumn("emplazamiento", F.coalesce("_e", "emplazamiento")).drop("_e")
+
+
+def with_sights(measured: DataFrame, routes: DataFrame, segments: DataFrame, found: DataFrame, least: int = 5, end_m: float = 2000.0, way_m: float = 300.0) -> DataFrame:
+    """Adds start and end, the scores of the nearest anchors of ``least`` points and more, and pois, the kinds of other
+    anchors along a route. found: as from :func:`anchors`."""
+    good = found.where(F.col("score") >= least).select("place_id", F.col("lng").alias("_x"), F.col("lat").alias("_y"))
+    out = measured
+    for k, x, y in (("start", "x0", "y0"), ("end", "x1", "y1")):
+        near = spatial.top_within(measured.select("route", F.col(x).alias("lng"), F.col(y).alias("lat")), good, end_m, "route", "place_id", 1)
+        near = near.join(found.select("place_id", F.col("score").alias(k), F.col("name").alias(f"_{k}")), "place_id").select("route", k, f"_{k}")
+        out = out.join(near, "route", "left").withColumn(k, F.coalesce(k, F.lit(0)))
+    tips = segments.select("seg_id", F.explode(F.array(
+        F.struct(F.col("lng0").alias("lng"), F.col("lat0").alias("lat")), F.struct(F.col("lng1").alias("lng"), F.col("lat1").alias("lat")),
+        F.struct(((F.col("lng0") + F.col("lng1")) / 2).alias("lng"), ((F.col("lat0") + F.col("lat1")) / 2).alias("lat")),
+    )).alias("_t")).select("seg_id", "_t.*")
+    by = nearby.within(tips, found.select("name", "category", F.col("lng").alias("_x"), F.col("lat").alias("_y")), way_m, ["seg_id"], centre_xy=("_x", "_y")).select("seg_id", "name", "category").distinct()
+    rows = routes.select("route", F.explode("path").alias("seg_id")).join(by, "seg_id").join(out.select("route", "_start", "_end"), "route")
+    rows = rows.where(~(F.col("name").eqNullSafe(F.col("_start")) | F.col("name").eqNullSafe(F.col("_end"))))
+    pois = rows.groupBy("route").agg(F.count_distinct(F.coalesce("category", F.lit(""))).alias("pois"))
+    return out.drop("_start", "_end").join(pois, "route", "left").withColumn("pois", F.coalesce("pois", F.lit(0)))
+
+
+def suggest(segments: DataFrame, most_starts: int | None = None, gap_m: float = 500.0, places: DataFrame | None = None) -> DataFrame:
+    """(route, path, kind, ..., score) of candidate routes from every segment, similar ones reduced to the best.
+
+    segments: (seg_id, normal_name, length_m, emplazamiento, bike_direction, lng0, lat0, lng1, lat1), with condition
+    where surveyed. places: (place_id, name, category, lng, lat) that ends and surroundings are scored by.
     """
-    seg = stage(segments.where("lng0 is not null and lng1 is not null"), "segments")
+    seg = segments if "condition" in segments.columns else segments.withColumn("condition", F.lit(None).cast("double"))
+    seg = stage(seg.where("lng0 is not null and lng1 is not null"), "segments")
     axes = stage(corridors.axes_of(seg), "axes")
     members = stage(corridors.chained(seg.join(axes, "seg_id"), "axis"), "members")
     edges = stage(corridors.segment_edges(members, seg, gap_m), "edges")
-    places = seg.select(F.col("seg_id").alias("id"), ((F.col("lng0") + F.col("lng1")) / 2).alias("lng"), ((F.col("lat0") + F.col("lat1")) / 2).alias("lat"))
-    starts = seg.groupBy("normal_name").agg(F.min("seg_id").alias("start")).select("start")
+    mids = seg.select(F.col("seg_id").alias("id"), ((F.col("lng0") + F.col("lng1")) / 2).alias("lng"), ((F.col("lat0") + F.col("lat1")) / 2).alias("lat"))
+    starts = seg.select(F.col("seg_id").alias("start")).distinct()
     starts = starts if most_starts is None else starts.orderBy("start").limit(most_starts)
-    found = search.search_routes(starts, edges, places).unionAll(search.search_routes(starts, edges, places, "loops"))
+    # searches cost far more than their bytes tell, so the number of parts is set
+    starts = starts.repartition(int(seg.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    found = search.search_routes(starts, edges, mids).unionAll(search.search_routes(starts, edges, mids, "loops", search.RADII))
     found = stage(found.withColumn("route", F.xxhash64("path")).dropDuplicates(["route"]), "found")
-    m = measured_routes(found, seg).withColumn("kind", kind_of())
-    m = passes_gates(m).withColumn("score", candidate_score(F.lit(0), F.lit(0), F.lit(0.0), F.lit(0)))
+    m = passes_gates(measured_routes(found, seg).withColumn("kind", kind_of()))
+    rated = found.select("route", F.explode("path").alias("seg_id")).join(seg.select("seg_id", "condition"), "seg_id").groupBy("route").agg(geo.half_up(F.avg("condition"), 1).alias("condition"))
+    m = stage(m.join(rated, "route"), "measured")
+    if places is None:
+        m = m.withColumns({k: F.lit(0) for k in ("start", "end", "pois")})
+    else:
+        m = with_sights(m, found, seg, stage(anchors(places, seg), "anchors"))
+    m = m.withColumn("score", candidate_score(F.col("start"), F.col("end"), F.col("condition"), F.col("pois")))
     r = stage(m.join(found.select("route", "path"), "route"), "routes")
     best = greedy.keep_best(r, greedy.set_conflicts(r, "route", "path", 0.6), "route", -(F.col("score") + F.least(F.col("length_m") / 2000, F.lit(5.0))))
     return best

@@ -60,9 +60,14 @@ def _mid(seg):
     return seg.select(F.col("seg_id").alias("id"), ((F.col("lng0") + F.col("lng1")) / 2).alias("lng"), ((F.col("lat0") + F.col("lat1")) / 2).alias("lat"))
 
 
+def _starts(s, d):
+    # searches cost far more than their bytes tell, so the number of parts is set
+    return segments(s, d).select(F.col("seg_id").alias("start")).repartition(int(s.conf.get("spark.sql.shuffle.partitions")))
+
+
 _add("q_segment_edges", lambda s, d: _edges(s, d).select("a", "b", F.round("cost", 2).alias("cost")))
-_add("q_one_way_search", lambda s, d: search.search_routes(segments(s, d).groupBy("normal_name").agg(F.min("seg_id").alias("start")), _edges(s, d), _mid(segments(s, d))).select("start", F.round("length_m", 1).alias("length_m"), F.round("free_share", 3).alias("free_share"), F.size("path").alias("segments")))
-_add("q_loop_search", lambda s, d: search.search_routes(segments(s, d).groupBy("normal_name").agg(F.min("seg_id").alias("start")), _edges(s, d), _mid(segments(s, d)), "loops").select("start", F.round("length_m", 1).alias("length_m"), F.size("path").alias("segments")))
+_add("q_one_way_search", lambda s, d: search.search_routes(_starts(s, d), _edges(s, d), _mid(segments(s, d))).select("start", F.round("length_m", 1).alias("length_m"), F.round("free_share", 3).alias("free_share"), F.size("path").alias("segments")))
+_add("q_loop_search", lambda s, d: search.search_routes(_starts(s, d), _edges(s, d), _mid(segments(s, d)), "loops", search.RADII).select("start", F.round("length_m", 1).alias("length_m"), F.size("path").alias("segments")))
 
 
 def _a_star(s, d):
@@ -109,7 +114,19 @@ _add("q_repelling", lambda s, d: zones.repelling(_ways(s, d)).groupBy("zone").ag
 _add("q_zones_along", lambda s, d: zones.zones_along(_ways(s, d), zones.buffered(_pl(s, d).where("category = 'viewpoint'"), "place_id", 200.0), "track", "place_id"))
 _add("q_top80", lambda s, d: greedy.top_groups(_pl(s, d).groupBy(geo.cell("lng", 0.005).alias("gx"), geo.cell("lat", 0.005).alias("gy")).agg(F.count("*").alias("n")), 80, F.col("n").desc(), F.col("gx"), F.col("gy")),
      f"WITH {_PL} SELECT floor(lng/0.005::DOUBLE)::BIGINT AS gx, floor(lat/0.005::DOUBLE)::BIGINT AS gy, count(*) AS n FROM p GROUP BY 1,2 ORDER BY n DESC, gx, gy LIMIT 80")
-_add("q_suggest", lambda s, d: suggest.suggest(segments(s, d)).select("kind", F.round("length_m", 1).alias("length_m"), F.round("infra_pct", 2).alias("infra_pct"), "segments", "score"))
+
+
+def _suggest(s, d):
+    samples = _ways(s, d).select(F.col("track").alias("seg_id"), F.col("ord").alias("sample"), "lng", "lat")
+    c = table(s, d, "catastro")
+    xy = c.where("feature_id is not null").dropDuplicates(["feature_id"]).select("feature_id", F.explode(F.flatten(F.filter("geometry.coordinates", lambda x: x.isNotNull()))).alias("_p"))
+    xy = xy.select("feature_id", F.try_element_at("_p", F.lit(1)).alias("_x"), F.try_element_at("_p", F.lit(2)).alias("_y")).where(geo.on_earth("_x", "_y"))
+    known = R.survey_segments(c).where("not coalesce(invalida, false)").select("feature_id", "score", "emplazamiento")
+    seg = suggest.with_conditions(segments(s, d), samples, xy.join(known, "feature_id"))
+    return suggest.suggest(seg, places=places(s, d).select("place_id", "name", "category", "lng", "lat"))
+
+
+_add("q_suggest", lambda s, d: _suggest(s, d).select("kind", F.round("length_m", 1).alias("length_m"), F.round("infra_pct", 2).alias("infra_pct"), "segments", "score"))
 
 def _generated(s, d):
     """Each registered path as a route from its first anchor over its ways to its last anchor."""

@@ -4,12 +4,15 @@ import datetime as dt
 import math
 import re
 import unicodedata
+from collections import Counter
 
 import pytest
 
 import __spark_entry__ as entry
+from rodado.functions import rules
 from rodado.operators.graph import _metres
 from rodado.operators.lines import turn_between
+from rodado.plans import suggest
 
 
 @pytest.fixture
@@ -64,14 +67,14 @@ def test_short_steps_count(spark, root):
     assert {r["track"]: r["reason"] for r in run(spark, "q_valid_trace_all", d)}.keys() == {1, 2}
 
 
-W = "way_id bigint, geometry array<struct<lat:double,lon:double>>"
+W = "way_id bigint, geometry array<struct<lon:double,lat:double>>"
 
 
 def test_paths_of_any_cost(spark, root):
     # a row of ways with gaps of about 150 m, each link 190, and a way beside that shortens it
     m = 1 / 111_195
     ends = [(0, 100), (250, 350), (500, 600), (750, 850), (1000, 1100), (420, 430)]
-    d = root(("ways", [(i + 1, [(0.0, a * m), (0.0, b * m)]) for i, (a, b) in enumerate(ends)], W))
+    d = root(("ways", [(i + 1, [(a * m, 0.0), (b * m, 0.0)]) for i, (a, b) in enumerate(ends)], W))
     gap = lambda p, q: min(abs(x - y) for x in p for y in q)
     n = range(len(ends))
     best = {(i, j): 0 if i == j else gap(ends[i], ends[j]) + 40 if gap(ends[i], ends[j]) <= 200 else math.inf for i in n for j in n}
@@ -81,3 +84,31 @@ def test_paths_of_any_cost(spark, root):
     got = {(r["src"], r["dst"]): r["cost"] for r in run(spark, "q_shortest_all", d)}
     assert got.keys() == want.keys() and max(want.values()) > 600
     assert all(abs(got[k] - want[k]) < 1 for k in want)
+
+
+def ring(n, radius_m):
+    m = radius_m / 111_195
+    at = [(m * math.sin(2 * math.pi * k / n), m * math.cos(2 * math.pi * k / n)) for k in range(n)]
+    return [(k + 1, [at[k], at[(k + 1) % n]], {"name": "Este" if k < n / 2 else "Oeste", "highway": "cycleway"}) for k in range(n)]
+
+
+def test_searches_start_everywhere(spark, root):
+    # loops of 2 and 4 km fit into a ring of 4.6 km across; its segments share two names
+    ways = ring(60, 2300)
+    d = root(("ways", ways, W + ", tags map<string,string>"))
+    loops = run(spark, "q_loop_search", d)
+    assert Counter(r["start"] for r in loops) == {k: 2 for k in range(1, 61)}
+    assert {r["start"] for r in run(spark, "q_one_way_search", d)} == set(range(1, 61))
+
+
+def test_suggestions_count_places_and_conditions(spark):
+    m = 1 / 111_195
+    rows = [(k, "A", 1000.0, None, "both", k * 1000 * m, 0.0, (k + 1) * 1000 * m, 0.0, 6.0 + k % 2) for k in range(8)]
+    seg = spark.createDataFrame(rows, "seg_id bigint, normal_name string, length_m double, emplazamiento string, bike_direction string, lng0 double, lat0 double, lng1 double, lat1 double, condition double")
+    kind = max(rules.ANCHOR_POINTS, key=rules.ANCHOR_POINTS.get)
+    sights = spark.createDataFrame([(1, "a", kind, 0.0, 0.0), (2, "b", kind, 8000 * m, 0.0), (3, "c", "other", 4000 * m, 100 * m)], "place_id bigint, name string, category string, lng double, lat double")
+    r = suggest.suggest(seg, places=sights).collect()
+    assert r and all(x["start"] == x["end"] == rules.ANCHOR_POINTS[kind] + 2 for x in r if x["segments"] == 8)
+    assert any(x["pois"] == 1 for x in r) and all(6 <= x["condition"] <= 7 for x in r)
+    plain = max(x["score"] for x in suggest.suggest(seg.drop("condition")).collect())
+    assert max(x["score"] for x in r) > plain + 6
