@@ -89,7 +89,7 @@ def chained(segments: DataFrame, by: str) -> DataFrame:
         import pandas as pd
 
         lines = [Line(int(i), [(a, b), (c, d)]) for i, a, b, c, d in zip(pdf["seg_id"], pdf["lng0"], pdf["lat0"], pdf["lng1"], pdf["lat1"])]
-        o = order_lines(lines)
+        o = order_lines(lines, every=True)
         gaps = [0.0, *(_metres(*x.end, *y.start) for x, y in zip(o, o[1:]))]
         return pd.DataFrame({by: [pdf[by].iloc[0]] * len(o), "ord": range(len(o)), "seg_id": [x.id for x in o], "turned": [x.turned for x in o], "gap_m": gaps[: len(o)]})
 

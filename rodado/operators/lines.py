@@ -125,13 +125,15 @@ def by_convention(lines: list[Line]) -> list[Line]:
     return [x.flipped() for x in reversed(lines)] if wrong else lines
 
 
-def order_lines(lines: list[Line], tries: int = 12) -> list[Line]:
+def order_lines(lines: list[Line], tries: int = 12, every: bool = False) -> list[Line]:
     """The pieces in riding order, each turned as ridden. The order given doesn't matter.
 
+    Closed, tiny and parallel pieces are left out (:func:`distinct_lines`), or with ``every`` ordered like the others.
+
     Starts are tried from the ends that have no neighbour and the outermost ends; fewest sharp turns win, then the
     least sum of gaps.
     """
-    kept = distinct_lines(lines)
+    kept = sorted(lines, key=lambda x: x.id) if every else distinct_lines(lines)
     if not kept:
         return []
     ends = [(p, x, turned) for x in kept for p, turned in ((x.points[0], False), (x.points[-1], True))]

@@ -112,3 +112,14 @@ def test_suggestions_count_places_and_conditions(spark):
     assert any(x["pois"] == 1 for x in r) and all(6 <= x["condition"] <= 7 for x in r)
     plain = max(x["score"] for x in suggest.suggest(seg.drop("condition")).collect())
     assert max(x["score"] for x in r) > plain + 6
+
+
+def test_every_segment_is_chained(spark, root):
+    # a road, a carriageway beside it, a short piece and a closed one, all of one name, and a short road by itself
+    m = 1 / 111_195
+    at = lambda *p: [(x * m, y * m) for x, y in p]
+    ways = [(1, at((0, 0), (1000, 0))), (2, at((1000, 10), (10, 10))), (3, at((1000, 0), (1020, 0))), (4, at((1020, 0), (1060, 40), (1020, 0)))]
+    ways = [(i, p, {"name": "Doble", "highway": "cycleway"}) for i, p in ways] + [(5, at((9000, 0), (9020, 0)), {"highway": "cycleway"})]
+    d = root(("ways", ways, W + ", tags map<string,string>"))
+    assert sorted(r["seg_id"] for r in run(spark, "q_chained", d)) == [1, 2, 3, 4, 5]
+    assert {r["a"] for r in run(spark, "q_segment_edges", d)} == {1, 2, 3, 4}
