@@ -81,6 +81,24 @@ def merged_axes(axes: DataFrame, region: str) -> DataFrame:
     return axes.groupBy(region).applyInPandas(run, f"`{region}` {kind}, axis bigint, corridor bigint")
 
 
+def mergeable(axes: DataFrame) -> DataFrame:
+    """(axis, group): axes that :func:`merge_axes` may bring together. A merged axis has the ends of its parts, is no
+    shorter and has no name that they lack, so the groups can be merged one by one."""
+    side = lambda k: axes.select(F.col("axis").alias(k), F.col("name").alias(f"_n{k}"), F.col("length_m").alias(f"_l{k}"))
+    j = line_links(axes, "axis", LONG_GAP_M).join(side("a"), "a").join(side("b"), "b")
+    same = (F.col("_na") == F.col("_nb")) & (F.col("_na") != "")
+    small = (F.least("_la", "_lb") <= SMALL_M) & (F.col("gap_m") <= SMALL_GAP_M) & ((F.col("_na") == "") | (F.col("_nb") == "") | same)
+    return components(axes, j.where(same | small), "axis").withColumnRenamed("component", "group")
+
+
+def axis_ends(members: DataFrame, segments: DataFrame, axis: str = "axis") -> DataFrame:
+    """(axis, lng0, lat0, lng1, lat1): where the chain of each axis starts and ends. members: as from :func:`chained`."""
+    j = members.join(segments.select("seg_id", "lng0", "lat0", "lng1", "lat1"), "seg_id")
+    end = lambda c, k: F.when(F.col("turned"), F.col(f"{c}{1 - k}")).otherwise(F.col(f"{c}{k}"))
+    ends = [F.min_by(end(c, 0), "ord").alias(f"{c}0") for c in ("lng", "lat")] + [F.max_by(end(c, 1), "ord").alias(f"{c}1") for c in ("lng", "lat")]
+    return j.groupBy(axis).agg(*ends)
+
+
 def chained(segments: DataFrame, by: str) -> DataFrame:
     """(by, ord, seg_id, turned, gap_m): the segments of each corridor in riding order with the gap to the one before."""
     kind = segments.schema[by].dataType.simpleString()

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import stage
+from .graph import components
 from .spatial import pairs_within
 
 
@@ -71,43 +72,46 @@ def set_conflicts(rows: DataFrame, key: str, items: str, more_than: float) -> Da
 
 
 def select_diverse(rows: DataFrame, conflicts: DataFrame, key: str, group: str, score: str, caps: dict[str, int], limit: int, considered: int = 1_000_000) -> DataFrame:
-    """(key, place): best first within each group, skipping conflicts and rows whose value in a capped column is used up.
+    """(key, group, place): best first, skipping conflicts, also with rows of other groups, and rows whose value in a
+    capped column is used up in their group; at most ``limit`` rows a group.
 
-    caps: column to number of rows a value may have; array columns count each element. The order of choices makes
-    this one task a group, so a group of more than ``considered`` rows raises an error; nothing is left out silently.
+    caps: column to number of rows a value may have; array columns count each element. The order of choices makes this
+    one task for groups that conflicts connect, so more than ``considered`` rows there raise an error; nothing is left
+    out silently.
     """
     cols = [key, group, score, *caps]
-    n = rows.groupBy(group).count().agg(F.max("count")).first()[0] or 0
+    own = rows.select(key, group)
+    across = conflicts.join(own.withColumnsRenamed({key: "a", group: "_ga"}), "a").join(own.withColumnsRenamed({key: "b", group: "_gb"}), "b").where("_ga <> _gb")
+    parts = stage(components(rows, across.select(F.col("_ga").alias("a"), F.col("_gb").alias("b")), group).withColumnRenamed("component", "_part"), "parts")
+    n = rows.join(parts, group).groupBy("_part").count().agg(F.max("count")).first()[0] or 0
     if n > considered:
         raise ValueError(f"a group of {n} rows; narrow it to {considered} by score before")
     near = conflicts.select("a", "b").unionAll(conflicts.select(F.col("b").alias("a"), F.col("a").alias("b"))).groupBy("a").agg(F.collect_set("b").alias("_near"))
-    src = rows.select(*cols).join(near.withColumnRenamed("a", key), key, "left")
+    src = rows.select(*cols).join(parts, group).join(near.withColumnRenamed("a", key), key, "left")
     kk, gk = (rows.schema[c].dataType.simpleString() for c in (key, group))
 
     def choose(pdf):
         import pandas as pd
 
         pdf = pdf.sort_values([score, key], ascending=[False, True])
-        used = {c: {} for c in caps}
+        used, full = {}, {}
         taken, out = set(), []
         for row in pdf.to_dict("records"):
-            near = row["_near"]
-            if near is not None and taken.intersection(near):
+            near, g = row["_near"], row[group]
+            if full.get(g, 0) == limit or near is not None and taken.intersection(near):
                 continue
             values = {c: list(row[c]) if hasattr(row[c], "__len__") and not isinstance(row[c], str) else [row[c]] for c in caps if row[c] is not None}
-            if any(used[c].get(v, 0) >= caps[c] for c, vs in values.items() for v in vs):
+            if any(used.get((g, c, v), 0) >= caps[c] for c, vs in values.items() for v in vs):
                 continue
             for c, vs in values.items():
                 for v in vs:
-                    used[c][v] = used[c].get(v, 0) + 1
+                    used[g, c, v] = used.get((g, c, v), 0) + 1
             taken.add(row[key])
-            out.append((row[key], row[group], len(out) + 1))
-            if len(out) == limit:
-                break
+            full[g] = full.get(g, 0) + 1
+            out.append((row[key], g, full[g]))
         return pd.DataFrame(out, columns=[key, group, "place"])
 
-    return src.groupBy(group).applyInPandas(choose, f"`{key}` {kk}, `{group}` {gk}, place int")
-
+    return src.groupBy("_part").applyInPandas(choose, f"`{key}` {kk}, `{group}` {gk}, place int")
 
 def top_groups(rows: DataFrame, n: int, *order: Column) -> DataFrame:
     """The first n rows by a total order: a top-k report, planned as one."""

@@ -41,9 +41,10 @@ _add("q_chained", lambda s, d: corridors.chained(segments(s, d).join(corridors.a
 
 
 def _merged(s, d):
-    seg = segments(s, d).join(corridors.axes_of(segments(s, d)), "seg_id")
-    a = seg.groupBy("axis").agg(F.max("nombre").alias("name"), F.sum("length_m").alias("length_m"), *(F.min_by(c, "seg_id").alias(c) for c in ("lng0", "lat0")), *(F.max_by(c, "seg_id").alias(c) for c in ("lng1", "lat1")))
-    return corridors.merged_axes(a.withColumn("region", F.concat_ws(",", geo.cell("lng0", 0.05), geo.cell("lat0", 0.05))), "region").select("axis", "corridor")
+    seg = stage(segments(s, d).join(corridors.axes_of(segments(s, d)), "seg_id"), "segments")
+    a = seg.groupBy("axis").agg(F.max("nombre").alias("name"), F.sum("length_m").alias("length_m"))
+    a = stage(a.join(corridors.axis_ends(corridors.chained(seg, "axis"), seg), "axis"), "axes")
+    return corridors.merged_axes(a.join(corridors.mergeable(a), "axis"), "group").select("axis", "corridor")
 
 
 _add("q_merged_axes", _merged)

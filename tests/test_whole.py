@@ -2,6 +2,7 @@
 
 import datetime as dt
 import math
+import random
 import re
 import unicodedata
 from collections import Counter
@@ -10,6 +11,7 @@ import pytest
 
 import __spark_entry__ as entry
 from rodado.functions import rules
+from rodado.operators import corridors
 from rodado.operators.graph import _metres
 from rodado.operators.lines import turn_between
 from rodado.plans import suggest
@@ -123,3 +125,31 @@ def test_every_segment_is_chained(spark, root):
     d = root(("ways", ways, W + ", tags map<string,string>"))
     assert sorted(r["seg_id"] for r in run(spark, "q_chained", d)) == [1, 2, 3, 4, 5]
     assert {r["a"] for r in run(spark, "q_segment_edges", d)} == {1, 2, 3, 4}
+
+
+def test_groups_of_axes_change_no_merge(spark):
+    rnd = random.Random(7)
+    m = 1 / 111_195
+    rows = []
+    for i in range(120):
+        x, y, n = rnd.uniform(0, 9000) * m, rnd.uniform(0, 600) * m, rnd.choice([300, 900, 1500])
+        rows.append((i, rnd.choice(["A", "B", "", ""]), float(n), x, y, x + n * m, y + rnd.uniform(-60, 60) * m))
+    df = spark.createDataFrame(rows, "axis bigint, name string, length_m double, lng0 double, lat0 double, lng1 double, lat1 double")
+    whole = corridors.merge_axes([dict(id=i, name=n, start=(a, b), end=(c, e), length_m=ln, names={n}) for i, n, ln, a, b, c, e in rows])
+    got = {}
+    for r in corridors.merged_axes(df.join(corridors.mergeable(df), "axis"), "group").collect():
+        got.setdefault(r["corridor"], []).append(r["axis"])
+    assert sorted(map(sorted, got.values())) == sorted(whole) and len(whole) < 115
+
+
+def test_axes_merge_and_places_conflict_across_cells(spark, root):
+    # a road that goes on under no name on the other side of a cell's edge, and two places on both sides
+    m = 1 / 111_195
+    at = lambda *p: [(x * m, 0.01) for x in p]
+    edge = 0.05 / m
+    ways = [(1, at(edge - 2000, edge - 900), {"name": "A", "highway": "cycleway"}), (2, at(edge - 900, edge - 50), {"name": "A", "highway": "cycleway"}), (3, at(edge + 50, edge + 600), {"highway": "cycleway"})]
+    day = dt.datetime(2026, 1, 1)
+    pl = [(1, "p", "cafe", 0.01, 0.05 - 100 * m, day), (2, "q", "bar", 0.01, 0.05 + 100 * m, day), (3, "r", "bar", 0.01, 0.09, day)]
+    d = root(("ways", ways, W + ", tags map<string,string>"), ("places", pl, "place_id bigint, name string, category string, lat double, lng double, loaded_at timestamp"))
+    assert len({r["corridor"] for r in run(spark, "q_merged_axes", d)}) == 1
+    assert {r["place_id"] for r in run(spark, "q_select_diverse", d)} in ({1, 3}, {2, 3})
