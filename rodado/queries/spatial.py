@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import geo
 from ..operators import graph as G
 from ..operators import spatial as P
+from ..operators import zones as Z
 from ..session import stage, table
 from ._sql import TRACKS, hav
 from .views import event_tracks, located, places
@@ -122,6 +123,40 @@ _add("q_triangles", lambda s, d: G.triangles(_zone_edges(s, d), 3000.0, 9000.0).
      f"WITH {_PL}, {_ZE}4000) SELECT x.a AS a, x.b AS b, y.b AS c, round(x.length+y.length+w.length,2) AS total FROM ze x JOIN ze y ON y.a=x.b JOIN ze w ON w.a=x.a AND w.b=y.b WHERE x.length+y.length+w.length BETWEEN 3000 AND 9000")
 _add("q_rectangles", lambda s, d: G.rectangles(_zone_edges(s, d, 2500.0), 2000.0, 8000.0).select("a", "b", "c", "d", F.round("total", 2).alias("total")),
      f"WITH {_PL}, {_ZE}2500), e AS (SELECT a, b, length FROM ze UNION ALL SELECT b, a, length FROM ze) SELECT w.a AS a, w.b AS b, x.b AS c, y.b AS d, round(w.length+x.length+y.length+v.length,2) AS total FROM e w JOIN e x ON x.a=w.b AND x.b>w.a JOIN e y ON y.a=x.b AND y.b>w.b JOIN e v ON v.a=w.a AND v.b=y.b WHERE w.a<w.b AND w.a<y.b AND w.length+x.length+y.length+v.length BETWEEN 2000 AND 8000")
+
+
+def _lively(s, d):
+    """All lively zones, as q_zones finds them, before its choice of the strongest."""
+    z = Z.lively(_places(s, d).select(F.coalesce("category", F.lit("other")).alias("kind"), "lng", "lat"), 3)
+    return stage(z.select(F.col("zone").alias("place_id"), F.col("clng").alias("lng"), F.col("clat").alias("lat")), "zones")
+
+
+def _lively_edges(s, d, z):
+    return stage(P.pairs_within(z, "place_id", 10_000.0).select("a", "b", F.col("metres").alias("length")), "pairs")
+
+
+def _with_centres(df, z, keys):
+    for k in keys:
+        df = df.join(z.select(F.col("place_id").alias(k), F.col("lng").alias(f"_x{k}"), F.col("lat").alias(f"_y{k}")), k)
+    return df
+
+
+def _loops_of_three(s, d):
+    z = _lively(s, d)
+    t = _with_centres(G.triangles(_lively_edges(s, d, z), 5000.0, 35_000.0), z, "abc")
+    return t.where(~G.collinear(*(F.col(f"_{v}{k}") for k in "abc" for v in "xy"))).select("a", "b", "c", F.round("total", 2).alias("total"))
+
+
+def _loops_of_four(s, d):
+    z = _lively(s, d)
+    t = _with_centres(G.rectangles(_lively_edges(s, d, z), 10_000.0, 50_000.0), z, "abcd")
+    return t.where(G.quadrants([F.col(f"_x{k}") for k in "abcd"], [F.col(f"_y{k}") for k in "abcd"]) >= 3).select("a", "b", "c", "d", F.round("total", 2).alias("total"))
+
+
+# over the lively zones, with the limits of the survey
+_add("q_zone_pairs_all", lambda s, d: _lively_edges(s, d, _lively(s, d)).withColumn("length", F.round("length", 3)))
+_add("q_triangles_all", _loops_of_three)
+_add("q_rectangles_all", _loops_of_four)
 _add("q_footprints", lambda s, d: P.footprint_overlap(event_tracks(s, d).select("track", geo.cell("lng", 0.01).alias("gx"), geo.cell("lat", 0.01).alias("gy")), "track", 0.5).withColumn("share", F.round("share", 6)),
      f"WITH {TRACKS}, g AS (SELECT DISTINCT track, floor(lng/0.01::DOUBLE)::BIGINT AS gx, floor(lat/0.01::DOUBLE)::BIGINT AS gy FROM tr), n AS (SELECT track, count(*) AS n FROM g GROUP BY 1), k AS (SELECT x.track AS a, y.track AS b, count(*) AS k FROM g x JOIN g y ON x.gx=y.gx AND x.gy=y.gy AND x.track<y.track GROUP BY 1,2) SELECT a, b, round(k/least(na.n,nb.n),6) AS share FROM k JOIN n na ON na.track=a JOIN n nb ON nb.track=b WHERE k/least(na.n,nb.n)>0.5")
 _add("q_buffer_cells", lambda s, d: P.disc_cells(_places(s, d), "lng", "lat", 300.0, 0.001).groupBy("gx", "gy").agg(F.count_distinct("place_id").alias("places")))

@@ -1,6 +1,7 @@
 """Queries over the whole of their tables, on small tables and against brute force."""
 
 import datetime as dt
+import itertools
 import math
 import random
 import re
@@ -153,3 +154,32 @@ def test_axes_merge_and_places_conflict_across_cells(spark, root):
     d = root(("ways", ways, W + ", tags map<string,string>"), ("places", pl, "place_id bigint, name string, category string, lat double, lng double, loaded_at timestamp"))
     assert len({r["corridor"] for r in run(spark, "q_merged_axes", d)}) == 1
     assert {r["place_id"] for r in run(spark, "q_select_diverse", d)} in ({1, 3}, {2, 3})
+
+
+def test_loops_over_lively_zones(spark, root):
+    m = 1 / 111_195
+    day = dt.datetime(2026, 1, 1)
+    spots = [(10, 10), (5000, 200), (9000, 4000), (300, 8000), (4000, 7000), (30000, 10)]
+    at = [((x // 556 + 0.5) * 0.005, (y // 556 + 0.5) * 0.005) for x, y in spots]
+    pl = [(i * 10 + k, "n", "cafe", y, x, day) for i, (x, y) in enumerate(at) for k in range(4)] + [(900, "n", "viewpoint", 0.2, 0.2, day)]
+    d = root(("places", pl, "place_id bigint, name string, category string, lat double, lng double, loaded_at timestamp"))
+    far = lambda a, b: _metres(*at[a], *at[b])
+    ok = lambda *p: all(far(a, b) <= 10_000 for a, b in p)
+    n = range(len(at))
+    pairs = [p for p in itertools.combinations(n, 2) if ok(p)]
+    assert len(run(spark, "q_zone_pairs_all", d)) == len(pairs) == 10
+
+    def area(a, b, c):
+        (ax, ay), (bx, by), (cx, cy) = at[a], at[b], at[c]
+        return abs((bx - ax) * (cy - ay) - (by - ay) * (cx - ax))
+
+    three = [t for t in itertools.combinations(n, 3) if ok(*itertools.combinations(t, 2)) and 5000 <= far(t[0], t[1]) + far(t[1], t[2]) + far(t[0], t[2]) <= 35_000 and area(*t) >= 0.001]
+    assert len(run(spark, "q_triangles_all", d)) == len(three) > 0
+
+    def spread(t):
+        mx, my = (sum(at[i][k] for i in t) / 4 for k in (0, 1))
+        return len({(at[i][0] >= mx, at[i][1] >= my) for i in t}) >= 3
+
+    cycles = [(a, b, c, e) for a, b, c, e in itertools.permutations(n, 4) if a == min(a, b, c, e) and b < e]
+    four = [t for t in cycles if ok(*zip(t, t[1:] + t[:1])) and 10_000 <= sum(far(x, y) for x, y in zip(t, t[1:] + t[:1])) <= 50_000 and spread(t)]
+    assert len(run(spark, "q_rectangles_all", d)) == len(four) > 0
