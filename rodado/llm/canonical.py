@@ -283,9 +283,12 @@ class Canon:
         self.trees = {f: BKTree(forms) for f, forms in self.forms.items()}
         self.longest = {f: max(map(len, forms)) for f, forms in self.forms.items()}
 
-    def best(self, field: str, values: list[str]) -> list[tuple[int, int, int] | None]:
-        """For each value the best (distance, rank, term_id), or None."""
-        found: list[tuple[int, int, int] | None] = [None] * len(values)
+    def best(self, field: str, values: list[str]) -> list[tuple[int, int, int, str, int, int] | None]:
+        """For each value the best (stage, distance, -length, run, rank, term_id), or None, alike for any split of the list.
+
+        Stage 0 are matches of the whole value, stage 1 inner words, of which the longest run wins.
+        """
+        found: list[tuple[int, int, int, str, int, int] | None] = [None] * len(values)
         if field not in self.trees:
             return found
         asked, owner = [], []
@@ -297,21 +300,26 @@ class Canon:
         tree, forms = self.trees[field], self.forms[field]
         # a form that is an entry has distance 0 to it: nothing in the tree is nearer, only ranks count
         for i in {owner[q] for q, form in enumerate(asked) if form in forms}:
-            found[i] = min((0, *forms[f]) for f in value_forms(values[i], self.starts[field]) if f in forms)
+            rank, term_id = min(forms[f] for f in value_forms(values[i], self.starts[field]) if f in forms)
+            found[i] = (0, 0, 0, "", rank, term_id)
         open_ = [q for q in range(len(asked)) if found[owner[q]] is None]
         asked, owner = [asked[q] for q in open_], [owner[q] for q in open_]
         for q, w, d in tree.search(asked, [edits_allowed(len(x)) for x in asked]):
             rank, term_id = forms[tree.words[w]]
-            if found[owner[q]] is None or (d, rank, term_id) < found[owner[q]]:
-                found[owner[q]] = (d, rank, term_id)
+            if found[owner[q]] is None or (0, d, 0, "", rank, term_id) < found[owner[q]]:
+                found[owner[q]] = (0, d, 0, "", rank, term_id)
         for i, v in enumerate(values):
             if found[i] is None:
-                hit = next((forms[r] for r in inner_forms(v, self.longest[field]) if len(r) > 3 and r in forms and forms[r][0] < 2), None)
+                hit = next((r for r in inner_forms(v, self.longest[field]) if len(r) > 3 and r in forms and forms[r][0] < 2), None)
                 if hit:
-                    found[i] = (0, 3, hit[1])
+                    found[i] = (1, 0, -len(hit), hit, *forms[hit])
         return found
 
 
+#: Columns of a match, the better the smaller.
+_KEY = ("_stage", "_d", "_len", "_run", "_rank", "_id")
+
+
 def match_values(
     values: DataFrame, terms: DataFrame, field: str = "field", value: str = "raw_value", labels: tuple[str, ...] = ("label_es", "label_fr"),
     aliases: dict[str, dict[str, list[str]]] | None = None, shard_entries: int = SHARD_ENTRIES,
@@ -339,19 +347,19 @@ def match_values(
             for pdf in batches:
                 for f, part in pdf.groupby("_f", sort=False):
                     best = canon.best(f, part["_v"].tolist())
-                    yield part.assign(
-                        _d=[b[0] if b else 99 for b in best], _rank=[b[1] if b else 9 for b in best], _id=[b[2] if b else 0 for b in best]
-                    )[["_f", "_v", "_d", "_rank", "_id"]]
+                    none = (9, 99, 0, "", 9, 0)
+                    cols = zip(*(b or none for b in best))
+                    yield part.assign(**dict(zip(_KEY, map(list, cols))))[["_f", "_v", *_KEY]]
 
         return run
 
     src = todo.select(F.col(field).alias("_f"), F.col(value).alias("_v"))
-    won = [src.mapInPandas(lookup(b), "_f string, _v string, _d int, _rank int, _id bigint") for b in sent]
+    won = [src.mapInPandas(lookup(b), "_f string, _v string, _stage int, _d int, _len int, _run string, _rank int, _id bigint") for b in sent]
     out = won[0]
     if len(won) > 1:
         for w in won[1:]:
             out = out.unionAll(w)
-        out = out.groupBy("_f", "_v").agg(F.min(F.struct("_d", "_rank", "_id")).alias("_b")).select("_f", "_v", "_b.*")
+        out = out.groupBy("_f", "_v").agg(F.min(F.struct(*_KEY)).alias("_b")).select("_f", "_v", "_b.*")
     return out.select(F.col("_f").alias(field), F.col("_v").alias(value), F.col("_id").alias("term_id"), F.when(F.col("_id") > 0, F.col("_d")).alias("edits"))
 
 

@@ -48,3 +48,18 @@ def test_typed_values(spark):
     r = spark.createDataFrame([(1, ["a", "a", None, ""]), (2, None), (None, ["b"]), (1, ["a"])], "route_id bigint, tags array<string>")
     p = spark.createDataFrame([(5, "bakery"), (6, None), (5, "bakery")], "place_id bigint, category string")
     assert sorted(map(tuple, C.typed_values(r, p).collect())) == [("category", 5, "bakery"), ("tags", 1, ""), ("tags", 1, "a")]
+
+
+def test_shards_change_nothing(spark):
+    rows = [("tags", 5, "gravelroad", None, None), ("tags", 1, "park", None, None), ("tags", 7, "big park", None, None), ("tags", 2, "lane", None, None), ("tags", 9, "track", None, None), ("tags", 3, "other", "track", None)]
+    terms = spark.createDataFrame(rows, "field string, term_id bigint, term string, label_es string, label_fr string")
+    want = {"gravel roads": 5, "the big park lane": 7, "park gravelroat": 1, "lane or park": 2, "a track there": 9, "gravelroad park": 5}
+    src = values(spark, [("tags", i, v, 1) for i, v in enumerate(want)])
+    whole, split = ({r["raw_value"]: (r["term_id"], r["edits"]) for r in C.match_values(src, terms, aliases={}, shard_entries=n).collect()} for n in (5000, 1))
+    assert whole == split and {k: v[0] for k, v in whole.items()} == want
+
+
+def test_a_whole_match_in_another_shard_wins(spark):
+    terms = spark.createDataFrame([("tags", 1, "park", None, None), ("tags", 2, "park avenue", None, None)], "field string, term_id bigint, term string, label_es string, label_fr string")
+    src = values(spark, [("tags", 1, "park avenua", 1)])
+    assert [C.match_values(src, terms, aliases={}, shard_entries=n).first()["term_id"] for n in (5000, 1)] == [2, 2]
