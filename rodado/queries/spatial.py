@@ -95,17 +95,21 @@ _add("q_shortest", lambda s, d: G.paths(_requests(s, d), _edges(s, d), most=200.
      "r(src, n, cost, hops) AS (SELECT DISTINCT src, src, 0.0::DOUBLE, 0 FROM q UNION SELECT r.src, e.b, r.cost+e.cost, hops+1 FROM r JOIN e ON e.a=r.n WHERE hops<5 AND r.cost+e.cost<=200) SELECT src, dst, round(min(cost),1) AS cost FROM q JOIN r USING (src) WHERE n=dst GROUP BY 1,2")
 
 
-def _far_requests(s, d):
-    """Each way with the ways up to four links away."""
-    e = _edges(s, d).select("a", "b").distinct()
-    e = stage(e, "links")
+def _far_requests(e):
+    """Each node of the edges with those up to four links away."""
+    e = e.select("a", "b").distinct()
     r = e.select(F.col("a").alias("src"), F.col("b").alias("dst"))
     for _ in range(3):
         r = stage(r.unionAll(r.join(e.withColumnRenamed("a", "dst"), "dst").select("src", F.col("b").alias("dst"))).where("src <> dst").distinct(), "requests")
     return r
 
 
-_add("q_shortest_all", lambda s, d: G.paths(_far_requests(s, d), _edges(s, d)).select("src", "dst", F.round("cost", 1).alias("cost")))
+def _shortest_all(s, d):
+    e = stage(_edges(s, d), "links")
+    return G.paths(_far_requests(e), e).select("src", "dst", F.round("cost", 1).alias("cost"))
+
+
+_add("q_shortest_all", _shortest_all)
 
 
 def _zones(s, d):
