@@ -10,19 +10,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geo
-from ..session import stage
+from ..session import drop, stage
 
 
-def components(nodes: DataFrame, edges: DataFrame, node: str = "id", most_rounds: int = 60) -> DataFrame:
+def _are_stars(e: DataFrame) -> bool:
+    """True if every u of the edges (u > v) has one v, and no v is a u: then v is the smallest of its component."""
+    ends = e.select(F.col("u").alias("x"), F.lit(1).alias("_out"), F.lit(0).alias("_in")).unionAll(e.select(F.col("v").alias("x"), F.lit(0), F.lit(1)))
+    ends = ends.groupBy("x").agg(F.sum("_out").alias("_out"), F.max("_in").alias("_in"))
+    return ends.where((F.col("_out") > 1) | ((F.col("_out") > 0) & (F.col("_in") > 0))).isEmpty()
+
+
+def components(nodes: DataFrame, edges: DataFrame, node: str = "id") -> DataFrame:
     """(node, component): the smallest id that each node is connected to. edges: (a, b) in either direction.
 
-    Large-star and small-star rounds: the number of rounds grows with the logarithm of the diameter. Each round is
-    written to the shared folder, so neither lineage nor a lost executor piles up work. No hot node is collected:
-    stars are windows and aggregates.
+    Large-star and small-star rounds until only stars are left; their number grows with the logarithm of the diameter
+    and isn't limited. Each round is written to the shared folder, so neither lineage nor a lost executor piles up
+    work, and the round before is dropped. No hot node is collected: stars are aggregates.
     """
-    e = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).where("u <> v").distinct()
+    e = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
     e = stage(e, "edges")
-    for _ in range(most_rounds):
+    while not _are_stars(e):
         # large star: every larger neighbour goes to the smallest of the neighbourhood
         both = e.unionAll(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         m = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -31,17 +38,15 @@ def components(nodes: DataFrame, edges: DataFrame, node: str = "id", most_rounds
         low = large.where("v < u")
         m = low.groupBy("u").agg(F.min("v").alias("m"))
         small = low.join(m, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
-        new = stage(small.unionAll(m.select("u", F.col("m").alias("v"))).distinct(), "edges")
-        if new.exceptAll(e).isEmpty() and e.exceptAll(new).isEmpty():
-            break
-        e = new
-    root = e.groupBy("u").agg(F.min("v").alias("component"))
-    return nodes.select(F.col(node)).distinct().join(root.withColumnRenamed("u", node), node, "left").select(node, F.coalesce("component", node).alias("component"))
+        old, e = e, stage(small.unionAll(m.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        drop(old)
+    root = e.select(F.col("u").alias(node), F.col("v").alias("component"))
+    return nodes.select(F.col(node)).distinct().join(root, node, "left").select(node, F.coalesce("component", node).alias("component"))
 
 
 def flood_fill(cells: DataFrame) -> DataFrame:
     """(gx, gy, component) of grid cells joined over edges and corners; cells keep within 31 bits either way."""
-    code = lambda x, y: F.shiftleft(x.cast("long") + 2**31, 32) + (y.cast("long") + 2**31)
+    code = lambda x, y: F.shiftleft(x.cast("long"), 32) + (y.cast("long") + 2**31)
     c = cells.select("gx", "gy").distinct().withColumn("id", code(F.col("gx"), F.col("gy")))
     steps = [(1, -1), (1, 0), (1, 1), (0, 1)]
     n = c.select(F.col("id").alias("a"), F.explode(F.array(*(F.struct((F.col("gx") + i).alias("gx"), (F.col("gy") + j).alias("gy")) for i, j in steps))).alias("_g")).select("a", "_g.*")
@@ -62,27 +67,28 @@ class Graph:
             self.out.setdefault(a, []).append((b, cost, length))
         self.at = dict(places)
 
-    def dijkstra(self, start, goal, most: float = math.inf):
-        """(cost, length, path) of the cheapest path, None beyond ``most`` cost; equal costs by the smaller node."""
+    def dijkstra(self, start, goals, most: float = math.inf) -> dict:
+        """{goal: (cost, length, path)} of the cheapest paths, none beyond ``most`` cost; equal costs by the smaller node."""
         best, seen, heap = {start: 0.0}, set(), [(0.0, 0.0, start, None)]
-        back = {}
-        while heap:
+        back, out, open_ = {}, {}, set(goals)
+        while heap and open_:
             cost, length, n, came = heapq.heappop(heap)
             if n in seen:
                 continue
             seen.add(n)
             back[n] = came
-            if n == goal:
+            if n in open_:
+                open_.discard(n)
                 path = [n]
                 while back[path[-1]] is not None:
                     path.append(back[path[-1]])
-                return cost, length, path[::-1]
+                out[n] = cost, length, path[::-1]
             for m, c, ln in self.out.get(n, ()):
                 k = cost + c
                 if m not in seen and k <= most and k < best.get(m, math.inf):
                     best[m] = k
                     heapq.heappush(heap, (k, length + ln, m, n))
-        return None
+        return out
 
     def a_star(self, start, goal, most: float = 15_000.0):
         """Search led by the straight distance to the goal. A node's length is paid on entering it and nodes aren't
@@ -117,17 +123,21 @@ def _metres(a, b, c, d) -> float:
 
 
 def collect_graph(edges: DataFrame, places: DataFrame | None = None, most: int = GRAPH_EDGES):
-    """The edge table (a, b, cost, length) as a broadcast graph, after a check of its size."""
+    """The edge table (a, b, cost, length) as a broadcast graph, after a check of its size and of its places'."""
     n = edges.count()
     if n > most:
         raise ValueError(f"{n} edges; cut the graph into regions of at most {most}")
+    if places is not None:
+        ends = edges.select(F.col("a").alias("id")).unionAll(edges.select("b")).distinct()
+        places = places.dropDuplicates(["id"]).join(ends, "id", "left_semi")  # at most two for each edge
     rows = [tuple(r) for r in edges.select("a", "b", "cost", "length").collect()]
     at = [(r[0], (r[1], r[2])) for r in places.select("id", "lng", "lat").collect()] if places is not None else []
     return edges.sparkSession.sparkContext.broadcast((rows, at))
 
 
 def paths(requests: DataFrame, edges: DataFrame, places: DataFrame | None = None, how: str = "dijkstra", most: float = math.inf) -> DataFrame:
-    """(src, dst, cost, length, path) of each request (src, dst) with a path; requests are spread over the tasks."""
+    """(src, dst, cost, length, path) of each request (src, dst) with a path; requests are spread over the tasks by their
+    starts, and what starts at one node is one search."""
     box = collect_graph(edges, places)
     kind = requests.schema["src"].dataType.simpleString()
 
@@ -137,13 +147,15 @@ def paths(requests: DataFrame, edges: DataFrame, places: DataFrame | None = None
         g = Graph(*box.value)
         for pdf in batches:
             out = []
-            for s, t in zip(pdf["src"].tolist(), pdf["dst"].tolist()):
-                r = g.dijkstra(s, t, most) if how == "dijkstra" else g.a_star(s, t, most)
-                if r:
-                    out.append((s, t, float(r[0]), float(r[1]), r[2]))
+            for s, part in pdf.groupby("src", sort=False):
+                goals = part["dst"].tolist()
+                found = g.dijkstra(s, goals, most) if how == "dijkstra" else {t: r for t in set(goals) if (r := g.a_star(s, t, most))}
+                out += [(s, t, float(r[0]), float(r[1]), r[2]) for t in goals if (r := found.get(t))]
             yield pd.DataFrame(out, columns=["src", "dst", "cost", "length", "path"])
 
-    return requests.select("src", "dst").mapInPandas(run, f"src {kind}, dst {kind}, cost double, length double, path array<{kind}>")
+    # searches cost far more than their bytes tell, so the number of parts is set
+    parts = int(requests.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return requests.select("src", "dst").repartition(parts, "src").mapInPandas(run, f"src {kind}, dst {kind}, cost double, length double, path array<{kind}>")
 
 
 def triangles(edges: DataFrame, least: float, most: float) -> DataFrame:
@@ -156,20 +168,23 @@ def triangles(edges: DataFrame, least: float, most: float) -> DataFrame:
 
 
 def rectangles(edges: DataFrame, least: float, most: float) -> DataFrame:
-    """(a, b, c, d, total) of cycles a-b-c-d with a the smallest and b < d, whose sum lies in the limits."""
-    both = edges.select("a", "b", "length").unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b"), "length"))
-    ab = both.where("a < b").select("a", "b", F.col("length").alias("_1"))
-    bc = both.select(F.col("a").alias("b"), F.col("b").alias("c"), F.col("length").alias("_2"))
-    cd = both.select(F.col("a").alias("c"), F.col("b").alias("d"), F.col("length").alias("_3"))
-    ad = edges.select("a", F.col("b").alias("d"), F.col("length").alias("_4"))
-    p = ab.join(bc, "b").where((F.col("c") > F.col("a")) & (F.col("_1") + F.col("_2") <= most))
-    q = p.join(cd, "c").where((F.col("d") > F.col("b")) & (F.col("_1") + F.col("_2") + F.col("_3") <= most)).join(ad, ["a", "d"])
+    """(a, b, c, d, total) of cycles a-b-c-d with a < b < c < d of undirected edges (a < b, length) whose sum lies in
+    the limits. Cycles that don't rise along their way aren't told."""
+    e = edges.select("a", "b", "length")
+    ab = e.withColumnRenamed("length", "_1")
+    bc = e.select(F.col("a").alias("b"), F.col("b").alias("c"), F.col("length").alias("_2"))
+    cd = e.select(F.col("a").alias("c"), F.col("b").alias("d"), F.col("length").alias("_3"))
+    ad = e.select("a", F.col("b").alias("d"), F.col("length").alias("_4"))
+    p = ab.join(bc, "b").where(F.col("_1") + F.col("_2") <= most)
+    q = p.join(cd, "c").where(F.col("_1") + F.col("_2") + F.col("_3") <= most).join(ad, ["a", "d"])
     return q.withColumn("total", F.col("_1") + F.col("_2") + F.col("_3") + F.col("_4")).where(F.col("total").between(least, most)).select("a", "b", "c", "d", "total")
 
 
-def collinear(ax, ay, bx, by, cx, cy, least: float = 0.001):
-    """True if three places lie on a line or so near each other that their cross product in degrees is tiny."""
-    return F.abs((bx - ax) * (cy - ay) - (by - ay) * (cx - ax)) < least
+def collinear(ax, ay, bx, by, cx, cy, least: float = 0.001, side_m: float = 1000.0):
+    """True if three places lie on a line, or so near each other that their cross product in degrees is tiny or no side
+    of their triangle reaches ``side_m``."""
+    sides = F.greatest(geo.haversine(ax, ay, bx, by), geo.haversine(bx, by, cx, cy), geo.haversine(cx, cy, ax, ay))
+    return (F.abs((bx - ax) * (cy - ay) - (by - ay) * (cx - ax)) < least) | (sides < side_m)
 
 
 def quadrants(xs: list, ys: list):

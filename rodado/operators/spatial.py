@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import geo
 from ..session import stage
 from .nearby import within
+from .skew import set_overlaps
 
 #: Factor by which the radius of a nearest-neighbour search grows from ring to ring.
 GROWTH = 8.0
@@ -85,10 +86,19 @@ COVERAGE_M = (50, 100, 200, 500, 1000)
 
 
 def coverage(reference: DataFrame, track: DataFrame, key: str, xy=("_x", "_y"), limits=COVERAGE_M) -> DataFrame:
-    """(key, points, within_50, ...): share of a reference's points (key, ord, lng, lat) near any point of the track."""
-    d = within(reference.select(key, "ord", "lng", "lat"), track.select(*xy).distinct(), float(max(limits)), [key, "ord"], centre_xy=xy, distance="_d")
-    d = d.groupBy(key, "ord").agg(F.min("_d").alias("_d"))
-    j = reference.select(key, "ord").join(d, [key, "ord"], "left")
+    """(key, points, within_50, ...): share of a reference's points (key, ord, lng, lat) near any point of the track.
+
+    Limits from the smallest: points found near are done, so that the wide radii are asked for the others alone.
+    """
+    t = track.select(*xy).distinct()
+    left, done = stage(reference.select(key, "ord", "lng", "lat"), "reference"), None
+    everything = left
+    for m in sorted(limits):
+        hit = within(left, t, float(m), [key, "ord"], centre_xy=xy).select(key, "ord").distinct()
+        hit = stage(hit.withColumn("_d", F.lit(float(m))), "near")
+        done = hit if done is None else done.unionAll(hit)
+        left = left.join(hit, [key, "ord"], "left_anti")
+    j = everything.select(key, "ord").join(done, [key, "ord"], "left")
     return j.groupBy(key).agg(F.count("*").alias("points"), *(geo.half_up(F.avg(F.coalesce((F.col("_d") <= m).cast("int"), F.lit(0))), 4).alias(f"within_{m}") for m in limits))
 
 
@@ -124,8 +134,5 @@ def dense_cells(points: DataFrame, res: float, more_than: int) -> DataFrame:
 
 def footprint_overlap(cells: DataFrame, key: str, more_than: float = 0.5) -> DataFrame:
     """(a, b, share) with a < b: cells two footprints (key, gx, gy) share, against the smaller; only above the limit."""
-    c = cells.select(key, "gx", "gy").distinct()
-    n = c.groupBy(key).agg(F.count("*").alias("_n"))
-    j = c.withColumnRenamed(key, "a").join(c.withColumnRenamed(key, "b"), ["gx", "gy"]).where("a < b").groupBy("a", "b").agg(F.count("*").alias("_k"))
-    j = j.join(n.select(F.col(key).alias("a"), F.col("_n").alias("_na")), "a").join(n.select(F.col(key).alias("b"), F.col("_n").alias("_nb")), "b")
-    return j.withColumn("share", F.col("_k") / F.least("_na", "_nb")).where(F.col("share") > more_than).select("a", "b", "share")
+    c = cells.groupBy(key).agg(F.collect_set(F.struct("gx", "gy")).alias("_cells"))
+    return set_overlaps(c, key, "_cells", more_than)

@@ -80,62 +80,38 @@ _add("q_floodfill", lambda s, d: G.flood_fill(P.dense_cells(_places(s, d), 0.005
      f"WITH RECURSIVE {_PL}, {_CL}, i AS (SELECT gx, gy, (gx+2147483648)*4294967296::HUGEINT+gy+2147483648 AS id FROM c), e AS (SELECT x.id AS u, y.id AS v FROM i x JOIN i y ON abs(x.gx-y.gx)<=1 AND abs(x.gy-y.gy)<=1 AND x.id<>y.id), r(u, k) AS (SELECT id, id FROM i UNION SELECT e.v, r.k FROM r JOIN e ON e.u=r.u WHERE r.k<e.v), m AS (SELECT u, min(k) AS k FROM r GROUP BY u) SELECT count(*) AS cells, min(gx) AS gx0, min(gy) AS gy0 FROM m JOIN i ON i.id=m.u GROUP BY k")
 
 
-def _edges(s, d):
-    e = P.line_links(_lines(s, d), "way_id", 200.0).select("a", "b", (F.round("gap_m", 1) + 40).alias("cost"), "gap_m")
-    return e.select("a", "b", "cost", F.col("gap_m").alias("length")).unionAll(e.select(F.col("b").alias("a"), F.col("a").alias("b"), "cost", F.col("gap_m").alias("length")))
-
-
-def _requests(s, d):
-    e = P.line_links(_lines(s, d), "way_id", 200.0)
-    return e.join(e.select(F.col("a").alias("b"), F.col("b").alias("c")), "b").where("a <> c").select(F.col("a").alias("src"), F.col("c").alias("dst")).distinct()
+def _links(s, d):
+    return stage(P.line_links(_lines(s, d), "way_id", 200.0), "links")
 
 
-_add("q_shortest", lambda s, d: G.paths(_requests(s, d), _edges(s, d), most=200.0).select("src", "dst", F.round("cost", 1).alias("cost")),
-     f"WITH RECURSIVE {_LN}, {_LK}, k AS (SELECT a, b, round(gap_m,1)+40 AS cost FROM lk), e AS (SELECT a, b, cost FROM k UNION ALL SELECT b, a, cost FROM k), q AS (SELECT DISTINCT x.a AS src, y.b AS dst FROM lk x JOIN lk y ON y.a=x.b WHERE x.a<>y.b), "
-     "r(src, n, cost, hops) AS (SELECT DISTINCT src, src, 0.0::DOUBLE, 0 FROM q UNION SELECT r.src, e.b, r.cost+e.cost, hops+1 FROM r JOIN e ON e.a=r.n WHERE hops<5 AND r.cost+e.cost<=200) SELECT src, dst, round(min(cost),1) AS cost FROM q JOIN r USING (src) WHERE n=dst GROUP BY 1,2")
+def _edges(links):
+    e = links.select("a", "b", (F.round("gap_m", 1) + 40).alias("cost"), "gap_m")
+    return e.select("a", "b", "cost", F.col("gap_m").alias("length")).unionAll(e.select(F.col("b").alias("a"), F.col("a").alias("b"), "cost", F.col("gap_m").alias("length")))
 
 
-def _far_requests(e):
-    """Each node of the edges with those up to four links away."""
-    e = e.select("a", "b").distinct()
-    r = e.select(F.col("a").alias("src"), F.col("b").alias("dst"))
-    for _ in range(3):
-        r = stage(r.unionAll(r.join(e.withColumnRenamed("a", "dst"), "dst").select("src", F.col("b").alias("dst"))).where("src <> dst").distinct(), "requests")
-    return r
+def _requests(e):
+    return e.join(e.select(F.col("a").alias("b"), F.col("b").alias("c")), "b").where("a <> c").select(F.col("a").alias("src"), F.col("c").alias("dst")).distinct()
 
 
-def _shortest_all(s, d):
-    e = stage(_edges(s, d), "links")
-    return G.paths(_far_requests(e), e).select("src", "dst", F.round("cost", 1).alias("cost"))
+def _shortest(s, d):
+    """Cheapest paths between ways two links apart. Costs have no bound, as a way round may be cheaper than the two links."""
+    e = _links(s, d)
+    return G.paths(_requests(e), _edges(e)).select("src", "dst", F.round("cost", 1).alias("cost"))
 
 
-_add("q_shortest_all", _shortest_all)
+_add("q_shortest", _shortest,
+     f"""WITH RECURSIVE {_LN}, {_LK}, k AS (SELECT a, b, round(gap_m,1)+40 AS cost FROM lk), e AS (SELECT a, b, cost FROM k UNION ALL SELECT b, a, cost FROM k), q AS (SELECT DISTINCT x.a AS src, y.b AS dst FROM lk x JOIN lk y ON y.a=x.b WHERE x.a<>y.b),
+r(src, n, cost) USING KEY (src, n) AS (SELECT DISTINCT src, src, 0.0::DOUBLE FROM q UNION SELECT r.src, e.b, min(r.cost+e.cost) FROM r JOIN e ON e.a=r.n LEFT JOIN recurring.r AS o ON o.src=r.src AND o.n=e.b WHERE r.cost+e.cost<coalesce(o.cost, 1e18) GROUP BY 1,2)
+SELECT q.src, q.dst, round(r.cost,1) AS cost FROM q JOIN r ON r.src=q.src AND r.n=q.dst""")
 
 
 def _zones(s, d):
-    return _places(s, d).where("category = 'viewpoint'").select(F.col("place_id").alias("id"), "lng", "lat")
-
-
-def _zone_edges(s, d, m=4000.0):
-    z = _zones(s, d)
-    return P.pairs_within(z.withColumnRenamed("id", "place_id"), "place_id", m).select("a", "b", F.col("metres").alias("length"))
-
-
-_ZE = f"z AS (SELECT place_id AS id, lng, lat FROM p WHERE category='viewpoint'), ze AS (SELECT x.id AS a, y.id AS b, {hav('x.lng','x.lat','y.lng','y.lat')} AS length FROM z x JOIN z y ON x.id<y.id WHERE {hav('x.lng','x.lat','y.lng','y.lat')}<="
-_add("q_zone_pairs", lambda s, d: _zone_edges(s, d).withColumn("length", F.round("length", 3)), f"WITH {_PL}, {_ZE}4000) SELECT a, b, round(length,3) AS length FROM ze")
-_add("q_triangles", lambda s, d: G.triangles(_zone_edges(s, d), 3000.0, 9000.0).select("a", "b", "c", F.round("total", 2).alias("total")),
-     f"WITH {_PL}, {_ZE}4000) SELECT x.a AS a, x.b AS b, y.b AS c, round(x.length+y.length+w.length,2) AS total FROM ze x JOIN ze y ON y.a=x.b JOIN ze w ON w.a=x.a AND w.b=y.b WHERE x.length+y.length+w.length BETWEEN 3000 AND 9000")
-_add("q_rectangles", lambda s, d: G.rectangles(_zone_edges(s, d, 2500.0), 2000.0, 8000.0).select("a", "b", "c", "d", F.round("total", 2).alias("total")),
-     f"WITH {_PL}, {_ZE}2500), e AS (SELECT a, b, length FROM ze UNION ALL SELECT b, a, length FROM ze) SELECT w.a AS a, w.b AS b, x.b AS c, y.b AS d, round(w.length+x.length+y.length+v.length,2) AS total FROM e w JOIN e x ON x.a=w.b AND x.b>w.a JOIN e y ON y.a=x.b AND y.b>w.b JOIN e v ON v.a=w.a AND v.b=y.b WHERE w.a<w.b AND w.a<y.b AND w.length+x.length+y.length+v.length BETWEEN 2000 AND 8000")
-
-
-def _lively(s, d):
-    """All lively zones, as q_zones finds them, before its choice of the strongest."""
+    """(place_id, lng, lat): the centres of all lively zones, as q_zones finds them before its choice of the strongest."""
     z = Z.lively(_places(s, d).select(F.coalesce("category", F.lit("other")).alias("kind"), "lng", "lat"), 3)
     return stage(z.select(F.col("zone").alias("place_id"), F.col("clng").alias("lng"), F.col("clat").alias("lat")), "zones")
 
 
-def _lively_edges(s, d, z):
+def _zone_edges(z):
     return stage(P.pairs_within(z, "place_id", 10_000.0).select("a", "b", F.col("metres").alias("length")), "pairs")
 
 
@@ -146,26 +122,35 @@ def _with_centres(df, z, keys):
 
 
 def _loops_of_three(s, d):
-    z = _lively(s, d)
-    t = _with_centres(G.triangles(_lively_edges(s, d, z), 5000.0, 35_000.0), z, "abc")
+    z = _zones(s, d)
+    t = _with_centres(G.triangles(_zone_edges(z), 5000.0, 35_000.0), z, "abc")
     return t.where(~G.collinear(*(F.col(f"_{v}{k}") for k in "abc" for v in "xy"))).select("a", "b", "c", F.round("total", 2).alias("total"))
 
 
 def _loops_of_four(s, d):
-    z = _lively(s, d)
-    t = _with_centres(G.rectangles(_lively_edges(s, d, z), 10_000.0, 50_000.0), z, "abcd")
+    z = _zones(s, d)
+    t = _with_centres(G.rectangles(_zone_edges(z), 10_000.0, 50_000.0), z, "abcd")
     return t.where(G.quadrants([F.col(f"_x{k}") for k in "abcd"], [F.col(f"_y{k}") for k in "abcd"]) >= 3).select("a", "b", "c", "d", F.round("total", 2).alias("total"))
 
 
-# over the lively zones, with the limits of the survey
-_add("q_zone_pairs_all", lambda s, d: _lively_edges(s, d, _lively(s, d)).withColumn("length", F.round("length", 3)))
-_add("q_triangles_all", _loops_of_three)
-_add("q_rectangles_all", _loops_of_four)
+#: Lively zones: cells of more than 3 places, flooded, with the mean of their places.
+_ZN = f"""{_PL}, {_CL}, i AS (SELECT gx, gy, (gx*4294967296::HUGEINT+gy+2147483648)::BIGINT AS id FROM c WHERE n>3), e AS (SELECT x.id AS u, y.id AS v FROM i x JOIN i y ON abs(x.gx-y.gx)<=1 AND abs(x.gy-y.gy)<=1 AND x.id<>y.id),
+r(u, k) AS (SELECT id, id FROM i UNION SELECT e.v, r.k FROM r JOIN e ON e.u=r.u WHERE r.k<e.v), m AS (SELECT u, min(k) AS k FROM r GROUP BY u), z AS (SELECT m.k AS id, avg(lng) AS x, avg(lat) AS y, count(*) AS n FROM p JOIN i ON floor(lng/0.005::DOUBLE)=i.gx AND floor(lat/0.005::DOUBLE)=i.gy JOIN m ON m.u=i.id GROUP BY 1)"""
+_ZD = lambda a, b: hav(f"{a}.x", f"{a}.y", f"{b}.x", f"{b}.y")
+_ZE = f"{_ZN}, ze AS (SELECT v.id AS a, w.id AS b, {_ZD('v', 'w')} AS length FROM z v JOIN z w ON v.id<w.id WHERE {_ZD('v', 'w')}<=10000)"
+_add("q_zone_pairs", lambda s, d: _zone_edges(_zones(s, d)).withColumn("length", F.round("length", 3)), f"WITH RECURSIVE {_ZE} SELECT a, b, round(length,3) AS length FROM ze")
+_add("q_triangles", _loops_of_three, f"""WITH RECURSIVE {_ZE} SELECT f.a AS a, f.b AS b, g.b AS c, round(f.length+g.length+h.length,2) AS total FROM ze f JOIN ze g ON g.a=f.b JOIN ze h ON h.a=f.a AND h.b=g.b JOIN z za ON za.id=f.a JOIN z zb ON zb.id=f.b JOIN z zc ON zc.id=g.b
+WHERE f.length+g.length+h.length BETWEEN 5000 AND 35000 AND abs((zb.x-za.x)*(zc.y-za.y)-(zb.y-za.y)*(zc.x-za.x))>=0.001 AND greatest(f.length,g.length,h.length)>=1000""")
+_QX = "(za.x+zb.x+zc.x+zd.x)/4"
+_QY = "(za.y+zb.y+zc.y+zd.y)/4"
+_add("q_rectangles", _loops_of_four, f"""WITH RECURSIVE {_ZE} SELECT f.a AS a, f.b AS b, g.b AS c, h.b AS d, round(f.length+g.length+h.length+l.length,2) AS total FROM ze f JOIN ze g ON g.a=f.b JOIN ze h ON h.a=g.b JOIN ze l ON l.a=f.a AND l.b=h.b JOIN z za ON za.id=f.a JOIN z zb ON zb.id=f.b JOIN z zc ON zc.id=g.b JOIN z zd ON zd.id=h.b
+WHERE f.length+g.length+h.length+l.length BETWEEN 10000 AND 50000 AND len(list_distinct([{','.join(f"({k}.x>={_QX})::INT*2+({k}.y>={_QY})::INT" for k in ('za', 'zb', 'zc', 'zd'))}]))>=3""")
 _add("q_footprints", lambda s, d: P.footprint_overlap(event_tracks(s, d).select("track", geo.cell("lng", 0.01).alias("gx"), geo.cell("lat", 0.01).alias("gy")), "track", 0.5).withColumn("share", F.round("share", 6)),
      f"WITH {TRACKS}, g AS (SELECT DISTINCT track, floor(lng/0.01::DOUBLE)::BIGINT AS gx, floor(lat/0.01::DOUBLE)::BIGINT AS gy FROM tr), n AS (SELECT track, count(*) AS n FROM g GROUP BY 1), k AS (SELECT x.track AS a, y.track AS b, count(*) AS k FROM g x JOIN g y ON x.gx=y.gx AND x.gy=y.gy AND x.track<y.track GROUP BY 1,2) SELECT a, b, round(k/least(na.n,nb.n),6) AS share FROM k JOIN n na ON na.track=a JOIN n nb ON nb.track=b WHERE k/least(na.n,nb.n)>0.5")
 _add("q_buffer_cells", lambda s, d: P.disc_cells(_places(s, d), "lng", "lat", 300.0, 0.001).groupBy("gx", "gy").agg(F.count_distinct("place_id").alias("places")))
 _add("q_pois_on_track", lambda s, d: T_pois(s, d), f"""WITH {TRACKS}, {_PL}, pp AS (SELECT place_id, name, -75.7+(place_id%400-200)/1e3 AS x, 45.4+(place_id*7%400-200)/1e3 AS y FROM p WHERE name IS NOT NULL),
-h AS (SELECT track, count(DISTINCT name) AS pois FROM tr JOIN pp ON abs(lat-y)<0.005 AND {_D}<500 GROUP BY 1) SELECT en.track, coalesce(pois,0) AS pois, CASE WHEN length_m>0 THEN floor(coalesce(pois,0)/(length_m/1000)*100+0.5)/10 ELSE 0 END AS per_10km FROM en LEFT JOIN h USING (track)""")
+sa AS (SELECT track, lng, lat FROM (SELECT *, row_number() OVER (PARTITION BY track ORDER BY ord)-1 AS i, count(*) OVER (PARTITION BY track) AS n FROM tr) WHERE i % greatest(n//200,1) = 0),
+h AS (SELECT track, count(DISTINCT name) AS pois FROM sa JOIN pp ON abs(lat-y)<0.005 AND {_D}<500 GROUP BY 1) SELECT en.track, coalesce(pois,0) AS pois, CASE WHEN length_m>0 THEN floor(coalesce(pois,0)/(length_m/1000)*100+0.5)/10 ELSE 0 END AS per_10km FROM en LEFT JOIN h USING (track)""")
 
 
 def T_pois(s, d):

@@ -17,7 +17,7 @@ DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
-_staged: list[tuple[SparkSession, str]] = []
+_staged: dict[str, SparkSession] = {}
 
 
 def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "8g", **conf: str) -> SparkSession:
@@ -68,17 +68,33 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     df.write.parquet(path)
     if not _staged:
         atexit.register(drop_staged)
-    _staged.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _staged[path] = spark
+    out._staged_path = path
+    return out
+
+
+def _remove(path: str) -> None:
+    spark = _staged.pop(path)
+    try:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    except Exception:
+        pass
+
+
+def drop(*frames: DataFrame) -> None:
+    """Removes the copies that :func:`stage` returned as these frames; others are left alone.
+
+    For loops that write a copy each round: no plan that is still to run may read what is dropped.
+    """
+    for df in frames:
+        if getattr(df, "_staged_path", None) in _staged:
+            _remove(df._staged_path)
 
 
 def drop_staged() -> None:
     """Removes every table that :func:`stage` wrote. Errors are ignored: the session may be gone."""
-    while _staged:
-        spark, path = _staged.pop()
-        try:
-            jvm = spark.sparkContext._jvm
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-        except Exception:
-            pass
+    for path in list(_staged):
+        _remove(path)
