@@ -6,6 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed values throughout: tag values, points and their order are given, not derived.
+TRAIL_WORDS = ("cerro", "sendero", "mtb", "trail", "mahuida", "manquehue")
+LOOSE_SURFACES, STONE_SURFACES = ("gravel", "unpaved", "dirt"), ("cobblestone", "sett")
 SURVEYED_COMFORT = {"parque": 5, "bandejón": 5, "mediana": 4, "acera": 3, "calzada": 0}
 GREEN_PLACEMENT = ("parque", "mediana", "bandejón")
 PLAIN_ROADS = ("primary", "secondary", "tertiary", "residential", "living_street")
@@ -14,8 +16,8 @@ CAR_ROADS = ("primary", "secondary", "trunk", "motorway")
 CONDITIONS = ("buena", "regular", "mala", "muy mala")
 UTILITY_PLACES = ("wc", "parking", "utility", "detour", "flooding", "toilets", "bicycle_parking", "waste_basket")
 ANCHOR_POINTS = {
-    "beach": 9, "park": 9, "garden": 8, "water": 8, "viewpoint": 8, "bridge": 7, "camp_site": 7, "square": 7, "marketplace": 7, "station": 6,
-    "museum": 6, "ferry_terminal": 6, "metro": 5, "bicycle_rental": 4, "bicycle": 4, "ice_cream": 3, "pub": 3, "cafe": 2, "curated": 10,
+    "beach": 9, "park": 9, "garden": 8, "water": 8, "bridge": 7, "viewpoint": 8, "camp_site": 7, "square": 7, "marketplace": 7, "station": 6,
+    "metro": 5, "museum": 6, "ferry_terminal": 6, "bicycle_rental": 4, "bicycle": 4, "ice_cream": 3, "pub": 3, "cafe": 2, "curated": 10,
 }
 ROAD_WEIGHTS = {
     "cycleway": 1.0, "path": 1.1, "living_street": 1.2, "footway": 1.3, "pedestrian": 1.3, "residential": 1.5, "service": 1.5, "tertiary": 1.8, "secondary": 2.5,
@@ -106,6 +108,20 @@ def road_weight(highway: Column) -> Column:
     return F.coalesce(_map(ROAD_WEIGHTS, F.coalesce(F.nullif(highway, F.lit("")), F.lit("residential"))), F.lit(2.0))
 
 
+def best_condition(label: Column, order: Column) -> Column:
+    """Aggregate: the best known label; without a known one the last label by ``order``."""
+    rank = condition_rank(F.lower(label))
+    best = F.min_by(label, F.when(rank.isNotNull(), F.struct(rank.alias("r"), order.alias("o"))))
+    return F.coalesce(best, F.max_by(label, F.when(label.isNotNull(), order)))
+
+
+def worst_condition(label: Column, order: Column) -> Column:
+    """Aggregate: the first unknown label by ``order`` if there is one, else the worst."""
+    rank = condition_rank(F.lower(label))
+    unknown = F.min_by(label, F.when(label.isNotNull() & rank.isNull(), order))
+    return F.coalesce(unknown, F.min_by(label, F.when(rank.isNotNull(), F.struct((-rank).alias("r"), order.alias("o")))))
+
+
 def condition_rank(c: Column) -> Column:
     """0 (best) to 3; null for other labels."""
     return _map({k: i for i, k in enumerate(CONDITIONS)}, c)

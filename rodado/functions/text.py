@@ -40,7 +40,7 @@ def _bare(c: Column) -> Column:
 
 
 #: Words for the kind of way that may stand before a street's name; one is taken off.
-KIND_PREFIX = "CICLOBANDA|CICLOVIA|CICLOPISTA|CICLORRUTA|AVENIDA|AV\\.?|CALLE|PASEO|PASAJE|CAMINO"
+KIND_PREFIX = r"AV\.|AVENIDA|CALLE|PASEO|CICLOVIA|CICLOVÍA|CICLOBANDA|SENDERO"
 
 
 def normal_name(c: Column) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geo, rules
 from ..functions.text import loose_name, normal_name, slug
+from .skew import numbered, salted_join
 
 
 def survey_segments(catastro: DataFrame) -> DataFrame:
@@ -56,8 +57,14 @@ def way_segments(ways: DataFrame) -> DataFrame:
 
 def cycling_ways(ways: DataFrame, group: str, cls: str = "way_class") -> DataFrame:
     """Keeps ways with cycling infrastructure; plain roads only in groups that have nothing else."""
-    better = F.max(F.col(cls).isin("cycleway", "lane")).over(Window.partitionBy(group))
-    return ways.where(F.col(cls).isNotNull()).withColumn("_b", better).where((F.col(cls) != "road") | ~F.col("_b")).drop("_b")
+    known = ways.where(F.col(cls).isNotNull())
+    better = known.where(F.col(cls) != "road").select(group).distinct()
+    roads = known.where(F.col(cls) == "road")
+    alone = salted_join(roads, better.where(F.col(group).isNotNull()), [group], roads.columns, how="left_anti")
+    # roads without a group are one group, as nulls are in a grouping
+    unknown = better.where(F.col(group).isNull()).select(F.lit(True).alias("_b")).limit(1)
+    alone = alone.join(F.broadcast(unknown), F.col(group).isNull(), "left").where("_b is null").drop("_b")
+    return known.where(F.col(cls) != "road").unionByName(alone.select(known.columns))
 
 
 def last_per_key(df: DataFrame, key: str, order: Column) -> DataFrame:
@@ -131,9 +138,7 @@ def insert_missing(old: DataFrame, new: DataFrame, key: str, first: Column) -> D
 
 def numbered_slugs(df: DataFrame, name: str, order: Column) -> DataFrame:
     """Adds slug: the second row of a slug gets -2, the third -3, and so on."""
-    s = df.withColumn("_s", slug(F.col(name)))
-    k = F.row_number().over(Window.partitionBy("_s").orderBy(order))
-    return s.withColumn("_k", k).withColumn("slug", F.when(F.col("_k") == 1, F.col("_s")).otherwise(F.concat("_s", F.lit("-"), F.col("_k")))).drop("_s", "_k")
+    return numbered(df.withColumn("_s", slug(F.col(name))), "_s", order, "_k").withColumn("slug", F.when(F.col("_k") == 1, F.col("_s")).otherwise(F.concat("_s", F.lit("-"), F.col("_k")))).drop("_s", "_k")
 
 
 def most_frequent(df: DataFrame, by: str, value: str, order: Column) -> DataFrame:
@@ -142,34 +147,49 @@ def most_frequent(df: DataFrame, by: str, value: str, order: Column) -> DataFram
     return n.groupBy(by).agg(F.max_by(value, F.struct("_n", -F.col("_o"))).alias(value))
 
 
-def corridors(segments: DataFrame, by: str) -> DataFrame:
-    """Roll-up of segments to corridors: totals, mean known score, best and worst condition, towns, videos."""
-    rank = rules.condition_rank(F.col("clasificacion"))
-    label = F.col("clasificacion")
-    known = rank.isNotNull()
-    return segments.groupBy(by).agg(
+def corridors(segments: DataFrame, by: str, order: str = "feature_id") -> DataFrame:
+    """Roll-up of segments to corridors: totals, gaps over 10 m if segments have gap_m, mean known score, best and worst
+    condition, towns, and videos in the order they are first met."""
+    label, at = F.col("clasificacion"), F.col(order)
+    firsts = segments.where("video is not null").groupBy(by, "video").agg(F.min(at).alias("_at"))
+    videos = firsts.groupBy(by).agg(F.transform(F.sort_array(F.collect_list(F.struct("_at", "video"))), lambda v: v["video"]).alias("videos"))
+    gap = F.when(F.col("gap_m") > 10, F.col("gap_m")) if "gap_m" in segments.columns else F.lit(None).cast("double")
+    g = segments.groupBy(by).agg(
         F.count("*").alias("segments"), F.sum("length_m").alias("length_m"), F.avg("score").alias("mean_score"),
-        F.min_by(label, F.when(known, rank)).alias("best"), F.max_by(label, F.when(known, rank)).alias("worst"),
-        F.sort_array(F.collect_set("comuna")).alias("comunas"), F.count_distinct("video").alias("videos"),
+        F.coalesce(F.sum(gap), F.lit(0.0)).alias("gap_m"), F.transform(F.sort_array(F.collect_list(F.when(gap.isNotNull(), F.struct(at.alias("at"), gap.alias("m"))))), lambda x: x["m"]).alias("gaps"),
+        rules.best_condition(label, at).alias("best"), rules.worst_condition(label, at).alias("worst"),
+        F.sort_array(F.collect_set("comuna")).alias("comunas"),
         (F.sum(F.when(F.col("emplazamiento").isin(*rules.GREEN_PLACEMENT), F.col("length_m")).otherwise(0.0)) / F.nullif(F.sum("length_m"), F.lit(0.0))).alias("green_share"),
         F.avg(F.when(F.col("ancho_cm") > 0, F.col("ancho_cm"))).alias("mean_width_cm"),
     )
+    return g.join(videos, by, "left").withColumn("videos", F.coalesce("videos", F.array().cast("array<string>")))
+
 
+def corridor_tags(segments: DataFrame, by: str, routes: DataFrame, order: str) -> DataFrame:
+    """(by, tags): descriptive tags by rules over the segments of each route or corridor, and its towns, sorted.
 
-def corridor_tags(segments: DataFrame, by: str) -> DataFrame:
-    """(by, tags): descriptive tags by rules over a corridor's segments, and its towns."""
-    n = F.count("*")
-    any_ = lambda c: F.coalesce(F.max(c), F.lit(False))
+    segments: (by, order, tipo, emplazamiento, surface, lit, ancho_cm, comuna). routes: (by, kind, infra_pct,
+    gap_max_m), a row each. Of surfaces that are equally frequent the one met first rules.
+    """
+    yes = lambda c: F.coalesce(c, F.lit(False))
+    any_ = lambda c: yes(F.max(c))
+    surface = most_frequent(segments, by, "surface", F.col(order))
     g = segments.groupBy(by).agg(
-        any_(F.col("tipo") == "unidireccional").alias("one"), any_(F.col("emplazamiento") == "parque").alias("park"),
-        any_(F.col("emplazamiento") == "mediana").alias("median"), F.avg(F.when(F.col("ancho_cm") > 0, F.col("ancho_cm"))).alias("w"),
-        n.alias("n"), F.sort_array(F.collect_set(F.nullif("comuna", F.lit("unknown")))).alias("towns"),
+        any_(F.col("tipo") == "unidireccional").alias("_one"), any_(F.col("emplazamiento") == "parque").alias("_park"),
+        any_(F.col("emplazamiento") == "mediana").alias("_median"), F.coalesce(F.avg(F.when(F.col("ancho_cm") > 0, F.col("ancho_cm"))), F.lit(0.0)).alias("_wide"),
+        (F.count_if(F.col("lit")) > F.count("*") * 0.7).alias("_lit"), F.sort_array(F.collect_set(F.nullif("comuna", F.lit("")))).alias("_towns"),
     )
-    tags = F.array_compact(F.array(
-        F.lit("bike path"), F.when(F.col("one"), F.lit("protected lane")), F.when(F.col("park"), F.lit("park path")),
-        F.when(F.col("median"), F.lit("median lane")), F.lit("flat"), F.when(F.col("w") >= 150, F.lit("wide")),
-    ))
-    return g.select(by, F.sort_array(F.array_union(tags, F.col("towns"))).alias("tags"))
+    g = routes.join(g, by, "left").join(surface, by, "left")
+    c = F.col
+    easy = yes((c("infra_pct") > 80) & (c("gap_max_m") < 300) & (c("_wide") >= 150))
+    rules_ = [
+        ("bike path", c("_wide").isNotNull()), ("protected lane", c("_one")), ("park path", c("_park")), ("median lane", c("_median")),
+        ("gravel", c("surface").isin(*rules.LOOSE_SURFACES)), ("cobblestone", c("surface").isin(*rules.STONE_SURFACES)), ("lit", c("_lit")),
+        ("loop", c("kind") == "loop"), ("mountain", c("kind") == "mountain"), ("flat", F.lit(True)), ("easy", easy), ("family friendly", easy),
+        ("hard", (c("infra_pct") < 50) | (c("gap_max_m") > 1000)),
+    ]
+    tags = F.array_compact(F.array(*(F.when(cond, F.lit(t)) for t, cond in rules_)))
+    return g.select(by, F.sort_array(F.array_union(tags, F.coalesce("_towns", F.array().cast("array<string>")))).alias("tags"))
 
 
 def dangling(df: DataFrame, key: str, target: DataFrame, other: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import geo
 from .graph import _metres, components
 from .lines import Line, order_lines, turn_between
+from .nearby import within
 from .spatial import line_links
 
 #: Limits of a continuation.
@@ -15,16 +16,22 @@ CONTINUES_M, SMALL_M, SMALL_GAP_M, SMALL_TURN, LONG_GAP_M, LONG_TURN = 200.0, 10
 
 
 def continuations(segments: DataFrame, gap_m: float = CONTINUES_M) -> DataFrame:
-    """(a, b) of segments (seg_id, normal_name, lng0, lat0, lng1, lat1) of one name whose ends are that close and that
-    don't merely run beside one another (middles nearer than a third of the shorter one)."""
+    """(a, b), a < b, of segments (seg_id, normal_name, length_m, lng0, lat0, lng1, lat1) of one name where one ends
+    within ``gap_m`` of the other's start, and that don't run side by side.
+
+    Two that only start or only end together don't continue each other. Side by side are two over ``gap_m`` long with
+    both pairs of ends nearer than that, in either sense.
+    """
     s = segments.where("normal_name <> ''")
-    links = line_links(s, "seg_id", gap_m)
-    side = lambda k: s.select(
-        F.col("seg_id").alias(k), F.col("normal_name").alias(f"_n{k}"), ((F.col("lng0") + F.col("lng1")) / 2).alias(f"_x{k}"), ((F.col("lat0") + F.col("lat1")) / 2).alias(f"_y{k}"),
-        geo.haversine("lng0", "lat0", "lng1", "lat1").alias(f"_l{k}"))
-    j = links.join(side("a"), "a").join(side("b"), "b").where("_na = _nb")
-    apart = geo.haversine("_xa", "_ya", "_xb", "_yb") >= F.least("_la", "_lb") / 3
-    return j.where(apart).select("a", "b")
+    tips = s.select(F.col("seg_id").alias("_s"), F.col("normal_name").alias("_ns"), F.col("lng1").alias("lng"), F.col("lat1").alias("lat"))
+    heads = s.select(F.col("seg_id").alias("_t"), F.col("normal_name").alias("_nt"), F.col("lng0").alias("_x"), F.col("lat0").alias("_y"))
+    links = within(tips, heads, gap_m, ["_s"], centre_xy=("_x", "_y")).where("_s <> _t and _ns = _nt")
+    links = links.select(F.least("_s", "_t").alias("a"), F.greatest("_s", "_t").alias("b")).distinct()
+    side = lambda k: s.select(F.col("seg_id").alias(k), *(F.col(c).alias(f"{c}{k}") for c in ("length_m", "lng0", "lat0", "lng1", "lat1")))
+    j = links.join(side("a"), "a").join(side("b"), "b")
+    near = lambda p, q: geo.haversine(f"lng{p}a", f"lat{p}a", f"lng{q}b", f"lat{q}b") < gap_m
+    beside = ((near(0, 0) & near(1, 1)) | (near(0, 1) & near(1, 0))) & (F.col("length_ma") > gap_m) & (F.col("length_mb") > gap_m)
+    return j.where(~beside).select("a", "b")
 
 
 def axes_of(segments: DataFrame, gap_m: float = CONTINUES_M) -> DataFrame:

@@ -184,6 +184,12 @@ ARROWS = ("↑N", "↗NE", "→E", "↘SE", "↓S", "↙SW", "←W", "↖NW")
 STILL = "·"
 
 
+def _arrow(ax: Column, ay: Column, bx: Column, by: Column) -> Column:
+    dy, dx = (by - ay) * PLANE_M, (bx - ax) * PLANE_M * F.cos(F.radians(ay))
+    k = F.pmod(F.floor((F.degrees(F.atan2(dx, dy)) + 22.5) / 45.0).cast("int"), F.lit(8))
+    return F.when(F.sqrt(dx * dx + dy * dy) < 50, STILL).otherwise(F.element_at(F.array(*map(F.lit, ARROWS)), k + 1))
+
+
 def shape(points: DataFrame) -> DataFrame:
     """(track, shape): the main directions of 2 to 12 blocks of about a kilometre."""
     s = with_ends(steps(points)).where(F.col("n") >= 2)
@@ -194,14 +200,89 @@ def shape(points: DataFrame) -> DataFrame:
     at = F.sequence(F.lit(0), F.col("_blocks") - 1)
     e = s.withColumn("_b", F.explode(F.filter(at, lambda b: (F.col("_i") == b * F.col("_size")) | (F.col("_i") == F.least((b + 1) * F.col("_size"), F.col("n") - 1)))))
     g = e.groupBy("track", "_b").agg(F.min_by("lng", "_i").alias("ax"), F.min_by("lat", "_i").alias("ay"), F.max_by("lng", "_i").alias("bx"), F.max_by("lat", "_i").alias("by"))
-    dy = (F.col("by") - F.col("ay")) * PLANE_M
-    dx = (F.col("bx") - F.col("ax")) * PLANE_M * F.cos(F.radians("ay"))
-    k = F.pmod(F.floor((F.degrees(F.atan2(dx, dy)) + 22.5) / 45.0).cast("int"), F.lit(8))
-    sign = F.when(F.sqrt(dx * dx + dy * dy) < 50, STILL).otherwise(F.element_at(F.array(*map(F.lit, ARROWS)), k + 1))
-    g = g.withColumn("_s", sign)
+    g = g.withColumn("_s", _arrow(F.col("ax"), F.col("ay"), F.col("bx"), F.col("by")))
     return g.groupBy("track").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("_b", "_s"))), lambda x: x["_s"]), " ").alias("shape"))
 
 
+def measures(points: DataFrame) -> DataFrame:
+    """One row a track with all of :func:`smoothness`, :func:`interpolated`, :func:`jumps`, :func:`density`,
+    :func:`rideability` and :func:`shape`, and lng0, lat0, lng1, lat1, length_m, in one exchange, one sort, one group.
+
+    Where those drop points before they look back, here the look back skips what they drop.
+    """
+    o, full = _order(), _order().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    before = o.rowsBetween(Window.unboundedPreceding, -1)
+    c = F.col
+    last_known = lambda x: F.last(x, ignorenulls=True).over(before)
+    s = points.select("track", "ord", "lng", "lat").withColumns({
+        "plng": F.lag("lng").over(o), "plat": F.lag("lat").over(o), "n": F.count("*").over(full), "_i": F.row_number().over(o) - 1,
+        "lng0": F.first("lng").over(full), "lat0": F.first("lat").over(full), "lng1": F.last("lng").over(full), "lat1": F.last("lat").over(full),
+        "_cx": F.avg("lng").over(full), "_cy": F.avg("lat").over(full),
+    })
+    s = s.withColumns({
+        "step_m": geo.haversine("plng", "plat", "lng", "lat"), "_b": geo.bearing("plng", "plat", "lng", "lat"), "_p": _projection(),
+        "crow_m": geo.haversine("lng0", "lat0", "lng1", "lat1"),
+        "_a": F.when(c("_i") % F.greatest(F.floor(c("n") / 100), F.lit(1)) == 0, F.degrees(F.atan2(c("lng") - c("_cx"), c("lat") - c("_cy")))),
+    })
+    long = c("step_m") >= 30
+    s = s.withColumns({
+        "_total": F.sum("step_m").over(full), "_pb30": last_known(F.when(long, c("_b"))), "_far": F.max(F.when(long, c("_p"))).over(_so_far()),
+        "_pm": F.lag("step_m").over(o), "_pb": F.lag("_b").over(o), "_pp": F.lag(F.coalesce("_p", F.lit(0.0))).over(o),
+        "_d": c("_a") - last_known(c("_a")),
+    })
+    even = lambda k: (c(k) > 40) & (c(k) < 60)
+    s = s.withColumns({
+        "_made": F.coalesce(even("step_m") & even("_pm") & (geo.angle_between("_pb", "_b") < 2), F.lit(False)),
+        "delta": F.when(c("_d") > 180, c("_d") - 360).when(c("_d") < -180, c("_d") + 360).otherwise(c("_d")),
+        "_blocks": F.greatest(F.least(half_up(F.coalesce("_total", F.lit(0.0)) / 1000), F.lit(12.0)), F.lit(2.0)).cast("int"),
+    })
+    s = s.withColumn("_dir", F.when(F.abs("delta") > 5, F.signum("delta"))).withColumn("_size", F.floor(c("n") / c("_blocks")).cast("int"))
+    s = s.withColumns({"_was": last_known(c("_dir")), "_starts": c("_made") & ~F.coalesce(F.lag("_made").over(o), F.lit(False))})
+    over = lambda m: F.count_if(c("step_m") > m)
+    zero = lambda x: F.coalesce(x, F.lit(0.0))
+    swing = lambda sign: zero(F.sum(F.when((F.abs("delta") > 2) & (F.signum("delta") == sign), F.abs("delta"))))
+    edge = ((c("_i") % c("_size") == 0) & (c("_i") <= c("_blocks") * c("_size"))) | (c("_i") == c("n") - 1)
+    one = lambda k: F.first(k).alias(k)
+    g = s.groupBy("track").agg(
+        F.count("*").alias("points"), zero(F.sum("step_m")).alias("length_m"), *map(one, ("lng0", "lat0", "lng1", "lat1", "crow_m", "_blocks", "_size")),
+        over(500).alias("over_500"), over(1000).alias("over_1k"), over(2000).alias("over_2k"), zero(half_up(F.max("step_m"))).cast("long").alias("worst_m"),
+        F.count_if(long & (geo.angle_between("_pb30", "_b") > 120) & (c("step_m") > 50)).alias("_turns"),
+        F.count_if(long & (c("_far") - c("_p") > 200)).alias("_one"), F.count_if((c("_dir") != c("_was")) & (F.abs("delta") > 15)).alias("_loop"),
+        F.count_if("_starts").alias("runs"), zero(F.sum(F.when(c("_made"), c("step_m")))).alias("_inside"),
+        zero(F.sum(F.when(zero(c("_p")) < c("_pp"), c("step_m")))).alias("_wasted"),
+        F.coalesce(F.sum(F.when(c("delta") > 0, 1).when(c("delta").isNotNull(), -1)), F.lit(0)).alias("_sense"), swing(1).alias("_right"), swing(-1).alias("_left"),
+        F.sort_array(F.collect_list(F.when((c("n") >= 2) & edge, F.struct("_i", "lng", "lat")))).alias("_edges"),
+    )
+    few, km = c("points") < 3, c("length_m") / 1000
+    fwd, back = F.when(c("_sense") >= 0, c("_right")).otherwise(c("_left")), F.when(c("_sense") >= 0, c("_left")).otherwise(c("_right"))
+    around = F.when(fwd + back > 0, fwd / (fwd + back)).otherwise(1.0)
+    straight = F.greatest(1 - c("_wasted") * 2 / c("length_m"), F.lit(0.0))
+    ring = c("crow_m") < F.greatest(F.lit(2000.0), c("length_m") * 0.15)
+    whole = lambda x: half_up(x).cast("long")
+
+    def arrow(b: Column) -> Column:
+        p, q = c("_edges")[b], F.when((b + 1) * c("_size") <= c("points") - 1, c("_edges")[b + 1]).otherwise(F.element_at("_edges", -1))
+        return _arrow(p["lng"], p["lat"], q["lng"], q["lat"])
+
+    return g.select(
+        "track", "points", "length_m", "lng0", "lat0", "lng1", "lat1", "over_500", "over_1k", "over_2k", "worst_m",
+        F.when(few, 100).otherwise(half_up(F.greatest(100 - c("_turns") / F.greatest(c("points") - 1, F.lit(1)) * 2000, F.lit(0.0)))).cast("long").alias("smoothness"),
+        F.when(few, 0).when(c("crow_m") < 2000, c("_loop")).otherwise(c("_one")).cast("long").alias("walkbacks"), F.when(few, 0).otherwise(c("_turns")).cast("long").alias("sharp_turns"),
+        F.when(c("length_m") > 0, whole((1 - c("_inside") / c("length_m")) * 100)).otherwise(100).alias("real_pct"), "runs", whole(c("_inside")).alias("interpolated_m"),
+        half_up(km, 1).alias("dist_km"), F.when(km > 0, whole(c("points") / km)).otherwise(0).alias("points_per_km"),
+        F.when(few, 100).when(ring, whole(around * 100)).otherwise(whole(straight * 100)).alias("rideability"),
+        F.when(few, 0).when(ring, whole(c("length_m") * (1 - around))).otherwise(whole(c("_wasted"))).alias("wasted_m"),
+        F.when(c("points") >= 2, F.array_join(F.transform(F.sequence(F.lit(0), c("_blocks") - 1), arrow), " ")).alias("shape"),
+    )
+
+
+def every_nth(points: DataFrame, samples: int = 200) -> DataFrame:
+    """The points of each track at equal steps of their number, ``samples`` or a few more of long tracks, all of short ones."""
+    full = _order().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    p = points.withColumns({"_i": F.row_number().over(_order()) - 1, "_n": F.count("*").over(full)})
+    return p.where(F.col("_i") % F.greatest(F.floor(F.col("_n") / samples), F.lit(1)) == 0).drop("_i", "_n")
+
+
 def loop_closure(points: DataFrame, tags: DataFrame) -> DataFrame:
     """(track, closure_m, closed) of tracks tagged 'loop'; tags: (track, tags array<string>)."""
     e = ends(points).join(tags.where(F.array_contains("tags", "loop")).select("track"), "track", "left_semi")
@@ -255,20 +336,24 @@ def sample_every(points: DataFrame, every_m: float = 1000.0) -> DataFrame:
 
 
 def retracing(points: DataFrame, radius_m: float = 200.0, apart_m: float = 500.0) -> DataFrame:
-    """(track, retraced): share of points near an earlier point that lies at least ``apart_m`` back on the track.
+    """(track, retraced, retraced_m, length_m): the metres of the steps that end near an earlier point at least
+    ``apart_m`` back on the track, as a share of all metres with two digits, and as whole metres.
 
     Tracks of fewer than five points never retrace. A grid cell as wide as the radius makes the join an equi-join.
     """
     res = radius_m / geo.DEGREE_M
     s = steps(points).withColumn("_n", F.count("*").over(_by())).where("_n >= 5")
     wide = F.ceil(1.0 / F.cos(F.radians(F.floor("lat") + F.when(F.col("lat") >= 0, 1).otherwise(0)))).cast("long")
-    p = s.select("track", "ord", "lng", "lat", "cum_m", geo.cell("lng", res).alias("_x"), geo.cell("lat", res).alias("_y"), wide.alias("_w"))
+    p = s.select("track", "ord", "lng", "lat", "cum_m", "step_m", geo.cell("lng", res).alias("_x"), geo.cell("lat", res).alias("_y"), wide.alias("_w"))
     q = p.select("track", F.col("ord").alias("ord2"), F.col("lng").alias("lng2"), F.col("lat").alias("lat2"), F.col("cum_m").alias("cum2"), "_x", "_y")
     p = p.withColumn("_x", F.explode(F.sequence(F.col("_x") - F.col("_w"), F.col("_x") + F.col("_w")))).withColumn("_y", F.explode(F.sequence(F.col("_y") - 1, F.col("_y") + 1)))
     j = p.join(q, ["track", "_x", "_y"]).where((F.col("cum_m") - F.col("cum2") >= apart_m) & (geo.haversine("lng", "lat", "lng2", "lat2") < radius_m))
-    hits = j.select("track", "ord").distinct().groupBy("track").agg(F.count("*").alias("_hits"))
-    n = points.groupBy("track").agg(F.count("*").alias("_n"))
-    return n.join(hits, "track", "left").select("track", half_up(F.coalesce("_hits", F.lit(0)) / F.col("_n"), 2).alias("retraced"))
+    hits = j.select("track", "ord", "step_m").distinct().groupBy("track").agg(F.sum("step_m").alias("_hit"))
+    n = steps(points).groupBy("track").agg(F.coalesce(F.sum("step_m"), F.lit(0.0)).alias("_all"))
+    hit = F.coalesce("_hit", F.lit(0.0))
+    return n.join(hits, "track", "left").select(
+        "track", F.when(F.col("_all") > 0, half_up(hit / F.col("_all"), 2)).otherwise(0.0).alias("retraced"),
+        half_up(hit).cast("long").alias("retraced_m"), half_up("_all").cast("long").alias("length_m"))
 
 
 def islands(rows: DataFrame, by: str, order: str, key: str) -> DataFrame:
@@ -305,14 +390,24 @@ def teleports(lines: DataFrame, gap_m: float = 3000.0) -> DataFrame:
     return lines.withColumn("gap_m", F.least(*d)).withColumn("teleports", F.coalesce(F.col("gap_m") > gap_m, F.lit(False)))
 
 
-def valid_trace(lines: DataFrame, points: DataFrame, gap_m: float = 3000.0, limit: float = 0.10) -> DataFrame:
-    """(track, valid, reason): no teleport, and no more than ``limit`` of the samples retraced."""
-    t = teleports(lines, gap_m).groupBy("track").agg(F.max("teleports").alias("_t"), F.max("gap_m").alias("_gap"))
-    r = retracing(points)
-    j = t.join(r, "track", "left")
-    bad = F.col("retraced") > limit
-    reason = F.when(F.col("_t"), "gap").when(bad, "retrace")
-    return j.select("track", (~F.col("_t") & ~F.coalesce(bad, F.lit(False))).alias("valid"), reason.alias("reason"))
+def valid_trace(lines: DataFrame, every_m: float = 200.0, gap_m: float = 3000.0, limit: float = 0.10) -> DataFrame:
+    """(track, valid, reason, worst_gap_m, retraced): no gap over ``gap_m`` between consecutive lines, and no more than
+    ``limit`` of the way retraced, told at samples every ``every_m`` metres along the lines.
+
+    lines: (track, ord, lng0, lat0, lng1, lat1). The reason of the first check that fails is a text with its figures.
+    """
+    t = teleports(lines, gap_m).groupBy("track").agg(F.count_if("teleports").alias("_t"), F.coalesce(F.max("gap_m"), F.lit(0.0)).alias("_gap"))
+    ends_ = F.array(F.struct(F.lit(0).alias("k"), F.col("lng0").alias("lng"), F.col("lat0").alias("lat")), F.struct(F.lit(1).alias("k"), F.col("lng1").alias("lng"), F.col("lat1").alias("lat")))
+    p = lines.select("track", (F.col("ord").cast("long") * 2).alias("_o"), F.explode(ends_).alias("_p")).select("track", (F.col("_o") + F.col("_p.k")).alias("ord"), "_p.lng", "_p.lat")
+    s = resample(p, every_m)
+    j = t.join(retracing(s.select("track", (F.col("at_m") / every_m).cast("long").alias("ord"), "lng", "lat")), "track", "left")
+    again = F.coalesce("retraced", F.lit(0.0))
+    km = lambda c: F.format_string("%.1f", half_up(F.col(c) / 1000, 1))
+    whole = lambda c: half_up(c).cast("long").cast("string")
+    jump = F.concat(F.lit("teleport: "), F.col("_t").cast("string"), F.lit(f" gap(s) > {gap_m:.0f}m (worst: "), whole(F.col("_gap")), F.lit("m)"))
+    back = F.concat(F.lit("retracing: "), whole(again * 100), F.lit("% of route revisits same area ("), km("retraced_m"), F.lit("km of "), km("length_m"), F.lit("km)"))
+    reason = F.when(F.col("_t") > 0, jump).when(again > limit, back)
+    return j.select("track", reason.isNull().alias("valid"), reason.alias("reason"), F.col("_gap").alias("worst_gap_m"), F.when(F.col("_t") > 0, 0.0).otherwise(again).alias("retraced"))
 
 
 def transition_penalty(rows: DataFrame, by: str, order: str, level: str) -> DataFrame:

@@ -162,9 +162,11 @@ def cards(s, d):
 
 _GR = "gr AS (SELECT ['bike','car','green'][(o_orderkey%3)::INT+1] AS ground, -75.7+((o_orderkey*7919)%20001-10000)/1e5 AS x, 45.4+((o_orderkey*104729)%20001-10000)/1e5 AS y FROM orders)"
 _GD = hav("lng", "lat", "x", "y")
+#: The samples of long tracks: every n-th point.
+_SA = "sa AS (SELECT track, ord, lng, lat FROM (SELECT *, row_number() OVER (PARTITION BY track ORDER BY ord)-1 AS i, count(*) OVER (PARTITION BY track) AS n FROM tr) WHERE i % greatest(n//200,1) = 0)"
 _add("q_ground_shares", lambda s, d: score_routes.ground_shares(event_tracks(s, d), _ground(s, d)),
-     f"""WITH {TRACKS}, {_GR}, h AS (SELECT track, ord, max(CASE WHEN ground='bike' AND {_GD}<=50 THEN 1 ELSE 0 END) AS b, max(CASE WHEN ground='car' AND {_GD}<=50 THEN 1 ELSE 0 END) AS c, max(CASE WHEN ground='green' AND {_GD}<=200 THEN 1 ELSE 0 END) AS g FROM tr JOIN gr ON abs(lat-y)<0.002 AND abs(lng-x)<0.004 GROUP BY 1,2)
-SELECT tr.track, floor(avg(coalesce(b,0))*100+0.5)::BIGINT AS bike_pct, floor(avg(coalesce(c,0))*100+0.5)::BIGINT AS car_pct, floor(avg(coalesce(g,0))*100+0.5)::BIGINT AS green_pct FROM tr LEFT JOIN h ON h.track=tr.track AND h.ord=tr.ord GROUP BY 1""")
+     f"""WITH {TRACKS}, {_GR}, {_SA}, h AS (SELECT track, ord, max(CASE WHEN ground='bike' AND {_GD}<50 THEN 1 ELSE 0 END) AS b, max(CASE WHEN ground='car' AND {_GD}<50 THEN 1 ELSE 0 END) AS c, max(CASE WHEN ground='green' AND {_GD}<200 THEN 1 ELSE 0 END) AS g FROM sa JOIN gr ON abs(lat-y)<0.002 AND abs(lng-x)<0.004 GROUP BY 1,2)
+SELECT sa.track, floor(sum(coalesce(b,0))/count(*)*100+0.5)::BIGINT AS bike_pct, floor(sum(coalesce(c,0))/count(*)*100+0.5)::BIGINT AS car_pct, floor(sum(coalesce(g,0))/count(*)*100+0.5)::BIGINT AS green_pct FROM sa LEFT JOIN h ON h.track=sa.track AND h.ord=sa.ord GROUP BY 1""")
 
 
 def _composite_sql():
@@ -175,13 +177,13 @@ def _composite_sql():
     jumps = ", ju AS (SELECT track, count(*) FILTER (step_m>500) AS j5, count(*) FILTER (step_m>1000) AS j1 FROM st GROUP BY track)"
     dens = ", de AS (SELECT track, (CASE WHEN length_m>0 THEN floor(n/(length_m/1000)+0.5) ELSE 0 END)::BIGINT AS ppk FROM en WHERE n>=2)"
     own = _PL.replace("p AS", "pq AS", 1)
-    pois = f""", {own}, pp AS (SELECT name, -75.7+(place_id%400-200)/1e3 AS x, 45.4+(place_id*7%400-200)/1e3 AS y FROM pq WHERE name IS NOT NULL), ph AS (SELECT track, count(DISTINCT name) AS k FROM tr JOIN pp ON abs(lat-y)<0.005 AND {_GD}<500 GROUP BY 1),
+    pois = f""", {own}, pp AS (SELECT name, -75.7+(place_id%400-200)/1e3 AS x, 45.4+(place_id*7%400-200)/1e3 AS y FROM pq WHERE name IS NOT NULL), ph AS (SELECT track, count(DISTINCT name) AS k FROM sa JOIN pp ON abs(lat-y)<0.005 AND {_GD}<500 GROUP BY 1),
 po AS (SELECT en.track, CASE WHEN length_m>0 THEN floor(coalesce(k,0)/(length_m/1000)*100+0.5)/10 ELSE 0 END AS per FROM en LEFT JOIN ph USING (track))"""
-    gs = SQL["q_ground_shares"].split(_GR)[1].replace("\nSELECT tr.track", ", gs AS (SELECT tr.track", 1) + ")"
+    gs = SQL["q_ground_shares"].split(_SA)[1].replace("\nSELECT sa.track", ", gs AS (SELECT sa.track", 1) + ")"
     loop = f", cl AS (SELECT track, floor({hav('lng0','lat0','lng1','lat1')}+0.5)<500 AS closed FROM en WHERE track%2=0)"
     score = ("smoothness*0.25::DOUBLE-walkbacks*5+real_pct*0.2::DOUBLE+least(per*3,15.0::DOUBLE)-j1*10-(j5-j1)*5+least(ppk/5,10.0::DOUBLE)+(CASE WHEN closed IS NULL THEN 0 WHEN closed THEN 5 ELSE -10 END)"
              "+(rideability-50)*0.6::DOUBLE+(bike_pct*0.15::DOUBLE-car_pct*0.1::DOUBLE+green_pct*0.1::DOUBLE)")
-    return f"WITH {TRACKS}{base}{jumps}{dens}{pois}, {_GR}{gs}{loop} SELECT sm.track, smoothness, walkbacks, real_pct, rideability, floor(({score})*10.0::DOUBLE+0.5::DOUBLE)/10.0::DOUBLE AS composite FROM sm JOIN ip USING (track) JOIN ri USING (track) JOIN ju USING (track) JOIN de USING (track) JOIN po USING (track) JOIN gs USING (track) LEFT JOIN cl USING (track)"
+    return f"WITH {TRACKS}, {_SA}{base}{jumps}{dens}{pois}, {_GR}{gs}{loop} SELECT sm.track, smoothness, walkbacks, real_pct, rideability, floor(({score})*10.0::DOUBLE+0.5::DOUBLE)/10.0::DOUBLE AS composite FROM sm JOIN ip USING (track) JOIN ri USING (track) JOIN ju USING (track) JOIN de USING (track) JOIN po USING (track) JOIN gs USING (track) LEFT JOIN cl USING (track)"
 
 
 _add("q_score_cards", lambda s, d: cards(s, d).select("track", "smoothness", "walkbacks", "real_pct", "rideability", "composite"), _composite_sql())

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import rules
+from ..functions import geo, rules
 from ..functions import text as X
 from ..operators import calendar as C
 from ..operators import collections as R
@@ -23,34 +23,25 @@ def _add(name, make, sql=None):
 
 # --- names and texts -------------------------------------------------------------------------------------------
 _UN = "strip_accents({})"
-_SP = "trim(regexp_replace({}, '[\\s\\x1c-\\x1f\\x{{85}}\\x{{a0}}\\x{{1680}}\\x{{2000}}-\\x{{200a}}\\x{{2028}}\\x{{2029}}\\x{{202f}}\\x{{205f}}\\x{{3000}}]+', ' ', 'g'))"
-_ASCII = "regexp_matches({}, '^[\\x20-\\x7eÀ-ÖØ-öø-ÿ]*$')"
-_PLAINNAME = "SELECT DISTINCT nombre FROM catastro WHERE nombre IS NOT NULL AND " + _ASCII.format("nombre")
+_SP = "trim(regexp_replace({}, '[\\s\\x1c-\\x1f\\x{{85}}\\x{{a0}}\\x{{1680}}\\x{{2000}}-\\x{{200a}}\\x{{2028}}\\x{{2029}}\\x{{202f}}\\x{{205f}}\\x{{3000}}\\x{{feff}}]+', ' ', 'g'))"
+_NAMES = "SELECT DISTINCT nombre FROM catastro WHERE nombre IS NOT NULL"
+_PREFIX = X.KIND_PREFIX.replace("'", "''")
 
 
-def _plain_names(s, d):
-    return table(s, d, "catastro").select("nombre").where(F.col("nombre").rlike(r"^[\x20-\x7eÀ-ÖØ-öø-ÿ]*$")).distinct()
-
-
-_add("q_normal_name", lambda s, d: _plain_names(s, d).select("nombre", X.normal_name(F.col("nombre")).alias("normal_name")),
-     f"SELECT nombre, {_SP.format('regexp_replace(' + _SP.format('strip_accents(upper(nombre))') + chr(44) + chr(39) + '^(CICLOBANDA|CICLOVIA|CICLOPISTA|CICLORRUTA|AVENIDA|AV[.]?|CALLE|PASEO|PASAJE|CAMINO) +' + chr(39) + ', ' + chr(39) * 2 + ')')} AS normal_name FROM ({_PLAINNAME})")
-_add("q_slug", lambda s, d: _plain_names(s, d).select("nombre", X.slug(F.col("nombre")).alias("slug"), X.loose_name(F.col("nombre")).alias("loose")),
-     f"SELECT nombre, regexp_replace(regexp_replace(strip_accents(lower(nombre)), '[^a-z0-9]+', '-', 'g'), '^-|-$', '', 'g') AS slug, {_SP.format('strip_accents(lower(nombre))')} AS loose FROM ({_PLAINNAME})")
-
-
-def _all_names(s, d):
+def _names(s, d):
     return table(s, d, "catastro").select("nombre").where("nombre is not null").distinct()
 
 
-# every name; DuckDB folds some of the letters and spaces otherwise, so these have no twin
-_add("q_normal_name_all", lambda s, d: _all_names(s, d).select("nombre", X.normal_name(F.col("nombre")).alias("normal_name")))
-_add("q_slug_all", lambda s, d: _all_names(s, d).select("nombre", X.slug(F.col("nombre")).alias("slug"), X.loose_name(F.col("nombre")).alias("loose")))
+_add("q_normal_name", lambda s, d: _names(s, d).select("nombre", X.normal_name(F.col("nombre")).alias("normal_name")),
+     f"SELECT nombre, {_SP.format('regexp_replace(' + _SP.format('strip_accents(upper(nombre))') + chr(44) + chr(39) + '^(' + _PREFIX + ') +' + chr(39) + ', ' + chr(39) * 2 + ')')} AS normal_name FROM ({_NAMES})")
+_add("q_slug", lambda s, d: _names(s, d).select("nombre", X.slug(F.col("nombre")).alias("slug"), X.loose_name(F.col("nombre")).alias("loose")),
+     f"SELECT nombre, regexp_replace(regexp_replace(strip_accents(lower(nombre)), '[^a-z0-9]+', '-', 'g'), '^-|-$', '', 'g') AS slug, {_SP.format('strip_accents(lower(nombre))')} AS loose FROM ({_NAMES})")
 _add("q_texts", lambda s, d: table(s, d, "customer").select(
         "c_custkey", X.distance_text(F.col("c_acctbal")).alias("dist"), X.decimal_comma(F.round(F.col("c_acctbal"), 1), 1).alias("comma"),
         X.yaml_text(F.col("c_name")).alias("yaml"), X.xml_text(F.concat(F.lit("<a&b>"), "c_mktsegment")).alias("xml"), X.base_name(F.concat("c_mktsegment", F.lit(" 2"))).alias("base"),
-        X.spoken_list(F.array("c_mktsegment", F.lit("B"), F.lit("C"))).alias("list"), X.title_of_slug(F.lit("los-morros-norte")).alias("title")).where("c_acctbal > 0"),
+        X.spoken_list(F.array("c_mktsegment", F.lit("B"), F.lit("C"))).alias("list"), X.title_of_slug(F.lit("los-morros-norte")).alias("title")),
      f"""SELECT c_custkey, CASE WHEN c_acctbal<1000 THEN floor(c_acctbal+0.5)::BIGINT || ' m' ELSE format('{{:.1f}}', floor(c_acctbal/100+0.5)/10) || ' km' END AS dist, replace(format('{{:.1f}}', round(c_acctbal,1)),'.',',') AS comma,
-'"' || c_name || '"' AS yaml, '&lt;a&amp;b&gt;' || c_mktsegment AS xml, c_mktsegment AS base, c_mktsegment || ', B y C' AS list, 'Los Morros Norte' AS title FROM customer WHERE c_acctbal>0""")
+'"' || c_name || '"' AS yaml, '&lt;a&amp;b&gt;' || c_mktsegment AS xml, c_mktsegment AS base, c_mktsegment || ', B y C' AS list, 'Los Morros Norte' AS title FROM customer""")
 _add("q_name_quality", lambda s, d: places(s, d).where("name is not null").select("place_id", X.name_quality(F.col("name"), F.coalesce("organizer", "name")).alias("points")),
      "WITH p AS (SELECT DISTINCT place_id, name AS a, coalesce(organizer,name) AS b FROM places WHERE name IS NOT NULL) SELECT place_id, greatest(" + "+".join(
          f"(CASE WHEN regexp_matches(lower({c}),'{w}') THEN {n} ELSE 0 END)" for c in ("a", "b") for n, w in X.NAME_POINTS) + "-(CASE WHEN a=b THEN 6 ELSE 0 END),0) AS points FROM p")
@@ -96,12 +87,36 @@ def _seg(s, d):
 
 
 _RANK = "CASE clasificacion WHEN 'buena' THEN 0 WHEN 'regular' THEN 1 WHEN 'mala' THEN 2 WHEN 'muy mala' THEN 3 END"
-_add("q_rollup_corridor", lambda s, d: R.corridors(_seg(s, d).withColumn("length_m", F.col("km")), "comuna").select("comuna", "segments", F.round("length_m", 6).alias("km"), F.round("mean_score", 6).alias("mean_score"), "best", "worst", "videos", F.round("green_share", 6).alias("green_share"), F.round("mean_width_cm", 6).alias("mean_width_cm")),
-     _SEG + f""", r AS (SELECT *, {_RANK} AS k FROM s WHERE NOT invalida) SELECT comuna, count(*) AS segments, round(sum(km),6) AS km, round(avg(score),6) AS mean_score, ['buena','regular','mala','muy mala'][min(k)+1] AS best, ['buena','regular','mala','muy mala'][max(k)+1] AS worst, count(DISTINCT video) AS videos,
+_add("q_rollup_corridor", lambda s, d: R.corridors(_seg(s, d).withColumn("length_m", F.col("km")), "comuna").select("comuna", "segments", F.round("length_m", 6).alias("km"), F.round("mean_score", 6).alias("mean_score"), "best", "worst", F.array_join("videos", " ").alias("videos"), F.round("green_share", 6).alias("green_share"), F.round("mean_width_cm", 6).alias("mean_width_cm")),
+     _SEG + f""", r AS (SELECT *, {_RANK} AS k FROM s WHERE NOT invalida) SELECT comuna, count(*) AS segments, round(sum(km),6) AS km, round(avg(score),6) AS mean_score, coalesce(['buena','regular','mala','muy mala'][min(k)+1], arg_max(clasificacion, feature_id)) AS best,
+coalesce(arg_min(clasificacion, feature_id) FILTER (clasificacion IS NOT NULL AND k IS NULL), ['buena','regular','mala','muy mala'][max(k)+1]) AS worst, coalesce((SELECT string_agg(video, ' ' ORDER BY o, video) FROM (SELECT video, min(feature_id) AS o FROM r q WHERE q.comuna=r.comuna AND video IS NOT NULL GROUP BY 1)),'') AS videos,
 round(coalesce(sum(km) FILTER (emplazamiento IN ('parque','mediana','bandejón')),0)/nullif(sum(km),0),6) AS green_share, round(avg(ancho_cm) FILTER (ancho_cm>0),6) AS mean_width_cm FROM r GROUP BY comuna""")
-_add("q_corridor_tags", lambda s, d: R.corridor_tags(_seg(s, d), "tipo").where("tipo is not null").select("tipo", F.array_join("tags", "|").alias("tags")),
-     _SEG + """, g AS (SELECT tipo, coalesce(bool_or(tipo='unidireccional'),false) AS one, coalesce(bool_or(emplazamiento='parque'),false) AS park, coalesce(bool_or(emplazamiento='mediana'),false) AS median, avg(ancho_cm) FILTER (ancho_cm>0) AS w, list(DISTINCT comuna) FILTER (comuna<>'unknown') AS towns FROM s WHERE NOT invalida AND tipo IS NOT NULL GROUP BY tipo)
-SELECT tipo, array_to_string(list_sort(list_distinct(list_concat(list_filter(['bike path', CASE WHEN one THEN 'protected lane' END, CASE WHEN park THEN 'park path' END, CASE WHEN median THEN 'median lane' END, 'flat', CASE WHEN w>=150 THEN 'wide' END], lambda x: x IS NOT NULL), towns))),'|') AS tags FROM g""")
+
+
+def _named_ways(s, d):
+    """Ways with a name, their town, and whether they have any cycling comfort."""
+    w = R.way_segments(table(s, d, "ways")).join(_ways(s, d).select("way_id", F.coalesce(rules.tag(F.col("tags"), "is_in:city"), F.lit("")).alias("comuna")), "way_id")
+    return w.where("nombre <> ''")
+
+
+def _named_routes(s, d):
+    """The ways of each name as one route: what has no cycling comfort is its gaps."""
+    on, off = F.when(F.col("comfort") > 0, F.col("length_m")).otherwise(0.0), F.when(F.col("comfort") == 0, F.col("length_m")).otherwise(0.0)
+    trail = F.max(F.lower("nombre").rlike("|".join(rules.TRAIL_WORDS)))
+    g = _named_ways(s, d).groupBy("nombre").agg(F.sum(on).alias("_on"), F.sum("length_m").alias("_all"), F.max(off).alias("gap_max_m"), trail.alias("_trail"))
+    return g.select("nombre", F.when(F.col("_trail"), "mountain").otherwise("one-way").alias("kind"), F.coalesce(geo.half_up(F.col("_on") / F.nullif(F.col("_all"), F.lit(0.0)) * 100), F.lit(0.0)).alias("infra_pct"), "gap_max_m")
+
+
+_LEN = "coalesce(list_sum(list_transform(range(1, len(p)), lambda i: 2*6371000.0*asin(sqrt(least(1.0, pow(sin(radians(p[i+1].lat-p[i].lat)/2),2)+cos(radians(p[i].lat))*cos(radians(p[i+1].lat))*pow(sin(radians(p[i+1].lon-p[i].lon)/2),2)))))),0)"
+_NAMED = f"""{_WAYS}, nw AS (SELECT way_id, coalesce({_T('name', 'name:es')},'') AS nombre, {_T('cycleway', 'highway')} AS tipo, {_T('surface')} AS surface, coalesce({_T('lit')}='yes',false) AS lit, floor({_NUM.format(_T('width'))}*100+0.5)::INT AS ancho_cm, coalesce({_T('is_in:city')},'') AS comuna, {_COMFORT} AS comfort,
+CASE WHEN coalesce({_T('highway')} IN ('path','footway') AND ({_T('leisure')}='park' OR {_T('landuse')}='recreation_ground' OR {_T('route')}='mtb' OR {_T('sac_scale')} IS NOT NULL),false) OR regexp_matches(lower(coalesce({_T('name', 'name:es')},'')),'parque|sendero') THEN 'parque' END AS emplazamiento,
+list_filter(geometry, lambda p: p.lat BETWEEN -90 AND 90 AND p.lon BETWEEN -180 AND 180) AS p FROM w), ns AS (SELECT *, {_LEN} AS length_m FROM nw WHERE nombre<>'')"""
+_add("q_corridor_tags", lambda s, d: R.corridor_tags(_named_ways(s, d), "nombre", _named_routes(s, d), "way_id").select("nombre", F.array_join("tags", "|").alias("tags")),
+     f"""WITH {_NAMED}, rt AS (SELECT nombre, coalesce(floor(sum(CASE WHEN comfort>0 THEN length_m ELSE 0 END)/nullif(sum(length_m),0)*100+0.5),0) AS pct, max(CASE WHEN comfort=0 THEN length_m ELSE 0 END) AS gap, bool_or(regexp_matches(lower(nombre),'cerro|sendero|mtb|trail|mahuida|manquehue')) AS trail,
+bool_or(tipo='unidireccional') AS one, bool_or(emplazamiento='parque') AS park, bool_or(emplazamiento='mediana') AS median, coalesce(avg(ancho_cm) FILTER (ancho_cm>0),0) AS wide, count(*) FILTER (lit) > count(*)*0.7 AS lit, list(DISTINCT comuna) FILTER (comuna<>'') AS towns FROM ns GROUP BY nombre),
+sc AS (SELECT nombre, surface, count(*) AS n, min(way_id) AS o FROM ns WHERE surface IS NOT NULL GROUP BY 1,2), sf AS (SELECT nombre, surface FROM (SELECT *, row_number() OVER (PARTITION BY nombre ORDER BY n DESC, o) AS k FROM sc) WHERE k=1)
+SELECT rt.nombre, array_to_string(list_sort(list_distinct(list_concat(list_filter(['bike path', CASE WHEN one THEN 'protected lane' END, CASE WHEN park THEN 'park path' END, CASE WHEN median THEN 'median lane' END, CASE WHEN surface IN ('gravel','unpaved','dirt') THEN 'gravel' END, CASE WHEN surface IN ('cobblestone','sett') THEN 'cobblestone' END,
+CASE WHEN lit THEN 'lit' END, CASE WHEN trail THEN 'mountain' END, 'flat', CASE WHEN pct>80 AND gap<300 AND wide>=150 THEN 'easy' END, CASE WHEN pct>80 AND gap<300 AND wide>=150 THEN 'family friendly' END, CASE WHEN pct<50 OR gap>1000 THEN 'hard' END], lambda x: x IS NOT NULL), coalesce(towns,[])))),'|') AS tags FROM rt LEFT JOIN sf USING (nombre)""")
 _add("q_mode_placement", lambda s, d: R.most_frequent(_seg(s, d), "comuna", "emplazamiento", F.col("feature_id")),
      _SEG + ", n AS (SELECT comuna, emplazamiento, count(*) AS n, min(feature_id) AS o FROM s WHERE NOT invalida AND emplazamiento IS NOT NULL GROUP BY 1,2) SELECT comuna, emplazamiento FROM (SELECT *, row_number() OVER (PARTITION BY comuna ORDER BY n DESC, o) AS k FROM n) WHERE k=1")
 _add("q_cycling_ways", lambda s, d: R.cycling_ways(_ways(s, d).select("way_id", F.coalesce(rules.tag(F.col("tags"), "name"), F.lit("")).alias("grp"), rules.way_class(F.col("tags")).alias("way_class")), "grp"),

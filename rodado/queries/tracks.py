@@ -84,46 +84,38 @@ SELECT ps.track, 500.0::DOUBLE AS at_m, round(plng+(lng-plng)*(1-(cum_m-a)/step_
 _add("q_sample_every", lambda s, d: T.sample_every(event_tracks(s, d)))
 _RETR = f""", rn AS (SELECT sc.*, n FROM {JOINED} WHERE n>=5),
 rh AS (SELECT DISTINCT a.track, a.ord FROM rn a JOIN rn b ON a.track=b.track AND a.cum_m-b.cum_m>=500 AND abs(a.lat-b.lat)<0.002 AND {hav('a.lng','a.lat','b.lng','b.lat')}<200),
-rx AS (SELECT track, {up('coalesce(h,0)/n',2)} AS retraced FROM en LEFT JOIN (SELECT track, count(*) AS h FROM rh GROUP BY track) USING (track))"""
+rs AS (SELECT rn.track, sum(step_m) AS h FROM rn JOIN rh ON rh.track=rn.track AND rh.ord=rn.ord GROUP BY rn.track),
+rx AS (SELECT track, CASE WHEN length_m>0 THEN {up('coalesce(h,0)/length_m',2)} ELSE 0 END AS retraced, {up('coalesce(h,0)')}::BIGINT AS retraced_m, {up('length_m')}::BIGINT AS length_m FROM en LEFT JOIN rs USING (track))"""
 _add("q_retrace", lambda s, d: T.retracing(event_tracks(s, d)), _RETR + " SELECT * FROM rx")
 
 
 def _lines(s, d):
-    p = T.steps(event_tracks(s, d)).where("step_m >= 150")
-    return p.select("track", "ord", F.col("plng").alias("lng0"), F.col("plat").alias("lat0"), F.col("lng").alias("lng1"), F.col("lat").alias("lat1"))
+    """Every step of the tracks as a line, and the same with every second step left out, so that there are gaps."""
+    p = T.steps(event_tracks(s, d)).where("step_m is not null")
+    p = p.select("track", "ord", F.col("plng").alias("lng0"), F.col("plat").alias("lat0"), F.col("lng").alias("lng1"), F.col("lat").alias("lat1"))
+    return p.unionAll(p.where("ord % 2 = 0").withColumn("track", F.col("track") + 1_000_000))
 
 
-_LINES = ", ln AS (SELECT track, ord, plng AS lng0, plat AS lat0, lng AS lng1, lat AS lat1 FROM st WHERE step_m >= 150)"
+_LINES = """, l0 AS (SELECT track, ord, plng AS lng0, plat AS lat0, lng AS lng1, lat AS lat1 FROM st WHERE step_m IS NOT NULL), ln AS (SELECT * FROM l0 UNION ALL SELECT track+1000000, ord, lng0, lat0, lng1, lat1 FROM l0 WHERE ord%2=0)"""
 _NEXT = _LINES + f""", lx AS (SELECT *, lead(lng0) OVER w AS a, lead(lat0) OVER w AS b, lead(lng1) OVER w AS c, lead(lat1) OVER w AS e FROM ln {W}),
 tl AS (SELECT *, least({hav('lng0','lat0','a','b')},{hav('lng0','lat0','c','e')},{hav('lng1','lat1','a','b')},{hav('lng1','lat1','c','e')}) AS gap_m FROM lx)"""
 _add("q_teleport", lambda s, d: r3(T.teleports(_lines(s, d), 1500.0), "gap_m").where("gap_m is not null").select("track", "ord", "gap_m", "teleports"),
      _NEXT + " SELECT track, ord, round(gap_m,3) AS gap_m, gap_m>1500 AS teleports FROM tl WHERE gap_m IS NOT NULL")
-_add("q_valid_trace", lambda s, d: T.valid_trace(_lines(s, d), event_tracks(s, d)), _NEXT + _RETR + """, vt AS (SELECT track, coalesce(bool_or(gap_m>3000),false) AS t FROM tl GROUP BY track)
-SELECT track, NOT t AND NOT coalesce(retraced>0.10,false) AS valid, CASE WHEN t THEN 'gap' WHEN retraced>0.10 THEN 'retrace' END AS reason FROM vt LEFT JOIN rx USING (track)""")
+# samples along the lines, then the same measure of retracing over the samples
+_ALONG = f""", lp AS (SELECT track, ord*2 AS o, lng0 AS lng, lat0 AS lat FROM ln UNION ALL SELECT track, ord*2+1, lng1, lat1 FROM ln), lq AS (SELECT *, lag(lng) OVER v AS plng, lag(lat) OVER v AS plat FROM lp WINDOW v AS (PARTITION BY track ORDER BY o)),
+lr AS (SELECT *, {hav('plng','plat','lng','lat')} AS step_m FROM lq), ls AS (SELECT *, sum(step_m) OVER (PARTITION BY track ORDER BY o ROWS UNBOUNDED PRECEDING) AS cum_m FROM lr),
+lk AS (SELECT *, cum_m-step_m AS start_m, unnest(range(ceil((cum_m-step_m)/200.0)::BIGINT, floor(cum_m/200.0)::BIGINT+1)) AS k FROM ls WHERE step_m>0),
+sp AS (SELECT track, k AS ord, plng+(lng-plng)*(k*200.0::DOUBLE-start_m)/step_m AS lng, plat+(lat-plat)*(k*200.0::DOUBLE-start_m)/step_m AS lat FROM lk WHERE k*200.0<cum_m),
+sq AS (SELECT *, lag(lng) OVER w AS plng, lag(lat) OVER w AS plat, count(*) OVER (PARTITION BY track) AS n FROM sp {W}), su AS (SELECT *, {hav('plng','plat','lng','lat')} AS step_m FROM sq),
+sv AS (SELECT *, coalesce(sum(step_m) OVER (PARTITION BY track ORDER BY ord ROWS UNBOUNDED PRECEDING),0) AS cum_m FROM su),
+sh AS (SELECT DISTINCT a.track, a.ord, a.step_m FROM sv a JOIN sv b ON a.track=b.track AND a.n>=5 AND a.cum_m-b.cum_m>=500 AND abs(a.lat-b.lat)<0.002 AND {hav('a.lng','a.lat','b.lng','b.lat')}<200),
+sy AS (SELECT track, sum(step_m) AS h FROM sh GROUP BY track), sz AS (SELECT track, coalesce(sum(step_m),0) AS t FROM sv GROUP BY track), sx AS (SELECT track, CASE WHEN t>0 THEN {up('coalesce(h,0)/t',2)} ELSE 0 END AS f, coalesce(h,0) AS h, t FROM sz LEFT JOIN sy USING (track))"""
+_KM = lambda c: f"format('{{:.1f}}', floor((floor({c}+0.5)/1000)*10+0.5)/10)"
+_add("q_valid_trace", lambda s, d: r3(T.valid_trace(_lines(s, d)), "worst_gap_m"), _NEXT + _ALONG + f""", vt AS (SELECT track, count(*) FILTER (gap_m>3000) AS t, coalesce(max(gap_m),0) AS g FROM tl GROUP BY track),
+vr AS (SELECT *, coalesce(f,0) AS r, CASE WHEN vt.t>0 THEN 'teleport: ' || vt.t || ' gap(s) > 3000m (worst: ' || floor(g+0.5)::BIGINT || 'm)' WHEN coalesce(f,0)>0.10 THEN 'retracing: ' || floor(f*100+0.5)::BIGINT || '% of route revisits same area (' || {_KM('h')} || 'km of ' || {_KM('sx.t')} || 'km)' END AS reason FROM vt LEFT JOIN sx USING (track))
+SELECT track, reason IS NULL AS valid, reason, round(g,3) AS worst_gap_m, CASE WHEN reason LIKE 'teleport%' THEN 0 ELSE r END AS retraced FROM vr""")
 _add("q_reversals", lambda s, d: T.reversals(_lines(s, d)), _LINES + f""", rb AS (SELECT *, degrees(atan2(lng1-lng0, lat1-lat0)) AS b FROM ln), rt AS (SELECT *, {turn('lag(b) OVER w','b')}>120 AS t FROM rb {W})
 SELECT track, count(*) FILTER (t) AS reversals, min(ord) FILTER (t) AS first FROM rt GROUP BY track""")
-
-
-def _steps(s, d):
-    p = T.steps(event_tracks(s, d)).where("step_m is not null")
-    return p.select("track", "ord", F.col("plng").alias("lng0"), F.col("plat").alias("lat0"), F.col("lng").alias("lng1"), F.col("lat").alias("lat1"))
-
-
-def _each_track(s, d, df):
-    return event_tracks(s, d).select("track").distinct().join(df, "track", "left")
-
-
-# the same over every step, so that consecutive lines are neighbours, and with a row for tracks without a line
-_STEPS = _LINES.replace("step_m >= 150", "step_m IS NOT NULL")
-_EACH = "(SELECT DISTINCT track FROM tr) LEFT JOIN"
-_add("q_teleport_all", lambda s, d: r3(T.teleports(_steps(s, d), 1500.0), "gap_m").where("gap_m is not null").select("track", "ord", "gap_m", "teleports"),
-     _NEXT.replace(_LINES, _STEPS) + " SELECT track, ord, round(gap_m,3) AS gap_m, gap_m>1500 AS teleports FROM tl WHERE gap_m IS NOT NULL")
-_add("q_valid_trace_all", lambda s, d: _each_track(s, d, T.valid_trace(_steps(s, d), event_tracks(s, d))).withColumn("valid", F.coalesce("valid", F.lit(True))),
-     _NEXT.replace(_LINES, _STEPS) + _RETR + f""", vt AS (SELECT track, coalesce(bool_or(gap_m>3000),false) AS t FROM {_EACH} tl USING (track) GROUP BY track)
-SELECT track, NOT t AND NOT coalesce(retraced>0.10,false) AS valid, CASE WHEN t THEN 'gap' WHEN retraced>0.10 THEN 'retrace' END AS reason FROM vt LEFT JOIN rx USING (track)""")
-_add("q_reversals_all", lambda s, d: _each_track(s, d, T.reversals(_steps(s, d))).withColumn("reversals", F.coalesce("reversals", F.lit(0))),
-     _STEPS + f""", rb AS (SELECT *, degrees(atan2(lng1-lng0, lat1-lat0)) AS b FROM ln), rt AS (SELECT *, {turn('lag(b) OVER w','b')}>120 AS t FROM rb {W})
-SELECT track, count(*) FILTER (t) AS reversals, min(ord) FILTER (t) AS first FROM {_EACH} rt USING (track) GROUP BY track""")
 _add("q_islands", lambda s, d: T.islands(event_tracks(s, d).withColumn("k", F.floor(F.col("lng") / 0.005).cast("long")), "track", "ord", "k").groupBy("track", "island").agg(F.min("k").alias("k"), F.count("*").alias("n")),
      f""", ik AS (SELECT *, floor(lng/0.005::DOUBLE)::BIGINT AS k FROM tr), ch AS (SELECT *, CASE WHEN k IS DISTINCT FROM lag(k) OVER w OR row_number() OVER w=1 THEN 1 ELSE 0 END AS c FROM ik {W}),
 isl AS (SELECT *, sum(c) OVER (PARTITION BY track ORDER BY ord ROWS UNBOUNDED PRECEDING)::BIGINT AS island FROM ch) SELECT track, island, min(k) AS k, count(*) AS n FROM isl GROUP BY track, island""")

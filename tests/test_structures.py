@@ -66,7 +66,7 @@ def test_cycles(spark):
     e = [(a, b, 1.0) for a, b in itertools.combinations(range(5), 2)]
     df = spark.createDataFrame(e, "a bigint, b bigint, length double")
     assert graph.triangles(df, 3, 3).count() == math.comb(5, 3) and graph.triangles(df, 4, 9).count() == 0
-    assert graph.rectangles(df, 4, 4).count() == 3 * math.comb(5, 4)
+    assert graph.rectangles(df, 4, 4).count() == math.comb(5, 4)
 
 
 def first_set(keys, conflicts, rank):
@@ -105,8 +105,42 @@ def test_select_diverse(spark):
     near = spark.createDataFrame([(0, 1)], "a bigint, b bigint")
     got = [r["id"] for r in greedy.select_diverse(rows, near, "id", "g", "score", {"kind": 3, "tags": 4}, 5).orderBy("place").collect()]
     assert got == [0, 2, 3, 6, 7]
-    with pytest.raises(ValueError):
-        greedy.select_diverse(rows, near, "id", "g", "score", {}, 5, considered=3)
+    assert greedy.select_diverse(rows.limit(0), near, "id", "g", "score", {"kind": 3}, 5).count() == 0
+
+
+def test_keep_best_of_a_long_chain(spark):
+    """Each row outranks the next: rounds alone would take half as many as there are rows."""
+    n = 300
+    rows, e = spark.range(n), spark.range(n - 1).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+    assert [r["id"] for r in greedy.keep_best(rows, e, "id", F.col("id")).orderBy("id").collect()] == list(range(0, n, 2))
+    # a component too large for one task goes on in rounds and comes out the same
+    small = spark.range(16)
+    got = greedy.keep_best(small, e.where("b < 16"), "id", F.col("id"), rounds=2, task_edges=3)
+    assert sorted(r["id"] for r in got.collect()) == list(range(0, 16, 2))
+
+
+def test_components_of_a_long_path(spark):
+    n = 100_000
+    mixed = F.pmod(F.col("id") * 48_271, F.lit(n))  # neighbours have numbers far apart
+    nodes = spark.range(n).select(mixed.alias("id"))
+    e = spark.range(n - 1).select(mixed.alias("a"), F.pmod((F.col("id") + 1) * 48_271, F.lit(n)).alias("b"))
+    got = graph.components(nodes, e).agg(F.min("component"), F.max("component"), F.count("*")).first()
+    assert tuple(got) == (0, 0, n)
+
+
+def test_continuations(spark):
+    m = 1 / 111_194.93
+    cols = "seg_id bigint, normal_name string, length_m double, lng0 double, lat0 double, lng1 double, lat1 double"
+    line = lambda i, name, a, b: (i, name, abs(b[1] - a[1]) / m + abs(b[0] - a[0]) / m, *a, *b)
+    rows = [
+        line(1, "A", (0.0, 0.0), (0.0, 500 * m)), line(2, "A", (0.0, 600 * m), (0.0, 1200 * m)),  # one flows into the other
+        line(3, "A", (50 * m, 0.0), (50 * m, 520 * m)),  # beside the first: both start there and end there
+        line(4, "B", (0.0, 0.0), (300 * m, 0.0)), line(5, "B", (0.0, 50 * m), (0.0, 900 * m)),  # only start together
+        line(6, "A", (0.0, 1700 * m), (150 * m, 1700 * m)),  # ends and starts near none
+        line(7, "", (0.0, 500 * m), (0.0, 700 * m)), line(8, "C", (0.0, 0.0), (0.0, 400 * m)), line(9, "C", (60 * m, 390 * m), (60 * m, 10 * m)),  # there and back
+    ]
+    df = spark.createDataFrame(rows, cols)
+    assert sorted(tuple(r) for r in corridors.continuations(df).collect()) == [(1, 2), (2, 3)]
 
 
 def straight(n=6):
