@@ -1,6 +1,8 @@
 """Probabilistic record linkage of surveyed stretches and OSM ways, which share no key.
 
-1. Blocking in two passes: cells of the ground that both geometries touch, and equal name keys in larger cells. A pair found by both counts once.
+1. Blocking in two passes. The first: cells of the ground that the way touches and the feature comes near to, where both
+   run alike; its pairs count up to NEAR_M apart. The second: a word of the name in common in larger cells; its pairs
+   count up to REACH_M apart, where only the name makes them likely. A pair found by both counts once.
 2. Agreement levels of each pair: name, town, distance between the lines, share of the shorter line run along, and
    whether the feature runs along another way much nearer.
 3. Expectation-maximisation over the counts of level patterns gives, for each level, its probability among matches
@@ -8,7 +10,7 @@
 4. The posterior of a pair's pattern is its confidence. Lines that don't run along each other for a tenth of the
    shorter can't be the same stretch: their confidence is 0, and they don't bear on the estimates.
 
-What is defined here: repeated deliveries count once. A record without a usable line (two different points on earth)
+What is defined here: repeated deliveries count once; should they differ, the pair that runs along most counts. A record without a usable line (two different points on earth)
 has no pair. Of coordinates with more than two numbers the first two count; other malformed points are left out. A
 missing name or town says nothing for or against a pair. A way without any cycling tag is no bike facility.
 """
@@ -22,20 +24,27 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geo import DEGREE_M, on_earth
+from ..operators.skew import salted_join
 from ..session import stage
 from .names import likeness, name_key, town_key, with_name_words
 
-#: Metres within which two lines can be the same facility; blocking misses no pair that close.
-REACH_M = 45.0
+#: Metres within which two lines can be the same facility, with and without a word of the name in common.
+REACH_M, NEAR_M = 45.0, 32.0
 CELL_DEG = 0.001
 #: Stored units of one degree.
 UNITS = 1e7
-#: Added to cell indices so that they are positive.
-HALF = 1 << 30
+#: Added to cell indices so that they are positive; they take 20 bits then.
+HALF = 1 << 19
+#: Sectors of the half circle of directions, and how many apart two that go the same way (:data:`ALIKE`) can be.
+SECTORS, SECTORS_APART = 16, 3
+#: Cosine of the angle up to which parts of lines go the same way.
+ALIKE = 0.85
+#: Letters a word of a name must have to be a key of the second pass.
+WORD = 4
 PIECE_M = 120.0
 STEP_M = 10.0
 #: Upper bounds in metres of the levels of distance.
-OFFSET_LEVELS = (4.0, 8.0, 12.0, 16.0, 20.0, 24.0, 32.0, REACH_M)
+OFFSET_LEVELS = (4.0, 8.0, 12.0, 16.0, 20.0, 24.0, NEAR_M, REACH_M)
 #: Metres by which another way must be nearer to be a rival.
 RIVAL_M = 8.0
 #: Lower bounds of the levels of the share run along.
@@ -70,10 +79,15 @@ def _stored(parts: Column) -> Column:
     return F.filter(whole, lambda s: (s[0] != s[2]) | (s[1] != s[3]))
 
 
+def _packed(parts: Column) -> Column:
+    """Stored parts as one array x,y,dx,dy,...: the ends as differences, which are small and pack well."""
+    return F.flatten(F.transform(parts, lambda s: F.array(s[0], s[1], s[2] - s[0], s[3] - s[1])))
+
+
 def survey_lines(catastro: DataFrame) -> DataFrame:
-    """(feature_id, words, town, parts, cells) of the records with a usable line, once each.
+    """(feature_id, words, town, line, keys) of the records with a geometry, a row for each row.
 
-    Records without a usable line come out with empty parts and cells; :func:`link` leaves them out.
+    Records without a usable line come out with an empty line and no keys; :func:`link` leaves them out.
     """
     pair = lambda p: F.struct(F.try_element_at(p, F.lit(1)).alias("x"), F.try_element_at(p, F.lit(2)).alias("y"))
     lines = F.transform(
@@ -82,28 +96,27 @@ def survey_lines(catastro: DataFrame) -> DataFrame:
     )
     parts = F.flatten(F.transform(lines, lambda ln: _parts(ln, "x", "y")))
     df = catastro.where(F.col("feature_id").isNotNull() & F.col("geometry").isNotNull())
-    df = with_name_words(df, "nombre", "words")
-    # what is compared is far smaller than what is read: so it is worked out before repeats meet in the shuffle
-    df = df.select("feature_id", "words", town_key(F.col("comuna")).alias("town"), _stored(parts).alias("parts")).dropDuplicates(["feature_id"])
-    return df.withColumn("cells", _cells(F.col("parts"), REACH_M))
+    df = with_name_words(df, "nombre", "words").withColumn("_stored", _stored(parts))
+    return _blocked(df.withColumn("town", town_key(F.col("comuna"))), "feature_id", _cells(F.col("_stored"), REACH_M))
 
 
 def way_lines(ways: DataFrame) -> DataFrame:
-    """(way_id, words, town, parts, cells) of the ways with a cycling tag and any geometry, once each."""
+    """(way_id, words, town, line, keys) of the ways with a cycling tag and any geometry, a row for each row."""
     line = F.filter("geometry", lambda p: on_earth(p["lon"], p["lat"]))
     tag = lambda k: F.try_element_at("tags", F.lit(k))
     df = ways.where(F.col("way_id").isNotNull() & F.col("geometry").isNotNull() & cycling(F.col("tags")))
     df = with_name_words(df.withColumn("_name", F.coalesce(tag("name"), tag("official_name"))), "_name", "words")
     town = town_key(F.coalesce(tag("is_in:city"), tag("addr:city")))
-    df = df.select("way_id", "words", town.alias("town"), _stored(_parts(line, "lon", "lat")).alias("parts")).dropDuplicates(["way_id"])
-    return df.withColumn("cells", _cells(F.col("parts"), 0.0))
+    df = df.withColumn("_stored", _stored(_parts(line, "lon", "lat"))).withColumn("town", town)
+    return _blocked(df, "way_id", _cells(F.col("_stored"), 0.0))
 
 
 def _cells(parts: Column, reach_m: float) -> Column:
-    """Distinct ground cells that the boxes around the line's parts touch, widened by ``reach_m``.
+    """Distinct (ground cell, sector of direction) of the boxes around the line's parts, widened by ``reach_m``, as numbers:
+    x in 20 bits, y in 20, sector in 4.
 
-    Parts over PIECE_M are cut first, so that the boxes stay close to the line. Any two lines with points that close
-    have a cell in common, if one of them is widened.
+    Parts over PIECE_M are cut first, so that the boxes stay close to the line. Any two lines with points that close,
+    going the same way there, have a cell in common with sectors at most SECTORS_APART, if one of them is widened.
     """
     degrees = F.transform(parts, lambda s: F.transform(s, lambda v: v / UNITS))
     dy = reach_m / DEGREE_M
@@ -116,39 +129,61 @@ def _cells(parts: Column, reach_m: float) -> Column:
         return F.when(n == 1, F.array(s)).otherwise(F.transform(F.sequence(F.lit(0), n - 1), piece))
 
     def touched(b: Column) -> Column:
-        dx = F.lit(dy) / F.greatest(F.cos(F.radians(b[1])), F.lit(0.01)) if reach_m else F.lit(0.0)
+        east = F.greatest(F.cos(F.radians(b[1])), F.lit(0.01))
+        dx = F.lit(dy) / east if reach_m else F.lit(0.0)
         xs = F.sequence(at(F.least(b[0], b[2]) - dx), at(F.greatest(b[0], b[2]) + dx))
         ys = F.sequence(at(F.least(b[1], b[3]) - dy), at(F.greatest(b[1], b[3]) + dy))
-        # one number a cell: both indices of degrees / CELL_DEG fit in 20 bits
-        return F.flatten(F.transform(xs, lambda x: F.transform(ys, lambda y: F.shiftleft(x + HALF, 32) + (y + HALF))))
+        turn = F.pmod(F.atan2(b[3] - b[1], (b[2] - b[0]) * east), F.lit(math.pi))
+        sector = F.least(F.floor(turn * (SECTORS / math.pi)), F.lit(SECTORS - 1)).cast("long")
+        return F.flatten(F.transform(xs, lambda x: F.transform(ys, lambda y: F.shiftleft(x + HALF, 24) + F.shiftleft(y + HALF, 4) + sector)))
 
     return F.array_distinct(F.flatten(F.transform(F.flatten(F.transform(degrees, boxes)), touched)))
 
 
+def _keys(cells: Column, words: Column) -> Column:
+    """What a line is blocked by, as (number, sector): each cell with its sector, and for the second pass a hash of each
+    word with each block of 2 by 2 cells, which has no sector."""
+    by_cell = F.transform(cells, lambda c: F.struct(F.shiftright(c, 4).alias("k"), c.bitwiseAND(F.lit(15)).cast("byte").alias("s")))
+    blocks = F.array_distinct(F.transform(cells, lambda c: c.bitwiseAND(F.lit(~0x100001F))))
+    hashes = F.flatten(F.transform(blocks, lambda b: F.transform(words, lambda w: F.struct(F.xxhash64(w, b).alias("k"), F.lit(SECTORS).cast("byte").alias("s")))))
+    return F.concat(by_cell, hashes)
+
+
+def _blocked(df: DataFrame, key: str, cells: Column) -> DataFrame:
+    """(key, words, town, line, keys), in steps, so that no step's result is worked out more than once a row."""
+    known = F.array_distinct(F.filter(F.coalesce("words", F.array().cast("array<string>")), lambda w: F.length(w) >= WORD))
+    df = df.withColumn("_cells", cells).withColumn("_known", known)
+    return df.select(key, "words", "town", _packed(F.col("_stored")).alias("line"), _keys(F.col("_cells"), F.col("_known")).alias("keys"))
+
+
 def candidate_pairs(features: DataFrame, ways: DataFrame) -> DataFrame:
-    """Distinct (feature_id, way_id) of both blocking passes."""
-    f = features.select("feature_id", F.explode("cells").alias("_cell"))
-    w = ways.select("way_id", F.explode("cells").alias("_cell"))
-    near = f.join(w, "_cell").select("feature_id", "way_id")
-    # blocks of 4 by 4 cells for the second pass
-    blocks = F.array_distinct(F.transform("cells", lambda c: F.shiftleft(F.shiftright(c, 34), 32) + F.shiftright(c.bitwiseAND(F.lit(0xFFFFFFFF)), 2)))
-    fn = features.where("words is not null").select("feature_id", name_key(F.col("words")).alias("_name"), F.explode(blocks).alias("_block"))
-    wn = ways.where("words is not null").select("way_id", name_key(F.col("words")).alias("_name"), F.explode(blocks).alias("_block"))
-    named = fn.join(wn, ["_name", "_block"]).select("feature_id", "way_id").distinct()
-    return near.unionAll(named).distinct()
-
-
-def run_along(f_parts, w_parts):
-    """For pairs of lines: (share of the shorter that runs along the other within REACH_M, mean distance there or nan).
-
-    f_parts, w_parts: lists of flat arrays x1,y1,x2,y2,... in stored units. Points every STEP_M of the first line are
-    measured against all parts of the second; a point counts if the nearest part that it lies beside goes its way.
+    """Distinct (feature_id, way_id, named) of both blocking passes; ``named`` is true for pairs of the second.
+
+    Both passes are one join, so that keys that hold many features are told and split once. Two words of one hash would
+    only bring pairs together that are compared and found apart.
+    """
+    side = lambda df, key, s: df.select(key, F.explode("keys").alias("_e")).select(key, F.col("_e.k").alias("_key"), F.col("_e.s").alias(s))
+    apart = F.abs(F.col("_sf") - F.col("_sw"))
+    alike = (F.col("_sf") < SECTORS) & (F.col("_sw") < SECTORS) & (F.least(apart, SECTORS - apart) <= SECTORS_APART)
+    by_word = (F.col("_sf") == SECTORS) & (F.col("_sw") == SECTORS)
+    met = salted_join(side(features, "feature_id", "_sf"), side(ways, "way_id", "_sw"), ["_key"], ["feature_id"], on=alike | by_word)
+    return met.groupBy("feature_id", "way_id").agg(F.max(F.col("_sf") == SECTORS).alias("named"))
+
+
+def run_along(f_parts, w_parts, reach):
+    """For pairs of lines: (share of the shorter that runs along the other within its reach, mean distance there or nan).
+
+    f_parts, w_parts: lists of flat arrays x,y,dx,dy,... in stored units; reach: metres for each pair. Points every
+    STEP_M of the first line are measured against all parts of the second; a point counts if the nearest part that it
+    lies beside goes its way.
     """
     import numpy as np
 
     n = len(f_parts)
     nf, nw = (np.array([len(p) // 4 for p in ps]) for ps in (f_parts, w_parts))
-    fa, wa = ((np.concatenate(ps) / UNITS).reshape(-1, 4) if sum(map(len, ps)) else np.zeros((0, 4)) for ps in (f_parts, w_parts))
+    fa, wa = (np.concatenate(ps).reshape(-1, 4) / UNITS if sum(map(len, ps)) else np.zeros((0, 4)) for ps in (f_parts, w_parts))
+    for a in (fa, wa):
+        a[:, 2:] += a[:, :2]
     lat = np.array([p[1] for p in f_parts]) / UNITS
     east = DEGREE_M * np.cos(np.radians(lat))
     lng = np.array([p[0] for p in f_parts]) / UNITS
@@ -187,7 +222,7 @@ def run_along(f_parts, w_parts):
         r = (qx * vx + qy * vy) / size
         off = np.abs(qx * vy - qy * vx) / size
         over = np.maximum(np.maximum(-r, r - size), 0)
-        beside = (over <= STEP_M) & (off <= REACH_M) & (np.abs(ux[s] * vx + uy[s] * vy) >= 0.85 * size)
+        beside = (over <= STEP_M) & (off <= reach[own[s]]) & (np.abs(ux[s] * vx + uy[s] * vy) >= ALIKE * size)
         near[at:to] = np.minimum.reduceat(np.where(beside, off, np.inf), starts)
         at = to
     hit = np.isfinite(near)
@@ -199,13 +234,13 @@ def run_along(f_parts, w_parts):
 
 
 def compare(pairs: DataFrame, features: DataFrame, ways: DataFrame) -> DataFrame:
-    """Each pair with (share, offset_m, name_sim, town_sim)."""
-    f = features.select("feature_id", F.col("words").alias("_fw"), F.col("town").alias("_ft"), F.flatten("parts").alias("_fp"))
-    w = ways.select("way_id", F.col("words").alias("_ww"), F.col("town").alias("_wt"), F.flatten("parts").alias("_wp"))
+    """Each pair with (name_sim, town_sim, share, offset_m); pairs of repeated deliveries as often as those are there."""
+    f = features.select("feature_id", F.col("words").alias("_fw"), F.col("town").alias("_ft"), F.col("line").alias("_fp"))
+    w = ways.select("way_id", F.col("words").alias("_ww"), F.col("town").alias("_wt"), F.col("line").alias("_wp"))
     j = pairs.join(f, "feature_id").join(w, "way_id")
     straight = likeness(F.array_join("_fw", " "), F.array_join("_ww", " "))
     name = F.greatest(straight, likeness(name_key(F.col("_fw")), name_key(F.col("_ww"))))
-    j = j.select("feature_id", "way_id", name.alias("name_sim"), likeness(F.col("_ft"), F.col("_wt")).alias("town_sim"), "_fp", "_wp")
+    j = j.select("feature_id", "way_id", name.alias("name_sim"), likeness(F.col("_ft"), F.col("_wt")).alias("town_sim"), "named", "_fp", "_wp")
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
@@ -214,12 +249,13 @@ def compare(pairs: DataFrame, features: DataFrame, ways: DataFrame) -> DataFrame
         for b in batches:
             if not b.num_rows:
                 continue
-            fp, wp = ([x.values.to_numpy(zero_copy_only=False) for x in b.column(c)] for c in (4, 5))
-            share, offset, lf, lw = run_along(fp, wp)
+            fp, wp = ([x.values.to_numpy(zero_copy_only=False) for x in b.column(c)] for c in (5, 6))
+            reach = np.where(b.column(4).to_numpy(zero_copy_only=False).astype(bool), REACH_M, NEAR_M)
+            share, offset, *_ = run_along(fp, wp, reach)
             num = lambda a: pa.array(np.where(np.isfinite(a), a, np.nan), from_pandas=True)
-            yield pa.RecordBatch.from_arrays([*b.columns[:4], num(share), num(offset), num(lf), num(lw)], ["feature_id", "way_id", "name_sim", "town_sim", "share", "offset_m", "len_f", "len_w"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:4], num(share), num(offset)], ["feature_id", "way_id", "name_sim", "town_sim", "share", "offset_m"])
 
-    return j.mapInArrow(run, "feature_id bigint, way_id bigint, name_sim double, town_sim double, share double, offset_m double, len_f double, len_w double")
+    return j.mapInArrow(run, "feature_id bigint, way_id bigint, name_sim double, town_sim double, share double, offset_m double")
 
 
 def _level_down(c: Column, bounds: tuple[float, ...]) -> Column:
@@ -238,16 +274,19 @@ def _level_up(c: Column, bounds: tuple[float, ...]) -> Column:
 
 
 def with_levels(compared: DataFrame) -> DataFrame:
-    """Adds the levels. A pair has a rival if the feature runs along half of another way and much nearer."""
-    own = Window.partitionBy("feature_id")
-    nearest = F.min(F.when(F.col("share") >= 0.5, F.col("offset_m"))).over(own)
-    compared = compared.withColumn("_nearest", nearest)
+    """(feature_id, way_id, share, offset_m, levels...), each pair once. A pair has a rival if the feature runs along half
+    of another way and much nearer."""
+    # both windows are by feature: the second needs no other exchange
+    best = F.row_number().over(Window.partitionBy("feature_id", "way_id").orderBy(F.col("share").desc_nulls_last(), F.col("offset_m").asc_nulls_last(), F.col("name_sim").desc_nulls_last()))
+    nearest = F.min(F.when(F.col("share") >= 0.5, F.col("offset_m"))).over(Window.partitionBy("feature_id"))
+    compared = compared.withColumn("_nearest", nearest).withColumn("_best", best).where("_best = 1")
     rival = F.coalesce(F.col("_nearest") + RIVAL_M < F.col("offset_m"), F.lit(False))
-    return compared.withColumns({
+    level = {
         "l_rival": F.when(rival, 2).otherwise(1),
         "l_name": _level_down(F.col("name_sim"), NAME_LEVELS), "l_town": _level_down(F.col("town_sim"), TOWN_LEVELS),
         "l_share": _level_down(F.coalesce("share", F.lit(0.0)), SHARE_LEVELS), "l_offset": _level_up(F.col("offset_m"), OFFSET_LEVELS),
-    }).drop("_nearest")
+    }
+    return compared.select("feature_id", "way_id", "share", "offset_m", *(v.cast("int").alias(k) for k, v in level.items()))
 
 
 LEVELS = ("l_name", "l_town", "l_share", "l_offset", "l_rival")
@@ -295,8 +334,8 @@ def _first_guess(p: tuple[int, ...]) -> float:
 
 
 def link(catastro: DataFrame, ways: DataFrame) -> DataFrame:
-    """(feature_id, way_id, confidence, share, offset_m, name_sim, town_sim) of all candidate pairs."""
-    f, w = (stage(df, name).where(F.size("parts") > 0) for df, name in ((survey_lines(catastro), "features"), (way_lines(ways), "ways")))
+    """(feature_id, way_id, confidence, share, offset_m) of all candidate pairs."""
+    f, w = (stage(df, name).where(F.size("line") > 0) for df, name in ((survey_lines(catastro), "features"), (way_lines(ways), "ways")))
     pairs = stage(with_levels(compare(candidate_pairs(f, w), f, w)), "pairs")
     along = F.col("l_share") <= len(SHARE_LEVELS)
     rows = pairs.where(along).groupBy(*LEVELS).count().orderBy(*LEVELS).collect()

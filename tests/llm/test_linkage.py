@@ -57,23 +57,45 @@ def test_run_along_against_brute_force():
     for _ in range(30):
         p = np.cumsum(rnd.normal(0, 3e-4, (6, 2)), 0) + [-71, -36]
         q = p + rnd.normal(0, 1e-4, 2)
-        seg = lambda a: np.round(np.hstack([a[:-1], a[1:]]) * L.UNITS).astype(np.int32).ravel()
+        seg = lambda a: np.hstack([(u := np.round(a * L.UNITS).astype(np.int32))[:-1], np.diff(u, axis=0)]).ravel()
         f.append(seg(p))
         w.append(seg(q))
-    whole = L.run_along(f, w)
+    reach = np.where(np.arange(30) % 2, L.REACH_M, L.NEAR_M)
+    whole = L.run_along(f, w, reach)
     for i in range(30):
-        one = L.run_along(f[i : i + 1], w[i : i + 1])
+        one = L.run_along(f[i : i + 1], w[i : i + 1], reach[i : i + 1])
         assert np.allclose([x[i] for x in whole], [x[0] for x in one], equal_nan=True)
 
 
 def test_work_in_small_parts(monkeypatch):
-    p = np.round(np.array([[-71, -36, -71.003, -36], [-71.003, -36, -71.005, -36.001]]) * L.UNITS).astype(np.int32).ravel()
-    a = L.run_along([p, p], [p, p])
+    p = np.round(np.array([[-71, -36, -0.003, 0], [-71.003, -36, -0.002, -0.001]]) * L.UNITS).astype(np.int32).ravel()
+    far = np.full(2, L.REACH_M)
+    a = L.run_along([p, p], [p, p], far)
     monkeypatch.setattr(L, "WORK", 1)
-    assert all(np.allclose(x, y) for x, y in zip(a, L.run_along([p, p], [p, p])))
+    assert all(np.allclose(x, y) for x, y in zip(a, L.run_along([p, p], [p, p], far)))
     assert np.allclose(a[0], 1) and np.allclose(a[1], 0)
 
 
+def test_blocking_misses_no_near_pair(spark):
+    """Pairs of lines in any direction: the first pass finds those that run alike within its reach, the second those of
+    one name in the wider one."""
+    rnd = np.random.default_rng(5)
+    m = 1 / 111_195
+    cat, ways = [], []
+    for i in range(60):
+        x, y, a, off = -71 + i * 0.05, -36.0, rnd.uniform(0, 2 * np.pi), (25.0, 40.0)[i % 2]
+        east = m / np.cos(np.radians(y))
+        at = lambda s, o: [x + (s * np.cos(a) - o * np.sin(a)) * east, y + (s * np.sin(a) + o * np.cos(a)) * m]  # noqa: E731,B023
+        named = "Calle Larga" if i % 4 == 1 else None
+        cat.append((i, named, None, ("MultiLineString", [[at(0, 0), at(300, 0)]])))
+        ways.append((i, [tuple(at(280, off)), tuple(at(10, off))], {"highway": "cycleway", **({"name": "Larga"} if named else {})}))
+    c = spark.createDataFrame(cat, "feature_id bigint, nombre string, comuna string, geometry struct<type:string,coordinates:array<array<array<double>>>>")
+    w = spark.createDataFrame(ways, "way_id bigint, geometry array<struct<lon:double,lat:double>>, tags map<string,string>")
+    f, v = L.survey_lines(c), L.way_lines(w)
+    got = {r["feature_id"]: r["share"] for r in L.compare(L.candidate_pairs(f, v), f, v).where("feature_id = way_id").collect()}
+    assert {i for i, s in got.items() if s and s > 0.9} == {i for i in range(60) if i % 2 == 0 or i % 4 == 1}
+
+
 def test_estimates_converge():
     patterns = [((1, 1, 1, 1, 1), 500), ((4, 2, 5, 8, 1), 500), ((0, 0, 1, 1, 1), 50), ((4, 1, 1, 6, 2), 60)]
     post, share, m, u = L.expectation_maximisation(patterns, [0.9, 0.1, 0.9, 0.1])
