@@ -1,7 +1,7 @@
 """Probabilistic record linkage of surveyed stretches and OSM ways, which share no key.
 
 1. Blocking in two passes. The first: cells of the ground that the way touches and the feature comes near to, where both
-   run alike; its pairs count up to NEAR_M apart. The second: a word of the name in common in larger cells; its pairs
+   run alike; its pairs count up to NEAR_M apart. The second: the words of the name in common, in larger cells; its pairs
    count up to REACH_M apart, where only the name makes them likely. A pair found by both counts once.
 2. Agreement levels of each pair: name, town, distance between the lines, share of the shorter line run along, and
    whether the feature runs along another way much nearer.
@@ -28,7 +28,7 @@ from ..operators.skew import salted_join
 from ..session import stage
 from .names import likeness, name_key, town_key, with_name_words
 
-#: Metres within which two lines can be the same facility, with and without a word of the name in common.
+#: Metres within which two lines can be the same facility, with and without the words of the name in common.
 REACH_M, NEAR_M = 45.0, 32.0
 CELL_DEG = 0.001
 #: Stored units of one degree.
@@ -36,11 +36,9 @@ UNITS = 1e7
 #: Added to cell indices so that they are positive; they take 20 bits then.
 HALF = 1 << 19
 #: Sectors of the half circle of directions, and how many apart two that go the same way (:data:`ALIKE`) can be.
-SECTORS, SECTORS_APART = 16, 3
+SECTORS, SECTORS_APART = 8, 2
 #: Cosine of the angle up to which parts of lines go the same way.
 ALIKE = 0.85
-#: Letters a word of a name must have to be a key of the second pass.
-WORD = 4
 PIECE_M = 120.0
 STEP_M = 10.0
 #: Upper bounds in metres of the levels of distance.
@@ -85,9 +83,9 @@ def _packed(parts: Column) -> Column:
 
 
 def survey_lines(catastro: DataFrame) -> DataFrame:
-    """(feature_id, words, town, line, keys) of the records with a geometry, a row for each row.
+    """(feature_id, words, town, line, cells) of the records with a geometry, a row for each row.
 
-    Records without a usable line come out with an empty line and no keys; :func:`link` leaves them out.
+    Records without a usable line come out with an empty line and no cells; :func:`link` leaves them out.
     """
     pair = lambda p: F.struct(F.try_element_at(p, F.lit(1)).alias("x"), F.try_element_at(p, F.lit(2)).alias("y"))
     lines = F.transform(
@@ -97,18 +95,18 @@ def survey_lines(catastro: DataFrame) -> DataFrame:
     parts = F.flatten(F.transform(lines, lambda ln: _parts(ln, "x", "y")))
     df = catastro.where(F.col("feature_id").isNotNull() & F.col("geometry").isNotNull())
     df = with_name_words(df, "nombre", "words").withColumn("_stored", _stored(parts))
-    return _blocked(df.withColumn("town", town_key(F.col("comuna"))), "feature_id", _cells(F.col("_stored"), REACH_M))
+    return df.select("feature_id", "words", town_key(F.col("comuna")).alias("town"), _packed(F.col("_stored")).alias("line"), _cells(F.col("_stored"), REACH_M).alias("cells"))
 
 
 def way_lines(ways: DataFrame) -> DataFrame:
-    """(way_id, words, town, line, keys) of the ways with a cycling tag and any geometry, a row for each row."""
+    """(way_id, words, town, line, cells) of the ways with a cycling tag and any geometry, a row for each row."""
     line = F.filter("geometry", lambda p: on_earth(p["lon"], p["lat"]))
     tag = lambda k: F.try_element_at("tags", F.lit(k))
     df = ways.where(F.col("way_id").isNotNull() & F.col("geometry").isNotNull() & cycling(F.col("tags")))
     df = with_name_words(df.withColumn("_name", F.coalesce(tag("name"), tag("official_name"))), "_name", "words")
     town = town_key(F.coalesce(tag("is_in:city"), tag("addr:city")))
-    df = df.withColumn("_stored", _stored(_parts(line, "lon", "lat"))).withColumn("town", town)
-    return _blocked(df, "way_id", _cells(F.col("_stored"), 0.0))
+    df = df.withColumn("_stored", _stored(_parts(line, "lon", "lat")))
+    return df.select("way_id", "words", town.alias("town"), _packed(F.col("_stored")).alias("line"), _cells(F.col("_stored"), 0.0).alias("cells"))
 
 
 def _cells(parts: Column, reach_m: float) -> Column:
@@ -140,29 +138,20 @@ def _cells(parts: Column, reach_m: float) -> Column:
     return F.array_distinct(F.flatten(F.transform(F.flatten(F.transform(degrees, boxes)), touched)))
 
 
-def _keys(cells: Column, words: Column) -> Column:
-    """What a line is blocked by, as (number, sector): each cell with its sector, and for the second pass a hash of each
-    word with each block of 2 by 2 cells, which has no sector."""
-    by_cell = F.transform(cells, lambda c: F.struct(F.shiftright(c, 4).alias("k"), c.bitwiseAND(F.lit(15)).cast("byte").alias("s")))
-    blocks = F.array_distinct(F.transform(cells, lambda c: c.bitwiseAND(F.lit(~0x100001F))))
-    hashes = F.flatten(F.transform(blocks, lambda b: F.transform(words, lambda w: F.struct(F.xxhash64(w, b).alias("k"), F.lit(SECTORS).cast("byte").alias("s")))))
-    return F.concat(by_cell, hashes)
-
-
-def _blocked(df: DataFrame, key: str, cells: Column) -> DataFrame:
-    """(key, words, town, line, keys), in steps, so that no step's result is worked out more than once a row."""
-    known = F.array_distinct(F.filter(F.coalesce("words", F.array().cast("array<string>")), lambda w: F.length(w) >= WORD))
-    df = df.withColumn("_cells", cells).withColumn("_known", known)
-    return df.select(key, "words", "town", _packed(F.col("_stored")).alias("line"), _keys(F.col("_cells"), F.col("_known")).alias("keys"))
-
-
 def candidate_pairs(features: DataFrame, ways: DataFrame) -> DataFrame:
     """Distinct (feature_id, way_id, named) of both blocking passes; ``named`` is true for pairs of the second.
 
-    Both passes are one join, so that keys that hold many features are told and split once. Two words of one hash would
-    only bring pairs together that are compared and found apart.
+    Both passes are one join on numbers (the cell, or a hash of name and block), so that keys that hold many features are
+    told and split once. Two names of one hash would only bring pairs together that are compared and found apart.
     """
-    side = lambda df, key, s: df.select(key, F.explode("keys").alias("_e")).select(key, F.col("_e.k").alias("_key"), F.col("_e.s").alias(s))
+    # blocks of 4 by 4 cells for the second pass
+    blocks = F.array_distinct(F.transform("cells", lambda c: c.bitwiseAND(F.lit(~0x300003F))))
+
+    def side(df: DataFrame, key: str, sector: str) -> DataFrame:
+        by_cell = df.select(key, F.explode("cells").alias("_c")).select(key, F.shiftright("_c", 4).alias("_key"), F.col("_c").bitwiseAND(F.lit(15)).cast("byte").alias(sector))
+        by_name = df.where("words is not null").select(key, name_key(F.col("words")).alias("_name"), F.explode(blocks).alias("_c"))
+        return by_cell.unionAll(by_name.select(key, F.xxhash64("_name", "_c"), F.lit(SECTORS).cast("byte")))
+
     apart = F.abs(F.col("_sf") - F.col("_sw"))
     alike = (F.col("_sf") < SECTORS) & (F.col("_sw") < SECTORS) & (F.least(apart, SECTORS - apart) <= SECTORS_APART)
     by_word = (F.col("_sf") == SECTORS) & (F.col("_sw") == SECTORS)

@@ -85,7 +85,7 @@ def test_blocking_misses_no_near_pair(spark):
     for i in range(60):
         x, y, a, off = -71 + i * 0.05, -36.0, rnd.uniform(0, 2 * np.pi), (25.0, 40.0)[i % 2]
         east = m / np.cos(np.radians(y))
-        at = lambda s, o: [x + (s * np.cos(a) - o * np.sin(a)) * east, y + (s * np.sin(a) + o * np.cos(a)) * m]  # noqa: E731,B023
+        at = lambda s, o: [float(x + (s * np.cos(a) - o * np.sin(a)) * east), float(y + (s * np.sin(a) + o * np.cos(a)) * m)]  # noqa: E731,B023
         named = "Calle Larga" if i % 4 == 1 else None
         cat.append((i, named, None, ("MultiLineString", [[at(0, 0), at(300, 0)]])))
         ways.append((i, [tuple(at(280, off)), tuple(at(10, off))], {"highway": "cycleway", **({"name": "Larga"} if named else {})}))
