@@ -3,12 +3,14 @@
 Entries and values are brought to a folded form (no case, accents, signs or spaces). The folded entries form BK-trees
 under the Damerau-Levenshtein distance with adjacent transpositions and anything inserted between them, which is a true
 metric; so the triangle inequality prunes subtrees and still every entry within the threshold is found. A reference
-list larger than ``SHARD_ENTRIES`` becomes several trees; each value visits all of them and the shards' winners merge.
+list larger than ``SHARD_ENTRIES`` becomes several trees, each built once in a task of its own; each value visits all of
+them and the shards' winners merge. The list itself never goes to the driver.
 
 What is defined here:
 
 * Null and blank values, and values that are exactly a term of their field, don't come out.
-* An entry is known by its term, by the given label columns and by its aliases; also with its words in another order.
+* An entry is known by its term, by the given label columns and by the aliases that the caller gives; also with its
+  words in another order.
 * "a / b" means what either part means. A word that ends in a full stop may be the start of an entry's word.
 * A value that matches nothing as a whole means the entry whose name it holds as neighbouring words, the longest first.
 * Accepted distance: 0 for folded forms under 4 characters, 1 under 6, otherwise 2.
@@ -26,84 +28,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import is_blank
+from ..operators.skew import salted_join
+from ..session import stage
 
 SHARD_ENTRIES = 5_000
+#: Bytes of trees that are sent to every task, and values of a group where they aren't.
+SENT_BYTES, VALUES = 64 << 20, 100_000
 #: A folded form longer than the longest entry by more than the largest threshold can't match; it isn't compared.
 MAX_EDITS = 2
 
-# Other ordinary names for the entries, by field and term.
-ALIASES = {
-    "tags": {
-        "gravel": ["gravel road", "grava", "loose stones"],
-        "bike path": ["cycle path", "bikeway", "cycling lane", "cycle track", "bike lane", "ciclopista"],
-        "paved road": ["asphalt", "tarmac", "paved", "asphalt road"],
-        "night ride": ["after dark ride", "ride after dark", "evening ride", "riding by night"],
-        "family outing": ["for families", "family friendly", "family ride", "outing with the kids"],
-        "hill climb": ["climbing", "uphill", "long climb", "ascent"],
-        "river view": ["riverside", "by the river", "view of the river"],
-        "forest track": ["woodland trail", "forest trail", "through the woods", "forest road"],
-        "winter riding": ["winter ride", "snow riding", "cold weather riding"],
-        "coffee stop": ["coffee break", "stop for coffee", "cafe stop"],
-        "time trial": ["race against the clock", "against the clock"],
-        "long haul": ["long distance", "ultra distance", "endurance ride"],
-        "overnight camping": ["sleep in tents", "bikepacking", "camp overnight", "camping trip"],
-        "sunrise start": ["dawn start", "early start", "start at dawn", "dawn ride"],
-        "cargo bikes": ["freight bikes", "load bikes", "freight bicycles"],
-        "repair class": ["fix-it lesson", "repair lesson", "repair workshop", "maintenance class"],
-        "beginner": ["for newcomers", "novice", "first timers", "beginner friendly", "easy"],
-        "women led": ["led by women", "women only", "ladies led"],
-        "charity": ["fundraiser", "fund raising", "for a good cause"],
-        "heritage tour": ["history tour", "historic tour", "tour of monuments"],
-        "birdwatching": ["birding", "bird spotting", "watch birds"],
-        "street art": ["murals", "graffiti", "urban art"],
-        "velodrome": ["track cycling", "cycling track"],
-        "cyclocross": ["cross racing"],
-        "downhill": ["descending", "downhill run", "descent"],
-        "ferry link": ["ferry crossing", "boat crossing", "by ferry"],
-        "rail trail": ["rail-trail path", "old railway trail", "old railway", "disused railway"],
-        "steep": ["steep grades", "steep slopes", "very steep"],
-        "sheltered from wind": ["wind protected", "out of the wind", "wind sheltered"],
-        "wheelchair access": ["wheelchair friendly", "accessible", "step free"],
-        "swimming spot": ["bathing spot", "place to swim", "swim stop"],
-        "market visit": ["visit the market", "farmers market visit", "trip to the market"],
-        "school run": ["ride to school", "way to school", "school commute"],
-        "commute": ["commuting", "ride to work", "way to work"],
-        "costume party": ["fancy dress", "dress up ride", "costume ride"],
-        "slow pace": ["slow ride", "leisurely", "easy pace", "relaxed pace"],
-        "bunch sprint": ["mass sprint", "group sprint", "field sprint"],
-        "mapping party": ["map making meetup", "mapathon", "group mapping"],
-        "tree planting": ["plant trees", "planting trees", "reforestation"],
-        "lantern parade": ["parade of lanterns", "lantern walk", "lantern procession"],
-    },
-    "category": {
-        "parkland": ["park", "green area", "green space"],
-        "coffee house": ["cafe", "coffee shop", "coffee bar"],
-        "bicycle workshop": ["bicycle repair", "bike shop", "bike repair"],
-        "viewpoint": ["lookout", "scenic view", "vista point"],
-        "sandy shore": ["beach", "sand beach", "playa"],
-        "campground": ["campsite", "camp site", "tent site"],
-        "bakery": ["bakehouse", "bread shop", "pastry shop"],
-        "drinking fountain": ["drinking water", "water fountain", "water tap"],
-        "public toilet": ["restroom", "wc publico", "public wc", "toilets"],
-        "footbridge": ["pedestrian bridge", "foot bridge", "bridge for walkers"],
-        "gelato bar": ["ice cream", "ice cream shop", "ice cream parlour"],
-        "brewpub": ["microbrewery", "beer pub", "craft beer bar"],
-        "museum": ["exhibition hall", "history museum"],
-        "library": ["reading room", "book lending"],
-        "train station": ["railway station", "rail station"],
-        "ferry dock": ["ferry terminal", "boat landing", "ferry pier"],
-        "picnic area": ["picnic site", "picnic tables", "picnic ground"],
-        "car parking": ["parking lot", "park your car", "car park"],
-        "bike hire": ["bike rental", "bicycle rental", "rent a bike"],
-        "street market": ["farmers market", "open air market", "outdoor market"],
-        "hostel": ["youth hostel", "backpackers", "albergue"],
-        "botanical garden": ["botanic garden", "plant garden"],
-        "first aid post": ["first aid station", "first aid", "medical post"],
-        "water reservoir": ["dam lake", "reservoir"],
-    },
-}
-
-
 def fold(text: str) -> str:
     """Lower case, without accents; everything but letters and digits becomes single spaces."""
     t = unicodedata.normalize("NFKD", text).casefold()
@@ -320,45 +253,85 @@ class Canon:
 _KEY = ("_stage", "_d", "_len", "_run", "_rank", "_id")
 
 
+def reference_entries(terms: DataFrame, labels: tuple[str, ...], aliases: DataFrame | None) -> DataFrame:
+    """(field, term_id, term, others): the entries with their other names, labels before aliases."""
+    e = terms.where("term is not null and field is not null and term_id is not null")
+    e = e.select("field", "term_id", "term", F.array(*labels).cast("array<string>").alias("others"))
+    if aliases is None:
+        return e
+    more = aliases.where("alias is not null").groupBy("field", "term_id").agg(F.array_sort(F.collect_set("alias")).alias("_more"))
+    e = e.join(more, ["field", "term_id"], "left")
+    return e.select("field", "term_id", "term", F.concat("others", F.coalesce("_more", F.array().cast("array<string>"))).alias("others"))
+
+
+def shard_trees(entries: DataFrame, shard_entries: int) -> tuple[DataFrame, int]:
+    """((shard, tree binary), number of shards): each shard's trees, built once, in a task of its own, and stored."""
+    import pickle
+
+    shards = max(1, -(-entries.count() // shard_entries))
+    e = entries.withColumn("_shard", F.pmod(F.xxhash64("field", "term_id", "term"), F.lit(shards)).cast("int"))
+
+    def build(pdf):
+        import pandas as pd
+
+        rows = sorted(zip(pdf["field"], pdf["term_id"].tolist(), pdf["term"], (list(o) for o in pdf["others"])), key=lambda r: r[:3])
+        return pd.DataFrame({"shard": [int(pdf["_shard"].iloc[0])], "tree": [pickle.dumps(Canon(rows), protocol=5)]})
+
+    return stage(e.groupBy("_shard").applyInPandas(build, "shard int, tree binary"), "trees"), shards
+
+
 def match_values(
     values: DataFrame, terms: DataFrame, field: str = "field", value: str = "raw_value", labels: tuple[str, ...] = ("label_es", "label_fr"),
-    aliases: dict[str, dict[str, list[str]]] | None = None, shard_entries: int = SHARD_ENTRIES,
+    aliases: DataFrame | None = None, shard_entries: int = SHARD_ENTRIES, sent_bytes: int = SENT_BYTES,
 ) -> DataFrame:
     """Distinct (field, raw_value, term_id, edits) of the non-blank values that aren't exactly a term of their field.
 
-    The reference list is read to the driver and sent out in shards of ``shard_entries`` entries, one broadcast for
-    each; values grow with the data and are only ever distributed.
+    aliases: (field, term_id, alias), other names of entries that the caller knows; none are built in. The trees are
+    built once. Up to ``sent_bytes`` in all they are sent to every task, and the values pass them in one go; beyond that
+    the values meet each shard's tree in groups of at most VALUES values, and the shards' winners merge.
     """
+    import pickle
+
     spark = values.sparkSession
-    known = ALIASES if aliases is None else aliases
-    rows = terms.where("term is not null and field is not null and term_id is not null").select("field", "term_id", "term", *labels).orderBy("field", "term_id").collect()
-    entries = [(r["field"], r["term_id"], r["term"], [*(r[k] for k in labels), *known.get(r["field"], {}).get(r["term"], [])]) for r in rows]
+    built, shards = shard_trees(reference_entries(terms, labels, aliases), shard_entries)
     exact = terms.select(F.col("field").alias(field), F.col("term").alias(value)).distinct()
     todo = values.select(field, value).where(F.col(field).isNotNull() & F.col(value).isNotNull() & ~is_blank(F.col(value))).distinct()
-    todo = todo.join(exact, [field, value], "left_anti")
+    todo = todo.join(exact, [field, value], "left_anti").select(F.col(field).alias("_f"), F.col(value).alias("_v"))
+    shape = "_f string, _v string, _stage int, _d int, _len int, _run string, _rank int, _id bigint"
     # lookups cost far more than their bytes tell, so the number of parts is set, not left to sizes
-    todo = todo.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
-    shards = [entries[i : i + shard_entries] for i in range(0, len(entries), shard_entries)] or [[]]
-    sent = [spark.sparkContext.broadcast(s) for s in shards]
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    none = (9, 99, 0, "", 9, 0)
+
+    def winners(canons, pdf):
+        for f, part in pdf.groupby("_f", sort=False):
+            asked = part["_v"].tolist()
+            best = [none] * len(asked)
+            for canon in canons:
+                best = [min(x, y) if y else x for x, y in zip(best, canon.best(f, asked))]
+            yield part.assign(**dict(zip(_KEY, map(list, zip(*best)))))[["_f", "_v", *_KEY]]
+
+    if (built.agg(F.sum(F.length("tree"))).first()[0] or 0) <= sent_bytes:
+        box = spark.sparkContext.broadcast([bytes(r["tree"]) for r in built.collect()])
 
-    def lookup(box):
         def run(batches):
-            canon = Canon(box.value)
+            canons = [pickle.loads(b) for b in box.value]
             for pdf in batches:
-                for f, part in pdf.groupby("_f", sort=False):
-                    best = canon.best(f, part["_v"].tolist())
-                    none = (9, 99, 0, "", 9, 0)
-                    cols = zip(*(b or none for b in best))
-                    yield part.assign(**dict(zip(_KEY, map(list, cols))))[["_f", "_v", *_KEY]]
-
-        return run
-
-    src = todo.select(F.col(field).alias("_f"), F.col(value).alias("_v"))
-    won = [src.mapInPandas(lookup(b), "_f string, _v string, _stage int, _d int, _len int, _run string, _rank int, _id bigint") for b in sent]
-    out = won[0]
-    if len(won) > 1:
-        for w in won[1:]:
-            out = out.unionAll(w)
+                yield from winners(canons, pdf)
+
+        out = todo.repartition(parts).mapInPandas(run, shape)
+    else:
+        todo = stage(todo, "values")
+        parts = max(parts, -(-todo.count() // VALUES))
+        v = todo.withColumn("_part", F.pmod(F.xxhash64("_f", "_v"), F.lit(parts)).cast("int")).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
+        w = built.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+
+        def meet(asked, tree):
+            import pandas as pd
+
+            got = [*winners([pickle.loads(t) for t in tree["tree"]], asked[["_f", "_v"]])]
+            return pd.concat(got) if got else pd.DataFrame(columns=["_f", "_v", *_KEY])
+
+        out = v.groupBy("shard", "_part").cogroup(w.groupBy("shard", "_part")).applyInPandas(meet, shape)
         out = out.groupBy("_f", "_v").agg(F.min(F.struct(*_KEY)).alias("_b")).select("_f", "_v", "_b.*")
     return out.select(F.col("_f").alias(field), F.col("_v").alias(value), F.col("_id").alias("term_id"), F.when(F.col("_id") > 0, F.col("_d")).alias("edits"))
 
@@ -372,4 +345,5 @@ def typed_values(routes: DataFrame, places: DataFrame) -> DataFrame:
 
 def map_values(records: DataFrame, terms: DataFrame, **options) -> DataFrame:
     """(field, record_id, raw_value, term_id): each record's values with the entry they mean, 0 if none."""
-    return records.join(match_values(records, terms, **options), ["field", "raw_value"]).select("field", "record_id", "raw_value", "term_id")
+    found = match_values(records, terms, **options)
+    return salted_join(records, found, ["field", "raw_value"], ["record_id"]).select("field", "record_id", "raw_value", "term_id")

@@ -8,7 +8,7 @@ Items that can't be in any result are left out before the products, by bounds th
 (n_ab is at most n_a): n_a below the least count or the least share, and n_a above N / lift. The second bound also
 takes out the items that nearly every basket holds. An item kept holds at least ``1 / share`` of the baskets, so their
 number is at most ``share`` times the mean basket: that is why the list of kept items may go to the driver and to
-every task.
+every task. Their number is checked all the same, against callers' larger shares.
 """
 
 from __future__ import annotations
@@ -19,11 +19,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import is_blank
+from ..session import stage
 
 RECORDS = 8192
 ITEMS = 1024
 #: Nonzero sums a task keeps before it hands them on.
 KEEP = 2_000_000
+#: Most items that may be kept, as their names are sent to every task.
+MOST_ITEMS = 2_000_000
 
 
 def baskets(df: DataFrame, record: str, items: str) -> DataFrame:
@@ -81,13 +84,17 @@ def item_pairs(df: DataFrame, record: str, items: str, least: int = 4, share: in
     arrays count for nothing; repeated rows of a record count once.
     """
     spark = df.sparkSession
-    base = baskets(df, record, items)
-    total = base.agg(F.count("*").alias("n"))
-    counts = base.select(F.explode("_items").alias("_item")).groupBy("_item").agg(F.count("*").alias("_n"))
-    kept = counts.where(F.col("_n") >= least).join(F.broadcast(total), (F.col("_n") * share >= F.col("n")) & (F.col("_n") * lift <= F.col("n")))
-    rows = kept.collect()
+    # the baskets are read for the counts and for the products: they are worked out once
+    base = stage(baskets(df, record, items), "baskets")
+    # a null beside the items of each basket counts the baskets
+    counts = base.select(F.explode(F.concat("_items", F.array(F.lit(None).cast("string")))).alias("_item")).groupBy("_item").agg(F.count("*").alias("_n"))
+    counts = stage(counts.where((F.col("_n") >= least) | F.col("_item").isNull()), "counts")
+    n = (counts.where("_item is null").first() or [None, 0])[1]
+    kept = counts.where(F.col("_item").isNotNull() & (F.col("_n") * share >= n) & (F.col("_n") * lift <= n))
+    rows = kept.limit(MOST_ITEMS + 1).collect()
+    if len(rows) > MOST_ITEMS:
+        raise ValueError(f"more than {MOST_ITEMS} items hold the share; give a smaller one")
     rows.sort(key=lambda r: r["_item"])
-    n = rows[0]["n"] if rows else 0
     names = spark.createDataFrame([(i, r["_item"], r["_n"]) for i, r in enumerate(rows)], "_id int, _item string, _n bigint")
     codes = spark.sparkContext.broadcast({r["_item"]: i for i, r in enumerate(rows)})
     m = max(1, len(rows))

@@ -19,6 +19,8 @@ from .tokenize import count_tokens
 CAPACITY = 2048
 #: Items a shard should hold.
 SHARD_ITEMS = 20_000
+#: Copies of one row that are numbered at a time.
+COPIES = 10_000
 
 
 def best_two_fit(sizes: list[int], capacity: int) -> list[int]:
@@ -74,7 +76,8 @@ def best_two_fit(sizes: list[int], capacity: int) -> list[int]:
 
 
 def pack(items: DataFrame, key: str, size: str, capacity: int = CAPACITY, shard_items: int = SHARD_ITEMS, count: int | None = None) -> DataFrame:
-    """(key, piece, size, container): every row of ``items`` once, cut rows once for each piece.
+    """(key, piece, size, container): every row of ``items`` once, cut rows once for each piece. The containers depend on
+    the rows alone, not on their order or the files they come in.
 
     ``count`` is the number of rows, if the caller has it cheaper than by a scan. Rows of the same key and size are
     apart: each is packed.
@@ -82,9 +85,11 @@ def pack(items: DataFrame, key: str, size: str, capacity: int = CAPACITY, shard_
     n = items.count() if count is None else count
     shards = max(1, -(-n // shard_items))
     s = F.greatest(F.coalesce(F.col(size), F.lit(0)), F.lit(0)).cast("long")
-    base = items.select(F.col(key).alias("_k"), s.alias("_s"))
-    # the partition's number keeps the copies of one row from meeting in one shard
-    base = base.withColumn("_shard", F.pmod(F.xxhash64("_k", "_s", F.spark_partition_id()), F.lit(shards)).cast("int"))
+    # equal rows are counted and numbered, so that copies spread over the shards, alike however the table is split
+    base = items.groupBy(F.col(key).alias("_k"), s.alias("_s")).agg(F.count("*").alias("_copies"))
+    base = base.withColumn("_from", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1, F.lit(COPIES))))
+    base = base.withColumn("_copy", F.explode(F.sequence("_from", F.least(F.col("_from") + COPIES, F.col("_copies")) - 1)))
+    base = base.withColumn("_shard", F.pmod(F.xxhash64("_k", "_s", "_copy"), F.lit(shards)).cast("int"))
     full = F.floor((F.greatest(F.col("_s"), F.lit(1)) - 1) / capacity).cast("int")
     pieces = base.select("_shard", "_k", "_s", F.explode(F.sequence(F.lit(0), full)).alias("_piece"))
     pieces = pieces.select("_shard", "_k", "_piece", F.least(F.col("_s") - F.col("_piece") * capacity, F.lit(capacity)).cast("int").alias("_n"))

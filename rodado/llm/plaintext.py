@@ -24,6 +24,8 @@ from functools import cache
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.skew import salted_join
+
 # Letters of other scripts that look like a Latin letter, by that letter, in natural order.
 LOOKALIKES = {
     "A": "ΑАᎪꓮ", "B": "ΒВᏴꓐ", "C": "ϹСᏟꓚⅭ",
@@ -211,7 +213,7 @@ def plain_records(df: DataFrame, key: str, col: str, tbl: str) -> DataFrame:
     """
     recs = df.select(F.col(key).alias("rec_id"), F.col(col).alias("_name"))
     recs = recs.where(F.col("rec_id").isNotNull() & needs_work(F.col("_name")))
-    out = recs.join(plain_names(recs, "_name"), "_name").select(F.lit(tbl).alias("tbl"), "rec_id", "plain_name")
+    out = salted_join(recs, plain_names(recs, "_name"), ["_name"], ["rec_id"]).select(F.lit(tbl).alias("tbl"), "rec_id", "plain_name")
     return out.distinct()
 
 
@@ -221,4 +223,5 @@ def plain_all(catastro: DataFrame, places: DataFrame) -> DataFrame:
         places.select(F.lit("places"), "place_id", "name")
     )
     recs = recs.where(F.col("rec_id").isNotNull() & needs_work(F.col("_name")))
-    return recs.join(plain_names(recs, "_name"), "_name").select("tbl", "rec_id", "plain_name").distinct()
+    # a name that many records hold is split
+    return salted_join(recs, plain_names(recs, "_name"), ["_name"], ["tbl", "rec_id"]).select("tbl", "rec_id", "plain_name").distinct()

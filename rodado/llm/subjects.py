@@ -9,8 +9,8 @@
 4. A document is accepted for every subject with at least a share ``cut`` of its sentences. Cut and margin are
    calibrated on held-out folds of the labelled documents.
 
-Only the labelled documents train the models, at most ``LABELLED`` of them, those with the smallest hashed ids; the
-models' size is bounded by that. Every document is scored, whole, in one pass without a shuffle.
+Only the labelled documents train the models, those with the smallest hashed ids, at most ``LABELLED`` of them and
+``LABELLED_CHARS`` characters; the models' size is bounded by that. Every document is scored, whole, in one pass without a shuffle.
 
 What is defined here: null, empty and blank texts and texts without prose have no subject. Without any labelled
 document no document has one. Repeated ids come out once for each subject.
@@ -23,11 +23,13 @@ import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Labelled documents that may train the models.
-LABELLED = 3_000
+from ..session import stage
+
+#: Labelled documents that may train the models, and characters they may have together: both bound what goes to the driver.
+LABELLED, LABELLED_CHARS = 3_000, 50_000_000
 ROUNDS = 8
 FOLDS = 4
 #: Weights of the bigram and unigram estimates; the rest of the mass lies on the words of all classes together.
@@ -254,11 +256,16 @@ def calibrate(docs, labels, subjects, folds: int = FOLDS):
     return best
 
 
-def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "subject", most: int = LABELLED) -> tuple[Models, float, float]:
-    """(models, margin, cut) from at most ``most`` labelled documents."""
+def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "subject", most: int = LABELLED, chars: int = LABELLED_CHARS) -> tuple[Models, float, float]:
+    """(models, margin, cut) from at most ``most`` labelled documents with at most ``chars`` characters in all."""
     own = labels.where(F.col(key).isNotNull() & F.col(label).isNotNull()).groupBy(key).agg(F.collect_set(label).alias("_labels"))
     own = own.orderBy(F.xxhash64(key), key).limit(most)
-    rows = docs.select(key, F.col(text).alias("_t")).join(F.broadcast(own), key).dropDuplicates([key]).collect()
+    held = stage(docs.select(key, F.col(text).cast("string").alias("_t")).join(F.broadcast(own), key).dropDuplicates([key]), "labelled")
+    # a running sum over at most ``most`` rows; the texts themselves don't take part in the sort
+    sizes = held.select(F.col(key).alias("_key"), F.coalesce(F.length("_t"), F.lit(0)).alias("_n"))
+    so_far = F.sum("_n").over(Window.orderBy(F.xxhash64("_key"), "_key").rowsBetween(Window.unboundedPreceding, 0))
+    fits = sizes.withColumn("_sum", so_far).where(F.col("_sum") <= chars).select(F.col("_key").alias(key))
+    rows = held.join(F.broadcast(fits), key, "left_semi").collect()
     rows.sort(key=lambda r: r[key])
     subjects = sorted({s for r in rows for s in r["_labels"]})
     number = {s: i for i, s in enumerate(subjects)}

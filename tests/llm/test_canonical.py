@@ -37,9 +37,13 @@ def test_mapping(spark):
         ("tags", "bakery"): 0, ("category", "Bakery!"): 9, ("tags", "???"): 0, ("tags", "the gravel one"): 1, ("tags", "x" * 30_000): 0, ("tags", "Рipio"): 1, ("other", "gravel"): 0,
     }
     rows = [(f, i, v, 1) for i, (f, v) in enumerate(want)] + [("tags", 99, None, 1), ("tags", 98, "  ", 1), ("tags", 97, "gravel", 1), ("tags", 0, "Gravle", 1)]
-    for shard in (5000, 1):
-        got = C.map_values(values(spark, rows).distinct(), terms, shard_entries=shard).collect()
+    for options in ({}, {"shard_entries": 1}, {"shard_entries": 2, "sent_bytes": 0}):
+        got = C.map_values(values(spark, rows).distinct(), terms, **options).collect()
         assert {(r["field"], r["raw_value"]): r["term_id"] for r in got} == want
+    more = spark.createDataFrame([("tags", 2, "cycle lane"), ("tags", 2, None), ("category", 9, "bread shop")], "field string, term_id bigint, alias string")
+    asked = values(spark, [("tags", 1, "Cycle lanes", 1), ("tags", 2, "bread shop", 1), ("category", 3, "bread shop", 1)])
+    assert {(r["field"], r["raw_value"]): r["term_id"] for r in C.map_values(asked, terms, aliases=more).collect()} == {("tags", "Cycle lanes"): 2, ("tags", "bread shop"): 0, ("category", "bread shop"): 9}
+    assert {r["term_id"] for r in C.map_values(asked, terms).collect()} == {0}
     assert C.map_values(values(spark, rows).limit(0), terms).collect() == []
     assert {r["term_id"] for r in C.map_values(values(spark, rows), terms.limit(0)).collect()} == {0}
 
@@ -55,11 +59,11 @@ def test_shards_change_nothing(spark):
     terms = spark.createDataFrame(rows, "field string, term_id bigint, term string, label_es string, label_fr string")
     want = {"gravel roads": 5, "the big park lane": 7, "park gravelroat": 1, "lane or park": 2, "a track there": 9, "gravelroad park": 5}
     src = values(spark, [("tags", i, v, 1) for i, v in enumerate(want)])
-    whole, split = ({r["raw_value"]: (r["term_id"], r["edits"]) for r in C.match_values(src, terms, aliases={}, shard_entries=n).collect()} for n in (5000, 1))
+    whole, split = ({r["raw_value"]: (r["term_id"], r["edits"]) for r in C.match_values(src, terms, shard_entries=n).collect()} for n in (5000, 1))
     assert whole == split and {k: v[0] for k, v in whole.items()} == want
 
 
 def test_a_whole_match_in_another_shard_wins(spark):
     terms = spark.createDataFrame([("tags", 1, "park", None, None), ("tags", 2, "park avenue", None, None)], "field string, term_id bigint, term string, label_es string, label_fr string")
     src = values(spark, [("tags", 1, "park avenua", 1)])
-    assert [C.match_values(src, terms, aliases={}, shard_entries=n).first()["term_id"] for n in (5000, 1)] == [2, 2]
+    assert [C.match_values(src, terms, shard_entries=n).first()["term_id"] for n in (5000, 1)] == [2, 2]
