@@ -31,7 +31,7 @@ def test_bad_coordinates_and_crowds(spark, monkeypatch):
     p = frame(spark, bad + [(100 + i, 1.0, 1.0) for i in range(300)], ("p", "lng", "lat"))
     c = frame(spark, [(1, 1.0, 1.0), (2, None, None), (3, 1.0, float("nan"))], ("c", "x", "y"))
     monkeypatch.setattr(skew, "SALT_ROWS", 50)
-    hot = skew.hot_keys(p.withColumn("k", F.lit(1)), ["k"], rows=50)
+    hot = skew.hot_keys(p.withColumn("k", F.lit(1)), ["k"], ["id"], rows=50)
     assert hot.first()["_salts"] == 7
     got = skew.salted_join(p.withColumn("k", F.lit(1)), c.withColumn("k", F.lit(1)), ["k"], ["p"], rows=50)
     assert got.count() == p.count() * 3
