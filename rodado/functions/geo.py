@@ -83,6 +83,12 @@ def line_length(points: Column, x: str = "lng", y: str = "lat") -> Column:
     )
 
 
+def sampled(points: Column, n: int = 5) -> Column:
+    """All of up to n points, else every k-th from the first, k being the n-th part of their number."""
+    step = F.greatest(F.floor(F.size(points) / n), F.lit(1))
+    return F.when(F.size(points) <= n, points).otherwise(F.filter(points, lambda _, i: i % step == 0))
+
+
 def centroid(points: Column, x: str = "lng", y: str = "lat") -> Column:
     """Mean of the vertices as struct<lng,lat>; null for an empty array."""
     n = F.size(points)

@@ -38,11 +38,12 @@ def path_score(comfort: Column, length_m: Column, crow_m: Column, near_start_m:
 
 
 def zone_interest(magnetism: Column, kinds: Column) -> Column:
-    """Of the magnetisms along a route (array, in order): the ends in full, those between by half, and up to 6 for variety."""
+    """Of the magnetisms along a route (array, in order, unknown ones 0): the ends in full, those between by half, and 2 for
+    each kind beyond the first, up to 6. One zone alone has neither ends nor variety."""
     n = F.size(magnetism)
-    total = F.aggregate(magnetism, F.lit(0.0), lambda s, v: s + v * 0.5)
-    ends = F.when(n > 1, (magnetism[0] + F.element_at(magnetism, -1)) * 0.5).when(n == 1, magnetism[0] * 0.5).otherwise(0.0)
-    return F.when(n > 0, total + ends + F.least(F.size(F.array_distinct(kinds)) * 2, F.lit(6))).otherwise(0.0)
+    known = F.transform(magnetism, lambda v: F.coalesce(v.cast("double"), F.lit(0.0)))
+    total = F.aggregate(known, F.lit(0.0), lambda s, v: s + v * 0.5) + (F.try_element_at(known, F.lit(1)) + F.try_element_at(known, F.lit(-1))) * 0.5
+    return F.when(n > 1, total + F.least((F.size(F.array_distinct(kinds)) - 1) * 2, F.lit(6))).otherwise(0.0)
 
 
 def edge_free_share(costs: Column) -> Column:

@@ -321,18 +321,24 @@ def axis_order(axes: list[tuple[tuple, tuple]], loop: bool = False) -> list[tupl
     n = len(axes)
     if n < 2:
         return [(i, False) for i in range(n)]
-    ends = lambda i, t: axes[i][::-1] if t else axes[i]
+    # tips are numbered 2 i for the start and 2 i + 1 for the end of axis i; all distances are told once
+    tips = [p for ax in axes for p in ax]
+    far = [[_metres(*p, *q) for q in tips] for p in tips]
 
-    def directed(order: list[int], first: bool) -> list[tuple[int, bool]]:
-        out = [(order[0], first)]
+    def directed(order: list[int], first: bool) -> list[int]:
+        """The tips by which the axes are entered."""
+        out = [2 * order[0] + first]
         for i in order[1:]:
-            at = ends(*out[-1])[1]
-            out.append((i, _metres(*at, *axes[i][1]) < _metres(*at, *axes[i][0])))
+            d = far[out[-1] ^ 1]
+            out.append(2 * i + (d[2 * i + 1] < d[2 * i]))
         return out
 
-    def gaps(o: list[tuple[int, bool]]) -> float:
-        g = sum(_metres(*ends(*x)[1], *ends(*y)[0]) for x, y in zip(o, o[1:]))
-        return g + (_metres(*ends(*o[-1])[1], *ends(*o[0])[0]) if loop else 0.0)
+    def gaps(o: list[int]) -> float:
+        g = sum(far[x ^ 1][y] for x, y in zip(o, o[1:]))
+        return g + (far[o[-1] ^ 1][o[0]] if loop else 0.0)
+
+    def better(order: list[int]) -> tuple[float, list[int]]:
+        return min((round(gaps(o), 6), o) for o in (directed(order, False), directed(order, True)))
 
     orders = []
     if loop:
@@ -342,27 +348,26 @@ def axis_order(axes: list[tuple[tuple, tuple]], loop: bool = False) -> list[tupl
         for r in (ring, ring[::-1]):
             orders += [r[k:] + r[:k] for k in range(n)]
     else:
-        for s in range(n):
-            for t in (False, True):
-                order, at, left = [s], ends(s, t)[1], set(range(n)) - {s}
-                while left:
-                    i = min(left, key=lambda i: (min(_metres(*at, *axes[i][0]), _metres(*at, *axes[i][1])), i))
-                    at = axes[i][0] if _metres(*at, *axes[i][1]) < _metres(*at, *axes[i][0]) else axes[i][1]
-                    order.append(i)
-                    left.remove(i)
-                orders.append(order)
-    best = min((directed(o, t) for o in orders for t in (False, True)), key=lambda o: (round(gaps(o), 6), o))
+        for s in range(2 * n):
+            order, at, left = [s // 2], s ^ 1, set(range(n)) - {s // 2}
+            while left:
+                _, i = min((min(far[at][2 * i], far[at][2 * i + 1]), i) for i in left)
+                at = 2 * i if far[at][2 * i + 1] < far[at][2 * i] else 2 * i + 1
+                order.append(i)
+                left.remove(i)
+            orders.append(order)
+    best = min(better(o) for o in orders)
     improved = True
     while improved:
         improved = False
         for i in range(n):
             for j in range(i + 1, n):
-                o = [k for k, _ in best]
+                o = [x // 2 for x in best[1]]
                 o[i], o[j] = o[j], o[i]
-                c = min((directed(o, t) for t in (False, True)), key=lambda o: (round(gaps(o), 6), o))
-                if gaps(c) < gaps(best) - 1e-6:
+                c = better(o)
+                if c[0] < best[0] - 1e-6:
                     best, improved = c, True
-    return best
+    return [(x // 2, bool(x & 1)) for x in best[1]]
 
 
 def ordered_paths(pieces: DataFrame, by: str) -> DataFrame:

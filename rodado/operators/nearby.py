@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geo
+from ..session import stage
 from .skew import salted_join
 
 #: Cells of one block in each direction are 2^BLOCK_BITS; a block is the equality key of the range join.
@@ -118,28 +119,98 @@ def within(
     return out.drop("_level", "_block", "_code", "_lo", "_hi")
 
 
-def regions_of_points(
-    points: DataFrame, regions: DataFrame, point_key: list[str], ring: str, point_xy=("lng", "lat"), cell_level: int = 12
-) -> DataFrame:
-    """Every pair of a point and a region whose ring (array<struct<lng,lat>>) holds it.
+#: Levels that the cells of a region are finer than its box at most: so it has a few hundred ranges at most, whatever its size.
+FINER = 5
+
+
+def _interleaved(x: int, y: int) -> int:
+    return int(f"{x:b}", 4) | int(f"{y:b}", 4) << 1
+
 
-    Regions are covered by cells of one level (2^``cell_level`` a side); null, NaN or out-of-range points match
-    nothing, nor do rings of fewer than three vertices. Rings crossing the 180th meridian must be cut there first.
+def cover_ring(xs, ys, finer: int = FINER) -> list[tuple[int, int, int, bool]]:
+    """(level, lo, hi, whole): ranges of cell numbers, cut at the edges of blocks, that cover a ring of corners (xs, ys).
+
+    The first level is that at which the ring's box is at most a cell wide and high. A cell that a side of the ring runs
+    through is split in four, ``finer`` times at most; others lie in the ring whole or don't belong to it.
+    """
+    import numpy as np
+
+    x, y = (np.asarray(xs, dtype=float) + 180.0) / 360.0, (np.asarray(ys, dtype=float) + 90.0) / 180.0
+    if len(x) < 3 or not (np.isfinite(x).all() and np.isfinite(y).all()):
+        return []
+    dx, dy = np.roll(x, -1) - x, np.roll(y, -1) - y
+    wide = max(float(np.ptp(x)), float(np.ptp(y)), 2.0**-MAX_LEVEL)
+    level = int(max(0, min(math.floor(math.log2(1 / wide)), MAX_LEVEL - finer)))
+
+    def crossed(cx: float, cy: float, size: float, sides):
+        """The sides that come into a cell, its border included, by clipping each against the four lines of the border."""
+        lo, hi = np.zeros(len(sides)), np.ones(len(sides))
+        for d, q0, q1 in ((dx[sides], cx - x[sides], cx + size - x[sides]), (dy[sides], cy - y[sides], cy + size - y[sides])):
+            with np.errstate(divide="ignore", invalid="ignore"):
+                t0, t1 = q0 / d, q1 / d
+            flat = d == 0
+            lo = np.where(flat, np.where((q0 <= 0) & (q1 >= 0), lo, 2.0), np.maximum(lo, np.minimum(t0, t1)))
+            hi = np.where(flat, hi, np.minimum(hi, np.maximum(t0, t1)))
+        return sides[lo <= hi]
+
+    def holds(px: float, py: float) -> bool:
+        up = (y > py) != (np.roll(y, -1) > py)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            return bool((up & (px < dx / dy * (py - y) + x)).sum() % 2)
+
+    cells: list[tuple[int, int, bool]] = []
+    side = 1 << level
+    at = lambda v: int(min(max(math.floor(v * side), 0), side - 1))
+    open_ = [(level, i, j, np.arange(len(x))) for i in range(at(x.min()), at(x.max()) + 1) for j in range(at(y.min()), at(y.max()) + 1)]
+    while open_:
+        lv, i, j, sides = open_.pop()
+        size = 0.5**lv
+        near = crossed(i * size, j * size, size, sides)
+        if not len(near):
+            if holds((i + 0.5) * size, (j + 0.5) * size):
+                cells.append((lv, _interleaved(i, j), True))
+        elif lv == level + finer:
+            cells.append((lv, _interleaved(i, j), False))
+        else:
+            open_ += [(lv + 1, 2 * i + k, 2 * j + m, near) for k in (0, 1) for m in (0, 1)]
+    out: list[tuple[int, int, int, bool]] = []
+    for lv, code, whole in sorted(cells, key=lambda c: (c[0], c[1])):
+        if out and out[-1][0] == lv and out[-1][3] == whole and out[-1][2] + 1 == code and code >> 2 * BLOCK_BITS == out[-1][1] >> 2 * BLOCK_BITS:
+            out[-1] = (lv, out[-1][1], code, whole)
+        else:
+            out.append((lv, code, code, whole))
+    return out
+
+
+def region_ranges(regions: DataFrame, ring: str) -> DataFrame:
+    """Adds (_level, _block, _lo, _hi, _whole): the ranges of :func:`cover_ring` of each ring, a row for each."""
+    import pandas as pd
+
+    def covers(xs, ys):
+        return pd.Series([[dict(zip(("level", "lo", "hi", "whole"), r)) for r in cover_ring(a, b)] for a, b in zip(xs, ys)])
+
+    cover = F.pandas_udf(covers, "array<struct<level:int,lo:bigint,hi:bigint,whole:boolean>>", F.PandasUDFType.SCALAR)
+    corner = lambda k: F.transform(ring, lambda v: v[k])
+    g = regions.where(F.size(ring) >= 3).withColumn("_r", F.explode(cover(corner("lng"), corner("lat"))))
+    return g.select(*regions.columns, F.col("_r.level").alias("_level"), F.shiftright("_r.lo", 2 * BLOCK_BITS).alias("_block"), F.col("_r.lo").alias("_lo"), F.col("_r.hi").alias("_hi"), F.col("_r.whole").alias("_whole"))
+
+
+def regions_of_points(points: DataFrame, regions: DataFrame, point_key: list[str], ring: str, point_xy=("lng", "lat")) -> DataFrame:
+    """Every pair of a point and a region whose ring (array<struct<lng,lat>>) holds it, by the even-odd rule.
+
+    Regions are covered by cells of their own sizes (:func:`region_ranges`); a point asks at every level that a region
+    has, which are few. Null, NaN or out-of-range points match nothing, nor do rings of fewer than three corners; corners
+    must be on earth. Rings over the 180th meridian must be cut there first. Crowded blocks are split.
     """
     px, py = point_xy
-    side = float(1 << cell_level)
-    r = F.col(ring)
-    lo = lambda k: F.array_min(F.transform(r, lambda v: v[k]))
-    hi = lambda k: F.array_max(F.transform(r, lambda v: v[k]))
-    cells = F.flatten(
-        F.transform(
-            F.sequence(_cell_x(lo("lng"), F.lit(side)), _cell_x(hi("lng"), F.lit(side))),
-            lambda x: F.transform(F.sequence(_cell_y(lo("lat"), F.lit(side)), _cell_y(hi("lat"), F.lit(side))), lambda y: zcode(x, y)),
-        )
-    )
-    g = regions.where(F.size(r) >= 3).withColumn("_cell", F.explode(cells))
-    p = points.where(geo.on_earth(px, py)).withColumn("_cell", zcode(_cell_x(F.col(px), F.lit(side)), _cell_y(F.col(py), F.lit(side))))
-    return salted_join(p, g, ["_cell"], point_key, on=geo.in_ring(px, py, r)).drop("_cell")
+    g = stage(region_ranges(regions, ring), "regions")
+    levels = [r["_level"] for r in g.select("_level").distinct().collect()]  # at most one for each level there is
+    p = points.where(geo.on_earth(px, py)).withColumn("_level", F.explode(F.lit(levels or [0]).cast("array<int>")))
+    side = F.pow(F.lit(2.0), F.col("_level"))
+    code = zcode(F.least(_cell_x(F.col(px), side), side.cast("long") - 1), _cell_y(F.col(py), side))
+    p = p.withColumn("_code", code).withColumn("_block", F.shiftright("_code", 2 * BLOCK_BITS))
+    hit = F.col("_code").between(F.col("_lo"), F.col("_hi")) & (F.col("_whole") | geo.in_ring(px, py, F.col(ring)))
+    return salted_join(p, g, ["_level", "_block"], point_key, on=hit).drop("_level", "_block", "_code", "_lo", "_hi", "_whole")
 
 
 def paths_near_places(places: DataFrame, bikepaths: DataFrame, radius_m: float = 250.0) -> DataFrame:

@@ -1,114 +1,196 @@
-"""Bounded searches for routes over the segment graph, one start at a time, starts spread over the tasks."""
+"""Bounded searches for routes over the segment graph, one start at a time, starts spread over the tasks.
+
+A search starts at a segment near an anchor and grows paths segment by segment. Each step takes the oldest open path,
+hands it out if it has become a route, and grows it by the few neighbours that promise most: those of its own corridor,
+then those that keep the direction, belong to long corridors and lie near. Too many open paths are cut to the best.
+"""
 
 from __future__ import annotations
 
+import math
+from collections import deque
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .graph import Graph, _metres, collect_graph
 from .lines import turn_between
 
-#: Steps of one search, states kept when there are too many, and from how many.
-STEPS, BEAM, FULL = 1000, 30, 50
-#: Lengths in metres at which a search hands out its best route so far.
-BUCKETS = (5_000.0, 15_000.0, 30_000.0)
+#: Steps of one search, open paths kept when there are too many, and from how many; segments of a path.
+STEPS, BEAM, FULL, LONGEST = 1000, 30, 50, 120
+#: Kilometres of a route, corridors it may use, segments of a loop, neighbours a path grows by.
+KM, MOST_AXES, LOOP_SEGMENTS, GROW = (2.0, 80.0), 12, 6, 4
+#: Metres within which the end of a path is at an anchor, and which that must be away from the start's.
+END_M, AWAY_M = 2000.0, 1500.0
 #: Distances in metres that loops reach before they turn home.
 RADII = (2_000.0, 4_000.0, 6_000.0)
 
 
-def _heading(g: Graph, a, b) -> float:
-    import math
-
-    (x, y), (u, v) = g.at[a], g.at[b]
-    return math.degrees(math.atan2((u - x) * math.cos(math.radians(y)), v - y))
-
-
-def one_way(g: Graph, start, longest: float = 40_000.0, turn: float = 120.0, expand: int = 4) -> list[tuple[float, float, list]]:
-    """(length, free share, segments): for each bucket the best route from a segment that reaches it.
-
-    States grow by the ``expand`` cheapest neighbours without sharp turns; beyond FULL the BEAM best stay, by the share
-    of hops that cost nothing, then by length. Equal states go by their segments.
-    """
-    if start not in g.at:
+class Network(Graph):
+    """Segments with their ends, middles, lengths and corridors, the edges between them, and anchors in a grid."""
+
+    CELL = 0.02
+
+    def __init__(self, edges, segments, anchors=()):
+        super().__init__(edges, [(s, ((x0 + x1) / 2, (y0 + y1) / 2)) for s, _, _, x0, y0, x1, y1 in segments])
+        self.axis = {s: a for s, a, *_ in segments}
+        self.length = {s: ln or 0.0 for s, _, ln, *_ in segments}
+        self.ends = {s: ((x0, y0), (x1, y1)) for s, _, _, x0, y0, x1, y1 in segments}
+        self.axis_m: dict = {}
+        for s, a in self.axis.items():
+            self.axis_m[a] = self.axis_m.get(a, 0.0) + self.length[s]
+        self.grid: dict = {}
+        for place, x, y in anchors:
+            self.grid.setdefault((math.floor(x / self.CELL), math.floor(y / self.CELL)), []).append((place, x, y))
+
+    def anchor_at(self, x: float, y: float, within_m: float):
+        """The nearest anchor, the smaller one on ties, None if there is none."""
+        reach = within_m / 111_194.9
+        wide = reach / max(math.cos(math.radians(y)), 0.01)
+        best = None
+        for gx in range(math.floor((x - wide) / self.CELL), math.floor((x + wide) / self.CELL) + 1):
+            for gy in range(math.floor((y - reach) / self.CELL), math.floor((y + reach) / self.CELL) + 1):
+                for place, u, v in self.grid.get((gx, gy), ()):
+                    d = _metres(x, y, u, v)
+                    if d < within_m and (best is None or (d, place) < best[:2]):
+                        best = (d, place, u, v)
+        return best and best[1:]
+
+    def runs(self, path: list) -> int:
+        return 1 + sum(self.axis[a] != self.axis[b] for a, b in zip(path, path[1:]))
+
+
+def _heading(a, b) -> float:
+    return math.degrees(math.atan2(b[0] - a[0], b[1] - a[1])) % 360
+
+
+class _Path:
+    __slots__ = ("segs", "seen", "on_m", "gap_m", "heading", "home")
+
+    def __init__(self, segs, seen, on_m, gap_m, heading, home=False):
+        self.segs, self.seen, self.on_m, self.gap_m, self.heading, self.home = segs, seen, on_m, gap_m, heading, home
+
+
+def _grown(g: Network, p: _Path, turn: float, same: float, per_turn: float, more) -> Iterator[_Path]:
+    """The paths one segment longer, the most promising first. ``more`` adds points for a neighbour."""
+    last = p.segs[-1]
+    at = g.ends[last][1]
+    found = []
+    for n, cost, _ in g.out.get(last, ()):
+        if n in p.seen or n not in g.ends:
+            continue
+        inside = g.axis[n] == g.axis[last]
+        to = _heading(at, g.at[n])
+        off = turn_between(p.heading, to)
+        if not inside and off > turn:
+            continue
+        points = same if inside else (180 - off) / per_turn + min(g.axis_m[g.axis[n]] / 3000, 2.0) - cost / 1000
+        found.append((-(points + more(n, to, at)), n, cost, inside, to))
+    for _, n, cost, inside, to in sorted(found)[:GROW]:
+        heading = _heading(*g.ends[n]) if inside else to
+        yield _Path([*p.segs, n], p.seen | {n}, p.on_m + g.length[n], p.gap_m + (0.0 if inside else cost), heading, p.home)
+
+
+def _search(g: Network, start, turn: float, same: float, per_turn: float, step, more, worth) -> None:
+    """Runs a search; ``step`` gets each path and tells whether to go on."""
+    open_ = deque([_Path([start], frozenset([start]), g.length[start], 0.0, _heading(*g.ends[start]))])
+    steps = 0
+    while open_ and steps < STEPS:
+        p = open_.popleft()
+        steps += 1
+        if not step(p):
+            return
+        if p.on_m + p.gap_m > KM[1] * 1000 or len(p.segs) > LONGEST:
+            continue
+        open_.extend(_grown(g, p, turn, same, per_turn, lambda n, to, at, p=p: more(p, n, to, at)))
+        if len(open_) > FULL:
+            open_ = deque(sorted(open_, key=lambda s: (-worth(s), s.segs))[:BEAM])
+
+
+def one_way(g: Network, start, origin: tuple[float, float], place, fits=lambda p: True) -> list[tuple]:
+    """(end place, path, metres on segments, metres of gaps) of the routes from a segment near an anchor that end near
+    another one; a search ends when its routes have three different lengths of 3 km each."""
+    if start not in g.ends:
         return []
-    states, best, steps = [(0.0, 0, [start])], {}, 0
-    while states and steps < STEPS:
-        grown = []
-        for length, free, path in states:
-            steps += 1
-            if steps > STEPS:
-                break
-            last, seen = path[-1], set(path)
-            went = _heading(g, path[-2], last) if len(path) > 1 else None
-            near = sorted(((c, n, ln) for n, c, ln in g.out.get(last, ()) if n not in seen and n in g.at), key=lambda x: (x[0], x[1]))
-            taken = 0
-            for c, n, ln in near:
-                if went is not None and turn_between(went, _heading(g, last, n)) > turn:
-                    continue
-                new = (length + c + ln, free + (c == 0), [*path, n])
-                if new[0] > longest:
-                    continue
-                grown.append(new)
-                taken += 1
-                if taken == expand:
-                    break
-        for s in grown:
-            share = s[1] / (len(s[2]) - 1)
-            for b in BUCKETS:
-                if s[0] >= b and (b not in best or (share, s[0]) > best[b][:2]):
-                    best[b] = (share, s[0], s[2])
-        grown.sort(key=lambda s: (-s[1] / max(1, len(s[2]) - 1), -s[0], s[2]))
-        states = grown[:BEAM] if len(grown) > FULL else grown
-    return [(ln, sh, p) for sh, ln, p in (best[b] for b in BUCKETS if b in best)]
-
-
-def loops(g: Graph, start, radius_m: float, longest: float = 40_000.0, close_m: float = 2000.0) -> list[tuple[float, float, list]]:
-    """At most one loop from a segment: outward until ``radius_m`` away, then homeward over other segments."""
-    if start not in g.at:
+    found, lengths = [], set()
+
+    def step(p: _Path) -> bool:
+        total = p.on_m + p.gap_m
+        if total >= KM[0] * 1000 and g.runs(p.segs) <= MOST_AXES and fits(p):
+            x, y = g.ends[p.segs[-1]][1]
+            end = g.anchor_at(x, y, END_M)
+            if end and end[0] != place and _metres(*origin, end[1], end[2]) > AWAY_M:
+                found.append((end[0], p.segs, p.on_m, p.gap_m))
+                lengths.add(int(total // 3000))
+        return len(lengths) < 3
+
+    _search(g, start, 120.0, 10.0, 30.0, step, lambda *_: 0.0, lambda s: s.on_m - s.gap_m)
+    return found
+
+
+def loops(g: Network, start, origin: tuple[float, float], radius_m: float, fits=lambda p: True, most: int = 2) -> list[tuple]:
+    """(path, metres on segments, metres of gaps) of at most ``most`` loops around an anchor: outward until half the
+    radius is behind, then homeward until near again, over at least two corridors."""
+    if start not in g.ends:
         return []
-    home = g.at[start]
-    states, steps = [(0.0, 0, [start], False, False)], 0
-    found = None
-    while states and steps < STEPS:
-        grown = []
-        for length, free, path, far, back in states:
-            steps += 1
-            last, seen = path[-1], set(path)
-            away = _metres(*g.at[last], *home)
-            for n, c, ln in sorted(g.out.get(last, ()), key=lambda x: (x[1], x[0])):
-                if n in seen or n not in g.at or length + c + ln > longest:
-                    continue
-                d = _metres(*g.at[n], *home)
-                if not far and d < away or back and d > away + 500:
-                    continue
-                s = (length + c + ln, free + (c == 0), [*path, n], far or d >= radius_m, back or far and d < away)
-                if s[4] and d <= close_m and len(s[2]) > 3:
-                    key = (s[1] / (len(s[2]) - 1), s[0])
-                    if found is None or key > found[0]:
-                        found = (key, s)
-                else:
-                    grown.append(s)
-        grown.sort(key=lambda s: (-s[1] / max(1, len(s[2]) - 1), -s[0], s[2]))
-        states = grown[:BEAM] if len(grown) > FULL else grown
-    return [(found[1][0], found[0][0], found[1][2])] if found else []
-
-
-def search_routes(starts: DataFrame, edges: DataFrame, places: DataFrame, how: str = "one_way", radius_m: float | tuple[float, ...] = 2000.0) -> DataFrame:
-    """(start, length_m, free_share, path) from each segment in ``starts`` (start). edges, places: as in graph.paths.
-
-    Loops are sought for each of the radii.
+    found = []
+
+    def step(p: _Path) -> bool:
+        away = _metres(*origin, *g.ends[p.segs[-1]][1])
+        p.home = p.home or away > radius_m / 2
+        if p.home and away < END_M and p.on_m + p.gap_m >= KM[0] * 1000 and len(p.segs) >= LOOP_SEGMENTS and 2 <= g.runs(p.segs) <= MOST_AXES and fits(p):
+            found.append((p.segs, p.on_m, p.gap_m))
+        return len(found) < most
+
+    def more(p: _Path, n, to: float, at) -> float:
+        away, then = _metres(*origin, *at), _metres(*origin, *g.at[n])
+        if not p.home:
+            return 2.0 if then > away else 0.0
+        return (3.0 if then < away else 0.0) + (90 - min(turn_between(to, _heading(at, origin)), 90)) / 30
+
+    _search(g, start, 150.0, 6.0, 45.0, step, more, lambda s: s.on_m - s.gap_m + (2000 if s.home else 0))
+    return found
+
+
+def rides_well(p: _Path) -> bool:
+    """At least 60 % of a path, rounded, lies on segments."""
+    total = p.on_m + p.gap_m
+    return total > 0 and math.floor(p.on_m / total * 100 + 0.5) >= 60
+
+
+def collect_network(segments: DataFrame, edges: DataFrame, anchors: DataFrame, most_anchors: int = 1_000_000):
+    """The network as a broadcast, after checks of the sizes of its three tables."""
+    box = collect_graph(edges)
+    ends = edges.select(F.col("a").alias("seg_id")).unionAll(edges.select("b")).distinct()
+    cols = ("seg_id", "axis", "length_m", "lng0", "lat0", "lng1", "lat1")
+    seg = [tuple(r) for r in segments.select(*cols).dropDuplicates(["seg_id"]).join(ends, "seg_id", "left_semi").select(*cols).collect()]  # at most two an edge
+    rows = anchors.select("place_id", "lng", "lat").limit(most_anchors + 1).collect()
+    if len(rows) > most_anchors:
+        raise ValueError(f"more than {most_anchors} anchors; cut the region")
+    return segments.sparkSession.sparkContext.broadcast((box.value[0], seg, [tuple(r) for r in rows]))
+
+
+def search_routes(starts: DataFrame, segments: DataFrame, edges: DataFrame, anchors: DataFrame, how: str = "one_way", radii: tuple[float, ...] = RADII) -> DataFrame:
+    """(start, end, seg_id, path, on_m, gap_m) from each of ``starts`` (place_id, lng, lat, seg_id): an anchor and a segment
+    near it. segments: (seg_id, axis, length_m, ends); anchors: (place_id, lng, lat). Loops end where they start.
     """
-    radii = radius_m if isinstance(radius_m, tuple) else (radius_m,)
-    box = collect_graph(edges, places)
-    kind = starts.schema["start"].dataType.simpleString()
+    box = collect_network(segments, edges, anchors)
+    place, seg = (starts.schema[c].dataType.simpleString() for c in ("place_id", "seg_id"))
 
     def run(batches: Iterator) -> Iterator:
         import pandas as pd
 
-        g = Graph(*box.value)
+        g = Network(*box.value)
         for pdf in batches:
-            out = [(s, ln, sh, p) for s in pdf["start"].tolist() for ln, sh, p in (one_way(g, s) if how == "one_way" else [x for m in radii for x in loops(g, s, m)])]
-            yield pd.DataFrame(out, columns=["start", "length_m", "free_share", "path"])
+            out = []
+            for p, x, y, s in zip(pdf["place_id"].tolist(), pdf["lng"].tolist(), pdf["lat"].tolist(), pdf["seg_id"].tolist()):
+                if how == "one_way":
+                    out += [(p, e, s, *r) for e, *r in one_way(g, s, (x, y), p, rides_well)]
+                else:
+                    out += [(p, p, s, *r) for m in radii for r in loops(g, s, (x, y), m, rides_well)]
+            yield pd.DataFrame(out, columns=["start", "end", "seg_id", "path", "on_m", "gap_m"])
 
-    return starts.select("start").mapInPandas(run, f"start {kind}, length_m double, free_share double, path array<{kind}>")
+    # searches cost far more than their bytes tell, so the number of parts is set
+    parts = int(starts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return starts.select("place_id", "lng", "lat", "seg_id").repartition(parts).mapInPandas(run, f"start {place}, end {place}, seg_id {seg}, path array<{seg}>, on_m double, gap_m double")

@@ -46,7 +46,7 @@ def nearest(points: DataFrame, targets: DataFrame, key: str, target: str, k: int
     left, r, out = points.select(key, "lng", "lat").where(geo.on_earth("lng", "lat")).distinct(), start_m, None
     order = Window.partitionBy(key).orderBy("metres", target)
     while True:
-        j = within(left, targets, r, [key], centre_xy=target_xy, distance="metres").select(key, target, "metres").distinct()
+        j = within(left, targets, r, [key], centre_xy=target_xy, distance="metres").groupBy(key, target).agg(F.min("metres").alias("metres"))
         j = j.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k).withColumn("_n", F.count("*").over(Window.partitionBy(key)))
         last = r >= most_m
         found = stage((j if last else j.where(F.col("_n") >= k)).drop("_n"), "ring")
@@ -66,8 +66,9 @@ def best_within(points: DataFrame, targets: DataFrame, radius_m: float, key: str
 
 
 def top_within(points: DataFrame, targets: DataFrame, radius_m: float, key: str, target: str, k: int, target_xy=("_x", "_y")) -> DataFrame:
-    """(key, target, metres, place): the k nearest targets within the radius."""
+    """(key, target, metres, place): the k nearest targets within the radius; the nearest point counts of targets with several."""
     j = within(points.select(key, "lng", "lat").distinct(), targets, radius_m, [key], centre_xy=target_xy, distance="metres")
+    j = j.groupBy(key, target).agg(F.min("metres").alias("metres"))
     place = F.row_number().over(Window.partitionBy(key).orderBy("metres", target))
     return j.withColumn("place", place).where(F.col("place") <= k).select(key, target, "metres", "place")
 

@@ -13,6 +13,14 @@ from .spatial import dense_cells, disc_cells, semi
 CELL, COARSE, DENSE = 0.001, 0.005, 15
 
 
+def lively_cells(points: DataFrame, more_than: int = DENSE, res: float = 0.002) -> DataFrame:
+    """(zone, gx, gy): the fine cells of ``res`` degrees that begin in the dense cells of each zone of :func:`lively`."""
+    cells = flood_fill(dense_cells(points, COARSE, more_than)).withColumnRenamed("component", "zone")
+    # a little inside, so that a border that both grids share falls on the right side
+    fine = lambda c: F.sequence(geo.cell(F.col(c) * COARSE + res / 1e6, res), geo.cell((F.col(c) + 1) * COARSE - res / 1e6, res))
+    return cells.select("zone", F.explode(fine("gx")).alias("gx"), "gy").select("zone", "gx", F.explode(fine("gy")).alias("gy")).distinct()
+
+
 def lively(points: DataFrame, more_than: int = DENSE) -> DataFrame:
     """(zone, points, kind, cells, clng, clat, magnetism): neighbouring dense cells; kind is the most frequent one.
 

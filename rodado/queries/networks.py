@@ -25,7 +25,47 @@ def _add(name, make, sql=None):
 
 def segments(s, d):
     w = R.way_segments(table(s, d, "ways"))
-    return w.where("lng0 is not null").select(F.col("way_id").alias("seg_id"), "nombre", "normal_name", "length_m", "emplazamiento", "bike_direction", "lng0", "lat0", "lng1", "lat1")
+    return w.where("lng0 is not null").select(F.col("way_id").alias("seg_id"), "nombre", "normal_name", "length_m", "emplazamiento", "bike_direction", "surface", "lit", "tipo", "ancho_cm", "lng0", "lat0", "lng1", "lat1")
+
+
+def way_lines(s, d):
+    """(seg_id, points, length_m) of the ways."""
+    w = table(s, d, "ways").where("way_id is not null").dropDuplicates(["way_id"])
+    pts = F.transform(F.filter("geometry", lambda p: geo.on_earth(p["lon"], p["lat"])), lambda p: F.struct(p["lon"].alias("lng"), p["lat"].alias("lat")))
+    w = w.select(F.col("way_id").alias("seg_id"), F.coalesce(pts, F.array().cast("array<struct<lng:double,lat:double>>")).alias("points"))
+    return w.withColumn("length_m", geo.line_length(F.col("points")))
+
+
+def survey_lines(s, d):
+    """(feature_id, points, length_m, what the survey knows) of the valid surveyed features."""
+    c = table(s, d, "catastro")
+    pts = F.filter(F.transform(F.flatten(F.filter("geometry.coordinates", lambda x: x.isNotNull())), lambda p: F.struct(F.try_element_at(p, F.lit(1)).alias("lng"), F.try_element_at(p, F.lit(2)).alias("lat"))), lambda p: geo.on_earth(p["lng"], p["lat"]))
+    p = c.where("feature_id is not null").dropDuplicates(["feature_id"]).select("feature_id", F.coalesce(pts, F.array().cast("array<struct<lng:double,lat:double>>")).alias("points"))
+    return R.survey_segments(c).where("not invalida").drop("points").join(p, "feature_id")
+
+
+#: What a surveyed feature tells of a segment: its columns and the segment's.
+KNOWN = {"emplazamiento": "emplazamiento", "clasificacion": "clasificacion", "score": "condition", "ancho_cm": "ancho_cm", "video": "video", "tipo": "tipo", "comuna": "comuna"}
+
+
+def surveyed_segments(s, d):
+    v = stage(survey_lines(s, d), "surveys")
+    return suggest.surveyed(segments(s, d), v, suggest.survey_matches(way_lines(s, d), v), KNOWN)
+
+
+#: Kinds of anchors that the terms of places.category mean.
+KINDS = {
+    "parkland": "park", "coffee house": "cafe", "bicycle workshop": "bicycle", "viewpoint": "viewpoint", "sandy shore": "beach", "campground": "camp_site", "public toilet": "toilets",
+    "footbridge": "bridge", "gelato bar": "ice_cream", "brewpub": "pub", "museum": "museum", "train station": "station", "ferry dock": "ferry_terminal", "car parking": "parking",
+    "bike hire": "bicycle_rental", "street market": "marketplace", "botanical garden": "garden", "water reservoir": "water", "picnic area": "square",
+}
+
+
+def sights(s, d):
+    """Places with the kind of anchor that their category is."""
+    kind = F.create_map(*(F.lit(x) for kv in KINDS.items() for x in kv))
+    p = located(places(s, d)).select("place_id", "name", F.lower(F.trim("category")).alias("_c"), "lng", "lat")
+    return p.select("place_id", "name", F.coalesce(F.try_element_at(kind, F.col("_c")), F.col("_c")).alias("category"), "lng", "lat")
 
 
 def _pieces(s, d):
@@ -61,14 +101,18 @@ def _mid(seg):
     return seg.select(F.col("seg_id").alias("id"), ((F.col("lng0") + F.col("lng1")) / 2).alias("lng"), ((F.col("lat0") + F.col("lat1")) / 2).alias("lat"))
 
 
-def _starts(s, d):
-    # searches cost far more than their bytes tell, so the number of parts is set
-    return segments(s, d).select(F.col("seg_id").alias("start")).repartition(int(s.conf.get("spark.sql.shuffle.partitions")))
+_add("q_segment_edges", lambda s, d: _edges(s, d).select("a", "b", F.round("cost", 2).alias("cost")))
 
 
-_add("q_segment_edges", lambda s, d: _edges(s, d).select("a", "b", F.round("cost", 2).alias("cost")))
-_add("q_one_way_search", lambda s, d: search.search_routes(_starts(s, d), _edges(s, d), _mid(segments(s, d))).select("start", F.round("length_m", 1).alias("length_m"), F.round("free_share", 3).alias("free_share"), F.size("path").alias("segments")))
-_add("q_loop_search", lambda s, d: search.search_routes(_starts(s, d), _edges(s, d), _mid(segments(s, d)), "loops", search.RADII).select("start", F.round("length_m", 1).alias("length_m"), F.size("path").alias("segments")))
+def _searched(s, d, how):
+    seg, members, edges = suggest.network(segments(s, d), 300.0)
+    good = stage(suggest.anchors(sights(s, d), seg).where(F.col("score") >= suggest.LEAST_POINTS), "good")
+    at = suggest.starts_of(good, seg, 2000.0, 3) if how == "one_way" else suggest.starts_of(good, seg, 1500.0, 2, search.LOOP_SEGMENTS)
+    return search.search_routes(at, seg, edges, good, how).select("start", "end", "seg_id", F.round("on_m", 1).alias("on_m"), F.round("gap_m", 1).alias("gap_m"), F.size("path").alias("segments"))
+
+
+_add("q_one_way_search", lambda s, d: _searched(s, d, "one_way"))
+_add("q_loop_search", lambda s, d: _searched(s, d, "loops"))
 
 
 def _a_star(s, d):
@@ -80,7 +124,7 @@ def _a_star(s, d):
 
 
 _add("q_a_star", _a_star)
-_add("q_anchors", lambda s, d: suggest.anchors(places(s, d).select("place_id", "name", "category", "lng", "lat"), segments(s, d)).select("place_id", "score", F.round("infra_m", 2).alias("infra_m")))
+_add("q_anchors", lambda s, d: suggest.anchors(sights(s, d), segments(s, d)).select("place_id", "score", F.round("infra_m", 2).alias("infra_m")))
 
 
 def _pl(s, d):
@@ -117,18 +161,46 @@ _add("q_top80", lambda s, d: greedy.top_groups(_pl(s, d).groupBy(geo.cell("lng",
      f"WITH {_PL} SELECT floor(lng/0.005::DOUBLE)::BIGINT AS gx, floor(lat/0.005::DOUBLE)::BIGINT AS gy, count(*) AS n FROM p GROUP BY 1,2 ORDER BY n DESC, gx, gy LIMIT 80")
 
 
-def _suggest(s, d):
-    samples = _ways(s, d).select(F.col("track").alias("seg_id"), F.col("ord").alias("sample"), "lng", "lat")
-    c = table(s, d, "catastro")
-    xy = c.where("feature_id is not null").dropDuplicates(["feature_id"]).select("feature_id", F.explode(F.flatten(F.filter("geometry.coordinates", lambda x: x.isNotNull()))).alias("_p"))
-    xy = xy.select("feature_id", F.try_element_at("_p", F.lit(1)).alias("_x"), F.try_element_at("_p", F.lit(2)).alias("_y")).where(geo.on_earth("_x", "_y"))
-    known = R.survey_segments(c).where("not coalesce(invalida, false)").select("feature_id", "score", "emplazamiento")
-    seg = suggest.with_conditions(segments(s, d), samples, xy.join(known, "feature_id"))
-    return suggest.suggest(seg, places=places(s, d).select("place_id", "name", "category", "lng", "lat"))
+def _zones(s, d):
+    """The strongest lively zones and their cells."""
+    pts = _pl(s, d).select(F.coalesce("category", F.lit("other")).alias("kind"), "lng", "lat")
+    z = stage(zones.strongest(zones.lively(pts, 3), "zone"), "zones")
+    return z, stage(zones.lively_cells(pts, 3).join(z.select("zone"), "zone"), "cells")
+
+
+def suggested(s, d):
+    pts = way_lines(s, d).select("seg_id", F.posexplode("points").alias("ord", "_p")).select("seg_id", "ord", "_p.*")
+    return suggest.suggest(surveyed_segments(s, d), sights(s, d), zones=_zones(s, d), points=pts)
+
+
+_add("q_suggest", lambda s, d: suggested(s, d).select("route", "source", "kind", "name", F.round("total_m", 1).alias("total_m"), "infra_pct", "segments", "runs", F.round("condition", 1).alias("condition"), "pois", "score"))
+
+
+def _zone_graph(s, d):
+    seg, _, edges = suggest.network(segments(s, d), 300.0)
+    z, cells = _zones(s, d)
+    return suggest.zone_graph(z, cells, seg, edges)
+
+
+_add("q_zone_graph", lambda s, d: _zone_graph(s, d).select("a", "b", F.round("length_m", 1).alias("length_m"), F.round("infra_fraction", 4).alias("infra_fraction"), F.size("path").alias("segments"), F.size("along").alias("along")))
+
+
+def _zone_routes(s, d):
+    seg, _, edges = suggest.network(segments(s, d), 300.0)
+    z, cells = _zones(s, d)
+    found = stage(suggest.anchors(sights(s, d), seg), "anchors")
+    return suggest.zone_routes(z, suggest.zone_graph(z, cells, seg, edges), found)
+
+
+_add("q_zone_routes", lambda s, d: _zone_routes(s, d).select("source", "start", "end", F.size("path").alias("segments"), F.array_join(F.col("zones").cast("array<string>"), ",").alias("zones")))
+
 
+def _axis_anchors(s, d):
+    seg, _, _ = suggest.network(segments(s, d), 300.0)
+    return suggest.axis_anchors(suggest.anchors(sights(s, d), seg).where(F.col("score") >= suggest.LEAST_POINTS), seg).where("place <= 5")
 
-_add("q_suggest", lambda s, d: _suggest(s, d).select("kind", F.round("length_m", 1).alias("length_m"), F.round("infra_pct", 2).alias("infra_pct"), "segments", "score"))
 
+_add("q_axis_anchors", _axis_anchors)
 def _generated(s, d):
     """Each registered path as a route from its first anchor over its ways to its last anchor."""
     pieces = stage(_pieces(s, d), "pieces")

@@ -39,6 +39,6 @@ SQL = {
 b AS (SELECT *, coalesce(CASE WHEN r BETWEEN 0.5 AND 1.5 THEN 5 WHEN r BETWEEN 0.3 AND 2 THEN 3 WHEN r BETWEEN 0.2 AND 3 THEN 1 ELSE 0 END,0) AS direct,
 (CASE WHEN p IS NULL THEN 0 WHEN p<=0.3 THEN 10 WHEN p<=0.6 THEN 8 WHEN p<=1 THEN 6 WHEN p<=1.5 THEN 4 WHEN p<=2 THEN 2 ELSE 0 END)::DOUBLE AS al FROM a)
 SELECT o_orderkey, round({_D(6)}*2*(al/10) + direct + al + greatest(-{_D(5)},-3)*(1-al/10) + least({_D(100)}/100*2,2.0::DOUBLE)*(al/10) + least(o_orderkey%6,3), 4) AS score FROM b""",
-    "q_zone_interest": """SELECT c_custkey, round((c_custkey%9)::DOUBLE + 0.5::DOUBLE*(c_custkey%7) + (c_custkey%5) + least(2*len(list_distinct([c_custkey%3, c_custkey%2, c_custkey%4])),6), 4) AS interest,
+    "q_zone_interest": """SELECT c_custkey, round((c_custkey%9)::DOUBLE + 0.5::DOUBLE*(c_custkey%7) + (c_custkey%5) + least(2*(len(list_distinct([c_custkey%3, c_custkey%2, c_custkey%4]))-1),6), 4) AS interest,
 round(len(list_filter([c_custkey%2, c_custkey%3, c_custkey%5], lambda c: c=0))/3.0::DOUBLE, 4) AS free FROM customer""",
 }

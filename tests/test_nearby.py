@@ -54,7 +54,7 @@ def test_regions(spark):
     pts = spark.createDataFrame([(1, 0.5, 0.5), (2, 1.5, 0.5), (3, None, 0.5), (4, 0.2, 0.9)], "p bigint, lng double, lat double")
     ring = [(0.0, 0.0), (1.0, 0.0), (1.0, 1.0), (0.0, 0.0)]
     reg = spark.createDataFrame([(7, ring), (8, ring[:2]), (9, None)], "r bigint, ring array<struct<lng:double,lat:double>>")
-    got = nearby.regions_of_points(pts.withColumn("lat", F.col("lat") - 0.1), reg, ["p"], "ring", cell_level=8)
+    got = nearby.regions_of_points(pts.withColumn("lat", F.col("lat") - 0.1), reg, ["p"], "ring")
     assert {(r["p"], r["r"]) for r in got.collect()} == {(1, 7)}
 
 
@@ -76,3 +76,20 @@ def test_geometry(spark):
     assert math.isclose(r["m"], _metres(-71.0, -36.0, -70.99, -36.01), rel_tol=1e-9) and r["w"] == "SE" and r["g"] == 30 and r["k"] == math.floor(-70.65 / 0.005) and r["h"] == -2
     x, y = (df.select(v.alias("v")).first()["v"] for v in geo.destination("a", "b", 90.0, 1000.0))
     assert math.isclose(_metres(-71.0, -36.0, x, y), 1000, rel_tol=1e-6)
+
+
+def test_cover_of_a_ring():
+    """Every place in the ring is in a cell, whole cells hold no other place, and a large ring has no more cells than a small one."""
+    rnd = random.Random(3)
+    for size in (0.001, 1.0, 60.0):
+        k = [2 * math.pi * i / 14 for i in range(14)]
+        xs = [10 + size * (1 if i % 2 else 0.5) * math.cos(a) for i, a in enumerate(k)]
+        ys = [20 + size * (1 if i % 2 else 0.5) * math.sin(a) for i, a in enumerate(k)]
+        cells = nearby.cover_ring(xs, ys)
+        assert 10 < len(cells) < 500
+        for _ in range(400):
+            px, py = 10 + rnd.uniform(-1.1, 1.1) * size, 20 + rnd.uniform(-1.1, 1.1) * size
+            inside = sum((a > py) != (b > py) and px < (d - c) * (py - a) / (b - a) + c for a, b, c, d in zip(ys, ys[1:] + ys[:1], xs, xs[1:] + xs[:1])) % 2 == 1
+            met = [w for lv, lo, hi, w in cells if lo <= nearby._interleaved(int((px + 180) / 360 * 2**lv), int((py + 90) / 180 * 2**lv)) <= hi]
+            assert len(met) <= 1 and (not inside or met) and (inside or not any(met))
+    assert nearby.cover_ring([1.0, 2.0], [1.0, 2.0]) == [] and nearby.cover_ring([1.0, float("nan"), 2.0], [1.0, 2.0, 3.0]) == []
