@@ -202,3 +202,124 @@ def hierarchy_edges(parents: DataFrame, parent: str, members: str, children: Dat
     down = parents.select(F.col(parent).alias("parent"), F.explode(members).alias("child"))
     up = children.where(F.col(member_of).isNotNull()).select(F.col(member_of).alias("parent"), F.col(child).alias("child"))
     return down.unionByName(up).where("child is not null").distinct()
+
+
+def majority(df: DataFrame, by: str, yes: Column) -> DataFrame:
+    """(by, yes): whether at least half of a group's rows say yes; rows that say neither count as no."""
+    return df.groupBy(by).agg((F.count_if(yes) * 2 >= F.count("*")).alias("yes"))
+
+
+def runs_north(lng0, lat0, lng1, lat1) -> Column:
+    """True for lines that run at least as far north or south as east or west."""
+    north, east = F.abs(F.col(lat1) - F.col(lat0)), F.abs(F.col(lng1) - F.col(lng0)) * F.cos(F.radians((F.col(lat0) + F.col(lat1)) / 2))
+    return F.coalesce(north >= east, F.lit(False))
+
+
+def corridor_slugs(segments: DataFrame, by: str, key: str) -> DataFrame:
+    """(by, slug): the longest segment's name (of equal ones the first by ``key``) and the towns: up to two, or the first and
+    'y-mas'. segments: (by, key, nombre, comuna, length_m)."""
+    g = segments.groupBy(by).agg(F.max_by("nombre", F.struct("length_m", (-F.col(key)).alias("k"))).alias("_n"), F.array_sort(F.collect_set("comuna")).alias("_t"))
+    towns = F.when(F.size("_t") <= 2, F.array_join("_t", "-")).otherwise(F.concat(F.try_element_at("_t", F.lit(1)), F.lit("-y-mas")))
+    return g.select(by, slug(F.concat("_n", F.lit("-"), towns)).alias("slug"))
+
+
+def first_name_match(names: DataFrame, name: str, items: DataFrame, item: str, order: str) -> DataFrame:
+    """(name, order): for each name the first item (by ``order``) of the same loose name, else the first one that holds it or
+    that it holds.
+
+    Blocking: of two texts where one holds the other, the shorter one's first four letters (all, if it has fewer) are among
+    the windows of that length of the longer one. Empty names match nothing.
+    """
+    x = names.select(name).distinct().withColumn("_x", loose_name(F.col(name))).where("_x <> ''")
+    y = items.select(order, loose_name(F.col(item)).alias("_y")).where("_y <> ''").distinct()
+    exact = x.join(y, F.col("_x") == F.col("_y")).select(name, order, F.lit(0).alias("_rank"))
+    head = lambda c: F.substring(c, 1, 4)
+
+    def windows(c: str) -> Column:
+        of = lambda k: F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - k + 1, F.lit(1))), lambda i: F.col(c).substr(i, F.lit(k)))
+        return F.explode(F.array_distinct(F.flatten(F.array(*(of(k) for k in (1, 2, 3, 4))))))
+
+    a = x.withColumn("_w", head("_x")).join(y.withColumn("_w", windows("_y")), "_w").where(F.contains("_y", "_x"))
+    b = x.withColumn("_w", windows("_x")).join(y.withColumn("_w", head("_y")), "_w").where(F.contains("_x", "_y"))
+    every = exact.unionAll(a.select(name, order, F.lit(1))).unionAll(b.select(name, order, F.lit(1)))
+    return every.groupBy(name).agg(F.min(F.struct("_rank", order)).alias("_m")).select(name, F.col(f"_m.{order}").alias(order))
+
+
+#: What a line of a page may begin with for the page to hold nothing but videos.
+VIDEO_LINES = ("https://youtu.be/", "https://www.youtube.com/")
+
+
+def only_videos(body: Column) -> Column:
+    """True for a body without any line but blank ones and links to videos."""
+    link = "|".join(v.replace(".", "\\.") for v in VIDEO_LINES)
+    return F.coalesce(F.trim(body), F.lit("")).rlike(rf"^(\s*({link})[^\n]*(\n|$)|[ \t\r]*(\n|$))*$")
+
+
+def page_upsert(old: DataFrame, new: DataFrame, key: str, day: Column) -> DataFrame:
+    """Pages after a new run: of those that are there the distance, the day and the first variant's distance are renewed, and
+    the body only if it has nothing but videos; pages that aren't come new.
+
+    old: (key, name, distance_km, variants array<struct<name,gpx,distance_km>>, body, updated_at); new: (key, name,
+    distance_km, videos array<string>), a row a key. Old pages without a new run stay as they are.
+    """
+    c = F.col
+    n = new.select(key, c("name").alias("_n"), c("distance_km").alias("_km"), F.array_join(F.array_distinct(F.coalesce("videos", F.array().cast("array<string>"))), "\n").alias("_v"), F.lit(True).alias("_new"))
+    o = old.withColumn("_old", F.lit(True))
+    j = o.join(n, key, "full")
+    variant = lambda name, gpx: F.struct(name.cast("string").alias("name"), gpx.cast("string").alias("gpx"), c("_km").cast("double").alias("distance_km"))
+    first = F.try_element_at("variants", F.lit(1))
+    renewed = F.when(F.size("variants") > 0, F.concat(F.array(variant(first["name"], first["gpx"])), F.slice("variants", 2, F.greatest(F.size("variants"), F.lit(1))))).otherwise(c("variants"))
+    fresh, met = c("_new") & c("_old").isNull(), c("_new") & c("_old")
+    return j.select(
+        key, F.when(fresh, c("_n")).otherwise(c("name")).alias("name"), F.when(c("_new"), c("_km")).otherwise(c("distance_km")).alias("distance_km"),
+        F.when(fresh, F.array(variant(c("_n"), F.lit("main.gpx")))).when(met, renewed).otherwise(c("variants")).alias("variants"),
+        F.when(fresh | (met & only_videos(c("body"))), c("_v")).otherwise(c("body")).alias("body"), F.when(c("_new"), day).otherwise(c("updated_at")).alias("updated_at"),
+    )
+
+
+def replaced(old: DataFrame, new: DataFrame, key: str, stays: Column) -> DataFrame:
+    """The new rows in place of the old ones, but for old rows that are to stay, which also win over new ones of their key."""
+    kept = old.where(F.coalesce(stays, F.lit(False)))
+    return kept.unionByName(new.join(kept.select(key).distinct(), key, "left_anti").select(old.columns))
+
+
+def proposal_summary(segments: DataFrame, axis: str, anchors: DataFrame, routes: DataFrame) -> DataFrame:
+    """One row: how many segments, axes, anchors and routes there are, and the kilometres of the segments to one decimal."""
+    s = segments.agg(F.count("*").alias("segments"), F.count_distinct(axis).alias("axes"), geo.half_up(F.coalesce(F.sum("length_m"), F.lit(0.0)) / 1000, 1).alias("infra_km"))
+    return s.join(anchors.agg(F.count("*").alias("anchors"))).join(routes.agg(F.count("*").alias("routes")))
+
+
+def curation_stats(routes: DataFrame) -> DataFrame:
+    """One row on chosen routes (total_m, infra_pct, comunas): how many are short (under 5 km), medium and long (from 10 km),
+    how many towns they touch, and the mean share on segments in whole percents."""
+    km = F.col("total_m") / 1000
+    towns = F.array_distinct(F.flatten(F.collect_list("comunas")))
+    return routes.agg(
+        F.count("*").alias("routes"), F.count_if(km < 5).alias("short"), F.count_if((km >= 5) & (km < 10)).alias("medium"), F.count_if(km >= 10).alias("long"),
+        F.size(towns).cast("long").alias("comunas"), geo.half_up(F.avg("infra_pct")).cast("long").alias("infra_pct"),
+    )
+
+
+def curated(routes: DataFrame, cells: DataFrame, target: int = 30) -> DataFrame:
+    """The launch set, best first by how interesting a route is (scores.interest): one route a base name, eight mountain
+    routes, one a pair of anchors but for loops, none that shares over half its ground with a better one, eight a town, five
+    an anchor.
+
+    routes: as from suggest.assembled, with route and, if zones are known, zone; cells: (route, gx, gy), their ground.
+    """
+    from ..functions import scores
+    from ..functions.text import base_name, name_quality
+    from .greedy import select_diverse
+    from .spatial import footprint_overlap
+
+    c = F.col
+    zone = c("zone") if "zone" in routes.columns else F.lit(0.0)
+    interest = scores.interest(c("start_points"), c("end_points"), c("total_m") / 1000, c("infra_pct"), c("condition"), c("videos"), name_quality(c("start_name"), c("end_name")), c("park"), c("kind") == "loop", F.size("comunas"), zone, c("gap_max_m"))
+    pair = F.when(c("kind") != "loop", F.array_join(F.array_sort(F.array("start_name", "end_name")), "|"))
+    r = routes.withColumns({
+        "interest": interest, "_base": base_name(c("name")), "_mountain": F.when(c("kind") == "mountain", "mountain"), "_pair": pair,
+        "_anchors": F.array_distinct(F.array("start_name", "end_name")), "_city": F.lit("all"),
+    })
+    near = footprint_overlap(cells, "route", 0.5).select("a", "b")
+    chosen = select_diverse(r, near, "route", "_city", "interest", {"_base": 1, "_mountain": 8, "_pair": 1, "comunas": 8, "_anchors": 5}, target)
+    return r.join(chosen.select("route", "place"), "route").drop("_base", "_mountain", "_pair", "_anchors", "_city")

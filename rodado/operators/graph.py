@@ -193,3 +193,27 @@ def quadrants(xs: list, ys: list):
     mx, my = sum(xs[1:], xs[0]) / n, sum(ys[1:], ys[0]) / n
     q = F.array(*(F.when(x >= mx, F.when(y >= my, 0).otherwise(1)).otherwise(F.when(y >= my, 2).otherwise(3)) for x, y in zip(xs, ys)))
     return F.size(F.array_distinct(q))
+
+
+def node_key(lng, lat):
+    """Number of the point that a road's vertex snaps to: coordinates rounded to 1e-4 degrees."""
+    snap = lambda c: F.floor(c / 1e-4 + 0.5).cast("long")
+    return F.shiftleft(snap(lng), 32) + (snap(lat) + 2**31)
+
+
+def road_graph(ways: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(nodes (id, lng, lat), edges (a, b, cost, length)) of roads, both ways: vertices snap to a grid of 1e-4 degrees, the
+    first that snaps to a node places it, a metre costs by the road's class.
+
+    ways: (way_id, points array<struct<lng,lat>>, highway). Of parallel edges the cheapest stays.
+    """
+    from ..functions.rules import road_weight
+
+    v = ways.select("way_id", road_weight(F.col("highway")).alias("_w"), F.posexplode("points").alias("_i", "_p"), "points")
+    v = v.withColumns({"a": node_key(F.col("_p.lng"), F.col("_p.lat")), "_q": F.try_element_at("points", F.col("_i") + 2)})
+    nodes = v.groupBy(F.col("a").alias("id")).agg(F.min_by("_p", F.struct("way_id", "_i")).alias("_p")).select("id", "_p.lng", "_p.lat")
+    e = v.where("_q is not null").withColumn("b", node_key(F.col("_q.lng"), F.col("_q.lat"))).where("a <> b")
+    e = e.withColumn("length", geo.haversine("_p.lng", "_p.lat", "_q.lng", "_q.lat")).select("a", "b", (F.col("length") * F.col("_w")).alias("cost"), "length")
+    both = e.unionAll(e.select(F.col("b").alias("a"), F.col("a").alias("b"), "cost", "length"))
+    best = both.groupBy("a", "b").agg(F.min(F.struct("cost", "length")).alias("_e"))
+    return nodes, best.select("a", "b", "_e.cost", "_e.length")

@@ -8,7 +8,7 @@ from ..operators import tracks as T
 from ..sinks import files as K
 from ..sources import files as S
 from ..session import table
-from ._sql import TRACKS
+from ._sql import TRACKS, hav
 from .views import event_tracks, routes, way_points
 
 QUERIES, SQL = {}, {}
@@ -63,7 +63,10 @@ def report(s, d):
 
 
 def nested(s, d):
-    return K.nested(routes(s, d).select("route_id", "name", "tags", "variants"), F.col("route_id"))
+    """Routes written as nested JSON and read again."""
+    r = routes(s, d).select("route_id", "name", "tags", "variants")
+    back = K.nested(r).select(F.from_json("document", r.schema).alias("_r")).select("_r.*")
+    return back.select("route_id", "name", F.array_join("tags", "|").alias("tags"), F.array_join(F.transform("variants", lambda v: v["name"]), "|").alias("variants"), F.try_element_at("variants", F.lit(1))["distance_km"].alias("first_km"))
 
 
 _RT = "r AS (SELECT DISTINCT ON (route_id) * FROM routes)"
@@ -71,7 +74,10 @@ QUERIES = {
     "q_gpx_round_trip": gpx_round_trip, "q_dense_gpx": dense_gpx, "q_polyline_round_trip": polyline_round_trip, "q_front_matter": front_matter,
     "q_route_pages": route_pages, "q_drawing": drawing, "q_report": report, "q_nested_json": nested,
 }
+_WV = """w AS (SELECT DISTINCT ON (way_id) way_id, geometry FROM ways WHERE way_id IS NOT NULL), wu AS (SELECT way_id AS track, unnest(geometry) AS g, generate_subscripts(geometry,1) AS ord FROM w), wv AS (SELECT track, ord, g.lon AS lng, g.lat AS lat FROM wu WHERE g.lat BETWEEN -90 AND 90 AND g.lon BETWEEN -180 AND 180)"""
 SQL = {
+    "q_dense_gpx": f"WITH {_WV}, a AS (SELECT *, lead(lng) OVER w AS x, lead(lat) OVER w AS y FROM wv WINDOW w AS (PARTITION BY track ORDER BY ord)), b AS (SELECT track, {hav('lng', 'lat', 'x', 'y')} AS m FROM a) SELECT track, sum(CASE WHEN m>80 THEN ceil(m/50) ELSE 1 END)::INT AS points, 1 AS segments FROM b GROUP BY 1",
+    "q_nested_json": f"WITH {_RT} SELECT route_id, name, array_to_string(list_filter(tags, lambda t: t IS NOT NULL),'|') AS tags, array_to_string(list_filter(list_transform(variants, lambda v: v.name), lambda n: n IS NOT NULL),'|') AS variants, variants[1].distance_km AS first_km FROM r",
     "q_gpx_round_trip": f"WITH {TRACKS} SELECT track, (ord-1)::INT AS ord, round(lng,5) AS lng, round(lat,5) AS lat FROM tr",
     "q_polyline_round_trip": f"WITH {TRACKS} SELECT track, ord, round(lng,5) AS lng, round(lat,5) AS lat FROM tr",
 }

@@ -9,8 +9,11 @@ from ..operators import collections as R
 from ..operators import corridors, greedy, lines, search, spatial, zones
 from ..operators import tracks as T
 from ..plans import generate, score_routes, suggest
+from ..sinks import files
 from ..session import stage, table
 from ._sql import TRACKS, hav
+from .files import _WV
+from .records import _LEN, _PREFIX, _SP, _T, _WAYS
 from .spatial import _PL
 from .views import event_tracks, located, places
 
@@ -76,7 +79,13 @@ def _pieces(s, d):
     return b.join(w, "way_id")
 
 
-_add("q_axes", lambda s, d: corridors.axes_of(segments(s, d)).groupBy("axis").agg(F.count("*").alias("segments")))
+_NAME = _SP.format("regexp_replace(" + _SP.format("strip_accents(upper(" + "coalesce(" + _T("name", "name:es") + ",'')" + "))") + ", '^(" + _PREFIX + ") +', '')")
+_SEGS = f"""{_WAYS}, sg0 AS (SELECT way_id AS id, {_NAME} AS name, list_filter(geometry, lambda p: p.lat BETWEEN -90 AND 90 AND p.lon BETWEEN -180 AND 180) AS p FROM w), sg AS (SELECT id, name, {_LEN} AS len, p[1].lon AS x0, p[1].lat AS y0, p[-1].lon AS x1, p[-1].lat AS y1 FROM sg0 WHERE len(p)>0)"""
+_NEAR = lambda i, j: f"{hav(f'a.x{i}', f'a.y{i}', f'b.x{j}', f'b.y{j}')}<{{}}200"
+_CONT = f"""ct AS (SELECT a.id AS a, b.id AS b FROM sg a JOIN sg b ON a.name=b.name AND a.name<>'' AND a.id<b.id WHERE ({_NEAR(1, 0).format('=')} OR {_NEAR(0, 1).format('=')})
+AND NOT ((({_NEAR(0, 0).format('')} AND {_NEAR(1, 1).format('')}) OR ({_NEAR(0, 1).format('')} AND {_NEAR(1, 0).format('')})) AND a.len>200 AND b.len>200))"""
+_AXES = f"{_SEGS}, {_CONT}, e AS (SELECT a AS u, b AS v FROM ct UNION ALL SELECT b, a FROM ct), r(u, c) AS (SELECT id, id FROM sg UNION SELECT e.v, r.c FROM r JOIN e ON e.u=r.u WHERE r.c<e.v), ax AS (SELECT u AS id, min(c) AS axis FROM r GROUP BY u)"
+_add("q_axes", lambda s, d: corridors.axes_of(segments(s, d)).groupBy("axis").agg(F.count("*").alias("segments")), f"WITH RECURSIVE {_AXES} SELECT axis, count(*) AS segments FROM ax GROUP BY 1")
 _add("q_chained", lambda s, d: corridors.chained(segments(s, d).join(corridors.axes_of(segments(s, d)), "seg_id"), "axis").withColumn("gap_m", F.round("gap_m", 2)))
 
 
@@ -144,7 +153,11 @@ def _diverse(s, d):
 
 
 _add("q_select_diverse", _diverse)
-_add("q_line_overlap", lambda s, d: greedy.overlapping(T.resample(_ways(s, d), 50.0).select(F.col("track").alias("line"), F.col("at_m").cast("long").alias("ord"), "lng", "lat"), 30.0, 0.5))
+_add("q_line_overlap", lambda s, d: greedy.overlapping(T.resample(_ways(s, d), 50.0).select(F.col("track").alias("line"), F.col("at_m").cast("long").alias("ord"), "lng", "lat"), 30.0, 0.5),
+     f"""WITH {_WV}, a AS (SELECT *, lag(lng) OVER w AS px, lag(lat) OVER w AS py FROM wv WINDOW w AS (PARTITION BY track ORDER BY ord)), b AS (SELECT *, {hav('px', 'py', 'lng', 'lat')} AS step FROM a), c AS (SELECT *, sum(step) OVER (PARTITION BY track ORDER BY ord ROWS UNBOUNDED PRECEDING) AS cum FROM b),
+k AS (SELECT *, cum-step AS start, unnest(range(ceil((cum-step)/50.0)::BIGINT, floor(cum/50.0)::BIGINT+1)) AS k FROM c WHERE step>0), s AS (SELECT track, k, px+(lng-px)*(k*50.0::DOUBLE-start)/step AS x, py+(lat-py)*(k*50.0::DOUBLE-start)/step AS y FROM k WHERE k*50.0<cum),
+n AS (SELECT track, count(*) AS n FROM s GROUP BY 1), h AS (SELECT a.track AS a, b.track AS b, count(DISTINCT a.k) AS h FROM s a JOIN s b ON a.track<>b.track AND abs(a.y-b.y)<0.0003 WHERE {hav('a.x', 'a.y', 'b.x', 'b.y')}<=30 GROUP BY 1,2)
+SELECT DISTINCT least(a,b) AS a, greatest(a,b) AS b FROM h JOIN n ON n.track=h.a WHERE h/n>=0.5""")
 
 
 def _ways(s, d):
@@ -154,9 +167,14 @@ def _ways(s, d):
 
 
 _add("q_zones", lambda s, d: zones.strongest(zones.boosted(zones.lively(_pl(s, d).select(F.coalesce("category", F.lit("other")).alias("kind"), "lng", "lat"), 3), "zone", [(_pl(s, d).where("category = 'train station'").select(F.col("lng").alias("_x"), F.col("lat").alias("_y")), 500.0, 1.0)]), "zone").select("points", "cells", "kind", F.round("magnetism", 4).alias("magnetism")))
-_add("q_waterside", lambda s, d: zones.waterside(_ways(s, d), "track").select("track", "cells", "magnetism"))
+_DISC = lambda src, key, m: f"""dc AS (SELECT {key} AS key, lng, lat, ceil({m}/{geo.DEGREE_M}/0.001::DOUBLE)::INT AS ny, ceil({m}/{geo.DEGREE_M}/greatest(cos(radians(lat)),0.01)/0.001::DOUBLE)::INT AS nx FROM {src}), di AS (SELECT *, unnest(range(-nx,nx+1)) AS i FROM dc), dj AS (SELECT *, unnest(range(-ny,ny+1)) AS j FROM di),
+dd AS (SELECT DISTINCT key, floor((lng+i*0.001::DOUBLE)/0.001::DOUBLE)::BIGINT AS gx, floor((lat+j*0.001::DOUBLE)/0.001::DOUBLE)::BIGINT AS gy FROM dj WHERE {hav('lng', 'lat', 'lng+i*0.001::DOUBLE', 'lat+j*0.001::DOUBLE')}<={m})"""
+_add("q_waterside", lambda s, d: zones.waterside(_ways(s, d), "track").select("track", "cells", "magnetism"), f"WITH {_WV}, {_DISC('wv', 'track', 150.0)} SELECT key AS track, count(*) AS cells, 9.0::DOUBLE AS magnetism FROM dd GROUP BY 1")
 _add("q_repelling", lambda s, d: zones.repelling(_ways(s, d)).groupBy("zone").agg(F.count("*").alias("cells")).select("cells"))
-_add("q_zones_along", lambda s, d: zones.zones_along(_ways(s, d), zones.buffered(_pl(s, d).where("category = 'viewpoint'"), "place_id", 200.0), "track", "place_id"))
+_add("q_zones_along", lambda s, d: zones.zones_along(_ways(s, d), zones.buffered(_pl(s, d), "place_id", 200.0), "track", "place_id"),
+     f"WITH {_WV}, {_PL}, {_DISC('p', 'place_id', 200.0)} SELECT DISTINCT track, key AS place_id FROM wv JOIN dd ON floor(lng/0.001::DOUBLE)=gx AND floor(lat/0.001::DOUBLE)=gy")
+_add("q_buffer_cells", lambda s, d: spatial.disc_cells(_pl(s, d), "lng", "lat", 300.0, 0.001).groupBy("gx", "gy").agg(F.count_distinct("place_id").alias("places")),
+     f"WITH {_PL}, {_DISC('p', 'place_id', 300.0)} SELECT gx, gy, count(*) AS places FROM dd GROUP BY 1,2")
 _add("q_top80", lambda s, d: greedy.top_groups(_pl(s, d).groupBy(geo.cell("lng", 0.005).alias("gx"), geo.cell("lat", 0.005).alias("gy")).agg(F.count("*").alias("n")), 80, F.col("n").desc(), F.col("gx"), F.col("gy")),
      f"WITH {_PL} SELECT floor(lng/0.005::DOUBLE)::BIGINT AS gx, floor(lat/0.005::DOUBLE)::BIGINT AS gy, count(*) AS n FROM p GROUP BY 1,2 ORDER BY n DESC, gx, gy LIMIT 80")
 
@@ -241,25 +259,30 @@ _add("q_ground_shares", lambda s, d: score_routes.ground_shares(event_tracks(s,
 SELECT sa.track, floor(sum(coalesce(b,0))/count(*)*100+0.5)::BIGINT AS bike_pct, floor(sum(coalesce(c,0))/count(*)*100+0.5)::BIGINT AS car_pct, floor(sum(coalesce(g,0))/count(*)*100+0.5)::BIGINT AS green_pct FROM sa LEFT JOIN h ON h.track=sa.track AND h.ord=sa.ord GROUP BY 1""")
 
 
-def _composite_sql():
+def _cards_sql():
+    """The parts of the other twins, joined as the plan joins them: ca has every column of a card."""
     from . import tracks as Q
 
-    # the parts of the other twins, joined as the plan joins them
-    base = Q._SMOOTH + Q._INTER + Q._RIDE
+    base = Q._SMOOTH + Q._INTER + Q._RIDE + Q._SHAPE
     jumps = ", ju AS (SELECT track, count(*) FILTER (step_m>500) AS j5, count(*) FILTER (step_m>1000) AS j1 FROM st GROUP BY track)"
     dens = ", de AS (SELECT track, (CASE WHEN length_m>0 THEN floor(n/(length_m/1000)+0.5) ELSE 0 END)::BIGINT AS ppk FROM en WHERE n>=2)"
     own = _PL.replace("p AS", "pq AS", 1)
     pois = f""", {own}, pp AS (SELECT name, -75.7+(place_id%400-200)/1e3 AS x, 45.4+(place_id*7%400-200)/1e3 AS y FROM pq WHERE name IS NOT NULL), ph AS (SELECT track, count(DISTINCT name) AS k FROM sa JOIN pp ON abs(lat-y)<0.005 AND {_GD}<500 GROUP BY 1),
 po AS (SELECT en.track, CASE WHEN length_m>0 THEN floor(coalesce(k,0)/(length_m/1000)*100+0.5)/10 ELSE 0 END AS per FROM en LEFT JOIN ph USING (track))"""
     gs = SQL["q_ground_shares"].split(_SA)[1].replace("\nSELECT sa.track", ", gs AS (SELECT sa.track", 1) + ")"
-    loop = f", cl AS (SELECT track, floor({hav('lng0','lat0','lng1','lat1')}+0.5)<500 AS closed FROM en WHERE track%2=0)"
+    loop = f", cl AS (SELECT track, floor({hav('lng0','lat0','lng1','lat1')}+0.5)::BIGINT AS closure_m, floor({hav('lng0','lat0','lng1','lat1')}+0.5)<500 AS closed FROM en WHERE track%2=0)"
     score = ("smoothness*0.25::DOUBLE-walkbacks*5+real_pct*0.2::DOUBLE+least(per*3,15.0::DOUBLE)-j1*10-(j5-j1)*5+least(ppk/5,10.0::DOUBLE)+(CASE WHEN closed IS NULL THEN 0 WHEN closed THEN 5 ELSE -10 END)"
              "+(rideability-50)*0.6::DOUBLE+(bike_pct*0.15::DOUBLE-car_pct*0.1::DOUBLE+green_pct*0.1::DOUBLE)")
-    return f"WITH {TRACKS}, {_SA}{base}{jumps}{dens}{pois}, {_GR}{gs}{loop} SELECT sm.track, smoothness, walkbacks, real_pct, rideability, floor(({score})*10.0::DOUBLE+0.5::DOUBLE)/10.0::DOUBLE AS composite FROM sm JOIN ip USING (track) JOIN ri USING (track) JOIN ju USING (track) JOIN de USING (track) JOIN po USING (track) JOIN gs USING (track) LEFT JOIN cl USING (track)"
+    said = ["CASE WHEN walkbacks>0 THEN walkbacks || ' walkbacks' END", "CASE WHEN j1>0 THEN j1 || ' jumps >1km' END", "CASE WHEN runs>3 THEN runs || ' interpolated gaps' END", "CASE WHEN bike_pct<30 THEN 'only ' || bike_pct || '% on bike path' END",
+            "CASE WHEN car_pct>50 THEN car_pct || '% near car traffic' END", "CASE WHEN NOT closed THEN 'loop not closed (' || closure_m || 'm gap)' END", "CASE WHEN rideability<50 THEN 'low rideability ' || rideability || '%' END", "CASE WHEN ppk<20 THEN 'sparse (' || ppk || ' pts/km)' END"]
+    issues = f"array_to_string(list_filter([{', '.join(said)}], lambda x: x IS NOT NULL), '; ')"
+    return f"WITH {TRACKS}, {_SA}{base}{jumps}{dens}{pois}, {_GR}{gs}{loop}, ca AS (SELECT *, floor(({score})*10.0::DOUBLE+0.5::DOUBLE)/10.0::DOUBLE AS composite, {issues} AS issues FROM sm JOIN ip USING (track) JOIN ri USING (track) JOIN ju USING (track) JOIN de USING (track) JOIN po USING (track) JOIN gs USING (track) JOIN sp USING (track) LEFT JOIN cl USING (track))"
 
 
-_add("q_score_cards", lambda s, d: cards(s, d).select("track", "smoothness", "walkbacks", "real_pct", "rideability", "composite"), _composite_sql())
-_add("q_card_issues", lambda s, d: cards(s, d).select("track", "shape", F.array_join("issues", "; ").alias("issues")))
-_add("q_card_summary", lambda s, d: score_routes.summary(cards(s, d)))
+_CARDS = _cards_sql()
+_add("q_score_cards", lambda s, d: cards(s, d).select("track", "smoothness", "walkbacks", "real_pct", "rideability", "composite"), _CARDS + " SELECT track, smoothness, walkbacks, real_pct, rideability, composite FROM ca")
+_add("q_card_issues", lambda s, d: cards(s, d).select("track", "shape", F.array_join("issues", "; ").alias("issues")), _CARDS + " SELECT track, shape, issues FROM ca")
+_add("q_card_summary", lambda s, d: score_routes.summary(cards(s, d)), _CARDS + " SELECT count(*) AS tracks, floor(avg(composite)*100+0.5)/100 AS mean, min(composite) AS low, max(composite) AS high, count(*) FILTER (composite>=50) AS good, count(*) FILTER (issues<>'') AS with_issues, sum(j1)::BIGINT AS jumps FROM ca")
+_add("q_report", lambda s, d: files.report_lines(cards(s, d)), _CARDS + " SELECT printf('%6.1f  %s  %s  %s', composite, track::VARCHAR, shape, issues) AS line FROM ca")
 _add("q_tag_audit", lambda s, d: score_routes.ground_shares(event_tracks(s, d), _ground(s, d)).select("track", F.when((F.col("green_pct") >= 50) & (F.col("track") % 2 == 0), "MISSING").when((F.col("green_pct") < 50) & (F.col("track") % 2 == 1), "EXTRA").alias("audit")).where("audit is not null"),
      f"SELECT * FROM (SELECT track, CASE WHEN green_pct>=50 AND track%2=0 THEN 'MISSING' WHEN green_pct<50 AND track%2=1 THEN 'EXTRA' END AS audit FROM ({SQL['q_ground_shares']})) WHERE audit IS NOT NULL")

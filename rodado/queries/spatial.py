@@ -147,7 +147,6 @@ _add("q_rectangles", _loops_of_four, f"""WITH RECURSIVE {_ZE} SELECT f.a AS a, f
 WHERE f.length+g.length+h.length+l.length BETWEEN 10000 AND 50000 AND len(list_distinct([{','.join(f"({k}.x>={_QX})::INT*2+({k}.y>={_QY})::INT" for k in ('za', 'zb', 'zc', 'zd'))}]))>=3""")
 _add("q_footprints", lambda s, d: P.footprint_overlap(event_tracks(s, d).select("track", geo.cell("lng", 0.01).alias("gx"), geo.cell("lat", 0.01).alias("gy")), "track", 0.5).withColumn("share", F.round("share", 6)),
      f"WITH {TRACKS}, g AS (SELECT DISTINCT track, floor(lng/0.01::DOUBLE)::BIGINT AS gx, floor(lat/0.01::DOUBLE)::BIGINT AS gy FROM tr), n AS (SELECT track, count(*) AS n FROM g GROUP BY 1), k AS (SELECT x.track AS a, y.track AS b, count(*) AS k FROM g x JOIN g y ON x.gx=y.gx AND x.gy=y.gy AND x.track<y.track GROUP BY 1,2) SELECT a, b, round(k/least(na.n,nb.n),6) AS share FROM k JOIN n na ON na.track=a JOIN n nb ON nb.track=b WHERE k/least(na.n,nb.n)>0.5")
-_add("q_buffer_cells", lambda s, d: P.disc_cells(_places(s, d), "lng", "lat", 300.0, 0.001).groupBy("gx", "gy").agg(F.count_distinct("place_id").alias("places")))
 _add("q_pois_on_track", lambda s, d: T_pois(s, d), f"""WITH {TRACKS}, {_PL}, pp AS (SELECT place_id, name, -75.7+(place_id%400-200)/1e3 AS x, 45.4+(place_id*7%400-200)/1e3 AS y FROM p WHERE name IS NOT NULL),
 sa AS (SELECT track, lng, lat FROM (SELECT *, row_number() OVER (PARTITION BY track ORDER BY ord)-1 AS i, count(*) OVER (PARTITION BY track) AS n FROM tr) WHERE i % greatest(n//200,1) = 0),
 h AS (SELECT track, count(DISTINCT name) AS pois FROM sa JOIN pp ON abs(lat-y)<0.005 AND {_D}<500 GROUP BY 1) SELECT en.track, coalesce(pois,0) AS pois, CASE WHEN length_m>0 THEN floor(coalesce(pois,0)/(length_m/1000)*100+0.5)/10 ELSE 0 END AS per_10km FROM en LEFT JOIN h USING (track)""")

@@ -16,7 +16,7 @@ QUERIES, SQL = {}, {}
 def _add(name, make, sql=None):
     QUERIES[name] = make
     if sql:
-        SQL[name] = f"WITH {TRACKS} {sql}" if not sql.lstrip().startswith(",") else f"WITH {TRACKS}{sql}"
+        SQL[name] = f"WITH RECURSIVE {sql}" if sql.startswith(TRACKS) else f"WITH {TRACKS} {sql}" if not sql.lstrip().startswith(",") else f"WITH {TRACKS}{sql}"
 
 
 def r3(df, *cols):
@@ -66,13 +66,13 @@ re AS (SELECT track, any_value(n) AS n, any_value(length_m) AS t, coalesce(sum(a
 r2 AS (SELECT track, n, {up('(CASE WHEN f+b>0 THEN f/(f+b) ELSE 1 END)*100')} AS r, {up('t*(1-(CASE WHEN f+b>0 THEN f/(f+b) ELSE 1 END))')} AS w FROM re),
 ri AS (SELECT track, (CASE WHEN n<3 THEN 100 ELSE r END)::BIGINT AS rideability, (CASE WHEN n<3 THEN 0 ELSE w END)::BIGINT AS wasted_m FROM (SELECT * FROM r1 UNION ALL SELECT * FROM r2))"""
 _add("q_rideability", lambda s, d: T.rideability(event_tracks(s, d)), _RIDE + " SELECT * FROM ri")
-_add("q_shape", lambda s, d: T.shape(event_tracks(s, d)), f""", sh AS (SELECT sc.*, n, row_number() OVER w - 1 AS i, greatest(least({up('length_m/1000')},12),2)::INT AS blocks FROM {JOINED} WHERE n>=2 {W}),
-sz AS (SELECT *, n//blocks AS size FROM sh), bl AS (SELECT sz.*, unnest(range(0, blocks)) AS b FROM sz),
-be AS (SELECT * FROM bl WHERE i=b*size OR i=least((b+1)*size, n-1)),
-g AS (SELECT track, b, arg_min(lng,i) AS ax, arg_min(lat,i) AS ay, arg_max(lng,i) AS bx, arg_max(lat,i) AS by_ FROM be GROUP BY track, b),
-h AS (SELECT *, (by_-ay)*111320.0 AS dy, (bx-ax)*111320.0*cos(radians(ay)) AS dx FROM g),
-k AS (SELECT track, b, CASE WHEN sqrt(dx*dx+dy*dy)<50 THEN '·' ELSE ['↑N','↗NE','→E','↘SE','↓S','↙SW','←W','↖NW'][((floor((degrees(atan2(dx,dy))+22.5)/45.0)::INT % 8 + 8) % 8)+1] END AS s FROM h)
-SELECT track, string_agg(s, ' ' ORDER BY b) AS shape FROM k GROUP BY track""")
+_SHAPE = f""", shp AS (SELECT sc.*, n, row_number() OVER w - 1 AS i, greatest(least({up('length_m/1000')},12),2)::INT AS blocks FROM {JOINED} WHERE n>=2 {W}),
+shz AS (SELECT *, n//blocks AS size FROM shp), shb AS (SELECT shz.*, unnest(range(0, blocks)) AS b FROM shz),
+she AS (SELECT * FROM shb WHERE i=b*size OR i=least((b+1)*size, n-1)),
+shg AS (SELECT track, b, arg_min(lng,i) AS ax, arg_min(lat,i) AS ay, arg_max(lng,i) AS bx, arg_max(lat,i) AS by_ FROM she GROUP BY track, b),
+shh AS (SELECT *, (by_-ay)*111320.0 AS dy, (bx-ax)*111320.0*cos(radians(ay)) AS dx FROM shg),
+shk AS (SELECT track, b, CASE WHEN sqrt(dx*dx+dy*dy)<50 THEN '·' ELSE ['↑N','↗NE','→E','↘SE','↓S','↙SW','←W','↖NW'][((floor((degrees(atan2(dx,dy))+22.5)/45.0)::INT % 8 + 8) % 8)+1] END AS s FROM shh), sp AS (SELECT track, string_agg(s, ' ' ORDER BY b) AS shape FROM shk GROUP BY track)"""
+_add("q_shape", lambda s, d: T.shape(event_tracks(s, d)), _SHAPE + " SELECT track, shape FROM sp")
 _add("q_loop_closure", lambda s, d: T.loop_closure(event_tracks(s, d), event_tracks(s, d).select("track").distinct().select("track", F.when(F.col("track") % 2 == 0, F.array(F.lit("loop"), F.lit("flat"))).otherwise(F.array(F.lit("flat"))).alias("tags"))),
      f"SELECT track, {up(_CROW)}::BIGINT AS closure_m, {up(_CROW)}<500 AS closed FROM en WHERE track%2=0")
 _add("q_resample", lambda s, d: r3(T.resample(event_tracks(s, d), 250.0), "lng", "lat"), """, rs AS (SELECT *, cum_m-step_m AS start_m FROM sc WHERE step_m>0),
@@ -81,7 +81,9 @@ SELECT track, k*250.0::DOUBLE AS at_m, round(plng+(lng-plng)*(k*250.0-start_m)/s
 _add("q_point_at", lambda s, d: r3(T.point_at(event_tracks(s, d), event_tracks(s, d).groupBy("track").agg(F.lit(500.0).alias("at_m"))), "lng", "lat"), """, ps AS (SELECT * FROM sc WHERE step_m>0), pt AS (SELECT track, max(cum_m) AS t FROM ps GROUP BY track),
 pa AS (SELECT track, least(500.0, t) AS a FROM pt)
 SELECT ps.track, 500.0::DOUBLE AS at_m, round(plng+(lng-plng)*(1-(cum_m-a)/step_m),3) AS lng, round(plat+(lat-plat)*(1-(cum_m-a)/step_m),3) AS lat FROM ps JOIN pa USING (track) WHERE a<=cum_m AND a>cum_m-step_m""")
-_add("q_sample_every", lambda s, d: T.sample_every(event_tracks(s, d)))
+# the goal rises by one multiple at each vertex past it
+_add("q_sample_every", lambda s, d: T.sample_every(event_tracks(s, d)), f"""{TRACKS}, r(track, ord, goal, keep) AS (SELECT track, ord, 1000.0::DOUBLE, true FROM sc WHERE ord=1 UNION ALL SELECT sc.track, sc.ord, CASE WHEN sc.cum_m>=goal THEN goal+1000 ELSE goal END, sc.cum_m>=goal FROM r JOIN sc ON sc.track=r.track AND sc.ord=r.ord+1)
+SELECT r.track, r.ord FROM r JOIN en USING (track) WHERE keep OR r.ord=n""")
 _RETR = f""", rn AS (SELECT sc.*, n FROM {JOINED} WHERE n>=5),
 rh AS (SELECT DISTINCT a.track, a.ord FROM rn a JOIN rn b ON a.track=b.track AND a.cum_m-b.cum_m>=500 AND abs(a.lat-b.lat)<0.002 AND {hav('a.lng','a.lat','b.lng','b.lat')}<200),
 rs AS (SELECT rn.track, sum(step_m) AS h FROM rn JOIN rh ON rh.track=rn.track AND rh.ord=rn.ord GROUP BY rn.track),

@@ -48,9 +48,9 @@ def route_page(r: DataFrame) -> DataFrame:
     return r.select("route_id", markdown(r, F.coalesce("name", F.lit("")), {"distance_km": F.col("distance_km"), "tagline": F.when(F.col("tagline").isNotNull(), yaml_text(F.col("tagline")))}, [km, kinds]).alias("page"))
 
 
-def nested(rows: DataFrame, *order: Column) -> DataFrame:
-    """(document): each row as one JSON text, by a total order."""
-    return rows.orderBy(*order).select(F.to_json(F.struct(*rows.columns)).alias("document"))
+def nested(rows: DataFrame) -> DataFrame:
+    """(document): each row as one JSON text."""
+    return rows.select(F.to_json(F.struct(*rows.columns)).alias("document"))
 
 
 def report_lines(cards: DataFrame) -> DataFrame:
@@ -88,3 +88,58 @@ def sample_rows(df: DataFrame, n: int, *order: Column) -> DataFrame:
 def rounded(c: Column, digits: int = 1) -> Column:
     """Numbers as reports show them."""
     return half_up(c, digits)
+
+
+def condition_text(c: Column) -> Column:
+    """A condition as pages show it: lower case, nothing for unknown ones."""
+    t = F.lower(F.trim(c))
+    return F.when(~t.isin("", "nan"), t)
+
+
+def full_page(routes: DataFrame, day: Column) -> DataFrame:
+    """(route, page): front matter and prose of whole routes. The phrases are fixed values.
+
+    routes: (route, name, kind, total_m, infra_pct, start_name, end_name, tags, runs array<struct<name,comunas,length_m,
+    tipos,places,widths,conditions>> in riding order, gaps array<struct<from,to,metres>>, videos array). ``day`` is the date
+    of the pages. Gaps up to 50 m aren't told; conditions are told as a range from the last to the first that differ.
+    """
+    c, lit = F.col, F.lit
+    none = F.array().cast("array<string>")
+    title = lambda x: F.initcap(F.lower(x))
+    km = decimal_comma(c("total_m") / 1000)
+    said = lambda x: F.array_distinct(F.filter(F.coalesce(x, none), lambda v: v.isNotNull() & (v != "")))
+    towns = spoken_list(F.transform(said(F.flatten(F.transform("runs", lambda r: F.coalesce(r["comunas"], none)))), title))
+    known = c("start_name").isNotNull() & c("end_name").isNotNull() & (c("start_name") != c("end_name"))
+    opening = F.when(c("kind") == "loop", F.concat(lit("Un circuito de "), km, lit(" kilómetros por "), towns, F.when(c("start_name").isNotNull(), F.concat(lit(", saliendo desde "), c("start_name"))).otherwise(""), lit(".")))
+    opening = opening.otherwise(F.concat(km, lit(" kilómetros por "), towns, F.when(known, F.concat(lit(", desde "), c("start_name"), lit(" hasta "), c("end_name"))).otherwise(""), lit(".")))
+    pct = F.floor(c("infra_pct") + 0.5).cast("long").cast("string")
+    cover = F.when(c("infra_pct") >= 90, " Prácticamente todo el recorrido tiene ciclovía.").when(c("infra_pct") >= 70, F.concat(lit(" El "), pct, lit("% del recorrido tiene ciclovía."))).when(c("infra_pct") >= 50, " Alrededor de la mitad del recorrido tiene ciclovía.").otherwise("")
+
+    def run_line(r: Column) -> Column:
+        own, tipos, places = F.transform(said(r["comunas"]), title), said(r["tipos"]), said(r["places"])
+        wide = F.filter(F.coalesce(r["widths"], F.array().cast("array<int>")), lambda w: w > 0)
+        span = F.when(F.array_min(wide) == F.array_max(wide), F.array_min(wide).cast("string")).otherwise(F.concat(F.array_min(wide).cast("string"), lit("–"), F.array_max(wide).cast("string")))
+        states = F.array_distinct(F.filter(F.transform(F.coalesce(r["conditions"], none), condition_text), lambda v: v.isNotNull()))
+        state = F.when(F.size(states) == 1, F.concat(lit('\nEvaluación: "'), states[0], lit('".'))).when(F.size(states) > 1, F.concat(lit('\nEvaluación: de "'), F.element_at(states, -1), lit('" a "'), states[0], lit('".'))).otherwise("")
+        return F.concat(
+            lit("**"), title(F.coalesce(F.nullif(r["name"], lit("")), lit("Sin nombre"))), lit("**"), F.when(F.size(own) > 0, F.concat(lit(" ("), spoken_list(own), lit(")"))).otherwise(""), lit(" — "), decimal_comma(r["length_m"] / 1000), lit(" km"),
+            F.when(F.size(tipos) > 0, F.concat(lit(", "), F.array_join(tipos, "/"))).otherwise(""), F.when(F.size(places) > 0, F.concat(lit(", en "), spoken_list(places))).otherwise(""),
+            F.when(F.size(wide) > 0, F.concat(lit(", "), span, lit(" cm de ancho"))).otherwise(""), lit("."), state,
+        )
+
+    def gap_line(g: Column) -> Column:
+        far = F.when(g["metres"] >= 1000, F.concat(decimal_comma(g["metres"] / 1000), lit(" km"))).otherwise(F.concat(F.floor(g["metres"] + 0.5).cast("long").cast("string"), lit(" m")))
+        name = lambda x, other: title(F.coalesce(F.nullif(x, lit("")), lit(other)))
+        return F.concat(lit("Entre **"), name(g["from"], "tramo anterior"), lit("** y **"), name(g["to"], "siguiente tramo"), lit("** — "), far, lit(" sin infraestructura ciclista."))
+
+    part = lambda head, lines_: F.when(F.size(lines_) > 0, F.concat(lit(head + "\n\n"), F.array_join(lines_, "\n\n")))
+    gaps = F.filter(F.coalesce("gaps", F.array().cast(routes.schema["gaps"].dataType)), lambda g: g["metres"] > 50)
+    videos = F.array_distinct(F.transform(said(c("videos")), lambda v: F.trim(v)))
+    shown = F.when(F.size(videos) > 0, F.concat(lit("Videos a nivel de calle de cada tramo:\n\n"), F.array_join(videos, "\n")))
+    body = [F.concat(opening, cover), part("### Tramos", F.transform("runs", run_line)), part("### Tramos sin infraestructura", F.transform(gaps, gap_line)), shown]
+    plain_km, date = F.format_string("%.1f", c("total_m") / 1000), F.concat(lit('"'), day.cast("string"), lit('"'))
+    fields = {
+        "status": lit("published"), "distance_km": plain_km, "tags": F.concat(lit("\n"), F.array_join(F.transform(said(c("tags")), lambda t: F.concat(lit("  - "), t)), "\n")),
+        "created_at": date, "updated_at": date, "variants": F.concat(lit("\n  - name: "), yaml_text(c("name")), lit("\n    gpx: main.gpx\n    distance_km: "), plain_km),
+    }
+    return routes.select("route", F.regexp_replace(markdown(routes, c("name"), fields, body), r"(?m)^(tags|variants): $", "$1:").alias("page"))
