@@ -279,7 +279,36 @@ def chain(stops: list) -> list[list[Line]]:
         if parts[-1] and _metres(*parts[-1][-1].end, *piece[0].start) > 200:
             parts.append([])
         parts[-1] += [Line(x.id, x.points, x.oneway, x.turned, k, x.extra) for x in piece]
-    return [p for p in parts if p]
+    return [ridden for p in parts if p for s in split_jumps(p) if (ridden := without_backtracks(s))]
+
+
+def split_jumps(part: list[Line], over_m: float = 1000.0) -> list[list[Line]]:
+    """A part cut where another path goes on more than ``over_m`` away."""
+    out = [part[:1]]
+    for a, b in zip(part, part[1:]):
+        if a.path != b.path and _metres(*a.end, *b.start) > over_m:
+            out.append([])
+        out[-1].append(b)
+    return [p for p in out if p]
+
+
+def without_backtracks(part: list[Line], back_m: float = 100.0) -> list[Line]:
+    """A part without the lines that begin more than ``back_m`` behind the end of the last line kept, along the part's main
+    direction, if they are of its path or were kept before. Parts of less than 0.001 degrees have no direction."""
+    if len(part) < 2:
+        return part
+    (x0, y0), (x1, y1) = part[0].start, part[-1].end
+    k = 1 if abs(y1 - y0) >= abs(x1 - x0) else 0  # north and south, or east and west
+    run = (x1 - x0, y1 - y0)[k]
+    if abs(run) < 0.001:
+        return part
+    metre = 111_195 * math.copysign(1.0 if k else math.cos(math.radians(y0)), run)
+    kept = part[:1]
+    for x in part[1:]:
+        behind = (kept[-1].end[k] - x.start[k]) * metre
+        if behind <= back_m or x.path != kept[-1].path and all(x.id != y.id for y in kept):
+            kept.append(x)
+    return kept
 
 
 def near_corridor(line: list, a: tuple, b: tuple, buffer_m: float = 2000.0, samples: int = 20) -> bool:

@@ -12,9 +12,8 @@ from collections import deque
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from .graph import Graph, _metres, collect_graph
+from .graph import GRAPH_EDGES, Graph, _metres, collect_graph
 from .lines import turn_between
 
 #: Steps of one search, open paths kept when there are too many, and from how many; segments of a path.
@@ -162,13 +161,13 @@ def rides_well(p: _Path) -> bool:
 def collect_network(segments: DataFrame, edges: DataFrame, anchors: DataFrame, most_anchors: int = 1_000_000):
     """The network as a broadcast, after checks of the sizes of its three tables."""
     box = collect_graph(edges)
-    ends = edges.select(F.col("a").alias("seg_id")).unionAll(edges.select("b")).distinct()
-    cols = ("seg_id", "axis", "length_m", "lng0", "lat0", "lng1", "lat1")
-    seg = [tuple(r) for r in segments.select(*cols).dropDuplicates(["seg_id"]).join(ends, "seg_id", "left_semi").select(*cols).collect()]  # at most two an edge
+    seg = segments.select("seg_id", "axis", "length_m", "lng0", "lat0", "lng1", "lat1").dropDuplicates(["seg_id"]).limit(GRAPH_EDGES + 1).collect()
+    if len(seg) > GRAPH_EDGES:
+        raise ValueError(f"more than {GRAPH_EDGES} segments; cut the region")
     rows = anchors.select("place_id", "lng", "lat").limit(most_anchors + 1).collect()
     if len(rows) > most_anchors:
         raise ValueError(f"more than {most_anchors} anchors; cut the region")
-    return segments.sparkSession.sparkContext.broadcast((box.value[0], seg, [tuple(r) for r in rows]))
+    return segments.sparkSession.sparkContext.broadcast((box.value[0], [tuple(r) for r in seg], [tuple(r) for r in rows]))
 
 
 def search_routes(starts: DataFrame, segments: DataFrame, edges: DataFrame, anchors: DataFrame, how: str = "one_way", radii: tuple[float, ...] = RADII) -> DataFrame:

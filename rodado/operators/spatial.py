@@ -137,3 +137,24 @@ def footprint_overlap(cells: DataFrame, key: str, more_than: float = 0.5) -> Dat
     """(a, b, share) with a < b: cells two footprints (key, gx, gy) share, against the smaller; only above the limit."""
     c = cells.groupBy(key).agg(F.collect_set(F.struct("gx", "gy")).alias("_cells"))
     return set_overlaps(c, key, "_cells", more_than)
+
+
+def _strided(points: DataFrame, samples: int = 500) -> DataFrame:
+    from .tracks import every_nth
+
+    return every_nth(points, samples)
+
+
+def find_corridor(points: DataFrame, reference: DataFrame, near_m: float = 300.0, most: int = 25) -> DataFrame:
+    """(track, near, total, pct): how many points of a reference line (ord, _x, _y) each track (track, ord, lng, lat) comes
+    near, of how many; the ``most`` best, a top-k report. Long tracks are sampled at equal steps."""
+    hit = within(_strided(points), reference.withColumnRenamed("ord", "_ref"), near_m, ["track", "ord"], centre_xy=("_x", "_y"))
+    n = hit.groupBy("track").agg(F.count_distinct("_ref").alias("near")).join(reference.agg(F.count("*").alias("total")))
+    return n.withColumn("pct", geo.half_up(F.col("near") / F.col("total") * 100).cast("long")).orderBy(F.col("near").desc(), "track").limit(most)
+
+
+def tracks_near(points: DataFrame, lng: float, lat: float, radius_m: float = 500.0, most: int = 25) -> DataFrame:
+    """(track, metres, points): the tracks that come within the radius of a place, the nearest first; a top-k report."""
+    n = points.groupBy("track").agg(F.count("*").alias("points"))
+    d = _strided(points).groupBy("track").agg(F.min(geo.haversine("lng", "lat", lng, lat)).alias("_d")).where(F.col("_d") <= radius_m)
+    return d.join(n, "track").orderBy("_d", "track").limit(most).select("track", geo.half_up("_d").cast("long").alias("metres"), "points")

@@ -46,6 +46,34 @@ def waterside(points: DataFrame, key: str, radius_m: float = 150.0, magnetism: f
     return b.groupBy(key).agg(F.count("*").alias("cells"), mid("gx").alias("clng"), mid("gy").alias("clat")).withColumn("magnetism", F.lit(magnetism))
 
 
+#: Metres an area must extend to be a zone, and by which it pulls more; metres around areas without a ring.
+AREA_M, WIDE_M, AROUND_M = 500.0, 1000.0, 300.0
+
+
+def area_magnetism(extent_m: Column) -> Column:
+    """9 over a kilometre, 8 over half of one, else 7, also for unknown extents."""
+    return F.when(extent_m > WIDE_M, 9.0).when(extent_m > AREA_M, 8.0).otherwise(7.0)
+
+
+def area_cells(areas: DataFrame, key: str, res: float = CELL) -> DataFrame:
+    """Distinct (key, gx, gy) of areas (key, lng, lat, extent_m, ring array<struct<lng,lat>>): the cells whose middle lies in
+    the ring, or around the point where there is no ring of three corners. Areas known to extend less are left out."""
+    a = areas.where(F.coalesce(F.col("extent_m") >= AREA_M, F.lit(True)))
+    ringed = F.coalesce(F.size("ring") >= 3, F.lit(False))
+    side = lambda f, k: geo.cell(f(F.transform("ring", lambda v: v[k])), res)
+    r = a.where(ringed).withColumn("gx", F.explode(F.sequence(side(F.array_min, "lng"), side(F.array_max, "lng"))))
+    r = r.withColumn("gy", F.explode(F.sequence(side(F.array_min, "lat"), side(F.array_max, "lat"))))
+    r = r.where(geo.in_ring((F.col("gx") + 0.5) * res, (F.col("gy") + 0.5) * res, F.col("ring"))).select(key, "gx", "gy")
+    around = disc_cells(a.where(~ringed & geo.on_earth("lng", "lat")).select(key, "lng", "lat"), "lng", "lat", AROUND_M, res).select(key, "gx", "gy")
+    return r.unionAll(around).distinct()
+
+
+def areas(df: DataFrame, key: str) -> DataFrame:
+    """(key, cells, clng, clat, magnetism) of the areas that have cells, as zones."""
+    n = area_cells(df, key).groupBy(key).agg(F.count("*").alias("cells"))
+    return df.join(n, key).select(key, "cells", F.col("lng").alias("clng"), F.col("lat").alias("clat"), area_magnetism(F.col("extent_m")).alias("magnetism"))
+
+
 def repelling(points: DataFrame, radius_m: float = 200.0) -> DataFrame:
     """(zone, gx, gy): neighbouring cells near points of roads to keep away from."""
     one = points.select(F.lit(0).alias("_k"), "lng", "lat")

@@ -170,17 +170,20 @@ def tracks_of(routes: DataFrame, roads: tuple[DataFrame, DataFrame] | None = Non
     kind = routes.schema["route"].dataType.simpleString()
 
     def run(batches):
-        import pandas as pd
+        import pyarrow as pa
 
         g = Roads(*net.value) if net else None
-        for pdf in batches:
-            out = []
-            for route, k, axes in zip(pdf["route"], pdf["kind"], pdf["axes"]):
-                line = ride([(a["turned"], [[(p["lng"], p["lat"]) for p in s] for s in a["segs"]]) for a in axes], k == "loop", g, box.value)
-                out += [(route, i, *p) for i, p in enumerate(line)]
-            yield pd.DataFrame(out, columns=["track", "ord", "lng", "lat"])
-
-    return routes.select("route", "kind", "axes").mapInPandas(run, f"track {kind}, ord bigint, lng double, lat double")
+        for b in batches:
+            own, at, xs, ys = [], [], [], []
+            for i, (k, axes) in enumerate(zip(b.column(1).to_pylist(), b.column(2).to_pylist())):
+                line = ride([(a["turned"], [[(p["lng"], p["lat"]) for p in s or ()] for s in a["segs"] or ()]) for a in axes or ()], k == "loop", g, box.value)
+                own += [i] * len(line)
+                at += range(len(line))
+                xs += [p[0] for p in line]
+                ys += [p[1] for p in line]
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(own, pa.int64())), pa.array(at, pa.int64()), pa.array(xs, pa.float64()), pa.array(ys, pa.float64())], ["track", "ord", "lng", "lat"])
+
+    return routes.select("route", "kind", "axes").mapInArrow(run, f"track {kind}, ord bigint, lng double, lat double")
 
 
 def path_ways(paths: DataFrame, ways: DataFrame, pad: float = 0.02, park_pad: float = 0.001, snap_m: float = 50.0) -> DataFrame:

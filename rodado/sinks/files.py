@@ -134,7 +134,7 @@ def full_page(routes: DataFrame, day: Column) -> DataFrame:
 
     part = lambda head, lines_: F.when(F.size(lines_) > 0, F.concat(lit(head + "\n\n"), F.array_join(lines_, "\n\n")))
     gaps = F.filter(F.coalesce("gaps", F.array().cast(routes.schema["gaps"].dataType)), lambda g: g["metres"] > 50)
-    videos = F.array_distinct(F.transform(said(c("videos")), lambda v: F.trim(v)))
+    videos = said(F.transform(F.coalesce("videos", none), lambda v: F.trim(v)))
     shown = F.when(F.size(videos) > 0, F.concat(lit("Videos a nivel de calle de cada tramo:\n\n"), F.array_join(videos, "\n")))
     body = [F.concat(opening, cover), part("### Tramos", F.transform("runs", run_line)), part("### Tramos sin infraestructura", F.transform(gaps, gap_line)), shown]
     plain_km, date = F.format_string("%.1f", c("total_m") / 1000), F.concat(lit('"'), day.cast("string"), lit('"'))

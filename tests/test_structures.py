@@ -207,16 +207,41 @@ def test_merge_axes():
     assert sorted(got) == [[1, 2], [3], [4]]
 
 
-def test_search():
-    edges = [(i, i + 1, 0.0, 1200.0) for i in range(12)] + [(i + 1, i, 0.0, 1200.0) for i in range(12)] + [(3, 50, 30.0, 900.0)]
-    g = graph.Graph(edges, [(i, (i * 0.012, 0.0)) for i in range(13)] + [(50, (0.036, 0.01))])
-    found = search.one_way(g, 0)
-    assert [round(ln) for ln, _, _ in found] and all(p[0] == 0 and len(set(p)) == len(p) for _, _, p in found)
-    assert search.one_way(g, 999) == []
-    ring = [(i, (i + 1) % 8, 0.0, 800.0) for i in range(8)]
-    r = graph.Graph(ring, [(i, (0.015 * math.cos(i * math.pi / 4), 0.015 * math.sin(i * math.pi / 4))) for i in range(8)])
-    (length, share, path), = search.loops(r, 0, 2000.0)
-    assert path[0] == 0 and share == 1.0
+def row_of(n, m=1 / 111_195, axis=lambda i: 0, step=1000):
+    """n segments of a kilometre in a row to the east, linked both ways; those of one axis for nothing."""
+    seg = [(i, axis(i), float(step), i * step * m, 0.0, (i + 1) * step * m, 0.0) for i in range(n)]
+    edges = [(a, b, 0.0 if axis(a) == axis(b) else 100.0, float(step)) for i in range(n - 1) for a, b in ((i, i + 1), (i + 1, i))]
+    return edges, seg
+
+
+def test_one_way_search():
+    m = 1 / 111_195
+    edges, seg = row_of(12)
+    g = search.Network(edges, seg, [(7, 0.0, 0.0), (8, 4000 * m, 100 * m), (9, 11_500 * m, 0.0)])
+    found = search.one_way(g, 0, (0.0, 0.0), 7)
+    assert found and all(p == list(range(len(p))) for _, p, _, _ in found)
+    # an end is the nearest anchor within 2 km, another than the start, over 1.5 km from it
+    assert {e for e, *_ in found} == {8, 9} and all(abs(len(p) * 1000 - 4000) < 2001 for e, p, _, _ in found if e == 8)
+    assert len({int((a + b) // 3000) for _, _, a, b in found}) == 3
+    assert search.one_way(g, 99, (0.0, 0.0), 7) == []
+    # a sharp turn to another axis isn't taken
+    back = search.Network([(0, 1, 10.0, 1000.0)], [(0, 0, 1000.0, 0.0, 0.0, 1000 * m, 0.0), (1, 1, 3000.0, 990 * m, 10 * m, -2000 * m, 20 * m)], [(5, -2000 * m, 0.0)])
+    assert search.one_way(back, 0, (900 * m, 0.0), 4) == []
+    assert [e for e, *_ in search.one_way(search.Network(edges, seg, [(3, 3000 * m, 0.0)]), 0, (0.0, 0.0), 3)] == []
+    assert search.rides_well(search._Path([], frozenset(), 595.0, 405.0, 0.0)) and not search.rides_well(search._Path([], frozenset(), 594.0, 406.0, 0.0))
+
+
+def test_loop_search():
+    m, n = 1 / 111_195, 24
+    at = [(2000 * m * math.cos(2 * math.pi * k / n), 2000 * m * math.sin(2 * math.pi * k / n)) for k in range(n)]
+    seg = [(k, k // 12, 523.0, *at[k], *at[(k + 1) % n]) for k in range(n)]
+    edges = [(k, (k + 1) % n, 0.0 if k // 12 == (k + 1) % n // 12 else 30.0, 523.0) for k in range(n)]
+    g = search.Network(edges, seg)
+    for radius in search.RADII:
+        found = search.loops(g, 0, at[0], radius)
+        assert found and all(p[0] == 0 and len(p) >= 6 and len({k // 12 for k in p}) == 2 for p, _, _ in found)
+    # a loop over one corridor is none
+    assert search.loops(search.Network(edges, [(s, 0, *r) for s, _, *r in seg]), 0, at[0], 2000.0) == []
 
 
 def test_zones(spark):

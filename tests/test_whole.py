@@ -6,12 +6,11 @@ import math
 import random
 import re
 import unicodedata
-from collections import Counter
 
 import pytest
 
 import __spark_entry__ as entry
-from rodado.functions import rules
+from rodado.functions import geo, rules
 from rodado.operators import corridors, graph
 from rodado.operators.graph import _metres
 from rodado.operators.lines import turn_between
@@ -92,32 +91,50 @@ def test_paths_of_any_cost(spark, root):
     assert far == {k: pytest.approx(best[k]) for k in best if k[0] != k[1]} and max(far.values()) > 600
 
 
-def ring(n, radius_m):
-    m = radius_m / 111_195
-    at = [(m * math.sin(2 * math.pi * k / n), m * math.cos(2 * math.pi * k / n)) for k in range(n)]
-    return [(k + 1, [at[k], at[(k + 1) % n]], {"name": "Este" if k < n / 2 else "Oeste", "highway": "cycleway"}) for k in range(n)]
-
-
-def test_searches_start_everywhere(spark, root):
-    # loops of 2 and 4 km fit into a ring of 4.6 km across; its segments share two names
-    ways = ring(60, 2300)
-    d = root(("ways", ways, W + ", tags map<string,string>"))
-    loops = run(spark, "q_loop_search", d)
-    assert Counter(r["start"] for r in loops) == {k: 2 for k in range(1, 61)}
-    assert {r["start"] for r in run(spark, "q_one_way_search", d)} == set(range(1, 61))
-
-
 def test_suggestions_count_places_and_conditions(spark):
     m = 1 / 111_195
     rows = [(k, "A", 1000.0, None, "both", k * 1000 * m, 0.0, (k + 1) * 1000 * m, 0.0, 6.0 + k % 2) for k in range(8)]
     seg = spark.createDataFrame(rows, "seg_id bigint, normal_name string, length_m double, emplazamiento string, bike_direction string, lng0 double, lat0 double, lng1 double, lat1 double, condition double")
     kind = max(rules.ANCHOR_POINTS, key=rules.ANCHOR_POINTS.get)
-    sights = spark.createDataFrame([(1, "a", kind, 0.0, 0.0), (2, "b", kind, 8000 * m, 0.0), (3, "c", "other", 4000 * m, 100 * m)], "place_id bigint, name string, category string, lng double, lat double")
-    r = suggest.suggest(seg, places=sights).collect()
-    assert r and all(x["start"] == x["end"] == rules.ANCHOR_POINTS[kind] + 2 for x in r if x["segments"] == 8)
-    assert any(x["pois"] == 1 for x in r) and all(6 <= x["condition"] <= 7 for x in r)
-    plain = max(x["score"] for x in suggest.suggest(seg.drop("condition")).collect())
-    assert max(x["score"] for x in r) > plain + 6
+    sights = spark.createDataFrame([(1, "a", kind, 0.0, 0.0), (2, "b", kind, 8000 * m, 0.0), (3, "c", "other", 4000 * m, 100 * m), (4, "d", "toilets", 0.0, 0.0)], "place_id bigint, name string, category string, lng double, lat double")
+    r = suggest.suggest(seg, sights).collect()
+    # all candidates ride the one corridor, so one is left: from one end to the other
+    assert len(r) == 1 and {r[0]["start"], r[0]["end"]} == {1, 2} and r[0]["segments"] == 8 and r[0]["kind"] == "one-way"
+    x = r[0]
+    assert x["start_points"] == x["end_points"] == rules.ANCHOR_POINTS[kind] + 2 and x["pois"] == 1 and x["places"] == ["c"] and x["condition"] == 6.5
+    assert x["name"] in ("De a a b", "De b a a") and x["infra_pct"] == 100 and x["gap_m"] == 0
+    # 100/10 + 6.5 + 24/4 + 3 for 8 km of one corridor + 1 for 8 km + 2 for no detour + 1.5 for one kind of place
+    assert x["score"] == 30.0
+    plain = suggest.suggest(seg.drop("condition"), sights).first()
+    assert plain["score"] == 23.5 and suggest.suggest(seg, sights.limit(0)).count() == 0
+
+
+def test_gates(spark):
+    """Two corridors 4 km apart, and one that runs back over itself: neither is a route; without gates both are."""
+    m = 1 / 111_195
+    line = lambda i, axis, x0, x1, y=0.0: (i, axis, f"n{axis}", float(abs(x1 - x0)), None, x0 * m, y * m, x1 * m, y * m, None, None, None)
+    seg = spark.createDataFrame([line(1, 1, 0, 3000), line(2, 2, 7000, 9900), line(3, 3, 3000, 0, 60.0)], "seg_id bigint, axis bigint, axis_name string, length_m double, emplazamiento string, lng0 double, lat0 double, lng1 double, lat1 double, condition double, comuna string, video string")
+    found = spark.createDataFrame([(1, "a", "park", 0.0, 0.0, 0.0, 9), (2, "b", "park", 9000 * m, 0.0, 0.0, 9)], "place_id bigint, name string, category string, lng double, lat double, infra_m double, score int")
+    c = spark.createDataFrame([(10, 1, 2, [1, 2]), (11, 1, 2, [1, 3]), (12, 1, 2, [1])], "route bigint, start bigint, end bigint, path array<bigint>")
+    assert [r["route"] for r in suggest.assembled(c, seg, found).collect()] == [12]
+    every = {r["route"]: r for r in suggest.assembled(c, seg, found, gates=False).collect()}
+    assert set(every) == {10, 11, 12} and abs(every[10]["gap_max_m"] - 4000) < 1 and every[10]["runs"] == 2
+    assert every[10]["infra_pct"] == 60 and every[12]["detour"] == 1
+
+
+def test_zone_graph_and_routes(spark):
+    m = 1 / 111_195
+    rows = [(k, k // 4, f"n{k // 4}", 1000.0, None, k * 1000 * m, 0.0, (k + 1) * 1000 * m, 0.0, None, None, None) for k in range(8)]
+    seg = spark.createDataFrame(rows, "seg_id bigint, axis bigint, axis_name string, length_m double, emplazamiento string, lng0 double, lat0 double, lng1 double, lat1 double, condition double, comuna string, video string")
+    edges = spark.createDataFrame([(a, b, 0.0 if a // 4 == b // 4 else 50.0, 1000.0) for k in range(7) for a, b in ((k, k + 1), (k + 1, k))], "a bigint, b bigint, cost double, length double")
+    zones = spark.createDataFrame([(1, 500 * m, 0.0), (2, 3500 * m, 0.0), (3, 7500 * m, 10 * m), (4, 30_000 * m, 0.0)], "zone bigint, clng double, clat double")
+    cells = zones.select("zone", geo.cell("clng", 0.002).alias("gx"), geo.cell("clat", 0.002).alias("gy"))
+    e = {(r["a"], r["b"]): r for r in suggest.zone_graph(zones, cells, seg, edges).collect()}
+    assert set(e) == {(1, 2), (1, 3), (2, 3)}
+    assert e[1, 3]["path"] == list(range(8)) and e[1, 3]["along"] == [2] and e[1, 3]["length_m"] == 7050 and abs(e[1, 3]["infra_fraction"] - 6 / 7) < 1e-9
+    found = spark.createDataFrame([(7, "a", 500 * m, 0.0, 9), (8, "b", 7400 * m, 0.0, 8), (9, "c", 7500 * m, 0.0, 4)], "place_id bigint, name string, lng double, lat double, score int")
+    got = suggest.zone_routes(zones, suggest.zone_graph(zones, cells, seg, edges), found).collect()
+    assert [(r["source"], r["start"], r["end"], r["zones"]) for r in got] == [("one-way", 7, 8, [1, 2, 3])]
 
 
 def test_every_segment_is_chained(spark, root):
