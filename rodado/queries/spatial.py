@@ -44,7 +44,7 @@ _add("q_knn", lambda s, d: P.nearest(_places(s, d), _anchors(s, d), "place_id",
 _add("q_best_in_radius", lambda s, d: P.best_within(_places(s, d), _anchors(s, d).withColumn("score", F.pmod(F.col("path_id") * 37, F.lit(11))), 1500.0, "place_id", "path_id", "score"),
      f"WITH {_PL}, {_AN}, j AS (SELECT place_id, path_id, (path_id*37)%11 AS score FROM p JOIN a ON abs(lat-y)<0.014 AND {_D}<=1500), k AS (SELECT *, row_number() OVER (PARTITION BY place_id ORDER BY score DESC, path_id) AS n FROM j) SELECT place_id, path_id, score FROM k WHERE n=1")
 _add("q_topk_in_radius", lambda s, d: P.top_within(_places(s, d), _anchors(s, d), 2000.0, "place_id", "path_id", 3).select("place_id", "path_id", "place"),
-     f"WITH {_PL}, {_AN}, j AS (SELECT place_id, path_id, {_D} AS m FROM p JOIN a ON abs(lat-y)<0.019 AND {_D}<=2000), k AS (SELECT *, row_number() OVER (PARTITION BY place_id ORDER BY m, path_id) AS place FROM j) SELECT place_id, path_id, place FROM k WHERE place<=3")
+     f"WITH {_PL}, {_AN}, j AS (SELECT place_id, path_id, min({_D}) AS m FROM p JOIN a ON abs(lat-y)<0.019 AND {_D}<=2000 GROUP BY 1,2), k AS (SELECT *, row_number() OVER (PARTITION BY place_id ORDER BY m, path_id) AS place FROM j) SELECT place_id, path_id, place FROM k WHERE place<=3")
 
 
 def _samples(s, d):
