@@ -89,17 +89,13 @@ COVERAGE_M = (50, 100, 200, 500, 1000)
 def coverage(reference: DataFrame, track: DataFrame, key: str, xy=("_x", "_y"), limits=COVERAGE_M) -> DataFrame:
     """(key, points, within_50, ...): share of a reference's points (key, ord, lng, lat) near any point of the track.
 
-    Limits from the smallest: points found near are done, so that the wide radii are asked for the others alone.
+    The middle limit is asked for first, so that the widest radius is asked for the points alone that have nothing nearer.
     """
-    t = track.select(*xy).distinct()
-    left, done = stage(reference.select(key, "ord", "lng", "lat"), "reference"), None
-    everything = left
-    for m in sorted(limits):
-        hit = within(left, t, float(m), [key, "ord"], centre_xy=xy).select(key, "ord").distinct()
-        hit = stage(hit.withColumn("_d", F.lit(float(m))), "near")
-        done = hit if done is None else done.unionAll(hit)
-        left = left.join(hit, [key, "ord"], "left_anti")
-    j = everything.select(key, "ord").join(done, [key, "ord"], "left")
+    t, p = track.select(*xy).distinct(), reference.select(key, "ord", "lng", "lat")
+    near = lambda df, m: within(df, t, float(m), [key, "ord"], centre_xy=xy, distance="_d").groupBy(key, "ord").agg(F.min("_d").alias("_d"))
+    close = stage(near(p, sorted(limits)[len(limits) // 2]), "near")
+    far = near(p.join(close, [key, "ord"], "left_anti"), max(limits))
+    j = p.select(key, "ord").join(close.unionAll(far), [key, "ord"], "left")
     return j.groupBy(key).agg(F.count("*").alias("points"), *(geo.half_up(F.avg(F.coalesce((F.col("_d") <= m).cast("int"), F.lit(0))), 4).alias(f"within_{m}") for m in limits))
 
 

@@ -65,4 +65,4 @@ def test_pages_and_drawing(spark, tmp_path):
     assert [x["line"] for x in K.draw(pts, 3, 2).orderBy("row").collect()] == ["  *", "a b"]
     K.write_texts(K.route_page(r), str(tmp_path / "out"), "page", "route_id")
     assert spark.read.text(str(tmp_path / "out")).count() > 0
-    assert json.loads(K.nested(r, r["route_id"]).first()["document"])["name"] == 'La "R"'
+    assert json.loads(K.nested(r).first()["document"])["name"] == 'La "R"'
