@@ -224,14 +224,18 @@ def _between(pts: list, cum: list, lo: float, hi: float) -> list:
 def cut(lines: list[Line], begin: float, end: float, least_share: float = 0.2) -> list[Line]:
     """The ordered lines between two measures, in the sense from begin to end, trimmed there.
 
-    Lines over 100 m that lie inside for less than ``least_share`` of their length are left out.
+    Lines over 100 m that lie inside for less than ``least_share`` of their length are left out, but if no other is left the
+    one with the longest stretch inside stays.
     """
     _, _, spans = measure(lines)
     lo, hi = min(begin, end), max(begin, end)
     out = []
-    for x, (a, b) in zip(lines, spans):
-        inside = min(hi, b) - max(lo, a)
-        if inside < 0 or (b - a > 100 and inside / (b - a) < least_share):
+    inner = [min(hi, b) - max(lo, a) for a, b in spans]
+    enough = [i >= 0 and (b - a <= 100 or i / (b - a) >= least_share) for i, (a, b) in zip(inner, spans)]
+    if not any(enough) and max(inner, default=0.0) > 0:
+        enough[inner.index(max(inner))] = True
+    for x, (a, b), ok in zip(lines, spans, enough):
+        if not ok:
             continue
         pts, cum, at = x.ridden, [0.0], a
         for p, q in zip(pts, pts[1:]):

@@ -220,14 +220,16 @@ def _axis_anchors(s, d):
 
 _add("q_axis_anchors", _axis_anchors)
 def _generated(s, d):
-    """Each registered path as a route from its first anchor over its ways to its last anchor."""
+    """Each registered path as a route over its ways, from its first anchor to its last one if it has two different ones."""
     pieces = stage(_pieces(s, d), "pieces")
     paths = generate.path_pieces(pieces, lines.ordered_paths(pieces, "path_id"), "path_id").withColumnRenamed("path_id", "path")
     good = F.filter("anchors", lambda a: (F.size(a) == 2) & geo.on_earth(a[0], a[1]))
-    b = table(s, d, "bikepaths").where("path_id is not null").dropDuplicates(["path_id"]).select("path_id", good.alias("a")).where(F.size("a") > 0)
+    b = table(s, d, "bikepaths").where("path_id is not null").dropDuplicates(["path_id"]).select("path_id", F.coalesce(good, F.array().cast("array<array<double>>")).alias("a"))
     none = F.lit(None).cast("double")
-    place = lambda k, a: F.struct(F.lit(k).alias("ord"), F.lit(None).cast("bigint").alias("path"), a[0].alias("lng"), a[1].alias("lat"))
-    stops = F.array(place(0, F.element_at("a", 1)), F.struct(F.lit(1).alias("ord"), F.col("path_id").alias("path"), none.alias("lng"), none.alias("lat")), place(2, F.element_at("a", -1)))
+    place = lambda k, a: F.struct(F.lit(k).alias("ord"), F.lit(None).cast("bigint").alias("path"), F.try_element_at(a, F.lit(1)).alias("lng"), F.try_element_at(a, F.lit(2)).alias("lat"))
+    whole = F.array(F.struct(F.lit(1).alias("ord"), F.col("path_id").alias("path"), none.alias("lng"), none.alias("lat")))
+    first, last = F.try_element_at("a", F.lit(1)), F.try_element_at("a", F.lit(-1))
+    stops = F.when((F.size("a") > 1) & (first != last), F.concat(F.array(place(0, first)), whole, F.array(place(2, last)))).otherwise(whole)
     return generate.generated_routes(b.select(F.col("path_id").alias("route"), F.explode(stops).alias("_s")).select("route", "_s.*"), paths)
 
 

@@ -1,6 +1,8 @@
 import json
 import random
 
+from pyspark.sql import functions as F
+
 from rodado.sinks import files as K
 from rodado.sources import files as S
 
@@ -66,3 +68,10 @@ def test_pages_and_drawing(spark, tmp_path):
     K.write_texts(K.route_page(r), str(tmp_path / "out"), "page", "route_id")
     assert spark.read.text(str(tmp_path / "out")).count() > 0
     assert json.loads(K.nested(r).first()["document"])["name"] == 'La "R"'
+
+
+def test_sample_rows(spark):
+    df = spark.range(1000).repartition(7).withColumn("_i", F.lit("clash")).drop("_i")
+    got = sorted(r["id"] for r in K.sample_rows(df, 10, F.col("id")).collect())
+    assert got == list(range(0, 1000, 100)) and K.sample_rows(df.limit(0), 5, F.col("id")).count() == 0
+    assert K.sample_rows(df.where("id < 3"), 10, F.col("id")).count() == 3

@@ -177,6 +177,8 @@ def test_linear_reference():
     part = lines.cut(ls, cum[-1] / 3 + 5, cum[-1] * 0.9)
     assert [x.id for x in part] == [2, 3, 4, 5] and abs(sum(x.length for x in part) - (cum[-1] * (0.9 - 1 / 3) - 5)) < 1
     assert [x.id for x in lines.cut(ls, cum[-1] * 0.9, cum[-1] / 3 + 5)] == [5, 4, 3, 2]
+    # a stretch that is short against its line stays if it is all there is
+    assert [(x.id, round(x.length)) for x in lines.cut(ls, 5.0, 35.0)] == [(0, 30)]
     cross = [Line(9, [(-70.59 + .0001, -33.41), (-70.59 + .0001, -33.39)])]
     p2, c2, _ = lines.measure(cross)
     kind, a, b, gap = lines.junctions(pts, cum, p2, c2)[0]
